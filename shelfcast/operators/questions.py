@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.columns import display_round, ratio
 from shelfcast.operators.advice import MIN_PROMOTION_ROWS
-from shelfcast.operators.marts import lift_percent, promotion_groups
+from shelfcast.operators.marts import lift_percent
 from shelfcast.operators.planning import HEALTHY, INSUFFICIENT, MONITOR, REORDER
 
 
@@ -25,8 +25,12 @@ def store_share(stores: DataFrame) -> DataFrame:
 
 def promotion_within_store(daily: DataFrame) -> DataFrame:
     """Is promoted demand higher within a store and family? Needs five rows on both sides."""
-    groups = promotion_groups(daily, "store_nbr", "family").withColumnsRenamed(
-        {"promoted_average": "promoted_mean", "nonpromoted_average": "nonpromoted_mean"}
+    promoted, volume = F.col("promoted"), F.col("sales")
+    groups = daily.groupBy("store_nbr", "family").agg(
+        F.count_if(promoted).alias("promoted_rows"),
+        F.count_if(~promoted).alias("nonpromoted_rows"),
+        F.avg(F.when(promoted, volume)).alias("promoted_mean"),
+        F.avg(F.when(~promoted, volume)).alias("nonpromoted_mean"),
     )
     enough = F.least("promoted_rows", "nonpromoted_rows") >= MIN_PROMOTION_ROWS
     difference = lift_percent(F.col("promoted_mean"), F.col("nonpromoted_mean"))

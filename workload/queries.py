@@ -16,6 +16,7 @@ from shelfcast.operators import (
     advice, forecast, marts, measures, pages, planning, quality, questions, report, star, trend,
 )
 from shelfcast.schemas import GRAIN, SALES
+from shelfcast.session import cut_lineage
 from workload import facts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +30,6 @@ SELECTION = {
     "stores": [1, 2, 3],
     "families": ["click", "view"],
 }
-WEAKEST_LIFT = "lift_pct"
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -51,12 +51,25 @@ def _mart(daily: Query, mart: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: rounded(mart(daily(spark, sf_dir)))
 
 
-def _plan(fact: DataFrame, config: PlanningConfig, snapshot: DataFrame | None = None) -> DataFrame:
-    return planning.plan_inventory(forecast.forecast_demand(fact, config), config, snapshot)
+def _family_mart(daily: Query, mart: Callable[[DataFrame], DataFrame]) -> Query:
+    return _mart(daily, lambda rows: mart(marts.family_days(rows)))
+
+
+def _store_mart(daily: Query, mart: Callable[[DataFrame], DataFrame]) -> Query:
+    return _mart(daily, lambda rows: mart(marts.store_days(rows)))
+
+
+def shared(query: Query) -> Query:
+    """The query's rows written once, for results that read them more than once."""
+    return lambda spark, sf_dir: cut_lineage(query(spark, sf_dir))
+
 
+edge_once = shared(facts.edge_fact)
+events_once = shared(facts.events_fact)
 
-def events_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(facts.events_fact(spark, sf_dir), DEFAULT)
+
+def _plan(fact: DataFrame, config: PlanningConfig, snapshot: DataFrame | None = None) -> DataFrame:
+    return planning.plan_inventory(forecast.forecast_demand(fact, config), config, snapshot)
 
 
 def edge_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +77,7 @@ def edge_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stocked_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = facts.edge_fact(spark, sf_dir)
+    fact = edge_once(spark, sf_dir)
     return _plan(fact, DEFAULT, facts.stock_snapshot(fact))
 
 
@@ -100,14 +113,17 @@ def daily_sales_unknown_promo(spark, sf_dir):
 
 
 def plan_orphans(spark, sf_dir):
-    return quality.orphan_series(edge_plan(spark, sf_dir), facts.edge_fact(spark, sf_dir))
+    fact = edge_once(spark, sf_dir)
+    return quality.orphan_series(_plan(fact, DEFAULT), fact)
 
 
 def reconcile_totals(spark, sf_dir):
-    daily = edge_daily(spark, sf_dir)
+    daily = marts.daily_sales(edge_once(spark, sf_dir))
     totals = quality.reconcile_totals(
-        daily, marts.weekly_sales(daily), marts.store_performance(daily),
-        marts.family_performance(daily),
+        daily,
+        marts.weekly_sales(daily),
+        marts.store_performance(marts.store_days(daily)),
+        marts.family_performance(marts.family_days(daily)),
     )
     # Adding zero turns a rounded -0.0 into 0.0.
     return rounded(totals).withColumn("difference", F.col("difference") + 0.0)
@@ -150,12 +166,13 @@ def risk_boundaries(spark, sf_dir):
 
 def _advice(fact, config: PlanningConfig, snapshot=None) -> Query:
     def query(spark, sf_dir):
-        sales = fact(spark, sf_dir)
+        sales = cut_lineage(fact(spark, sf_dir))
         daily = marts.daily_sales(sales)
         stock = snapshot(sales) if snapshot else None
         return advice.recommendations(
-            _plan(sales, config, stock), marts.store_performance(daily),
-            marts.promotion_impact(daily),
+            _plan(sales, config, stock),
+            marts.store_performance(marts.store_days(daily)),
+            marts.promotion_impact(marts.family_days(daily)),
         )
 
     return query
@@ -169,8 +186,17 @@ def recommendations_scope(spark, sf_dir):
 # --- business questions ---------------------------------------------------------------
 
 
+def _stores(daily: Query) -> Query:
+    """Store mart, written once: the share needs both its rows and their total."""
+    return shared(lambda spark, sf_dir: marts.store_performance(marts.store_days(daily(spark, sf_dir))))
+
+
+def _volatility(daily: Query) -> Query:
+    return lambda spark, sf_dir: marts.demand_volatility(marts.family_days(daily(spark, sf_dir)))
+
+
 def bq_store_share(spark, sf_dir):
-    return questions.store_share(marts.store_performance(lineitem_daily(spark, sf_dir)))
+    return questions.store_share(_stores(lineitem_daily)(spark, sf_dir))
 
 
 def bq_promo_within_store(spark, sf_dir):
@@ -178,7 +204,7 @@ def bq_promo_within_store(spark, sf_dir):
 
 
 def bq_family_variability(spark, sf_dir):
-    return questions.family_variability(marts.demand_volatility(lineitem_daily(spark, sf_dir)))
+    return questions.family_variability(_volatility(lineitem_daily)(spark, sf_dir))
 
 
 def bq_review_queue(spark, sf_dir):
@@ -186,24 +212,26 @@ def bq_review_queue(spark, sf_dir):
 
 
 def most_variable_family(spark, sf_dir):
-    return rounded(marts.most_variable_family(marts.demand_volatility(edge_daily(spark, sf_dir))))
+    return rounded(marts.most_variable_family(_volatility(edge_daily)(spark, sf_dir)))
 
 
 def top_store_share(spark, sf_dir):
-    return rounded(questions.top_store_share(marts.store_performance(edge_daily(spark, sf_dir))))
+    return rounded(questions.top_store_share(_stores(edge_daily)(spark, sf_dir)))
 
 
 # --- trend ----------------------------------------------------------------------------
 
 
 def complete_weeks(spark, sf_dir):
-    weekly = marts.weekly_sales(events_daily(spark, sf_dir))
-    return trend.complete_weeks(weekly, events_plan(spark, sf_dir))
+    sales = events_once(spark, sf_dir)
+    weekly = marts.weekly_sales(marts.daily_sales(sales))
+    return trend.complete_weeks(weekly, _plan(sales, DEFAULT))
 
 
 def weekly_trend_index(spark, sf_dir):
-    weekly = marts.weekly_sales(events_daily(spark, sf_dir))
-    complete = trend.complete_weeks(weekly, events_plan(spark, sf_dir))
+    sales = events_once(spark, sf_dir)
+    weekly = cut_lineage(marts.weekly_sales(marts.daily_sales(sales)))
+    complete = trend.complete_weeks(weekly, _plan(sales, DEFAULT))
     return rounded(trend.weekly_trend_index(weekly, complete))
 
 
@@ -215,7 +243,7 @@ def risk_counts(spark, sf_dir):
 
 
 def _star(spark, sf_dir):
-    daily = edge_daily(spark, sf_dir)
+    daily = marts.daily_sales(edge_once(spark, sf_dir))
     return star.star_demand(
         daily, star.dim_store(daily), star.dim_family(daily), star.dim_date(daily)
     )
@@ -226,8 +254,9 @@ def star_demand(spark, sf_dir):
 
 
 def star_plan(spark, sf_dir):
-    daily = edge_daily(spark, sf_dir)
-    plan = stocked_plan(spark, sf_dir)
+    sales = edge_once(spark, sf_dir)
+    daily = marts.daily_sales(sales)
+    plan = _plan(sales, DEFAULT, facts.stock_snapshot(sales))
     return rounded(star.star_plan(plan, star.dim_store(daily), star.dim_family(daily)))
 
 
@@ -244,8 +273,7 @@ def _plan_measures(*group_by: str, **selection) -> Query:
 
 
 def avg_volatility(spark, sf_dir):
-    volatility = marts.demand_volatility(edge_daily(spark, sf_dir))
-    return rounded(measures.average_volatility(volatility))
+    return rounded(measures.average_volatility(_volatility(edge_daily)(spark, sf_dir)))
 
 
 def weekly_top_families(spark, sf_dir):
@@ -264,7 +292,7 @@ def page_risk(spark, sf_dir):
 
 
 def run_report(spark, sf_dir):
-    sales = facts.edge_fact(spark, sf_dir)
+    sales = edge_once(spark, sf_dir)
     plan = _plan(sales, DEFAULT)
     return report.run_report(sales, plan, rounded(marts.kpis(sales), 2), DEFAULT, "raw", ["checked"])
 
@@ -278,9 +306,12 @@ def report_labels(spark, sf_dir):
 
 
 def overview_kpis(spark, sf_dir):
-    daily = edge_daily(spark, sf_dir)
+    sales = edge_once(spark, sf_dir)
+    daily = marts.daily_sales(sales)
     return report.overview_kpis(
-        marts.family_performance(daily), marts.store_performance(daily), edge_plan(spark, sf_dir)
+        marts.family_performance(marts.family_days(daily)),
+        marts.store_performance(marts.store_days(daily)),
+        _plan(sales, DEFAULT),
     )
 
 
@@ -293,16 +324,16 @@ REGISTRY: dict[str, Query] = {
     "daily_sales_unknown_promo": daily_sales_unknown_promo,
     "weekly_sales": _mart(edge_daily, marts.weekly_sales),
     "weekly_sales_lineitem": _mart(lineitem_daily, marts.weekly_sales),
-    "store_performance": _mart(edge_daily, marts.store_performance),
-    "store_performance_lineitem": _mart(lineitem_daily, marts.store_performance),
-    "family_performance": _mart(edge_daily, marts.family_performance),
-    "family_performance_lineitem": _mart(lineitem_daily, marts.family_performance),
-    "promotion_impact": _mart(edge_daily, marts.promotion_impact),
-    "promotion_impact_lineitem": _mart(
-        lineitem_daily, lambda daily: marts.promotion_impact(daily).orderBy(WEAKEST_LIFT)
+    "store_performance": _store_mart(edge_daily, marts.store_performance),
+    "store_performance_lineitem": _store_mart(lineitem_daily, marts.store_performance),
+    "family_performance": _family_mart(edge_daily, marts.family_performance),
+    "family_performance_lineitem": _family_mart(lineitem_daily, marts.family_performance),
+    "promotion_impact": _family_mart(edge_daily, marts.promotion_impact),
+    "promotion_impact_lineitem": _family_mart(
+        lineitem_daily, lambda days: marts.promotion_impact(days).orderBy("lift_pct")
     ),
-    "demand_volatility": _mart(edge_daily, marts.demand_volatility),
-    "demand_volatility_lineitem": _mart(lineitem_daily, marts.demand_volatility),
+    "demand_volatility": _family_mart(edge_daily, marts.demand_volatility),
+    "demand_volatility_lineitem": _family_mart(lineitem_daily, marts.demand_volatility),
     "kpis": lambda spark, sf_dir: rounded(marts.kpis(facts.edge_fact(spark, sf_dir))),
     "forecast": _forecast(facts.edge_fact, DEFAULT),
     "forecast_lineitem": _forecast(facts.lineitem_fact, DEFAULT),
