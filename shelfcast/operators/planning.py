@@ -82,12 +82,12 @@ def _with_stock(targets: DataFrame, snapshot: DataFrame | None) -> DataFrame:
         return planned.withColumns(
             {"inventory_on_hand": F.col("scenario_stock"), "inventory_source": F.lit(SIMULATED)}
         )
-    current = snapshot.select(
-        F.col("date").alias("forecast_date"), *SERIES,
-        F.col("inventory_on_hand").alias("counted_stock"),
+    as_of = planned.agg(F.max("forecast_date")).scalar()
+    current = snapshot.where(F.col("date") == as_of).select(
+        *SERIES, F.col("inventory_on_hand").alias("counted_stock")
     )
     counted = F.col("counted_stock")
-    return planned.join(current, ["forecast_date", *SERIES], "left").withColumns(
+    return planned.join(current, list(SERIES), "left").withColumns(
         {
             "inventory_on_hand": F.coalesce(counted, F.col("scenario_stock")),
             "inventory_source": F.when(counted.isNotNull(), F.lit(PROVIDED)).otherwise(F.lit(SIMULATED)),

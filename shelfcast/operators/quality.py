@@ -14,6 +14,11 @@ from shelfcast.functions import parsing
 from shelfcast.schemas import SALES, SERIES, TableSpec
 
 
+# Rows are counted per hash slot of their key; a slot this far above the mean is suspect.
+HASH_SLOTS = 4096
+UNEVEN_MARGIN = 10_000
+
+
 class DataValidationError(ValueError):
     """An input table breaks its contract."""
 
@@ -41,19 +46,46 @@ def _parsed(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
     return typed
 
 
-def quality_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row: the row count and, per rule, how many rows break it."""
+def _with_findings(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str]]:
+    """One flag column per rule that can fail on a row, and the flags' names."""
     dtypes = {field.name: field.dataType for field in df.schema.fields}
     typed = _parsed(df, spec)
-    counts = [F.count(F.lit(1)).alias("rows")]
-    counts += [
-        F.count_if(parsing.is_absent(F.col(c), dtypes[c])).alias(f"missing_{c}") for c in spec.keys
-    ]
+    flags = {f"missing_{c}": parsing.is_absent(F.col(c), dtypes[c]) for c in spec.keys}
     checked = [*spec.dates, *spec.numbers]
     if "store_nbr" in typed:
         checked.append("store_nbr")
-    counts += [F.count_if(typed[c].isNull()).alias(f"invalid_{c}") for c in checked]
-    return df.agg(*counts)
+    flags |= {f"invalid_{c}": typed[c].isNull() for c in checked}
+    return df.select(
+        *[typed.get(c, F.col(c)).alias(c) for c in spec.keys],
+        *[flag.alias(name) for name, flag in flags.items()],
+    ), list(flags)
+
+
+def _counts(flags: Sequence[str]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f)).alias(f) for f in flags]]
+
+
+def quality_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """One row: the row count and, per rule, how many rows break it."""
+    rows, flags = _with_findings(df, spec)
+    return rows.agg(*_counts(flags))
+
+
+def slotted_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``quality_counts`` plus the size of the largest of ``HASH_SLOTS`` hash slots of the
+    keys, from the same scan. Unique keys fill the slots evenly; a large group of copies
+    stands out."""
+    rows, flags = _with_findings(df, spec)
+    slot = F.pmod(F.xxhash64(*spec.keys), F.lit(HASH_SLOTS))
+    per_slot = rows.groupBy(slot.alias("slot")).agg(*_counts(flags))
+    return per_slot.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", *flags)],
+        F.coalesce(F.max("rows"), F.lit(0)).alias("largest_slot"),
+    )
+
+
+def _is_uneven(counts: Mapping[str, int]) -> bool:
+    return counts["largest_slot"] > 1.5 * counts["rows"] / HASH_SLOTS + UNEVEN_MARGIN
 
 
 def first_failure(counts: Mapping[str, int], spec: TableSpec) -> str | None:
@@ -75,12 +107,22 @@ def first_failure(counts: Mapping[str, int], spec: TableSpec) -> str | None:
 
 
 def coerce_table(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Check every rule but the grain, then return the table with typed columns."""
+    """Check every rule but the grain, then return the table with typed columns.
+
+    A table that visibly repeats one key many times is rejected here already. The check
+    combines copies before its shuffle, whereas writing the table by key would first send
+    all copies to one task.
+    """
     require_columns(df, spec)
-    failure = first_failure(quality_counts(df, spec).first().asDict(), spec)
+    counter = slotted_counts if spec.keys else quality_counts
+    counts = counter(df, spec).first().asDict()
+    failure = first_failure(counts, spec)
     if failure:
         raise DataValidationError(failure)
-    return df.withColumns(_parsed(df, spec))
+    typed = df.withColumns(_parsed(df, spec))
+    if spec.keys and _is_uneven(counts):
+        check_grain(typed, spec.keys)
+    return typed
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

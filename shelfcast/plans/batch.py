@@ -52,7 +52,8 @@ def build_gold(layers: Layers, config: PlanningConfig, run: RunFolder) -> dict:
         "demand_volatility": marts.demand_volatility(by_family_day),
     }
     stored = {name: run.write("gold", name, df) for name, df in gold.items()}
-    forecasts = forecast.forecast_demand(sales, config)
+    # Stored, so that sampling the range bounds of the series order does not rescan the fact.
+    forecasts = run.write("work", "forecast", forecast.forecast_demand(sales, config))
     plan = planning.plan_inventory(forecasts, config, layers.silver.get("inventory"))
     stored["reorder_risk"] = run.write("gold", "reorder_risk", plan)
     suggestions = advice.recommendations(

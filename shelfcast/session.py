@@ -5,10 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# A lookup is broadcast only after it was counted to be at most this many rows.
-BROADCAST_ROW_LIMIT = 200_000
+# A lookup is broadcast only after it was measured to stay within both limits.
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def build_session(app_name: str = "shelfcast", master: str | None = None) -> SparkSession:
@@ -52,9 +53,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Mark a lookup for broadcast when a count, which stops at the limit, shows it is
-    small. A larger one is returned unmarked: Spark then shuffles the join and splits
-    skewed partitions at run time."""
-    rows = df.limit(row_limit + 1).count()
-    return F.broadcast(df) if rows <= row_limit else df
+def _row_bytes(df: DataFrame) -> Column:
+    widths = [
+        F.coalesce(F.octet_length(name), F.lit(0)) if dtype == "string" else F.lit(8)
+        for name, dtype in df.dtypes
+    ]
+    return sum(widths[1:], widths[0])
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Mark a lookup for broadcast if a measurement, which stops at the row limit, shows
+    that it is small. A larger one is returned unmarked: Spark then shuffles the join and
+    splits skewed partitions at run time."""
+    size = df.limit(BROADCAST_ROWS + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")
+    ).first()
+    small = size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
+    return F.broadcast(df) if small else df

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import parsing
 from shelfcast.operators.quality import (
-    DataValidationError, check_grain, clean_table, duplicate_keys, orphan_series, validate_sales,
+    DataValidationError, check_grain, clean_table, coerce_table, duplicate_keys, orphan_series,
+    slotted_counts, validate_sales,
 )
 from shelfcast.schemas import CONTEXT_TABLES, SALES
 
@@ -137,3 +138,19 @@ def test_strip_matches_python(spark):
         parsing.strip_text(F.col("s"))
     ).collect()
     assert [r[0] for r in found] == [s.strip() for s in samples]
+
+
+def test_a_large_group_of_copies_is_found_before_the_layout(spark):
+    """A third of the rows is one key: the hash slots show it and the check names it."""
+    copies = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    rows = spark.range(90_000).select(
+        F.lit("2024-01-01").alias("date"), (copies + 1).cast("string").alias("store_nbr"),
+        F.lit("A").alias("family"), F.lit("1").alias("sales"),
+    )
+    counts = slotted_counts(rows, SALES).first()
+    assert counts["rows"] == 90_000 and counts["largest_slot"] >= 30_000
+    with pytest.raises(DataValidationError, match="Duplicate rows"):
+        coerce_table(rows, SALES)
+    even = rows.dropDuplicates(["store_nbr"])
+    assert slotted_counts(even, SALES).first()["largest_slot"] < 100
+    assert coerce_table(even, SALES).count() == 60_001
