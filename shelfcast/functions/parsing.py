@@ -1,4 +1,8 @@
-"""Strict text-to-value rules for files whose columns all arrive as strings."""
+"""Strict text-to-value rules for files whose columns all arrive as strings.
+
+Demand files have billions of rows, so every value is parsed once: ``read_*`` belongs in a
+projection of its own, and the ``valid_*`` checks that mention it repeatedly in the next.
+"""
 
 from __future__ import annotations
 
@@ -13,14 +17,24 @@ MISSING_TOKENS = (
 # First and last calendar day an input date may name.
 FIRST_DATE, LAST_DATE = "1677-09-22", "2262-04-11"
 
-_OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
-_NUMBER_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
+# The characters that count as whitespace around a text.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+# The cast to DOUBLE also takes words, type suffixes and hexadecimal; decimal text has only these.
+_NUMBER_TEXT = r"^[\s0-9+\-.eE]+\z"
 _DATE_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
 
+INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+LARGEST_BIGINT = float(2**63)
+
 
 def strip_text(value: Column) -> Column:
     """Remove leading and trailing whitespace of any Unicode kind (``trim`` knows spaces only)."""
-    return F.regexp_replace(value, _OUTER_SPACE, "")
+    return F.btrim(value, F.lit(WHITESPACE))
 
 
 def missing_to_null(value: Column) -> Column:
@@ -36,44 +50,48 @@ def is_absent(value: Column, dtype: T.DataType) -> Column:
     return value.isNull()
 
 
-def to_number(value: Column, dtype: T.DataType) -> Column:
-    """DOUBLE, or null where the text is no plain decimal number or the value is not finite."""
+def read_number(value: Column, dtype: T.DataType) -> Column:
+    """DOUBLE, or null where the text is no plain decimal number."""
     if isinstance(dtype, T.StringType):
-        text = F.trim(strip_text(value))
-        number = F.when(text.rlike(_NUMBER_TEXT), text.try_cast("double"))
-    elif isinstance(dtype, T.NumericType):
-        number = value.cast("double")
-    else:
-        return F.lit(None).cast("double")
-    return F.when(F.abs(number) < float("inf"), number)  # NaN and infinity sort above every number
+        return F.when(value.rlike(_NUMBER_TEXT), value.try_cast("double"))
+    if isinstance(dtype, T.NumericType):
+        return value.cast("double")
+    return F.lit(None).cast("double")
+
 
+def finite(number: Column) -> Column:
+    """The number, or null for NaN and the infinities; NaN sorts above infinity."""
+    return F.when((number > float("-inf")) & (number < float("inf")), number)
 
-def to_count(value: Column, dtype: T.DataType) -> Column:
-    """DOUBLE that is finite and at least zero, else null."""
-    number = to_number(value, dtype)
-    return F.when(number >= 0, number)
 
+def valid_count(number: Column) -> Column:
+    """The number where it is finite and at least zero, else null."""
+    return F.when((number >= 0) & (number < float("inf")), number)
 
-def to_store_number(value: Column, dtype: T.DataType) -> Column:
+
+def valid_store_number(number: Column, value: Column, dtype: T.DataType) -> Column:
     """Positive BIGINT, else null. Text such as ``1.0`` is a whole number too."""
-    number = to_number(value, dtype)
-    whole = F.when((number > 0) & (number % 1 == 0), number.try_cast("bigint"))
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+    if isinstance(dtype, INTEGERS):
         return F.when(value > 0, value.cast("bigint"))
+    whole = (number > 0) & (number < LARGEST_BIGINT) & (number % 1 == 0)
+    converted = number.cast("bigint")
     if isinstance(dtype, T.StringType):
-        exact = F.trim(strip_text(value)).try_cast("bigint")  # beyond 2**53 a double is too coarse
-        return F.when(whole.isNotNull(), F.coalesce(exact, whole))
-    return whole
+        # Integer text is cast directly: beyond 2**53 a double is too coarse.
+        converted = F.coalesce(value.try_cast("bigint"), converted)
+    return F.when(whole, converted)
 
 
-def to_calendar_date(value: Column, dtype: T.DataType) -> Column:
+def read_date(value: Column, dtype: T.DataType) -> Column:
     """DATE, or null where the text is not year-month-day or no such day exists."""
     if isinstance(dtype, T.DateType):
-        parsed = value
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        parsed = value.cast("date")
-    elif isinstance(dtype, T.StringType):
-        parsed = F.when(value.rlike(_DATE_TEXT), F.try_to_date(value, "yyyy-M-d"))
-    else:
-        return F.lit(None).cast("date")
-    return F.when(parsed.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")), parsed)
+        return value
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return value.cast("date")
+    if isinstance(dtype, T.StringType):
+        return F.when(value.rlike(_DATE_TEXT), value.try_cast("date"))
+    return F.lit(None).cast("date")
+
+
+def valid_date(date: Column) -> Column:
+    first, last = F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")
+    return F.when((date >= first) & (date <= last), date)

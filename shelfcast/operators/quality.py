@@ -34,31 +34,66 @@ def require_columns(df: DataFrame, spec: TableSpec) -> None:
         raise DataValidationError(f"Missing required columns: {', '.join(absent)}")
 
 
-def _parsed(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
-    """Typed replacement for every column a rule applies to; a bad value becomes null."""
+def _checked_columns(df: DataFrame, spec: TableSpec) -> list[str]:
+    """Columns with a value rule, in the order their errors are reported."""
+    store = ["store_nbr"] if "store_nbr" in df.columns else []
+    return [*spec.dates, *spec.numbers, *store]
+
+
+def _parse(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, dict[str, Column]]:
+    """The table with a parsed ``<column>_read`` next to each checked column, and the typed
+    value per column, null where it breaks a rule. The typed values belong in a later
+    projection: that keeps Spark from copying the parsing to each mention of its result."""
     dtypes = {field.name: field.dataType for field in df.schema.fields}
-    typed = {c: parsing.to_calendar_date(F.col(c), dtypes[c]) for c in spec.dates}
-    typed |= {c: parsing.to_count(F.col(c), dtypes[c]) for c in spec.numbers}
-    if "store_nbr" in dtypes:
-        typed["store_nbr"] = parsing.to_store_number(F.col("store_nbr"), dtypes["store_nbr"])
+    checked = _checked_columns(df, spec)
+    read, typed = {}, {}
+    for c in checked:
+        value, parsed = F.col(c), F.col(f"{c}_read")
+        if c in spec.dates:
+            read[f"{c}_read"] = parsing.read_date(value, dtypes[c])
+            typed[c] = parsing.valid_date(parsed)
+        else:
+            read[f"{c}_read"] = parsing.read_number(value, dtypes[c])
+            typed[c] = (
+                parsing.valid_store_number(parsed, value, dtypes[c])
+                if c == "store_nbr"
+                else parsing.valid_count(parsed)
+            )
     if "family" in dtypes:
-        typed["family"] = parsing.strip_text(F.col("family").cast("string"))
-    return typed
+        read["family_read"] = parsing.strip_text(F.col("family").cast("string"))
+        typed["family"] = F.col("family_read")
+    return df.withColumns(read), typed
+
+
+def _typed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    parsed, typed = _parse(df, spec)
+    return parsed.withColumns(typed).drop(*[f"{c}_read" for c in typed])
 
 
 def _with_findings(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str]]:
-    """One flag column per rule that can fail on a row, and the flags' names."""
+    """The typed keys with one flag per rule that can fail on a row, and the flags' names.
+
+    Only a value that did not parse is looked at again to tell blank from broken.
+    """
     dtypes = {field.name: field.dataType for field in df.schema.fields}
-    typed = _parsed(df, spec)
-    flags = {f"missing_{c}": parsing.is_absent(F.col(c), dtypes[c]) for c in spec.keys}
-    checked = [*spec.dates, *spec.numbers]
-    if "store_nbr" in typed:
-        checked.append("store_nbr")
-    flags |= {f"invalid_{c}": typed[c].isNull() for c in checked}
-    return df.select(
-        *[typed.get(c, F.col(c)).alias(c) for c in spec.keys],
-        *[flag.alias(name) for name, flag in flags.items()],
-    ), list(flags)
+    parsed, typed = _parse(df, spec)
+    missing = {}
+    for c in spec.keys:
+        absent = parsing.is_absent(F.col(c), dtypes[c])
+        if c == "family":
+            absent = F.col("family_read").isNull() | (F.col("family_read") == "")
+        elif c in typed:
+            absent = F.col(f"{c}_read").isNull() & absent
+        missing[f"missing_{c}"] = absent
+    checked = _checked_columns(df, spec)
+    used = dict.fromkeys((*spec.keys, *checked))
+    rows = parsed.select(
+        *[typed.get(c, F.col(c)).alias(c) for c in used],
+        *[flag.alias(name) for name, flag in missing.items()],
+    ).select(
+        *spec.keys, *missing, *[F.col(c).isNull().alias(f"invalid_{c}") for c in checked]
+    )
+    return rows, [*missing, *[f"invalid_{c}" for c in checked]]
 
 
 def _counts(flags: Sequence[str]) -> list[Column]:
@@ -119,7 +154,7 @@ def coerce_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     failure = first_failure(counts, spec)
     if failure:
         raise DataValidationError(failure)
-    typed = df.withColumns(_parsed(df, spec))
+    typed = _typed(df, spec)
     if spec.keys and _is_uneven(counts):
         check_grain(typed, spec.keys)
     return typed
@@ -156,7 +191,9 @@ def with_promotion_column(sales: DataFrame) -> DataFrame:
 def coerce_oil_price(oil: DataFrame) -> DataFrame:
     """Unparsable prices are allowed and become null."""
     dtype = oil.schema["dcoilwtico"].dataType
-    return oil.withColumn("dcoilwtico", parsing.to_number(F.col("dcoilwtico"), dtype))
+    return oil.withColumn(
+        "dcoilwtico", parsing.read_number(F.col("dcoilwtico"), dtype)
+    ).withColumn("dcoilwtico", parsing.finite(F.col("dcoilwtico")))
 
 
 def orphan_series(plan: DataFrame, sales: DataFrame) -> DataFrame:

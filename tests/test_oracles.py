@@ -1,6 +1,7 @@
 """Every registered query against its SQL, on the driver's tables."""
 
 import math
+import os
 
 import duckdb
 import pytest
@@ -12,7 +13,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-SCALE = DATA_DIR / "sf0.01"
+SCALE = DATA_DIR / os.environ.get("TEST_SCALE", "sf0.01")
 
 
 @pytest.fixture(scope="module")

@@ -277,9 +277,9 @@ REPORT = """,
 report AS (
   SELECT 'raw' AS source, 'User-provided retail CSVs; provenance must be verified' AS data_label,
          (SELECT count(*) FROM f) AS "rows",
-         {'total_sales': round(total_sales, 2), 'average_daily_sales': round(average_daily_sales, 2),
+         {'total_sales': round(total_sales, 6), 'average_daily_sales': round(average_daily_sales, 6),
           'stores': stores, 'families': families, 'start': "start", 'end': "end",
-          'promoted_sales': round(promoted_sales, 2)} AS kpis,
+          'promoted_sales': round(promoted_sales, 6)} AS kpis,
          {'window_days': 28, 'lead_time_days': 7, 'review_days': 7, 'z_score': 1.65e0} AS planning,
          CASE WHEN (SELECT bool_or(coverage < 1) FROM plan) THEN
            ['checked', 'Some store/family series have incomplete trailing history; actionable reorder quantities are suppressed.']

@@ -294,7 +294,7 @@ def page_risk(spark, sf_dir):
 def run_report(spark, sf_dir):
     sales = edge_once(spark, sf_dir)
     plan = _plan(sales, DEFAULT)
-    return report.run_report(sales, plan, rounded(marts.kpis(sales), 2), DEFAULT, "raw", ["checked"])
+    return report.run_report(sales, plan, rounded(marts.kpis(sales)), DEFAULT, "raw", ["checked"])
 
 
 def quality_summary(spark, sf_dir):
