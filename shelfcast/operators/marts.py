@@ -133,3 +133,8 @@ def kpis(sales: DataFrame) -> DataFrame:
     """Run totals straight from a fact, with or without a promotion column."""
     daily = daily_sales(with_promotion_column(sales))
     return run_totals(store_days(daily), family_days(daily))
+
+
+def promotion_summary(sales: DataFrame) -> DataFrame:
+    """Promotion impact straight from a fact."""
+    return promotion_impact(family_days(daily_sales(with_promotion_column(sales))))

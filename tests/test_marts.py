@@ -13,7 +13,7 @@ from shelfcast.operators.quality import reconcile_totals, with_promotion_column
 
 
 def impact(sales):
-    return marts.promotion_impact(marts.family_days(marts.daily_sales(sales))).first()
+    return marts.promotion_summary(sales).first()
 
 
 def test_kpis(sales):

@@ -245,11 +245,14 @@ def risk_counts(spark, sf_dir):
 # --- star model, measures and pages ---------------------------------------------------
 
 
+def _lookups(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Store and family lookups, written once: they are measured before they are joined."""
+    return cut_lineage(star.dim_store(daily)), cut_lineage(star.dim_family(daily))
+
+
 def _star(spark, sf_dir):
     daily = marts.daily_sales(edge_once(spark, sf_dir))
-    return star.star_demand(
-        daily, star.dim_store(daily), star.dim_family(daily), star.dim_date(daily)
-    )
+    return star.star_demand(daily, *_lookups(daily), star.dim_date(daily))
 
 
 def star_demand(spark, sf_dir):
@@ -258,9 +261,8 @@ def star_demand(spark, sf_dir):
 
 def star_plan(spark, sf_dir):
     sales = edge_once(spark, sf_dir)
-    daily = marts.daily_sales(sales)
     plan = _plan(sales, DEFAULT, facts.stock_snapshot(sales))
-    return rounded(star.star_plan(plan, star.dim_store(daily), star.dim_family(daily)))
+    return rounded(star.star_plan(plan, *_lookups(sales)))
 
 
 def _measures(daily: Query, *group_by: str, **selection) -> Query:
