@@ -10,9 +10,9 @@ from pyspark.sql import SparkSession
 from shelfcast.config import PlanningConfig
 from shelfcast.operators import advice, forecast, marts, planning, report
 from shelfcast.schemas import GOLD_COLUMNS
-from shelfcast.session import build_session
+from shelfcast.session import build_session, sized_shuffles
 from shelfcast.sources import files
-from shelfcast.sources.csv_tables import Layers, load_layers
+from shelfcast.sources.csv_tables import Layers, find_sales, load_layers
 from shelfcast.sources.runs import RunFolder
 
 REPORT_FILE = "quality_report.json"
@@ -27,10 +27,12 @@ def run_job(
 ) -> dict:
     """Build and publish one run; returns its report. Any error leaves the last run published."""
     config = config or PlanningConfig()
+    _, sales_path = find_sales(spark, source, data_dir)
     run = RunFolder.create(spark, output_dir)
     try:
-        layers = load_layers(spark, source, data_dir, run)
-        published = build_gold(layers, config, run)
+        with sized_shuffles(spark, files.size_in_bytes(spark, sales_path)):
+            layers = load_layers(spark, source, data_dir, run)
+            published = build_gold(layers, config, run)
         run.publish()
         return published
     finally:

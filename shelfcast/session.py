@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import SparkConf
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A lookup is broadcast only after it was measured to stay within both limits.
@@ -12,19 +16,44 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def build_session(app_name: str = "shelfcast", master: str | None = None) -> SparkSession:
-    """Session for spark-submit; cluster settings given on submit are left alone."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-    )
-    if master:
-        builder = builder.master(master)
+# Input bytes that one shuffle partition should stand for; small ones are merged at run time.
+SHUFFLE_BYTES = 512 * 1024 * 1024
+
+# Settings of a submitted job where the submitter names none.
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.ui.enabled": "false",
+}
+
+
+def build_session(app_name: str) -> SparkSession:
+    """Session for a submitted job; settings given on submit take precedence."""
+    given = SparkConf()
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in DEFAULTS.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, source_bytes: int) -> Iterator[None]:
+    """Raise the shuffle partition count to suit the input for the time of a job."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    wanted = math.ceil(source_bytes / SHUFFLE_BYTES)
+    if wanted <= int(before):
+        yield
+        return
+    spark.conf.set(key, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named in ``spark.checkpoint.dir``; fall back to a temporary
     folder only on a local master, where every task shares the driver's disk."""

@@ -109,15 +109,21 @@ def silver_context(spec: TableSpec, bronze: DataFrame, run: RunFolder) -> DataFr
     return run.write("silver", spec.name, table)
 
 
+def find_sales(spark: SparkSession, source: str, data_dir: str) -> tuple[str, str]:
+    """The selected source and the path of its demand file, which must exist."""
+    data_dir = data_dir.rstrip("/")
+    selected = select_source(spark, source, data_dir)
+    path = f"{data_dir}/{selected}/{SALES_FILE}.csv"
+    if not files.exists(spark, path):
+        raise FileNotFoundError(f"Missing {path}. Place the demand CSVs there.")
+    return selected, path
+
+
 def load_layers(spark: SparkSession, source: str, data_dir: str, run: RunFolder) -> Layers:
     """Land and validate one source folder. Bad demand data stops the run; an absent or
     invalid context table is reported and left out of Silver, its Bronze copy stays."""
-    data_dir = data_dir.rstrip("/")
-    selected = select_source(spark, source, data_dir)
-    folder = f"{data_dir}/{selected}"
-    sales_path = f"{folder}/{SALES_FILE}.csv"
-    if not files.exists(spark, sales_path):
-        raise FileNotFoundError(f"Missing {sales_path}. Place the demand CSVs there.")
+    selected, sales_path = find_sales(spark, source, data_dir)
+    folder = sales_path.rpartition("/")[0]
     layers = Layers(selected)
     bronze = layers.bronze["sales"] = land_bronze(spark, sales_path, "sales", run)
     layers.silver["sales"] = silver_sales(bronze, run)

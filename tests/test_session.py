@@ -56,3 +56,17 @@ def test_a_cluster_must_name_a_shared_checkpoint_folder():
     named = ClusterSession({"spark.checkpoint.dir": "hdfs:///shared"})
     session.ensure_checkpoint_dir(named)
     assert named.sparkContext.checkpoint_dir == "hdfs:///shared"
+
+
+def test_shuffle_partitions_follow_the_input(spark, monkeypatch):
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 10)
+    setting = "spark.sql.shuffle.partitions"
+    before = int(spark.conf.get(setting))
+    with session.sized_shuffles(spark, 10 * before + 1):
+        assert int(spark.conf.get(setting)) == before + 1
+    assert int(spark.conf.get(setting)) == before
+    with pytest.raises(KeyError), session.sized_shuffles(spark, 10_000):
+        raise KeyError
+    assert int(spark.conf.get(setting)) == before
+    with session.sized_shuffles(spark, 1):
+        assert int(spark.conf.get(setting)) == before
