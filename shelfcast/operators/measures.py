@@ -65,14 +65,19 @@ def demand_measures(daily: DataFrame, group_by: Sequence[str] = (), **selection)
     promoted = F.col("promoted")
     volume = F.col("sales")
     known_rows = F.count("onpromotion")
+
+    def members(column: str) -> Column:
+        # A grouped column has one value per group; only the others need a distinct count.
+        return F.lit(1).cast("bigint") if column in group_by else F.count_distinct(column)
+
     base = (
         select_demand(daily, **selection)
         .groupBy(*group_by)
         .agg(
             F.sum(volume).alias("total_demand"),
-            F.count_distinct("date").alias("observed_days"),
-            F.count_distinct("store_nbr").alias("store_count"),
-            F.count_distinct("family").alias("family_count"),
+            members("date").alias("observed_days"),
+            members("store_nbr").alias("store_count"),
+            members("family").alias("family_count"),
             known_rows.alias("known_promotion_rows"),
             # The sum is already null when no row is promoted or promotion is unknown.
             F.when(known_rows > 0, F.sum(F.when(promoted, volume))).alias("promoted_demand"),

@@ -43,9 +43,9 @@ stock AS (
 DAILY = """,
 daily AS (
   SELECT date, store_nbr, family, sales, onpromotion,
-         CASE WHEN onpromotion IS NULL THEN NULL ELSE onpromotion > 0 END AS promoted,
-         isodow(date) AS weekday_number,
-         CASE WHEN isodow(date) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS day_type
+         onpromotion > 0 AS promoted,
+         (dayofweek(date) + 6) % 7 + 1 AS weekday_number,
+         CASE WHEN dayofweek(date) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type
   FROM f)"""
 
 UNCHECKED = """
@@ -143,16 +143,16 @@ DAILY_ROWS = (
 
 WEEKLY = """,
 weekly AS (
-  SELECT CAST(date_trunc('week', date) AS DATE) AS week, store_nbr, family, sum(sales) AS sales,
-         count(*) AS observed_days
+  SELECT date - CAST(isodow(date) - 1 AS INTEGER) AS week, store_nbr, family, sum(sales) AS sales,
+         count(DISTINCT date) AS observed_days
   FROM f GROUP BY 1, 2, 3)"""
 WEEKLY_ROWS = "SELECT week, store_nbr, family, round(sales, 6) AS sales, observed_days FROM weekly"
 
 STORES = """,
 stores AS (
-  SELECT store_nbr, sum(sales) AS total_sales, count(DISTINCT date) AS observed_days,
-         sum(sales) / count(DISTINCT date) AS average_daily_sales
-  FROM f GROUP BY store_nbr)"""
+  SELECT *, total_sales / observed_days AS average_daily_sales
+  FROM (SELECT store_nbr, sum(sales) AS total_sales, count(DISTINCT date) AS observed_days
+        FROM f GROUP BY store_nbr) s)"""
 STORE_ROWS = "SELECT store_nbr, observed_days, " + _round("total_sales", "average_daily_sales") + " FROM stores"
 
 FAMILIES = """,
@@ -163,7 +163,7 @@ FAMILY_ROWS = "SELECT family, observed_days, round(total_sales, 6) AS total_sale
 
 PROMOTIONS = """,
 promotions AS (
-  SELECT *, 100 * (promoted_average / nullif(nonpromoted_average, 0) - 1) AS lift_pct
+  SELECT *, (promoted_average - nonpromoted_average) * 100 / nullif(nonpromoted_average, 0) AS lift_pct
   FROM (
     SELECT family, avg(sales) FILTER (WHERE onpromotion > 0) AS promoted_average,
            avg(sales) FILTER (WHERE onpromotion = 0) AS nonpromoted_average,
@@ -178,10 +178,10 @@ PROMOTION_ROWS = (
 
 VOLATILITY = """,
 volatility AS (
-  SELECT family, avg(day_sales) AS daily_mean, stddev_samp(day_sales) AS daily_std,
-         stddev_samp(day_sales) / nullif(avg(day_sales), 0) AS coefficient_of_variation
-  FROM (SELECT date, family, sum(sales) AS day_sales FROM f GROUP BY date, family) d
-  GROUP BY family)"""
+  SELECT *, CASE WHEN daily_mean <> 0 THEN daily_std / daily_mean END AS coefficient_of_variation
+  FROM (SELECT family, avg(day_sales) AS daily_mean, stddev_samp(day_sales) AS daily_std
+        FROM (SELECT date, family, sum(sales) AS day_sales FROM f GROUP BY date, family) d
+        GROUP BY family) v)"""
 VOLATILITY_ROWS = (
     "SELECT family, " + _round("daily_mean", "daily_std", "coefficient_of_variation") + " FROM volatility"
 )
@@ -219,7 +219,8 @@ advice AS (
 
 STAR = """,
 star AS (
-  SELECT *, CAST(date_trunc('week', date) AS DATE) AS week_start, dayname(date) AS weekday FROM daily)"""
+  SELECT *, date - CAST(isodow(date) - 1 AS INTEGER) AS week_start, dayname(date) AS weekday
+  FROM daily)"""
 
 
 def _measures(source: str, key: str | None = None, where: str = "TRUE") -> str:
@@ -395,13 +396,14 @@ GROUP BY 1, 2""",
         STORES,
         "SELECT store_nbr, observed_days, round(total_sales, 2) AS demand_volume, "
         "round(average_daily_sales, 2) AS average_daily_demand, "
-        "round(100e0 * total_sales / nullif(sum(total_sales) OVER (), 0), 1) AS volume_share_pct FROM stores",
+        "round(100e0 * total_sales / (SELECT sum(sales) FROM f), 1) AS volume_share_pct FROM stores",
     ),
     "bq_promo_within_store": _with(
         LINEITEM,
         """SELECT store_nbr, family, promoted_rows, nonpromoted_rows, round(promoted_mean, 6) AS promoted_mean,
        round(nonpromoted_mean, 6) AS nonpromoted_mean,
-       round(100e0 * (promoted_mean / nullif(nonpromoted_mean, 0) - 1), 1) AS descriptive_difference_pct
+       round((promoted_mean - nonpromoted_mean) * 100 / nullif(nonpromoted_mean, 0), 1)
+         AS descriptive_difference_pct
 FROM (SELECT store_nbr, family, count(*) FILTER (WHERE onpromotion > 0) AS promoted_rows,
              count(*) FILTER (WHERE onpromotion = 0) AS nonpromoted_rows,
              avg(sales) FILTER (WHERE onpromotion > 0) AS promoted_mean,
