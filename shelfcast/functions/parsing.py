@@ -41,10 +41,14 @@ def missing_to_null(value: Column) -> Column:
     return F.when(~value.isin(*MISSING_TOKENS), value)
 
 
+def is_absent_text(stripped: Column) -> Column:
+    return stripped.isNull() | (stripped == "")
+
+
 def is_absent(value: Column, dtype: T.DataType) -> Column:
     """True for null and, in text, for blank values."""
     if isinstance(dtype, T.StringType):
-        return value.isNull() | (strip_text(value) == "")
+        return is_absent_text(strip_text(value))
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return value.isNull() | F.isnan(value)
     return value.isNull()

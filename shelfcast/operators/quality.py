@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfcast.functions import parsing
 from shelfcast.schemas import SALES, SERIES, TableSpec
 
-
 # Rows are counted per hash slot of their key; a slot this far above the mean is suspect.
 HASH_SLOTS = 4096
 UNEVEN_MARGIN = 10_000
@@ -40,34 +39,38 @@ def _checked_columns(df: DataFrame, spec: TableSpec) -> list[str]:
     return [*spec.dates, *spec.numbers, *store]
 
 
+def _parsed_name(column: str) -> str:
+    return f"{column}__parsed"
+
+
 def _parse(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, dict[str, Column]]:
-    """The table with a parsed ``<column>_read`` next to each checked column, and the typed
+    """The table with a parsed copy next to each checked column, and the typed
     value per column, null where it breaks a rule. The typed values belong in a later
     projection: that keeps Spark from copying the parsing to each mention of its result."""
     dtypes = {field.name: field.dataType for field in df.schema.fields}
     checked = _checked_columns(df, spec)
     read, typed = {}, {}
     for c in checked:
-        value, parsed = F.col(c), F.col(f"{c}_read")
+        value, parsed = F.col(c), F.col(_parsed_name(c))
         if c in spec.dates:
-            read[f"{c}_read"] = parsing.read_date(value, dtypes[c])
+            read[_parsed_name(c)] = parsing.read_date(value, dtypes[c])
             typed[c] = parsing.valid_date(parsed)
         else:
-            read[f"{c}_read"] = parsing.read_number(value, dtypes[c])
+            read[_parsed_name(c)] = parsing.read_number(value, dtypes[c])
             typed[c] = (
                 parsing.valid_store_number(parsed, value, dtypes[c])
                 if c == "store_nbr"
                 else parsing.valid_count(parsed)
             )
     if "family" in dtypes:
-        read["family_read"] = parsing.strip_text(F.col("family").cast("string"))
-        typed["family"] = F.col("family_read")
+        read[_parsed_name("family")] = parsing.strip_text(F.col("family").cast("string"))
+        typed["family"] = F.col(_parsed_name("family"))
     return df.withColumns(read), typed
 
 
 def _typed(df: DataFrame, spec: TableSpec) -> DataFrame:
     parsed, typed = _parse(df, spec)
-    return parsed.withColumns(typed).drop(*[f"{c}_read" for c in typed])
+    return parsed.withColumns(typed).drop(*[_parsed_name(c) for c in typed])
 
 
 def _with_findings(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str]]:
@@ -81,9 +84,9 @@ def _with_findings(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str]
     for c in spec.keys:
         absent = parsing.is_absent(F.col(c), dtypes[c])
         if c == "family":
-            absent = F.col("family_read").isNull() | (F.col("family_read") == "")
-        elif c in typed:
-            absent = F.col(f"{c}_read").isNull() & absent
+            absent = parsing.is_absent_text(F.col(_parsed_name(c)))
+        elif c in typed and dtypes[c] == T.StringType():
+            absent = F.col(_parsed_name(c)).isNull() & absent
         missing[f"missing_{c}"] = absent
     checked = _checked_columns(df, spec)
     used = dict.fromkeys((*spec.keys, *checked))

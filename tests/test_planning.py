@@ -10,7 +10,7 @@ from pyspark.sql import Window, functions as F
 
 from conftest import SALES_SCHEMA
 from shelfcast.config import PlanningConfig
-from shelfcast.operators import advice, forecast, marts, planning
+from shelfcast.operators import advice, forecast, planning
 
 STOCK_SCHEMA = "date date, store_nbr long, family string, inventory_on_hand double"
 

@@ -95,6 +95,17 @@ def test_missing_keys_and_bad_promotion(spark, column, value, message):
         validate_sales(text_rows(spark, **{column: value}))
 
 
+def test_a_typed_key_that_is_not_a_number_is_missing(sales):
+    odd = sales.withColumn("store_nbr", F.lit(float("nan")))
+    with pytest.raises(DataValidationError, match="Missing store_nbr values"):
+        validate_sales(odd)
+    infinite = sales.withColumn("store_nbr", F.lit(float("inf")))
+    with pytest.raises(DataValidationError, match="store_nbr must contain positive integers"):
+        validate_sales(infinite)
+    halves = sales.withColumn("store_nbr", F.lit(2.0))
+    assert validate_sales(halves).first()["store_nbr"] == 2
+
+
 def test_duplicate_after_trim(spark):
     rows = text_rows(spark, date="2024-01-01", family=" A ")
     with pytest.raises(DataValidationError, match="Duplicate rows at grain date, store_nbr, family"):
