@@ -69,17 +69,26 @@ def promotion_suggestions(promotions: DataFrame) -> DataFrame:
     )
 
 
-def recommendations(plan: DataFrame, stores: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Series suggestions in (store, family) order, then the top store, then promotions."""
+def ranked_suggestions(plan: DataFrame, stores: DataFrame, promotions: DataFrame) -> DataFrame:
+    """All suggestions with the columns that order them: section, store and family."""
     return (
         series_suggestions(plan)
         .unionByName(top_store_suggestion(stores))
         .unionByName(promotion_suggestions(promotions))
-        .orderBy("section", "store_nbr", "family")
-        .select("scope", "evidence", "recommendation")
     )
 
 
+def in_review_order(ranked: DataFrame) -> DataFrame:
+    """Series suggestions in (store, family) order, then the top store, then promotions."""
+    return ranked.orderBy("section", "store_nbr", "family").select(
+        "scope", "evidence", "recommendation"
+    )
+
+
+def recommendations(plan: DataFrame, stores: DataFrame, promotions: DataFrame) -> DataFrame:
+    return in_review_order(ranked_suggestions(plan, stores, promotions))
+
+
 def with_scope_text(suggestions: DataFrame, text: str) -> DataFrame:
     """Suggestions whose scope contains the searched text."""
     return suggestions.where(F.contains("scope", F.lit(text)))

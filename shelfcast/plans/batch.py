@@ -58,10 +58,15 @@ def build_gold(layers: Layers, config: PlanningConfig, run: RunFolder) -> dict:
     forecasts = run.write("work", "forecast", forecast.forecast_demand(sales, config))
     plan = planning.plan_inventory(forecasts, config, layers.silver.get("inventory"))
     stored["reorder_risk"] = run.write("gold", "reorder_risk", plan)
-    suggestions = advice.recommendations(
-        stored["reorder_risk"], stored["store_performance"], stored["promotion_impact"]
+    # Files of a stored table are read in any order, so the ordering columns are stored too.
+    ranked = run.write(
+        "work", "suggestions",
+        advice.ranked_suggestions(
+            stored["reorder_risk"], stored["store_performance"], stored["promotion_impact"]
+        ),
     )
-    stored["recommendations"] = run.write("gold", "recommendations", suggestions)
+    stored["recommendations"] = advice.in_review_order(ranked)
+    run.write("gold", "recommendations", stored["recommendations"])
     totals = marts.run_totals(by_store_day, by_family_day)
     metadata = run.write(
         "gold", "run_metadata",

@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from shelfcast.operators import report
+from shelfcast.operators import advice, report
 from shelfcast.schemas import GOLD_COLUMNS
 from shelfcast.session import build_session
 from shelfcast.sources.runs import RunFolder, write_csv
@@ -16,6 +16,7 @@ def export_reporting(spark: SparkSession, output_dir: str, export_dir: str) -> l
     """Write the eight marts unchanged, then the KPI overview and the quality summary."""
     run = RunFolder.published(spark, output_dir)
     tables = {name: run.read("gold", name) for name in GOLD_COLUMNS}
+    tables["recommendations"] = advice.in_review_order(run.read("work", "suggestions"))
     metadata = run.read("gold", "run_metadata")
     overview = report.overview_kpis(
         tables["family_performance"], tables["store_performance"], tables["reorder_risk"]

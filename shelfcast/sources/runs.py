@@ -6,6 +6,7 @@ Layout below the output folder::
     runs/<run>/bronze/<table>    source tables as read, all text
     runs/<run>/silver/<table>    validated, typed tables
     runs/<run>/gold/<table>      marts, plan, recommendations, run metadata
+    runs/<run>/work/<table>      day-level sums, forecast and ordered suggestions behind Gold
     runs/<run>/csv/<table>.csv   the published marts as CSV
     runs/<run>/quality_report.json
 

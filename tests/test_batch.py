@@ -166,6 +166,22 @@ def test_exports(spark, sample, tmp_path):
     assert stored == report
 
 
+def test_csv_keeps_the_review_order_over_many_files(spark, sample, tmp_path):
+    """Without merging, every sort partition becomes a file; the files in name order are sorted."""
+    base, _, _ = sample
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        paths = export_reporting(spark, str(base / "out"), str(tmp_path / "exports"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    folder = Path(next(p for p in paths if "recommendations" in p))
+    parts = sorted(folder.glob("part-*.csv"))
+    scopes = [line.split(",")[0] for part in parts for line in part.read_text().splitlines()[1:]]
+    assert len(parts) > 1 and scopes == [
+        "Store 1 / DAIRY", "Store 1 / HOUSEHOLD", "Store 2 / DAIRY", "Store 2 / HOUSEHOLD",
+        "Store 3 / DAIRY", "Store 3", "HOUSEHOLD"]
+
+
 def test_export_names_the_missing_mart(spark, sample, tmp_path):
     with pytest.raises(FileNotFoundError, match="CURRENT"):
         export_reporting(spark, str(tmp_path / "nothing"), str(tmp_path / "exports"))
