@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import near_dedup
+from shelfcast.llm import near_dedup, toxicity
 
 REGISTRY = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
