@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import near_dedup, secrets, toxicity
+from shelfcast.llm import near_dedup, secrets, sharding, toxicity
 
 REGISTRY = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op7_sharding": sharding.op7_sharding,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op7_sharding": sharding.op7_sql(),
+}
