@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import near_dedup, packing, secrets, sharding, toxicity
+from shelfcast.llm import near_dedup, packing, repeats, secrets, sharding, toxicity
 
 REGISTRY = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op5_repeats": repeats.op5_repeats,
     "op6_packing": packing.op6_packing,
     "op7_sharding": sharding.op7_sharding,
     "op9_secret_scan": secrets.op9_secret_scan,
