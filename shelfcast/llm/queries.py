@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import near_dedup, packing, repeats, secrets, sharding, toxicity
+from shelfcast.llm import decontaminate, near_dedup, packing, repeats, secrets, sharding, toxicity
 
 REGISTRY = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op5_repeats": repeats.op5_repeats,
     "op6_packing": packing.op6_packing,
     "op7_sharding": sharding.op7_sharding,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }

@@ -1,0 +1,111 @@
+"""Item-sized windows against brute force, and the radius that the block index guarantees."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+
+from shelfcast.llm import decontaminate as dec
+
+
+def words(text):
+    return [w for w in re.split(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+
+
+def shingles(ws, width=5):
+    return Counter(tuple(ws[i : i + width]) for i in range(len(ws) - width + 1))
+
+
+def brute_force(docs, items):
+    """(doc, item) -> best weighted Jaccard over all windows as long as the item."""
+    best = {}
+    for item, text in items:
+        own = words(text)
+        width = min(5, len(own))
+        mine = shingles(own, width)
+        for doc, body in docs:
+            ws = words(body)
+            if len(ws) >= width and not shingles(ws, width).keys() & mine.keys():
+                continue  # no window of it shares anything
+            for at in range(max(len(ws) - len(own), 0) + 1):
+                window = shingles(ws[at : at + len(own)], width)
+                common = sum((mine & window).values())
+                if common:
+                    value = common / sum((mine | window).values())
+                    best[doc, item] = max(best.get((doc, item), 0), value)
+    return {k: v for k, v in best.items() if v >= dec.SIMILARITY}
+
+
+def test_block_index_finds_all_within_the_radius():
+    rng = np.random.default_rng(1)
+    index = dec.build_index(list(range(300)), [" ".join(f"w{rng.integers(50)}" for _ in range(20)) for _ in range(300)])
+    probes = index.fingerprint[rng.integers(0, 300, 400)].copy()
+    for row in probes:
+        for bit in rng.choice(128, rng.integers(0, 50), replace=False):
+            row[bit // 8] ^= 1 << bit % 8
+    distance = np.bitwise_count(probes[:, None, :] ^ index.fingerprint[None]).sum(axis=2)
+    expected = {(i, j): distance[i, j] for i, j in np.argwhere(distance <= dec.RADIUS)}
+    window, item, found = dec._near_items(index, probes)
+    assert {(i, j): d for i, j, d in zip(window, item, found)} == expected
+
+
+def edited(rnd, ws, n):
+    ws = list(ws)
+    for _ in range(n):
+        at = rnd.randrange(len(ws))
+        ws[at : at + 1] = rnd.choice([[], ["odd"], [ws[at], "extra"], [ws[at].upper() + "!!"]])
+    return ws
+
+
+def test_edited_passages(spark, make_docs):
+    rnd = random.Random(6)
+    vocabulary = [f"v{i}" for i in range(400)]
+    items = [(i, " ".join(rnd.choices(vocabulary, k=rnd.randrange(14, 70)))) for i in range(25)]
+    items += [(50, "tiny item"), (51, "The the THE the the the the"), (52, ""), (53, None)]
+    docs = []
+    for i in range(120):
+        filler = rnd.choices(vocabulary, k=rnd.randrange(0, 160))
+        cut = rnd.randrange(len(filler) + 1)
+        passage = edited(rnd, words(rnd.choice(items[:25])[1]), rnd.randrange(0, 4))
+        docs.append((i, " ".join(filler[:cut] + passage + filler[cut:])))
+    docs += [(200, "a tiny, ITEM here"), (201, "the the the the the the the the the"), (202, items[3][1])]
+    expected = brute_force(docs, [x for x in items if x[1]])
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in dec.find_benchmark_text(make_docs(docs), table).collect()}
+    assert set(found) <= set(expected)
+    assert len(found) >= 0.98 * len(expected) and len(expected) > 60
+    assert all(abs(r.similarity - expected[k]) < 1e-12 for k, r in found.items())
+    assert all(expected[k] < 0.9 for k in set(expected) - set(found))
+    assert found[202, 3].distance == 0 and (200, 50) in found and (201, 51) in found
+    kept = {r.doc_id for r in dec.drop_contaminated(make_docs(docs), table).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, _ in found}
+
+
+def test_blocks_of_items_give_the_same(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    whole = sorted(map(tuple, dec.find_benchmark_text(docs, items).collect()))
+    monkeypatch.setattr(dec, "ITEM_BYTES", 3000)
+    assert sorted(map(tuple, dec.find_benchmark_text(docs, items).collect())) == whole
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    assert {(r[0], r[1]) for r in whole} == set(brute_force(texts, [(r.item_id, r.text) for r in items.collect()]))
+
+
+def test_odd_rows(spark, odd_docs):
+    items = spark.createDataFrame([(1, "same text here for both of them"), (2, None), (None, "a row without an id")], "item_id long, text string")
+    found = sorted(map(tuple, dec.find_benchmark_text(odd_docs, items).collect()), key=str)
+    assert [(r[0], r[1], r[5]) for r in found] == [(6, 1, 1.0), (7, 1, 1.0), (7, 1, 1.0), (None, None, 1.0)]
+    kept = dec.drop_contaminated(odd_docs, items)
+    assert kept.columns == odd_docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 8]
+    assert dec.find_benchmark_text(odd_docs.limit(0), items).count() == 0
+    assert dec.find_benchmark_text(odd_docs, items.limit(0)).count() == 0
+
+
+def test_filler_windows_are_not_fingerprinted():
+    starts = dec._window_starts(np.array([3, 4, 30]), 5, 32)
+    assert starts.tolist() == [0, 1, 2, 3, 4, 26, 27]
+    assert dec._window_starts(np.array([1]), 9, 4).tolist() == [0]
+    assert list(dec._matches(dec.build_index([], []), pa.array(["any text at all"]))) == []
