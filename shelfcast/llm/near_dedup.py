@@ -2,11 +2,12 @@
 buckets and star-shaped candidate edges, every link confirmed on the full shingle sets.
 
 Documents with equal sets are one class, and only its smallest id takes part in the search.
-In each bucket every member is tried against one hub, so m members give m - 1 edges. Links
-found that way merge most of a bucket; a second round with other hubs and a last exact round
-try only members that are still in different components. The last round takes every
-remaining pair that shares at least ``FINAL_BANDS`` buckets, so no pair is left out because
-of a hub, and no bucket is capped.
+In each bucket every member is tried against one hub, so m members give m - 1 edges: first
+against the member whose buckets are fullest (the middle of a group of copies), then against
+another one. Links found that way merge most of a bucket. A last exact round compares members
+that are still in different components: in blocks of a bucket, by 4096-bit sketches, so that
+only pairs within reach of the threshold leave the task, and those are confirmed on the texts.
+No bucket is capped, and no pair is left out because of a hub.
 """
 
 from __future__ import annotations
@@ -26,8 +27,14 @@ STAR_ROUNDS = 2
 #: Shared buckets that a pair needs in the exact round. With 25 bands of 5 rows a pair at
 #: similarity 0.85 misses it with probability 9e-6.
 FINAL_BANDS = 2
+#: Members of a bucket that one task of the exact round compares with as many others.
+BLOCK = 4096
+#: Bits of a sketch, and how many standard deviations below the threshold are still compared.
+SKETCH_BITS = 4096
+SKETCH_REACH = 5.0
 
 _SKETCH = "doc_id long, n_shingles long, set_key string, bands array<long>"
+_PROBE = "rep long, bands array<long>, sketch binary"
 _TESTED = "a long, b long, linked boolean"
 
 
@@ -141,7 +148,7 @@ def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
 
 def _star_edges(members: DataFrame, tested: DataFrame | None, turn: int, percent: int) -> DataFrame:
     """An edge from each member of a bucket to the bucket's hub, if their components differ."""
-    rank = F.struct((F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))).alias("rank"),
+    rank = F.struct((-F.col("crowd") if turn == 0 else F.xxhash64("rep", F.lit(turn))).alias("rank"),
                     F.col("rep").alias("hub"), F.col("component").alias("hub_component"),
                     F.col("n").alias("n_a"))
     hubs = members.groupBy("band").agg(F.min(rank).alias("h")).select("band", "h.*").drop("rank")
@@ -153,27 +160,100 @@ def _star_edges(members: DataFrame, tested: DataFrame | None, turn: int, percent
     )
 
 
-def _rest_edges(members: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket in different components; only members outside the component of
-    the bucket's hub are paired, so a merged bucket costs nothing."""
-    hubs = members.groupBy("band").agg(
-        F.min(F.struct("component", "rep")).getField("component").alias("main"),
-        F.min("component").alias("low"), F.max("component").alias("high"),
-    ).where("low <> high").select("band", "main")
-    mixed = members.join(hubs, "band")
-    outside = mixed.where("component <> main").select(
-        "band", F.col("rep").alias("x"), F.col("component").alias("x_component"), F.col("n").alias("n_a"))
-    met = outside.join(
-        mixed.select("band", F.col("rep").alias("y"), F.col("component").alias("y_component"),
-                     F.col("main"), F.col("n").alias("n_b")), "band",
-    ).where(
-        (F.col("x_component") != F.col("y_component")) & _similar_size(percent)
-        & ((F.col("y_component") == F.col("main")) | (F.col("x") < F.col("y")))
-    )
-    pairs = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
-        F.count("*").alias("shared")
+def bit_sketches(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """SKETCH_BITS one-bit minima per document, packed: equal bits grow with the similarity."""
+    out = np.empty((len(first) - 1, SKETCH_BITS // 8), dtype=np.uint8)
+    salt = wh.mix(np.arange(SKETCH_BITS, dtype=np.uint64), 5)
+    for start in range(0, len(out), 256):
+        part = first[start : start + 257]
+        signature = signatures(values[part[0] : part[-1]], part - part[0], SKETCH_BITS)
+        out[start : start + 256] = np.packbits((wh.mix(signature ^ salt) & np.uint64(1)).astype(bool), axis=1)
+    return out
+
+
+def _prober(width: int, bands: int, rows: int):
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in wh.slices(batch):
+                values, first = shingle_sets(piece.column("text"), width)
+                keys = band_keys(signatures(values, first, bands * rows), bands, rows)
+                offsets = np.arange(len(first), dtype=np.int32) * bands
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("rep"),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1))),
+                        pa.array([row.tobytes() for row in bit_sketches(values, first)], pa.binary()),
+                    ],
+                    names=["rep", "bands", "sketch"],
+                )
+
+    return probe
+
+
+def _block_search(percent: int):
+    odd = (1 - percent / 100) / 2  # share of differing bits at the threshold
+    most = SKETCH_BITS * odd + SKETCH_REACH * np.sqrt(SKETCH_BITS * odd * (1 - odd))
+
+    def search(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        col = {c: table.column(c).to_numpy() for c in ("band", "i", "j", "chunk", "rep", "n", "component", "main")}
+        bands = np.stack(table.column("bands").to_numpy())
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(bands), -1)
+        band, outside = col["band"][0], col["component"] != col["main"]
+        left = np.flatnonzero(col["chunk"] == col["i"][0])
+        right = np.flatnonzero(col["chunk"] == col["j"][0])
+        found = [np.zeros((0, 2), dtype=np.int64)]
+        for start in range(0, len(left), 64):
+            x = left[start : start + 64]
+            n_x, n_y = col["n"][x][:, None], col["n"][right]
+            possible = (
+                (col["component"][x][:, None] != col["component"][right])
+                & (outside[x][:, None] | outside[right])
+                & (100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y))
+            )
+            if col["i"][0] == col["j"][0]:
+                possible &= col["rep"][x][:, None] < col["rep"][right]
+            a, b = np.nonzero(possible)
+            for at in range(0, len(a), 20_000):
+                p, q = x[a[at : at + 20_000]], right[b[at : at + 20_000]]
+                near = np.bitwise_count(sketch[p] ^ sketch[q]).sum(axis=1, dtype=np.int64) <= most
+                p, q = p[near], q[near]
+                same = bands[p] == bands[q]
+                # A pair is taken in the first of the buckets that it shares.
+                here = bands[p, same.argmax(axis=1)] == band
+                take = here & (same.sum(axis=1) >= FINAL_BANDS)
+                found.append(np.stack([col["rep"][p[take]], col["rep"][q[take]]], axis=1))
+        pairs = np.sort(np.concatenate(found), axis=1)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return search
+
+
+def _rest_edges(
+    members: DataFrame, texts: DataFrame, tested: DataFrame, width: int, percent: int, bands: int, rows: int
+) -> DataFrame:
+    """Every pair of a bucket in different components that may reach the threshold.
+
+    Buckets of a single component are passed over. The others are compared in pairs of blocks
+    of about BLOCK members, each a group of its own.
+    """
+    sizes = members.groupBy("band", "component").agg(F.count("*").alias("size"))
+    hubs = sizes.groupBy("band").agg(
+        F.max(F.struct("size", "component")).getField("component").alias("main"),
+        F.count("*").alias("components"), F.ceil(F.sum("size") / BLOCK).cast("long").alias("chunks"),
+    ).where("components > 1").select("band", "main", "chunks")
+    mixed = cut_lineage(members.join(hubs, "band"))
+    needed = texts.join(mixed.select("rep").distinct(), "rep", "left_semi")
+    probes = needed.mapInArrow(_prober(width, bands, rows), _PROBE)
+    chunk = F.pmod(F.xxhash64("rep"), "chunks")
+    blocks = (
+        mixed.withColumn("chunk", chunk)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+        .select("band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
+                "chunk", "rep", "n", "component", "main")
     )
-    return _untested(pairs.where(F.col("shared") >= FINAL_BANDS).select("a", "b"), tested)
+    pairs = blocks.join(probes, "rep").groupBy("band", "i", "j").applyInArrow(_block_search(percent), "a long, b long")
+    return _untested(pairs, tested)
 
 
 def near_duplicates(
@@ -195,8 +275,9 @@ def near_duplicates(
     reps = named.groupBy("set_key").agg(
         F.min(F.struct("doc_id", "n_shingles", "bands")).alias("r")
     ).select(F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), F.explode("r.bands").alias("band"))
-    crowded = reps.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
-    buckets = cut_lineage(reps.join(crowded.select("band"), "band"))
+    crowded = reps.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    shared = cut_lineage(reps.join(crowded, "band"))
+    buckets = shared.join(shared.groupBy("rep").agg(F.sum("size").alias("crowd")), "rep").drop("size")
     involved = buckets.select("rep").distinct()
     texts = cut_lineage(
         source.join(involved.withColumnRenamed("rep", "doc_id"), "doc_id")
@@ -208,14 +289,14 @@ def near_duplicates(
         if turn < STAR_ROUNDS:
             edges = _star_edges(members, tested, turn, percent)
         else:
-            edges = _rest_edges(members, tested, percent)
+            edges = _rest_edges(members, texts, tested, width, percent, bands, rows)
         fresh = _test_edges(edges, texts, width, percent)
         tested = fresh if tested is None else tested.unionAll(fresh)
         if found is not None and fresh.where("linked").isEmpty():
             continue
         found = components(tested.where("linked").select("a", "b"))
         members = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "band", "rep", "n", F.coalesce("component", "rep").alias("component")
+            "band", "rep", "n", "crowd", F.coalesce("component", "rep").alias("component")
         )
     named_classes = classes.join(found, F.col("rep") == F.col("node"), "left").select(
         "set_key", F.coalesce("component", "rep").alias("class_id")
