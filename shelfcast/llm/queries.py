@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import decontaminate, near_dedup, packing, repeats, secrets, sharding, toxicity
+from shelfcast.llm import decontaminate, edit_fingerprint, near_dedup, packing, repeats, secrets, sharding, toxicity
 
 REGISTRY = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op4_edit_fingerprint": edit_fingerprint.op4_edit_fingerprint,
     "op5_repeats": repeats.op5_repeats,
     "op6_packing": packing.op6_packing,
     "op7_sharding": sharding.op7_sharding,
