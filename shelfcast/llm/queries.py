@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import decontaminate, edit_fingerprint, near_dedup, packing, repeats, secrets, sharding, toxicity
+from shelfcast.llm import decontaminate, edit_fingerprint, near_dedup, packing, repeats, secrets, sharding, toxicity, warc
 
 REGISTRY = {
+    "op1_warc_derivatives": warc.op1_warc_derivatives,
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_edit_fingerprint": edit_fingerprint.op4_edit_fingerprint,
     "op5_repeats": repeats.op5_repeats,
@@ -16,5 +17,6 @@ REGISTRY = {
 }
 
 ORACLES = {
+    "op1_warc_derivatives": warc.op1_sql(),
     "op7_sharding": sharding.op7_sql(),
 }
