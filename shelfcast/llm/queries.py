@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import decontaminate, edit_fingerprint, near_dedup, packing, repeats, secrets, sharding, toxicity, warc
+from shelfcast.llm import decontaminate, edit_fingerprint, near_dedup, packing, repeats, secrets, sharding, site_quality, toxicity, warc
 
 REGISTRY = {
     "op1_warc_derivatives": warc.op1_warc_derivatives,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_site_quality": site_quality.op3_site_quality,
     "op4_edit_fingerprint": edit_fingerprint.op4_edit_fingerprint,
     "op5_repeats": repeats.op5_repeats,
     "op6_packing": packing.op6_packing,
@@ -18,5 +19,6 @@ REGISTRY = {
 
 ORACLES = {
     "op1_warc_derivatives": warc.op1_sql(),
+    "op3_site_quality": site_quality.op3_sql(),
     "op7_sharding": sharding.op7_sql(),
 }
