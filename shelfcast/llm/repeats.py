@@ -6,12 +6,14 @@ windows have equal anchors. Neighbouring windows with the same anchor form one s
 strings are dealt to buckets by anchor. Equal strings of a map task are sent once, with the
 places where they occur.
 
-In a bucket, strings whose anchor and half context occur in one document only are dropped. A
-run-compressed Burrows-Wheeler transform of the others is built, with the suffix positions
-sampled at the ends of its runs. Strings are streamed through it from their last byte to the
-first; every step gives the longest match at that byte and its row among the sorted suffixes.
-Rows that share ``MATCH`` bytes form one stretch, which keeps the smallest document that holds
-them. A window is removed from a document if its stretch has a smaller one.
+In a bucket equal strings are merged, and strings that share no ``CONTEXT`` bytes around their
+anchor with another document are dropped. A run-compressed Burrows-Wheeler transform of the
+strings that share them with a different string is built, with the suffix positions sampled at
+the ends of its runs. Strings are streamed through it from their last byte to the first; every
+step gives the longest match at that byte and its row among the sorted suffixes. Rows that
+share ``MATCH`` bytes form one stretch, which keeps the smallest document that holds them. A
+window is removed from a document if its stretch has a smaller one. (A string that shares
+nothing with a different one can match only itself: its merged documents settle it.)
 """
 
 from __future__ import annotations
@@ -27,12 +29,14 @@ from shelfcast.llm import words as wh
 
 MATCH = 50
 ANCHOR = 10
-#: Bytes beside the anchor that two windows with a common anchor share on one side at least.
-HALF = (MATCH - ANCHOR) // 2
+#: Two equal windows share, for one of these left reaches, the bytes from that far before the
+#: anchor on, CONTEXT bytes in all.
+_REACHES = (0, 8, 16, 24, 32)
+CONTEXT = MATCH - 8
 #: Text bytes that one bucket of strings, and one group of documents, stand for.
 BUCKET_BYTES = 8 << 20
 #: String bytes that are indexed at a time; strings with one anchor stay together.
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 19
 _SLICE = 1 << 20  # text bytes whose anchors are found at a time
 _CODEC = "zstd"
 
@@ -348,14 +352,36 @@ def lowest_documents(data: np.ndarray, sizes: np.ndarray, low: np.ndarray) -> np
 # --- buckets -----------------------------------------------------------------------------
 
 
-def _groups_low_high(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Whether the documents of a row's group (equal key) differ."""
-    _, group = np.unique(key, return_inverse=True)
-    n = int(group.max()) + 1 if len(group) else 0
-    least, most = np.full(n, _LAST_ID), np.full(n, np.iinfo(np.int64).min)
+def _keys(data, sizes, anchors):
+    """Hashes of whole strings, of their anchors, and of their contexts (0 where a string does
+    not reach as far), about a megabyte of strings at a time."""
+    begin = np.cumsum(sizes) - sizes
+    whole, anchor = np.empty(len(sizes), dtype=np.uint64), np.empty(len(sizes), dtype=np.uint64)
+    contexts = np.zeros((len(_REACHES), len(sizes)), dtype=np.uint64)
+    low = 0
+    while low < len(sizes):
+        high = max(int(np.searchsorted(begin, begin[low] + (1 << 20))), low + 1)
+        part, origin = slice(low, high), begin[low]
+        prefix = _prefix_hash(data[origin : begin[high - 1] + sizes[high - 1]])
+        start = begin[part] - origin
+        at = start + anchors[part]
+        whole[part] = _substring_hash(prefix, start, start + sizes[part])
+        anchor[part] = _substring_hash(prefix, at, at + ANCHOR)
+        for row, reach in zip(contexts, _REACHES):
+            inside = np.flatnonzero((anchors[part] >= reach) & (sizes[part] - anchors[part] >= CONTEXT - reach))
+            row[low + inside] = _substring_hash(prefix, at[inside] - reach, at[inside] - reach + CONTEXT)
+        low = high
+    return begin, whole, anchor, contexts
+
+
+def _groups(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row: whether the documents of its group (equal key) differ, and whether it has
+    company there."""
+    _, group, count = np.unique(key, return_inverse=True, return_counts=True)
+    least, most = np.full(len(count), _LAST_ID), np.full(len(count), np.iinfo(np.int64).min)
     np.minimum.at(least, group, low)
     np.maximum.at(most, group, high)
-    return (least < most)[group]
+    return (least < most)[group], (count > 1)[group]
 
 
 def _searcher(n_parts: int):
@@ -383,48 +409,37 @@ def _searcher(n_parts: int):
 
 def _search_bucket(data, sizes, anchors, which, docs, starts):
     """(doc, start, stop) of the removed byte runs of a bucket's places."""
-    begin = np.cumsum(sizes) - sizes
-    prefix = _prefix_hash(data)
-    key = _substring_hash(prefix, begin, begin + sizes)
-    low, high = np.full(len(sizes), _LAST_ID), np.full(len(sizes), np.iinfo(np.int64).min)
-    np.minimum.at(low, which, docs)
-    np.maximum.at(high, which, docs)
-    at = begin + anchors
-    anchor_key = _substring_hash(prefix, at, at + ANCHOR)
-    useful = _groups_low_high(anchor_key, low, high)
-    left, right = anchors >= HALF, sizes - anchors - ANCHOR >= HALF
-    some = np.zeros(len(sizes), dtype=bool)
-    for side, a, b in ((left, at - HALF, at + ANCHOR), (right, at, at + ANCHOR + HALF)):
-        rows = np.flatnonzero(useful & side)
-        half = _substring_hash(prefix, a[rows], b[rows])
-        some[rows] |= _groups_low_high(half, low[rows], high[rows])
-    del prefix
-    rows = np.flatnonzero(some)
-    rows = rows[np.lexsort((key[rows], anchor_key[rows]))]  # equal strings side by side
-    fresh = np.ones(len(rows), dtype=bool)
-    fresh[1:] = key[rows[1:]] != key[rows[:-1]]
-    merged = np.cumsum(fresh) - 1
-    lead = rows[fresh]
-    merged_low = np.minimum.reduceat(low[rows], np.flatnonzero(fresh)) if len(rows) else low[:0]
-    windows = sizes[lead] - MATCH + 1
-    window_first = np.cumsum(windows) - windows
-    lows = np.empty(int(windows.sum()), dtype=np.int64)
+    begin, whole, anchor, contexts = _keys(data, sizes, anchors)
+    _, lead, merged = np.unique(whole, return_index=True, return_inverse=True)
+    low, high = np.full(len(lead), _LAST_ID), np.full(len(lead), np.iinfo(np.int64).min)
+    string = merged[which]
+    np.minimum.at(low, string, docs)
+    np.maximum.at(high, string, docs)
+    shared, searched = np.zeros(len(lead), dtype=bool), np.zeros(len(lead), dtype=bool)
+    for key in contexts[:, lead]:
+        rows = np.flatnonzero(key)
+        differ, company = _groups(key[rows], low[rows], high[rows])
+        shared[rows] |= differ
+        searched[rows] |= differ & company
+    windows = np.where(shared, sizes[lead] - MATCH + 1, 0)
+    first = np.cumsum(windows) - windows
+    lows = np.repeat(low, windows)
+    rows = np.flatnonzero(searched)
+    rows = rows[np.argsort(anchor[lead[rows]], kind="stable")]
     # Parts of about INDEX_BYTES, cut where the anchor changes.
-    filled = np.cumsum(sizes[lead])
-    cuts = np.flatnonzero(np.concatenate([[True], anchor_key[lead[1:]] != anchor_key[lead[:-1]]])) if len(lead) else []
+    filled, anchors_by = np.cumsum(sizes[lead[rows]]), anchor[lead[rows]]
+    cuts = np.append(np.flatnonzero(anchors_by[1:] != anchors_by[:-1]) + 1, len(rows))
     start = 0
-    while start < len(lead):
+    while start < len(rows):
         until = int(np.searchsorted(filled, (filled[start - 1] if start else 0) + INDEX_BYTES)) + 1
-        later = np.searchsorted(cuts, until)
-        until = int(cuts[later]) if later < len(cuts) else len(lead)
-        part = lead[start:until]
-        span = slice(window_first[start], window_first[until - 1] + windows[until - 1])
-        lows[span] = lowest_documents(gather(data, begin[part], sizes[part]), sizes[part], merged_low[start:until])
+        until = int(cuts[np.searchsorted(cuts, min(until, len(rows)))])
+        part = rows[start:until]
+        own = lead[part]
+        found = lowest_documents(gather(data, begin[own], sizes[own]), sizes[own], low[part])
+        lows[np.repeat(first[part] - (np.cumsum(windows[part]) - windows[part]), windows[part]) + np.arange(len(found))] = found
         start = until
-    string_of = np.full(len(sizes), -1, dtype=np.int64)
-    string_of[rows] = merged
-    place = np.flatnonzero(string_of[which] >= 0)
-    return _marked_runs(string_of[which[place]], docs[place], starts[place], window_first, windows, lows)
+    place = np.flatnonzero(shared[string])
+    return _marked_runs(string[place], docs[place], starts[place], first, windows, lows)
 
 
 def _marked_runs(string, docs, starts, window_first, windows, lows):
