@@ -310,6 +310,17 @@ def near_duplicates(
     )
 
 
+def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """One document of each group of near duplicates, the smallest id, with all its columns.
+
+    Rows that repeat a doc_id are one document, of which one row stays; rows without a doc_id
+    all stay, as do empty ones.
+    """
+    kept = near_duplicates(docs, **options).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionAll(docs.where("doc_id IS NULL").select(named.columns)).select(docs.columns)
+
+
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, similarity 0.85."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

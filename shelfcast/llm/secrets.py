@@ -143,33 +143,66 @@ def _ratio(string: Column, model: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, config: MarkovConfig = MarkovConfig()) -> DataFrame:
-    """(doc_id, found, n_trained) with ``found``: (start, kind, end) of all spans in order.
+    """(doc_id, found) with ``found``: (start, kind, end) of all spans in order.
 
     ``kind`` numbers KINDS. Per kind the matches are the leftmost ones that do not overlap;
     spans of different kinds may. A markov span is a run of at least ``min_chars`` characters
     of ALPHABET whose ratio reaches ``min_ratio``. A null text counts as empty, a null doc_id
     stays null, repeated rows give repeated results, other columns are ignored.
     """
+    return _scanned(docs, config).select("row.doc_id", "found")
+
+
+def _scanned(docs: DataFrame, config: MarkovConfig) -> DataFrame:
+    """(row, text, found): whole input rows beside their spans."""
     text = F.col("text")
     run = f"[A-Za-z0-9+/_.=-]{{{config.min_chars},}}"
     long_value = F.transform(_matches(text, ASSIGN, 2), lambda v: F.length(v) >= ASSIGN_VALUE)
     model = markov_model(docs, config).scalar()
     random = F.transform(_matches(text, run), lambda s: _ratio(s, F.col("model")) >= config.min_ratio)
     spans = (
-        _texts(docs)
+        docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
         .withColumn("model", F.when(text.rlike(run), model))
         .select(
-            "doc_id",
+            "row", "text",
             _spans(text, ASSIGN, 0, long_value).alias("assign"), _spans(text, ACCESS, 1).alias("access"),
             _spans(text, HEX, 2).alias("hex"), _spans(text, run, 3, random).alias("markov"),
         )
     )
     return spans.select(
-        "doc_id",
+        "row", "text",
         F.transform(F.array_sort(F.concat(*KINDS)), lambda s: F.struct(s["start"], s["kind"], s["end"])).alias("found"),
     )
 
 
+MASK = "[SECRET]"
+
+
+def redact(docs: DataFrame, config: MarkovConfig = MarkovConfig()) -> DataFrame:
+    """The documents with every secret span replaced by MASK, all columns kept; spans that
+    overlap or touch become one mask. ``n_chars``, if there is one, follows the text. Texts
+    without a span, null ones included, stay as they are."""
+    def step(state: Column, span: Column) -> Column:
+        gap = F.substring(F.col("text"), state["at"] + 1, span["start"] - state["at"])
+        piece = F.when((span["start"] > state["at"]) | (state["at"] == 0), F.concat(gap, F.lit(MASK))).otherwise("")
+        return F.struct(
+            F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["pieces"], F.array(piece)).alias("pieces")
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("pieces"))
+    masked = F.aggregate("found", start, step, lambda s: F.concat(
+        F.array_join(s["pieces"], ""), F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
+    changed = _scanned(docs, config).select(
+        "row", F.when(F.size("found") > 0, masked).alias("masked")
+    )
+    columns = {c: F.col("row").getField(c) for c in docs.columns}
+    columns["text"] = F.coalesce("masked", columns["text"])
+    if "n_chars" in columns:
+        size = F.length("masked").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.coalesce(size, columns["n_chars"])
+    return changed.select(*[value.alias(c) for c, value in columns.items()])
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(

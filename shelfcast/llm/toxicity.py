@@ -147,37 +147,57 @@ def train(docs: DataFrame, labels: DataFrame, column: str, config: FtrlConfig) -
     return [(r["index"], r["weight"]) for r in rows]
 
 
+def _pieces_with_scores(batches, shared, config: FtrlConfig):
+    """(slice, scores): distinct features of each text, summed weights, logistic."""
+    index, weight = shared.value
+    table = np.zeros(config.bias_index + 1)
+    table[index] = weight
+    used = table != 0
+    for batch in batches:
+        for piece in wh.slices(batch):
+            doc, at = feature_indices(piece.column("text"), config.bits)
+            hit = used[at]
+            cells = np.unique(doc[hit] << config.bits | at[hit])
+            margin = table[config.bias_index] + np.bincount(
+                cells >> config.bits, table[cells & ((1 << config.bits) - 1)], piece.num_rows
+            )
+            value = 1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500)))
+            yield piece, value if len(index) else np.zeros(piece.num_rows)
+
+
 def _scorer(shared, config: FtrlConfig):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, weight = shared.value
-        table = np.zeros(config.bias_index + 1)
-        table[index] = weight
-        used = table != 0
-        for batch in batches:
-            for piece in wh.slices(batch):
-                doc, at = feature_indices(piece.column("text"), config.bits)
-                hit = used[at]
-                cells = np.unique(doc[hit] << config.bits | at[hit])
-                margin = np.bincount(
-                    cells >> config.bits, table[cells & ((1 << config.bits) - 1)], piece.num_rows
-                ) + table[config.bias_index]
-                value = 1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500)))
-                if not len(index):
-                    value[:] = 0.0
-                keep = [c for c in piece.schema.names if c != "text"]
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(c) for c in keep), pa.array(value)], names=[*keep, "score"]
-                )
+        for piece, value in _pieces_with_scores(batches, shared, config):
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(value)], names=["doc_id", "score"])
 
     return score
 
 
-def score_documents(docs: DataFrame, weights: list[tuple[int, float]], config: FtrlConfig) -> DataFrame:
-    """(doc_id, score) of every document: distinct features, summed weights, logistic."""
+def _dropper(shared, config: FtrlConfig):
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, value in _pieces_with_scores(batches, shared, config):
+            yield piece.filter(pa.array(value < 0.5))
+
+    return drop
+
+
+def _broadcast(docs: DataFrame, weights: list[tuple[int, float]]):
     index = np.array([i for i, _ in weights], dtype=np.int64)
     weight = np.array([w for _, w in weights], dtype=np.float64)
-    shared = docs.sparkSession.sparkContext.broadcast((index, weight))
-    return docs.select("doc_id", "text").mapInArrow(_scorer(shared, config), "doc_id long, score double")
+    return docs.sparkSession.sparkContext.broadcast((index, weight))
+
+
+def score_documents(docs: DataFrame, weights: list[tuple[int, float]], config: FtrlConfig) -> DataFrame:
+    """(doc_id, score) of every document."""
+    score = _scorer(_broadcast(docs, weights), config)
+    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, config: FtrlConfig = FtrlConfig()) -> DataFrame:
+    """The documents that score below 0.5, with all their columns; nothing is shuffled but the
+    training sample. Calling this trains."""
+    drop = _dropper(_broadcast(docs, train(docs, labels, "toxic", config)), config)
+    return docs.mapInArrow(drop, docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, config: FtrlConfig = FtrlConfig()) -> DataFrame:
