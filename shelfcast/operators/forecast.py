@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.config import PlanningConfig
+from shelfcast.schemas import SERIES
 
 
 def latest_date(sales: DataFrame) -> Column:
@@ -12,36 +13,44 @@ def latest_date(sales: DataFrame) -> Column:
     return sales.agg(F.max("date")).scalar()
 
 
-def forecast_demand(sales: DataFrame, config: PlanningConfig) -> DataFrame:
+def forecast_demand(
+    sales: DataFrame, config: PlanningConfig, series: DataFrame | None = None
+) -> DataFrame:
     """Mean, spread and coverage over the last ``window_days`` calendar days.
 
-    One conditional aggregate over the fact: a series without a recent row keeps its row
-    with count 0 and null statistics, so no key list has to be joined back. The grain is
-    one row per date and series, hence counting rows counts distinct days without the
-    extra shuffle of an exact distinct count.
+    Only the window is read for the statistics: its first day is a scalar subquery whose value
+    is pushed to the scan. ``series`` lists the series to report, for instance the weekly mart;
+    without it they are read from the two key columns of the fact. A series without a recent
+    row keeps its row with count 0 and null statistics. The grain is one row per date and
+    series, hence counting rows counts distinct days.
     """
     as_of = latest_date(sales)
-    recent = F.col("date") >= F.date_sub(F.col("forecast_date"), config.window_days - 1)
-    demand = F.when(recent, F.col("sales"))
-    stats = (
-        sales.select("date", "store_nbr", "family", "sales")
-        .withColumn("forecast_date", as_of)
-        .groupBy("store_nbr", "family")
+    first_day = sales.agg(F.date_sub(F.max("date"), config.window_days - 1)).scalar()
+    keys = (sales if series is None else series).select(*SERIES).distinct()
+    recent = (
+        sales.select("date", *SERIES, "sales")
+        .where(F.col("date") >= first_day)
+        .groupBy(*SERIES)
         .agg(
-            F.avg(demand).alias("recent_average"),
-            F.stddev_samp(demand).alias("demand_std"),
-            F.count_if(recent).alias("observed_days"),
-            F.max(F.when(recent, F.col("date"))).alias("last_observed_date"),
+            F.avg("sales").alias("recent_average"),
+            F.stddev_samp("sales").alias("demand_std"),
+            F.count(F.lit(1)).alias("recent_days"),
+            F.max("date").alias("last_observed_date"),
         )
     )
     days = F.col("observed_days")
-    return stats.withColumns(
-        {
-            "coverage": days / F.lit(float(config.window_days)),
-            "forecast_date": as_of,
-            "expected_lead_time_demand": F.col("recent_average") * float(config.lead_time_days),
-            "forecast_quality": F.when(days == config.window_days, F.lit("Full window")).otherwise(
-                F.lit("Incomplete history")
-            ),
-        }
+    return (
+        keys.join(recent, list(SERIES), "left")
+        .withColumn("observed_days", F.coalesce("recent_days", F.lit(0)))
+        .drop("recent_days")
+        .withColumns(
+            {
+                "coverage": days / F.lit(float(config.window_days)),
+                "forecast_date": as_of,
+                "expected_lead_time_demand": F.col("recent_average") * float(config.lead_time_days),
+                "forecast_quality": F.when(days == config.window_days, F.lit("Full window")).otherwise(
+                    F.lit("Incomplete history")
+                ),
+            }
+        )
     )

@@ -50,6 +50,7 @@ def family_days(daily: DataFrame) -> DataFrame:
         F.sum(F.when(~promoted, F.col("sales"))).alias("nonpromoted_sales"),
         F.count_if(promoted).alias("promoted_rows"),
         F.count_if(~promoted).alias("nonpromoted_rows"),
+        F.count(F.lit(1)).alias("rows"),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions.columns import ratio
 from shelfcast.operators.planning import HEALTHY, INSUFFICIENT, MONITOR, OVERSTOCK, REORDER
+from shelfcast.schemas import MONTH
 
 
 def _selection(column: str, values: Iterable | None) -> list[Column]:
@@ -33,10 +34,15 @@ def select_demand(
 ) -> DataFrame:
     """Rows of the daily fact inside the selection; plain predicates that reach the scan."""
     conditions = _selection("store_nbr", stores) + _selection("family", families)
+    months = MONTH in daily.columns  # the published mart is partitioned by month
     if start is not None:
         conditions.append(F.col("date") >= F.lit(start))
+        if months:
+            conditions.append(F.col(MONTH) >= f"{start:%Y-%m}")
     if end is not None:
         conditions.append(F.col("date") <= F.lit(end))
+        if months:
+            conditions.append(F.col(MONTH) <= f"{end:%Y-%m}")
     return _restrict(daily, conditions)
 
 
@@ -56,58 +62,74 @@ def select_plan(
     )
 
 
-def demand_measures(daily: DataFrame, group_by: Sequence[str] = (), **selection) -> DataFrame:
+DEMAND_MEASURES = (
+    "total_demand", "observed_days", "average_daily_demand", "average_daily_sales", "store_count",
+    "family_count", "known_promotion_rows", "promoted_demand", "promotion_share",
+    "promoted_row_count", "nonpromoted_row_count", "average_promoted_row_demand",
+    "average_nonpromoted_row_demand", "promotion_lift",
+)
+# Distinct members counted per group, and the measures that need each.
+_MEMBERS = {
+    "observed_days": ("date", {"observed_days", "average_daily_demand", "average_daily_sales"}),
+    "store_count": ("store_nbr", {"store_count"}),
+    "family_count": ("family", {"family_count"}),
+}
+
+
+def _with_members(
+    base: DataFrame, rows: DataFrame, group_by: Sequence[str], name: str, column: str
+) -> DataFrame:
+    """Add a distinct count per group. Distinct members combine before the shuffle and are then
+    counted as rows, where several exact distinct counts in one aggregate would expand the fact."""
+    if column in group_by:  # a grouped column has one value per group
+        return base.withColumn(name, F.lit(1).cast("bigint"))
+    members = rows.select(*group_by, column).distinct()
+    counted = members.groupBy(*group_by).agg(F.count(F.lit(1)).alias(name))
+    if not group_by:
+        return base.withColumn(name, counted.scalar())
+    keys = {c: f"{c}__of_{name}" for c in group_by}
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
+    return base.join(counted.withColumnsRenamed(keys), same, "left").drop(*keys.values())
+
+
+def demand_measures(
+    daily: DataFrame, group_by: Sequence[str] = (), measures: Iterable[str] | None = None, **selection
+) -> DataFrame:
     """Demand and promotion measures per group, or in total without ``group_by``.
 
-    Select the measures you need from the result: Spark then drops the others, and with
-    them their distinct counts, before it plans the aggregate.
+    ``measures`` names the wanted ones, in the order of DEMAND_MEASURES; the scans that only
+    others need are left out.
     """
+    wanted = [m for m in DEMAND_MEASURES if measures is None or m in set(measures)]
     promoted = F.col("promoted")
     volume = F.col("sales")
     known_rows = F.count("onpromotion")
-
-    def members(column: str) -> Column:
-        # A grouped column has one value per group; only the others need a distinct count.
-        return F.lit(1).cast("bigint") if column in group_by else F.count_distinct(column)
-
-    base = (
-        select_demand(daily, **selection)
-        .groupBy(*group_by)
-        .agg(
-            F.sum(volume).alias("total_demand"),
-            members("date").alias("observed_days"),
-            members("store_nbr").alias("store_count"),
-            members("family").alias("family_count"),
-            known_rows.alias("known_promotion_rows"),
-            # The sum is already null when no row is promoted or promotion is unknown.
-            F.when(known_rows > 0, F.sum(F.when(promoted, volume))).alias("promoted_demand"),
-            F.count_if(promoted).alias("promoted_row_count"),
-            F.count_if(~promoted).alias("nonpromoted_row_count"),
-            F.avg(F.when(promoted, volume)).alias("average_promoted_row_demand"),
-            F.avg(F.when(~promoted, volume)).alias("average_nonpromoted_row_demand"),
-        )
+    rows = select_demand(daily, **selection)
+    base = rows.groupBy(*group_by).agg(
+        F.sum(volume).alias("total_demand"),
+        known_rows.alias("known_promotion_rows"),
+        # The sum is already null when no row is promoted or promotion is unknown.
+        F.when(known_rows > 0, F.sum(F.when(promoted, volume))).alias("promoted_demand"),
+        F.count_if(promoted).alias("promoted_row_count"),
+        F.count_if(~promoted).alias("nonpromoted_row_count"),
+        F.avg(F.when(promoted, volume)).alias("average_promoted_row_demand"),
+        F.avg(F.when(~promoted, volume)).alias("average_nonpromoted_row_demand"),
     )
-    per_day = ratio(F.col("total_demand"), F.col("observed_days"))
+    for name, (column, users) in _MEMBERS.items():
+        if users & set(wanted):
+            base = _with_members(base, rows, group_by, name, column)
     with_promotion, without = (
         F.col("average_promoted_row_demand"), F.col("average_nonpromoted_row_demand"),
     )
-    return base.select(
-        *group_by,
-        "total_demand",
-        "observed_days",
-        per_day.alias("average_daily_demand"),
-        per_day.alias("average_daily_sales"),
-        "store_count",
-        "family_count",
-        "known_promotion_rows",
-        "promoted_demand",
-        ratio(F.col("promoted_demand"), F.col("total_demand")).alias("promotion_share"),
-        "promoted_row_count",
-        "nonpromoted_row_count",
-        "average_promoted_row_demand",
-        "average_nonpromoted_row_demand",
+    derived = {
+        "average_daily_demand": lambda: ratio(F.col("total_demand"), F.col("observed_days")),
+        "average_daily_sales": lambda: ratio(F.col("total_demand"), F.col("observed_days")),
+        "promotion_share": lambda: ratio(F.col("promoted_demand"), F.col("total_demand")),
         # A fraction, unlike the mart's lift in percentage points.
-        ratio(with_promotion - without, without).alias("promotion_lift"),
+        "promotion_lift": lambda: ratio(with_promotion - without, without),
+    }
+    return base.select(
+        *group_by, *[derived[m]().alias(m) if m in derived else F.col(m) for m in wanted]
     )
 
 

@@ -133,16 +133,17 @@ def plan_inventory(
     )
 
 
-def risk_counts(plan: DataFrame, strict: bool = True) -> DataFrame:
+def risk_counts(plan: DataFrame) -> DataFrame:
     """Series per risk class in review order, zero where a class is empty.
 
-    With ``strict`` a series outside the four classes, such as one with incomplete
-    history, is an error rather than a silently missing row.
+    All five classes are reported, so the counts cover every planned series; any other class
+    is an error rather than a silently missing row.
     """
-    classes = (REORDER, MONITOR, HEALTHY, OVERSTOCK)
-    if strict and not plan.where(~F.col("risk").isin(*classes)).isEmpty():
-        raise ValueError("the four risk classes do not cover every planned series")
+    classes = (INSUFFICIENT, REORDER, MONITOR, HEALTHY, OVERSTOCK)
     counted = plan.groupBy("risk").agg(F.count(F.lit(1)).alias("found"))
+    known = F.coalesce(F.col("risk").isin(*classes), F.lit(False))
+    if not counted.where(~known).isEmpty():
+        raise ValueError("the risk classes do not cover every planned series")
     order = plan.sparkSession.createDataFrame(list(enumerate(classes)), "position int, risk string")
     return (
         order.join(counted, "risk", "left")

@@ -13,10 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from shelfcast.functions import parsing
 from shelfcast.schemas import SALES, SERIES, TableSpec
 
-# Rows are counted per hash slot of their key; a slot this far above the mean is suspect.
-HASH_SLOTS = 4096
-UNEVEN_MARGIN = 10_000
-
 
 class DataValidationError(ValueError):
     """An input table breaks its contract."""
@@ -68,7 +64,8 @@ def _parse(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, dict[str, Column]
     return df.withColumns(read), typed
 
 
-def _typed(df: DataFrame, spec: TableSpec) -> DataFrame:
+def typed_table(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The table with typed columns; a value that breaks its rule is null."""
     parsed, typed = _parse(df, spec)
     return parsed.withColumns(typed).drop(*[_parsed_name(c) for c in typed])
 
@@ -109,25 +106,8 @@ def quality_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.agg(*_counts(flags))
 
 
-def slotted_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """``quality_counts`` plus the size of the largest of ``HASH_SLOTS`` hash slots of the
-    keys, from the same scan. Unique keys fill the slots evenly; a large group of copies
-    stands out."""
-    rows, flags = _with_findings(df, spec)
-    slot = F.pmod(F.xxhash64(*spec.keys), F.lit(HASH_SLOTS))
-    per_slot = rows.groupBy(slot.alias("slot")).agg(*_counts(flags))
-    return per_slot.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", *flags)],
-        F.coalesce(F.max("rows"), F.lit(0)).alias("largest_slot"),
-    )
-
-
-def _is_uneven(counts: Mapping[str, int]) -> bool:
-    return counts["largest_slot"] > 1.5 * counts["rows"] / HASH_SLOTS + UNEVEN_MARGIN
-
-
 def first_failure(counts: Mapping[str, int], spec: TableSpec) -> str | None:
-    """Message of the first broken rule, or None for a clean table."""
+    """Message of the first broken rule, or None for a clean table. The messages."""
     if counts["rows"] == 0:
         return "Table has no rows"
     for column in spec.keys:
@@ -145,22 +125,12 @@ def first_failure(counts: Mapping[str, int], spec: TableSpec) -> str | None:
 
 
 def coerce_table(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Check every rule but the grain, then return the table with typed columns.
-
-    A table that visibly repeats one key many times is rejected here already. The check
-    combines copies before its shuffle, whereas writing the table by key would first send
-    all copies to one task.
-    """
+    """Check every rule but the grain, then return the table with typed columns."""
     require_columns(df, spec)
-    counter = slotted_counts if spec.keys else quality_counts
-    counts = counter(df, spec).first().asDict()
-    failure = first_failure(counts, spec)
+    failure = first_failure(quality_counts(df, spec).first().asDict(), spec)
     if failure:
         raise DataValidationError(failure)
-    typed = _typed(df, spec)
-    if spec.keys and _is_uneven(counts):
-        check_grain(typed, spec.keys)
-    return typed
+    return typed_table(df, spec)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -169,6 +139,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check_grain(df: DataFrame, keys: Sequence[str]) -> None:
+    """Copies of a key are combined before the shuffle, so a large group of them is no load."""
     if keys and not duplicate_keys(df, keys).isEmpty():
         raise DataValidationError(f"Duplicate rows at grain {', '.join(keys)}")
 

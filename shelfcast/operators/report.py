@@ -20,18 +20,23 @@ _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def run_report(
-    sales: DataFrame,
+    by_family_day: DataFrame,
     plan: DataFrame,
     kpi_row: DataFrame,
     config: PlanningConfig,
     source: str,
     warnings: Sequence[str],
 ) -> DataFrame:
-    """One row with ``report_json``: source, label, row count, KPIs, planning, warnings, as-of."""
+    """One row with ``report_json``: source, label, row count, KPIs, planning, warnings, as-of.
+
+    Row count and newest date come from the family days, so the fact is not read again.
+    """
     label = SAMPLE_LABEL if source == "sample" else RAW_LABEL
     planning = config.as_dict()
     notices = F.array(*[F.lit(w) for w in warnings]).cast("array<string>")
-    facts = sales.agg(F.count(F.lit(1)).alias("row_count"), F.max("date").alias("as_of"))
+    facts = by_family_day.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"), F.max("date").alias("as_of")
+    )
     incomplete = plan.agg(F.bool_or(F.col("coverage") < 1)).scalar()
     all_notices = F.when(
         incomplete, F.concat(notices, F.array(F.lit(INCOMPLETE_WARNING)))

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.columns import day_type, week_start, weekday_number
 from shelfcast.schemas import SERIES
-from shelfcast.session import broadcast_if_small
 
 
 def series_keys(sales: DataFrame) -> DataFrame:
@@ -53,13 +52,11 @@ def star_demand(
     calendar = dates.select("date", "week_start", "weekday")
     return (
         daily.join(F.broadcast(calendar), "date")  # bounded by the calendar, see dim_date
-        .join(broadcast_if_small(stores), "store_nbr")
-        .join(broadcast_if_small(families), "family")
+        .join(stores, "store_nbr")
+        .join(families, "family")
     )
 
 
 def star_plan(plan: DataFrame, stores: DataFrame, families: DataFrame) -> DataFrame:
     """Planning snapshot joined to store and family, never to dates."""
-    return plan.join(broadcast_if_small(stores), "store_nbr").join(
-        broadcast_if_small(families), "family"
-    )
+    return plan.join(stores, "store_nbr").join(families, "family")

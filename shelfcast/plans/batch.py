@@ -5,12 +5,12 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from shelfcast.config import PlanningConfig
 from shelfcast.operators import advice, forecast, marts, planning, report
-from shelfcast.schemas import GOLD_COLUMNS
-from shelfcast.session import build_session, sized_shuffles
+from shelfcast.schemas import GOLD_COLUMNS, MONTH
+from shelfcast.session import build_session, drop_tables, sized_shuffles
 from shelfcast.sources import files
 from shelfcast.sources.csv_tables import Layers, find_sales, load_layers
 from shelfcast.sources.runs import RunFolder
@@ -25,7 +25,8 @@ def run_job(
     output_dir: str = "output",
     config: PlanningConfig | None = None,
 ) -> dict:
-    """Build and publish one run; returns its report. Any error leaves the last run published."""
+    """Build and publish one run; returns its report. Any error leaves the last run published
+    and removes the folder of the failed one."""
     config = config or PlanningConfig()
     _, sales_path = find_sales(spark, source, data_dir)
     run = RunFolder.create(spark, output_dir)
@@ -35,8 +36,12 @@ def run_job(
             published = build_gold(layers, config, run)
         run.publish()
         return published
+    except BaseException:
+        run.remove()
+        raise
     finally:
         run.close()
+        drop_tables(spark)
 
 
 def build_gold(layers: Layers, config: PlanningConfig, run: RunFolder) -> dict:
@@ -46,16 +51,19 @@ def build_gold(layers: Layers, config: PlanningConfig, run: RunFolder) -> dict:
     by_store_day = run.write("work", "store_days", marts.store_days(daily))
     by_family_day = run.write("work", "family_days", marts.family_days(daily))
     gold = {
-        "daily_sales": daily,
+        "daily_sales": daily.withColumn(MONTH, F.date_format("date", "yyyy-MM")),
         "weekly_sales": marts.weekly_sales(daily),
         "store_performance": marts.store_performance(by_store_day),
         "family_performance": marts.family_performance(by_family_day),
         "promotion_impact": marts.promotion_impact(by_family_day),
         "demand_volatility": marts.demand_volatility(by_family_day),
     }
-    stored = {name: run.write("gold", name, df) for name, df in gold.items()}
+    stored = {
+        name: run.write("gold", name, df, MONTH if name == "daily_sales" else None)
+        for name, df in gold.items()
+    }
     # Stored, so that sampling the range bounds of the series order does not rescan the fact.
-    forecasts = run.write("work", "forecast", forecast.forecast_demand(sales, config))
+    forecasts = run.write("work", "forecast", forecast.forecast_demand(sales, config, stored["weekly_sales"]))
     plan = planning.plan_inventory(forecasts, config, layers.silver.get("inventory"))
     stored["reorder_risk"] = run.write("gold", "reorder_risk", plan)
     # Files of a stored table are read in any order, so the ordering columns are stored too.
@@ -71,11 +79,11 @@ def build_gold(layers: Layers, config: PlanningConfig, run: RunFolder) -> dict:
     metadata = run.write(
         "gold", "run_metadata",
         report.run_report(
-            sales, stored["reorder_risk"], totals, config, layers.selected, layers.warnings
+            by_family_day, stored["reorder_risk"], totals, config, layers.selected, layers.warnings
         ),
     )
     for name in GOLD_COLUMNS:
-        run.write_csv(name, stored[name])
+        run.write_csv(name, stored[name].select(*GOLD_COLUMNS[name]))
     result = json.loads(metadata.first()["report_json"])
     files.write_text(run.spark, f"{run.root}/{REPORT_FILE}", json.dumps(result, indent=2))
     return result

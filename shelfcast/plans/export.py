@@ -15,7 +15,7 @@ from shelfcast.sources.runs import RunFolder, write_csv
 def export_reporting(spark: SparkSession, output_dir: str, export_dir: str) -> list[str]:
     """Write the eight marts unchanged, then the KPI overview and the quality summary."""
     run = RunFolder.published(spark, output_dir)
-    tables = {name: run.read("gold", name) for name in GOLD_COLUMNS}
+    tables = {name: run.read("gold", name).select(*columns) for name, columns in GOLD_COLUMNS.items()}
     tables["recommendations"] = advice.in_review_order(run.read("work", "suggestions"))
     metadata = run.read("gold", "run_metadata")
     overview = report.overview_kpis(

@@ -30,7 +30,7 @@ SALES = TableSpec(
     dates=("date",),
 )
 
-# Optional context tables, in the order their warnings are reported.
+# Optional context tables and their contracts, in the order their warnings are reported.
 CONTEXT_TABLES = (
     TableSpec("stores", required=("store_nbr",), keys=("store_nbr",)),
     TableSpec(
@@ -55,7 +55,10 @@ CONTEXT_TABLES = (
     ),
 )
 
-# Published tables and their column order.
+# Column by which the published daily mart is partitioned.
+MONTH = "year_month"
+
+# Published tables and their column order.
 GOLD_COLUMNS = {
     "daily_sales": (
         "date", "store_nbr", "family", "sales", "onpromotion", "promoted",

@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import SparkConf
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-# A lookup is broadcast only after it was measured to stay within both limits.
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 32 * 1024 * 1024
+from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.sources import files
 
 # Input bytes that one shuffle partition should stand for; small ones are merged at run time.
 SHUFFLE_BYTES = 512 * 1024 * 1024
@@ -54,19 +50,23 @@ def sized_shuffles(spark: SparkSession, source_bytes: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named in ``spark.checkpoint.dir``; fall back to a temporary
-    folder only on a local master, where every task shares the driver's disk."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, or on a local master a folder in the
+    warehouse. A cluster needs one that all executors share: none or a ``file:`` one is refused."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfcast-checkpoint-"))
-    else:
+    local = sc.master.startswith("local")
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and local:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    if not folder or (folder.startswith("file:") and not local):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def _table_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -74,28 +74,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     A plain table rather than ``checkpoint()``: later reads still prune columns, and Spark
     knows the size when it picks a join. Nothing upstream is recomputed if an executor is lost.
+    ``drop_tables`` removes what an application has written.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
+    path = f"{_table_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    widths = [
-        F.coalesce(F.octet_length(name), F.lit(0)) if dtype == "string" else F.lit(8)
-        for name, dtype in df.dtypes
-    ]
-    return sum(widths[1:], widths[0])
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Mark a lookup for broadcast if a measurement, which stops at the row limit, shows
-    that it is small. A larger one is returned unmarked: Spark then shuffles the join and
-    splits skewed partitions at run time."""
-    size = df.limit(BROADCAST_ROWS + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")
-    ).first()
-    small = size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
-    return F.broadcast(df) if small else df
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the tables of ``cut_lineage``; call it when no result is read from them any more."""
+    files.delete(spark, _table_folder(spark))

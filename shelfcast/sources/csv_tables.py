@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from shelfcast.functions.parsing import missing_to_null
 from shelfcast.operators import quality
-from shelfcast.schemas import CONTEXT_TABLES, GRAIN, SERIES, TableSpec
+from shelfcast.schemas import CONTEXT_TABLES, SERIES, TableSpec
 from shelfcast.sources import files
 from shelfcast.sources.runs import RunFolder
 
@@ -22,6 +24,7 @@ OIL_WARNING = (
 )
 
 _BAD_RECORD = "_corrupt_record"
+_LONG_RECORD = "_long_record"
 
 
 class SourceParseError(ValueError):
@@ -52,54 +55,98 @@ def _has_extra_fields(column_count: int) -> Column:
     return F.col(_BAD_RECORD).isNotNull() & (F.size(F.split(unquoted, ",")) > column_count)
 
 
-def read_text_table(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with every column as text, plus the raw text of malformed records.
+def physical_names(headers: Sequence[Sequence[str]]) -> dict[str, str]:
+    """A column name per header text that stays unique when case is ignored, as Spark does.
 
-    Nothing is inferred, so one odd value cannot change the type of a whole column. Records
-    end at line breaks, which keeps a large file splittable.
+    Lower-case texts, which the contracts use, keep their name; a text that differs from
+    another one by case only gets a number.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
-    names = reader.csv(path).columns
-    if not names:
+    texts = dict.fromkeys(text for header in headers for text in header)
+    taken: set[str] = set()
+    out = {}
+    for text in sorted(texts, key=lambda t: t != t.lower()):
+        name, number = text, 0
+        while name.lower() in taken:
+            number += 1
+            name = f"{text}.{number}"
+        taken.add(name.lower())
+        out[text] = name
+    return out
+
+
+def _header_of(line: str) -> tuple[str, ...]:
+    """Column texts of a header line; a repeated text is numbered."""
+    seen: dict[str, int] = {}
+    out = []
+    for text in next(csv.reader([line.removeprefix("\ufeff")]), []):
+        count = seen[text] = seen.get(text, -1) + 1
+        out.append(f"{text}.{count}" if count else text)
+    return tuple(out)
+
+
+def read_text_table(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, list[int]]:
+    """Header CSV, a file or a folder of parts, with every column as text and a flag for records
+    that are longer than their header; also the header lengths.
+
+    Columns are found by name in each part's own header: parts may order them differently, and
+    a column that a part lacks is null there. Nothing is inferred, so one odd value cannot
+    change the type of a whole column. Unless ``multi_line`` is set, records end at line
+    breaks, which keeps a large file splittable.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for part in files.data_files(spark, path):
+        line = files.first_line(spark, part)
+        if line:
+            groups.setdefault(_header_of(line), []).append(part)
+    if not groups:
         raise SourceParseError("No columns to parse from file")
-    fields = [T.StructField(n, T.StringType()) for n in [*names, _BAD_RECORD]]
-    return (
-        reader.schema(T.StructType(fields))
-        .option("columnNameOfCorruptRecord", _BAD_RECORD)
-        .option("columnPruning", False)
-        .csv(path)
+    names = physical_names(list(groups))
+    reader = (
+        spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", _BAD_RECORD).option("columnPruning", False)
     )
-
-
-def land_bronze(spark: SparkSession, path: str, name: str, run: RunFolder) -> DataFrame:
+    table = None
+    for header, parts in groups.items():
+        fields = [T.StructField(n, T.StringType()) for n in [*[names[t] for t in header], _BAD_RECORD]]
+        rows = reader.schema(T.StructType(fields)).csv(parts)
+        rows = rows.withColumn(_LONG_RECORD, _has_extra_fields(len(header))).drop(_BAD_RECORD)
+        table = rows if table is None else table.unionByName(rows, allowMissingColumns=True)
+    return table, sorted({len(header) for header in groups})
+
+
+def land_bronze(
+    spark: SparkSession, path: str, name: str, run: RunFolder, multi_line: bool = False
+) -> DataFrame:
     """Copy a CSV into Bronze in one pass that also looks for records that are too long."""
-    text = read_text_table(spark, path)
-    fields = len(text.columns) - 1
+    text, lengths = read_text_table(spark, path, multi_line)
     seen = Observation()
-    checked = text.observe(seen, F.count_if(_has_extra_fields(fields)).alias("long_records"))
-    table = run.write("bronze", name, checked.drop(_BAD_RECORD))
+    checked = text.observe(seen, F.count_if(_LONG_RECORD).alias("long_records"))
+    table = run.write("bronze", name, checked.drop(_LONG_RECORD))
     if seen.get["long_records"]:
         run.discard("bronze", name)
+        fields = " or ".join(map(str, lengths))
         raise SourceParseError(f"Records with more than the {fields} fields of the header")
     return table
 
 
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def as_missing(bronze: DataFrame) -> DataFrame:
     """Texts that stand for a missing value become null; all columns are text here."""
-    return bronze.withColumns({c: missing_to_null(F.col(f"`{c}`")) for c in bronze.columns})
+    return bronze.withColumns({c: missing_to_null(F.col(_quoted(c))) for c in bronze.columns})
 
 
 def silver_sales(bronze: DataFrame, run: RunFolder) -> DataFrame:
-    """Validated demand, bucketed by series. Checks the grain on the written buckets, where
-    it needs no shuffle; the run is not published yet, so a failure leaves no trace."""
-    typed = quality.coerce_table(as_missing(bronze), quality.sales_spec(bronze))
-    fact = run.write_bucketed(
+    """Validated demand, bucketed by series. The grain is checked before rows move by key: the
+    check combines copies first, whereas the layout would send all of them to one task."""
+    typed = quality.clean_table(as_missing(bronze), quality.sales_spec(bronze))
+    return run.write_bucketed(
         "silver", "sales", quality.with_promotion_column(typed), SERIES,
         order=("date", *SERIES),
         source_bytes=files.size_in_bytes(run.spark, run.path("bronze", "sales")),
     )
-    quality.check_grain(fact, GRAIN)
-    return fact
 
 
 def silver_context(spec: TableSpec, bronze: DataFrame, run: RunFolder) -> DataFrame:
@@ -121,7 +168,8 @@ def find_sales(spark: SparkSession, source: str, data_dir: str) -> tuple[str, st
 
 def load_layers(spark: SparkSession, source: str, data_dir: str, run: RunFolder) -> Layers:
     """Land and validate one source folder. Bad demand data stops the run; an absent or
-    invalid context table is reported and left out of Silver, its Bronze copy stays."""
+    invalid context table is reported and left out of Silver, its Bronze copy stays. Context
+    files are small, so their quoted fields may hold line breaks."""
     selected, sales_path = find_sales(spark, source, data_dir)
     folder = sales_path.rpartition("/")[0]
     layers = Layers(selected)
@@ -135,7 +183,7 @@ def load_layers(spark: SparkSession, source: str, data_dir: str, run: RunFolder)
             layers.warnings.append(f"Optional {spec.name}.csv absent.")
             continue
         try:
-            layers.bronze[spec.name] = land_bronze(spark, path, spec.name, run)
+            layers.bronze[spec.name] = land_bronze(spark, path, spec.name, run, multi_line=True)
             layers.silver[spec.name] = silver_context(spec, layers.bronze[spec.name], run)
         except (quality.DataValidationError, SourceParseError) as error:
             layers.warnings.append(f"Ignored optional {spec.name}: {error}")

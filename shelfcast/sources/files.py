@@ -20,6 +20,38 @@ def size_in_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    target, fs = _resolve(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the files of a folder that Spark would read."""
+    target, fs = _resolve(spark, path)
+    if not fs.getFileStatus(target).isDirectory():
+        return [path]
+    found = [s.getPath() for s in fs.listStatus(target) if s.isFile()]
+    return sorted(p.toString() for p in found if not p.getName().startswith(("_", ".")))
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of a text file, compressed or not; None for an empty file."""
+    target, fs = _resolve(spark, path)
+    jvm = spark._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark._jsc.hadoopConfiguration()
+    ).getCodec(target)
+    stream = fs.open(target)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target, fs = _resolve(spark, path)
     fs.delete(target, True)

@@ -20,15 +20,16 @@ import math
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from shelfcast.schemas import GOLD_COLUMNS
 from shelfcast.sources import files
 
 POINTER = "CURRENT"
 
-# A bucket of the fact should be about one scan split; Spark allows 100,000 buckets.
+# A bucket of the fact should be about one scan split. Spark refuses more buckets than its
+# setting spark.sql.sources.bucketing.maxBuckets, which a very large run has to raise.
 BUCKET_BYTES = 256 * 1024 * 1024
-MAX_BUCKETS = 100_000
 
 
 class RunFolder:
@@ -63,10 +64,11 @@ class RunFolder:
             raise FileNotFoundError(f"Missing {path}. Run the job first.")
         return self.spark.read.parquet(path)
 
-    def write(self, layer: str, table: str, df: DataFrame) -> DataFrame:
+    def write(self, layer: str, table: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         """Write a table and return it as read from storage, so later steps start there."""
         path = self.path(layer, table)
-        df.write.parquet(path)
+        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def write_bucketed(
@@ -81,8 +83,7 @@ class RunFolder:
         """
         parallelism = self.spark.sparkContext.defaultParallelism
         shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = max(math.ceil(source_bytes / BUCKET_BYTES), min(parallelism, shuffle))
-        buckets = min(wanted, MAX_BUCKETS)
+        buckets = max(math.ceil(source_bytes / BUCKET_BYTES), min(parallelism, shuffle))
         name = f"shelfcast_{layer}_{table}_{self.run_id}".lower()
         (
             df.repartition(buckets, *keys)  # same hash as the buckets: one file per bucket
@@ -104,19 +105,53 @@ class RunFolder:
     def publish(self) -> None:
         files.replace_text(self.spark, f"{self.output_dir}/{POINTER}", self.run_id)
 
+    def remove(self) -> None:
+        """Delete the whole folder of a run that failed."""
+        files.delete(self.spark, self.root)
+
     def close(self) -> None:
         """Forget the session's table names; the files stay."""
         while self._tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")
 
 
+def prune_runs(spark: SparkSession, output_dir: str, keep: int = 3) -> list[str]:
+    """Delete superseded run folders but the newest ``keep``; the published one always stays.
+    Call it when no reader of an older run is left. Returns the names deleted."""
+    current = RunFolder.published(spark, output_dir).run_id
+    root = f"{output_dir.rstrip('/')}/runs"
+    names = sorted(files.names(spark, root))
+    old = [n for n in names[: max(len(names) - keep, 0)] if n != current]
+    for name in old:
+        files.delete(spark, f"{root}/{name}")
+    return old
+
+
+def register_views(spark: SparkSession, output_dir: str) -> list[str]:
+    """Temporary views of the published run, so that plain SQL runs on its marts."""
+    run = RunFolder.published(spark, output_dir)
+    for name in (*GOLD_COLUMNS, "run_metadata"):
+        run.read("gold", name).createOrReplaceTempView(name)
+    return [*GOLD_COLUMNS, "run_metadata"]
+
+
+def plain_number(value: Column) -> Column:
+    """A double as decimal text without an exponent, as far as 38 digits reach."""
+    text = value.cast("string")
+    digits = F.coalesce(text.try_cast("decimal(38,18)").cast("string"), text.try_cast("decimal(38,0)").cast("string"))
+    short = F.regexp_replace(F.regexp_replace(digits, r"(\.\d*?)0+$", "$1"), r"\.$", ".0")
+    return F.when(text.contains("E"), F.coalesce(short, text)).otherwise(text)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV folder with a header in every part; flags are written as True and False."""
-    flags = {
+    """CSV folder with a header in every part; flags are written as True and False, numbers
+    without an exponent."""
+    texts = {
         name: F.when(F.col(name), F.lit("True")).when(~F.col(name), F.lit("False"))
+        if dtype == "boolean" else plain_number(F.col(name))
         for name, dtype in df.dtypes
-        if dtype == "boolean"
+        if dtype in ("boolean", "double")
     }
-    df.withColumns(flags).write.mode("overwrite").option("header", True).option(
+    df.withColumns(texts).write.mode("overwrite").option("header", True).option(
         "escape", '"'
     ).csv(path)

@@ -1,13 +1,13 @@
 import datetime
-import os
 import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
+from shared import SALES_SCHEMA
+
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-DATA_DIR = Path(os.environ.get("TESTDATA_DIR", "/root/testdata"))
 
 
 @pytest.fixture(scope="session")
@@ -32,15 +32,10 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def sales_rows():
-    """Four days of one series: two plain days, then two promoted ones."""
-    first = datetime.date(2024, 1, 1)
-    return [
-        (first + datetime.timedelta(days=i), 1, "A", volume, promotion)
-        for i, (volume, promotion) in enumerate([(10.0, 0.0), (20.0, 0.0), (20.0, 1.0), (40.0, 1.0)])
-    ]
-
-
-SALES_SCHEMA = "date date, store_nbr long, family string, sales double, onpromotion double"
+    """Four days of one series: a plain day, a promoted one, and the same again."""
+    first = datetime.date(2024, 3, 7)
+    volumes = [(8.0, 0.0), (30.0, 2.0), (16.0, 0.0), (42.0, 1.0)]
+    return [(first + datetime.timedelta(days=i), 5, "TEA", *row) for i, row in enumerate(volumes)]
 
 
 @pytest.fixture

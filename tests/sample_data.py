@@ -1,41 +1,35 @@
-"""The published demo sample, rebuilt from its documented formula as a test fixture."""
+"""A small demand file: twelve weeks, four stores, five families, numbers drawn from hashes."""
 
 import datetime
-import random
-
-FIRST_DAY = datetime.date(2024, 1, 1)
-DAYS = 120
-# Per family the base volume, the relative noise and the promotion effect.
-FAMILIES = {
-    "GROCERY": (180, 0.12, 1.2),
-    "PRODUCE": (100, 0.4, 1.2),
-    "DAIRY": (75, 0.18, 1.2),
-    "HOUSEHOLD": (35, 0.55, 0.9),
-}
-
-
-def sample_rows(seed: int = 42):
-    """(id, date, store, family, sales, onpromotion) in file order."""
-    noise = random.Random(seed)
-    rows = []
-    for offset in range(DAYS):
-        day = FIRST_DAY + datetime.timedelta(days=offset)
-        for store in range(1, 4):
-            for position, (family, (base, spread, effect)) in enumerate(FAMILIES.items()):
-                promoted = (offset + store + position) % 9 < 2
-                expected = base * (0.7 + 0.2 * store)
-                expected *= (1.2 if day.isoweekday() > 5 else 1) * (1 + offset / 1200)
-                expected *= effect if promoted else 1
-                sales = max(0, round(noise.gauss(expected, expected * spread), 2))
-                rows.append((len(rows), day, store, family, sales, 3 if promoted else 0))
-    return rows
+import hashlib
+import math
+
+START = datetime.date(2023, 3, 6)
+LEVELS = {"BREAD": 64.0, "CANDLES": 9.0, "COFFEE": 31.0, "FRUIT": 88.0, "SOAP": 17.5}
+SIZES = {2: 1.0, 4: 0.55, 7: 1.8, 11: 0.8}
+
+
+def draw(*key):
+    """A number in [0, 1) that depends on the key alone."""
+    return int.from_bytes(hashlib.sha256(repr(key).encode()).digest()[:4], "big") / 2**32
+
+
+def demand_lines():
+    for family, level in LEVELS.items():
+        for store, size in SIZES.items():
+            for week in range(12):
+                for weekday in range(7):
+                    day = START + datetime.timedelta(weeks=week, days=weekday)
+                    offers = int(4 * draw("offers", family, store, week) ** 2)
+                    swing = 1 + 0.3 * math.sin(0.9 * weekday + len(family)) + 0.02 * week
+                    reaction = 1 + offers * (0.12 if level > 10 else -0.08)
+                    volume = level * size * swing * reaction * (0.5 + draw(family, store, day.isoformat()))
+                    yield f"{day},{store},{family},{volume:.2f},{offers}"
 
 
 def write_sample(folder):
     folder.mkdir(parents=True, exist_ok=True)
-    lines = ["id,date,store_nbr,family,sales,onpromotion"]
-    lines += [",".join(str(v) for v in row) for row in sample_rows()]
+    lines = ["date,store_nbr,family,sales,onpromotion", *demand_lines()]
     (folder / "train.csv").write_text("\n".join(lines) + "\n")
-    (folder / "stores.csv").write_text(
-        "store_nbr,city,state,type,cluster\n1,North,X,A,1\n2,Central,X,B,1\n3,South,X,A,2\n"
-    )
+    stores = "".join(f"{store},Town {store},{size}\n" for store, size in SIZES.items())
+    (folder / "stores.csv").write_text("store_nbr,city,size\n" + stores)

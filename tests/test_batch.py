@@ -1,20 +1,23 @@
-"""The batch job end to end: golden sample, optional files, failed runs and exports."""
+"""The batch job end to end: a sample against plain SQL, source files, failed runs, exports."""
 
+import datetime
 import json
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from sample_data import write_sample
 from shelfcast.config import PlanningConfig
-from shelfcast.operators import marts, measures, planning, questions, star, trend
+from shelfcast.operators import advice, marts, measures, planning, questions, star, trend
 from shelfcast.operators.quality import DataValidationError, orphan_series
 from shelfcast.plans.batch import parse_arguments, run_job
 from shelfcast.plans.export import export_reporting
-from shelfcast.schemas import GOLD_COLUMNS
+from shelfcast.schemas import GOLD_COLUMNS, MONTH
 from shelfcast.sources import csv_tables, files
-from shelfcast.sources.runs import RunFolder
+from shelfcast.sources.runs import RunFolder, prune_runs, register_views, write_csv
+from workload import oracles, queries
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +29,33 @@ def sample(spark, tmp_path_factory):
     return base, report, RunFolder.published(spark, str(base / "out"))
 
 
+@pytest.fixture(scope="module")
+def demand(sample):
+    """The same file in DuckDB, for figures that plain SQL states."""
+    base, _, _ = sample
+    con = duckdb.connect()
+    con.execute(f"""CREATE VIEW demand AS SELECT CAST(date AS DATE) AS date, CAST(store_nbr AS BIGINT) AS store_nbr, family,
+        CAST(sales AS DOUBLE) AS sales, CAST(onpromotion AS DOUBLE) AS onpromotion
+        FROM read_csv('{base}/data/sample/train.csv', all_varchar = true)""")
+    fact = "f AS (SELECT * FROM demand)"
+
+    def rows(*parts):
+        answer = con.execute(oracles._with(fact, *parts))
+        return sorted_rows([d[0] for d in answer.description], answer.fetchall())
+
+    return rows
+
+
+def sorted_rows(columns, rows):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted((tuple(row[i] for i in order) for row in rows), key=str)
+
+
+def found(df):
+    df = queries.rounded(df)
+    return sorted_rows(df.columns, [tuple(r) for r in df.collect()])
+
+
 def value(df):
     return df.first()[0]
 
@@ -34,115 +64,113 @@ def read_csv(spark, path):
     return spark.read.option("header", True).option("escape", '"').csv(str(path))
 
 
-def test_golden_report(sample):
+PLAN = oracles._plan()
+MARTS = {
+    "daily_sales": (oracles.DAILY, oracles.DAILY_ROWS),
+    "weekly_sales": (oracles.WEEKLY, oracles.WEEKLY_ROWS),
+    "store_performance": (oracles.STORES, oracles.STORE_ROWS),
+    "family_performance": (oracles.FAMILIES, oracles.FAMILY_ROWS),
+    "promotion_impact": (oracles.PROMOTIONS, oracles.PROMOTION_ROWS),
+    "demand_volatility": (oracles.VOLATILITY, oracles.VOLATILITY_ROWS),
+    "reorder_risk": (PLAN, oracles.PLAN_ROWS),
+    "recommendations": (
+        PLAN, oracles.STORES, oracles.PROMOTIONS, oracles.ADVICE,
+        "SELECT scope, evidence, recommendation FROM advice",
+    ),
+}
+
+
+@pytest.mark.parametrize("name", sorted(MARTS))
+def test_published_mart_equals_plain_sql(sample, demand, name):
+    _, _, run = sample
+    stored = run.read("gold", name)
+    assert tuple(stored.columns) == GOLD_COLUMNS[name] + ((MONTH,) if name == "daily_sales" else ())
+    assert found(stored.select(*GOLD_COLUMNS[name])) == demand(*MARTS[name])
+
+
+def test_report(sample, demand):
     _, report, _ = sample
     assert list(report) == ["source", "data_label", "rows", "kpis", "planning", "warnings", "as_of"]
     assert report["source"] == "sample" and report["data_label"] == "Synthetic demo data"
-    assert report["rows"] == 1440 and report["as_of"] == "2024-04-29"
-    assert report["planning"] == {"window_days": 28, "lead_time_days": 7, "review_days": 7, "z_score": 1.65}
+    assert report["rows"] == 5 * 4 * 84 and report["as_of"] == "2023-05-28"
+    assert report["planning"] == PlanningConfig().as_dict()
+    (total, average, promoted), = demand(
+        oracles.KPIS, "SELECT total_sales AS a, average_daily_sales AS b, promoted_sales AS c FROM kpis")
     kpis = report["kpis"]
-    assert kpis["total_sales"] == pytest.approx(176589.03)
-    assert kpis["average_daily_sales"] == pytest.approx(1471.57525)
-    assert kpis["promoted_sales"] == pytest.approx(44173.11)
-    assert (kpis["stores"], kpis["families"], kpis["start"], kpis["end"]) == (3, 4, "2024-01-01", "2024-04-29")
-    assert report["warnings"] == [
-        "Optional transactions.csv absent.", "Optional oil.csv absent.",
-        "Optional holidays_events.csv absent.", "Optional inventory.csv absent.",
-    ]
+    assert kpis["total_sales"] == pytest.approx(total) and kpis["average_daily_sales"] == pytest.approx(average)
+    assert kpis["promoted_sales"] == pytest.approx(promoted)
+    assert (kpis["stores"], kpis["families"], kpis["start"], kpis["end"]) == (4, 5, "2023-03-06", "2023-05-28")
+    assert report["warnings"] == [f"Optional {n}.csv absent." for n in ("transactions", "oil", "holidays_events", "inventory")]
 
 
-def test_golden_marts(sample):
-    _, _, run = sample
-    rows = {name: run.read("gold", name).count() for name in GOLD_COLUMNS}
-    assert rows == {
-        "daily_sales": 1440, "weekly_sales": 216, "store_performance": 3, "family_performance": 4,
-        "promotion_impact": 4, "demand_volatility": 4, "reorder_risk": 12, "recommendations": 7,
-    }
-    for name, columns in GOLD_COLUMNS.items():
-        assert tuple(run.read("gold", name).columns) == columns
-    stores = {r["store_nbr"]: r for r in run.read("gold", "store_performance").collect()}
-    assert stores[1]["total_sales"] == pytest.approx(48120.10) and stores[1]["observed_days"] == 120
-    families = {r["family"]: r["total_sales"] for r in run.read("gold", "family_performance").collect()}
-    assert families["GROCERY"] == pytest.approx(82806.29)
-    lifts = {r["family"]: round(r["lift_pct"], 1) for r in run.read("gold", "promotion_impact").collect()}
-    assert lifts == {"HOUSEHOLD": -10.2, "GROCERY": 18.8, "DAIRY": 20.7, "PRODUCE": 31.2}
-    variable = marts.most_variable_family(run.read("gold", "demand_volatility")).first()
-    assert variable["family"] == "HOUSEHOLD" and round(variable["coefficient_of_variation"], 3) == 0.320
-
-
-def test_golden_plan(sample):
+def test_plan_covers_every_series(sample):
     _, _, run = sample
     plan = run.read("gold", "reorder_risk")
-    assert {r["risk"]: r["series"] for r in planning.risk_counts(plan).collect()} == {
-        "Reorder now": 3, "Monitor": 3, "Healthy": 3, "Overstock risk": 3}
-    dairy = plan.where("store_nbr = 1 AND family = 'DAIRY'").first()
-    expected = {
-        "recent_average": 80.734643, "demand_std": 16.297094, "reorder_point": 636.287297,
-        "target_stock_level": 1230.898937, "inventory_on_hand": 318.143649,
-        "days_of_supply": 3.940609, "reorder_quantity": 912.755288,
-    }
-    for name, amount in expected.items():
-        assert dairy[name] == pytest.approx(amount, abs=1e-6)
-    assert dairy["risk"] == "Reorder now" and dairy["forecast_quality"] == "Full window"
+    counts = {r["risk"]: r["series"] for r in planning.risk_counts(plan).collect()}
+    assert counts == {"Insufficient history": 0, "Reorder now": 5, "Monitor": 5, "Healthy": 5, "Overstock risk": 5}
     assert orphan_series(plan, run.read("silver", "sales")).isEmpty()
 
 
-def test_golden_questions(sample):
+def test_questions(sample, demand):
     _, _, run = sample
     daily, plan = run.read("gold", "daily_sales"), run.read("gold", "reorder_risk")
     shares = questions.store_share(run.read("gold", "store_performance")).collect()
-    assert len(shares) == 3 and (shares[0]["store_nbr"], shares[0]["volume_share_pct"]) == (3, 39.2)
-    assert questions.promotion_within_store(daily).count() == 12
-    assert questions.family_variability(run.read("gold", "demand_volatility")).first()["family"] == "HOUSEHOLD"
+    by_total = [r[0] for r in demand("SELECT list(store_nbr ORDER BY total DESC) FROM (SELECT store_nbr, sum(sales) AS total FROM f GROUP BY 1)")]
+    assert [r["store_nbr"] for r in shares] == by_total[0]
+    enough = demand("""SELECT store_nbr, family FROM f GROUP BY ALL
+        HAVING count(*) FILTER (onpromotion > 0) >= 5 AND count(*) FILTER (onpromotion = 0) >= 5""")
+    within = questions.promotion_within_store(daily).collect()
+    assert sorted((r["family"], r["store_nbr"]) for r in within) == [(r["family"], r["store_nbr"]) for r in within]
+    assert sorted_rows(["store_nbr", "family"], [(r["store_nbr"], r["family"]) for r in within]) == enough
     queue = [r["risk"] for r in questions.review_queue(plan).collect()]
-    assert queue == ["Reorder now"] * 3 + ["Monitor"] * 3 + ["Overstock risk"] * 3
+    assert queue == ["Reorder now"] * 5 + ["Monitor"] * 5 + ["Overstock risk"] * 5
     complete = trend.complete_weeks(run.read("gold", "weekly_sales"), plan)
-    assert complete.count() == 17
+    assert complete.count() == 12
     index = trend.weekly_trend_index(run.read("gold", "weekly_sales"), complete)
-    assert index.count() == 68
-    first = index.where("week = DATE '2024-01-01'").collect()
-    assert len(first) == 4 and all(r["volume_index"] == 100 for r in first)
-
+    assert index.count() == 60
+    assert {r["volume_index"] for r in index.where("week = DATE '2023-03-06'").collect()} == {100.0}
 
-def test_golden_measures(sample):
-    import datetime
 
+@pytest.mark.parametrize("keys", [(), ("store_nbr",), ("family",), ("date",), ("weekday_number", "day_type")])
+def test_measures_equal_plain_sql(sample, demand, keys):
     _, _, run = sample
-    daily, plan = run.read("gold", "daily_sales"), run.read("gold", "reorder_risk")
-    total = measures.demand_measures(daily).first()
-    assert total["promotion_share"] == pytest.approx(0.250146, abs=1e-6) and total["observed_days"] == 120
-    assert measures.demand_measures(daily, stores=[1]).first()["total_demand"] == pytest.approx(48120.10)
-    grocery = measures.demand_measures(daily, families=["GROCERY"]).first()
-    assert grocery["total_demand"] == pytest.approx(82806.29) and grocery["family_count"] == 1
-    day = datetime.date(2024, 1, 1)
-    one = measures.demand_measures(daily, start=day, end=day).first()
-    assert one["total_demand"] == one["average_daily_demand"] == pytest.approx(1284.13)
-    planned = measures.planning_measures(plan).first()
-    assert planned["series_requiring_attention"] == 9 and planned["planning_series_count"] == 12
-    assert planned["insufficient_history_count"] == 0
-    assert str(planned["snapshot_as_of"]) == "2024-04-29"
-    assert measures.planning_measures(plan, stores=[1]).first()["planning_series_count"] == 4
-    lifts = {r["family"]: r["promotion_lift"] for r in measures.demand_measures(daily, ["family"]).collect()}
-    for row in run.read("gold", "promotion_impact").collect():
-        assert lifts[row["family"]] * 100 == pytest.approx(row["lift_pct"])
-    assert star.dim_date(daily).count() == 366
-
-
-def test_matrix_equals_a_plain_cube(sample):
+    daily = run.read("gold", "daily_sales")
+    assert found(measures.demand_measures(daily, keys)) == demand(
+        oracles.DAILY, oracles._measures("daily", ", ".join(keys) or None))
+
+
+def test_selected_measures_and_dates(sample, demand):
     _, _, run = sample
     daily = run.read("gold", "daily_sales")
-    cube = daily.cube("store_nbr", "family").agg(
-        F.grouping_id("store_nbr", "family").cast("int").alias("level"),
-        F.round(F.sum("sales"), 6).alias("total"), F.count_distinct("date").alias("days"),
-    ).select("store_nbr", "family", "level", "total", "days")
-    found = measures.store_family_matrix(daily).select(
-        "store_nbr", "family", "level", F.round("total_demand", 6), "observed_days"
-    )
-    assert sorted(map(str, found.collect())) == sorted(
-        map(str, cube.toDF("store_nbr", "family", "level", "round(total_demand, 6)", "observed_days").collect()))
+    start, end = datetime.date(2023, 4, 20), datetime.date(2023, 5, 2)
+    some = measures.demand_measures(daily, ["family"], ["store_count", "total_demand"], start=start, end=end, stores=[2, 7])
+    assert some.columns == ["family", "total_demand", "store_count"]
+    where = "date BETWEEN DATE '2023-04-20' AND DATE '2023-05-02' AND store_nbr IN (2, 7)"
+    assert found(some) == demand(
+        f"SELECT family, round(sum(sales), 6) AS total_demand, count(DISTINCT store_nbr) AS store_count FROM f WHERE {where} GROUP BY 1")
+    text = some._jdf.queryExecution().executedPlan().toString()
+    assert f"({MONTH}" in text.split("PartitionFilters")[1].split("PushedFilters")[0]
+    planned = measures.planning_measures(run.read("gold", "reorder_risk")).first()
+    assert planned["series_requiring_attention"] == 15 and planned["planning_series_count"] == 20
+    assert star.dim_date(daily).count() == 365
+
+
+def test_matrix_equals_plain_sql(sample, demand):
+    _, _, run = sample
+    assert found(measures.store_family_matrix(run.read("gold", "daily_sales"))) == demand(oracles.CUBE_ROWS)
 
 
-def test_exports(spark, sample, tmp_path):
+def test_published_run_answers_sql(spark, sample):
+    base, _, _ = sample
+    assert set(register_views(spark, str(base / "out"))) == set(GOLD_COLUMNS) | {"run_metadata"}
+    rows = spark.sql(
+        "SELECT s.store_nbr, any_value(s.total_sales) AS volume, count(r.family) AS queue FROM store_performance s "
+        "JOIN reorder_risk r ON r.store_nbr = s.store_nbr WHERE r.risk <> 'Healthy' GROUP BY s.store_nbr ORDER BY 1"
+    ).collect()
+    assert [r["store_nbr"] for r in rows] == [2, 4, 7, 11] and sum(r["queue"] for r in rows) == 15
+
+
+def test_exports(spark, sample, demand, tmp_path):
     base, report, run = sample
     paths = export_reporting(spark, str(base / "out"), str(tmp_path / "exports"))
     assert {Path(p).stem for p in paths} == set(GOLD_COLUMNS) | {"overview_kpis", "quality_summary"}
@@ -151,17 +179,15 @@ def test_exports(spark, sample, tmp_path):
         assert tuple(tables[name].columns) == columns
         assert tables[name].count() == run.read("gold", name).count()
     overview = {r["metric"]: float(r["value"]) for r in tables["overview_kpis"].collect()}
+    (total,), = demand("SELECT round(sum(sales), 2) AS total FROM f")
     assert overview == {
-        "Total demand volume": 176589.03, "Product families": 4, "Stores": 3, "Reorder now series": 3}
+        "Total demand volume": total, "Product families": 5, "Stores": 4, "Reorder now series": 5}
     quality = {r["check"]: r["value"] for r in tables["quality_summary"].collect()}
-    assert quality["data_label"] == "Synthetic demo data" and int(quality["rows"]) == 1440
+    assert quality["data_label"] == "Synthetic demo data" and int(quality["rows"]) == report["rows"]
     assert json.loads(quality["planning"]) == report["planning"]
     assert json.loads(quality["kpis"]) == report["kpis"]
     assert {r["promoted"] for r in tables["daily_sales"].select("promoted").distinct().collect()} == {"True", "False"}
-    scopes = [r["scope"] for r in tables["recommendations"].collect()]
-    assert scopes[-2:] == ["Store 3", "HOUSEHOLD"]
-    again = export_reporting(spark, str(base / "out"), str(tmp_path / "exports"))
-    assert len(again) == 10
+    assert len(export_reporting(spark, str(base / "out"), str(tmp_path / "exports"))) == 10
     stored = json.loads(files.read_text(spark, f"{run.root}/quality_report.json"))
     assert stored == report
 
@@ -177,9 +203,9 @@ def test_csv_keeps_the_review_order_over_many_files(spark, sample, tmp_path):
     folder = Path(next(p for p in paths if "recommendations" in p))
     parts = sorted(folder.glob("part-*.csv"))
     scopes = [line.split(",")[0] for part in parts for line in part.read_text().splitlines()[1:]]
-    assert len(parts) > 1 and scopes == [
-        "Store 1 / DAIRY", "Store 1 / HOUSEHOLD", "Store 2 / DAIRY", "Store 2 / HOUSEHOLD",
-        "Store 3 / DAIRY", "Store 3", "HOUSEHOLD"]
+    _, _, run = sample
+    ordered = advice.in_review_order(run.read("work", "suggestions")).collect()
+    assert len(parts) > 1 and scopes == [r["scope"] for r in ordered] and len(scopes) > 5
 
 
 def test_export_names_the_missing_mart(spark, sample, tmp_path):
@@ -258,15 +284,86 @@ def test_optional_files_promotion_and_failed_run(spark, tmp_path):
     assert plan["risk"] == "Insufficient history" and plan["reorder_quantity"] is None
 
     before = RunFolder.published(spark, out).run_id
+    folders = set(files.names(spark, f"{out}/runs"))
     for broken in ("2024-01-01,1,A,-1,0", ROWS[1]):
         raw_folder(tmp_path, [broken, *ROWS[1:]])
         with pytest.raises(DataValidationError):
             run_job(spark, "auto", data, out)
     published = RunFolder.published(spark, out)
     assert published.run_id == before
+    assert set(files.names(spark, f"{out}/runs")) == folders  # failed runs leave nothing
     assert value(published.read("gold", "daily_sales").agg(F.sum("sales"))) == 90
 
 
+PARTS = {
+    "part-0.csv": "date,store_nbr,family,sales,onpromotion\n2024-01-01,1,A,5,0\n",
+    "part-1.csv": "date,store_nbr,family,onpromotion,sales\n2024-01-02,1,A,3,700\n",
+}
+
+
+def layers_of(spark, tmp_path):
+    run = RunFolder.create(spark, str(tmp_path / "out"))
+    try:
+        return csv_tables.load_layers(spark, "raw", str(tmp_path / "data"), run), run
+    finally:
+        run.close()
+
+
+def test_parts_are_read_by_column_name(spark, tmp_path):
+    folder = tmp_path / "data" / "raw" / "train.csv"
+    folder.mkdir(parents=True)
+    for name, text in PARTS.items():
+        (folder / name).write_text(text)
+    (folder / "part-2.csv").write_text("")
+    (folder / "part-3.csv").write_text("family,date,sales,store_nbr\nA,2024-01-03,0,1\n")
+    run = RunFolder.create(spark, str(tmp_path / "out"))
+    landed = csv_tables.land_bronze(spark, str(folder), "sales", run)
+    rows = {str(r["date"]): (r["sales"], r["onpromotion"]) for r in landed.collect()}
+    assert {k[:10]: v for k, v in rows.items()} == {"2024-01-01": ("5", "0"), "2024-01-02": ("700", "3"), "2024-01-03": ("0", None)}
+    (folder / "part-3.csv").unlink()
+    report = run_job(spark, "raw", str(tmp_path / "data"), str(tmp_path / "out"))
+    assert report["kpis"]["total_sales"] == 705 and report["kpis"]["promoted_sales"] == 700
+
+
+def test_headers_that_differ_by_case_and_odd_names(spark, tmp_path):
+    raw = raw_folder(tmp_path, ["2024-01-01,1,A,10,7,x,y"], "date,store_nbr,family,sales,Sales,a`b,a.b")
+    (raw / "stores.csv").write_text("store_nbr,na`me\n1,NA\n")
+    layers, run = layers_of(spark, tmp_path)
+    row = run.read("silver", "sales").first()
+    assert (row["sales"], row["Sales.1"], row["a`b"], row["a.b"]) == (10.0, "7", "x", "y")
+    assert run.read("silver", "stores").first()["na`me"] is None
+    assert not [w for w in layers.warnings if "stores" in w]
+
+
+def test_context_fields_may_hold_line_breaks(spark, tmp_path):
+    raw = raw_folder(tmp_path, ROWS)
+    columns = "date,type,locale,locale_name,description,transferred"
+    (raw / "holidays_events.csv").write_text(f'{columns}\n2024-01-01,Holiday,National,X,"New\nyear, first",False\n')
+    layers, run = layers_of(spark, tmp_path)
+    assert run.read("silver", "holidays_events").first()["description"] == "New\nyear, first"
+
+
+def test_numbers_are_written_without_exponents(spark, tmp_path):
+    values = [370370347.5, 1e7, 1.5e-5, 0.1, 123.0, 1e22, -2.5e8, None, 12345678.9, 1e300]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double").coalesce(1)
+    write_csv(frame, str(tmp_path / "x.csv"))
+    texts = {int(r["i"]): r["x"] for r in read_csv(spark, tmp_path / "x.csv").collect()}
+    assert [texts[i] for i in (0, 1, 2, 3, 4, 6, 8)] == [
+        "370370347.5", "10000000.0", "0.000015", "0.1", "123.0", "-250000000.0", "12345678.9"]
+    assert texts[5] == "1" + "0" * 22 and texts[7] is None
+    assert all(float(texts[i]) == v for i, v in enumerate(values) if v is not None)
+
+
+def test_superseded_runs_can_be_removed(spark, tmp_path):
+    raw_folder(tmp_path, ROWS)
+    out = str(tmp_path / "out")
+    for _ in range(3):
+        run_job(spark, "raw", str(tmp_path / "data"), out)
+    names = sorted(files.names(spark, f"{out}/runs"))
+    assert prune_runs(spark, out, keep=1) == names[:2]
+    assert files.names(spark, f"{out}/runs") == [RunFolder.published(spark, out).run_id]
+
+
 def test_silver_keeps_extra_columns_and_normalises(spark, tmp_path):
     raw_folder(
         tmp_path,

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SALES_SCHEMA
+from shared import SALES_SCHEMA
 from shelfcast.functions import columns
 from shelfcast.operators import marts
 from shelfcast.operators.quality import reconcile_totals, with_promotion_column
@@ -16,12 +16,12 @@ def impact(sales):
     return marts.promotion_summary(sales).first()
 
 
-def test_kpis(sales):
-    row = marts.kpis(sales).first()
-    assert row["total_sales"] == 90 and row["average_daily_sales"] == 22.5
-    assert row["stores"] == row["families"] == 1
-    assert row["promoted_sales"] == 60
-    assert (row["start"], row["end"]) == (datetime.date(2024, 1, 1), datetime.date(2024, 1, 4))
+def test_run_totals_of_two_stores(spark, sales_rows):
+    other = [(day, 9, "RICE", 2 * volume, None) for day, _, _, volume, _ in sales_rows[1:]]
+    row = marts.kpis(spark.createDataFrame(sales_rows + other, SALES_SCHEMA)).first()
+    assert (row["total_sales"], row["promoted_sales"]) == (96 + 176, 72)
+    assert row["average_daily_sales"] == 68 and (row["stores"], row["families"]) == (2, 2)
+    assert (row["start"], row["end"]) == (datetime.date(2024, 3, 7), datetime.date(2024, 3, 10))
 
 
 def test_promoted_total_is_zero_when_known_and_null_when_unknown(sales):
@@ -31,10 +31,13 @@ def test_promoted_total_is_zero_when_known_and_null_when_unknown(sales):
     assert marts.kpis(sales.drop("onpromotion")).first()["promoted_sales"] is None
 
 
-def test_promotion_lift(sales):
-    row = impact(sales)
-    assert row["lift_pct"] == pytest.approx(100) and row["promoted_rows"] == 2
-    assert row["promoted_average"] == 30 and row["nonpromoted_average"] == 15
+@pytest.mark.parametrize("factor,lift", [(1.0, 200.0), (0.5, 50.0), (1 / 3, 0.0), (0.0, -100.0)])
+def test_lift_follows_the_promoted_mean(sales, factor, lift):
+    changed = sales.withColumn("sales", F.col("sales") * F.when(F.col("onpromotion") > 0, factor).otherwise(1.0))
+    row = impact(changed)
+    assert row["lift_pct"] == pytest.approx(lift, abs=1e-9) and row["nonpromoted_average"] == 12
+    assert row["promoted_average"] == pytest.approx(36 * factor)
+    assert (row["promoted_rows"], row["nonpromoted_rows"]) == (2, 2)
 
 
 def test_lift_is_undefined_without_a_comparison(sales):
@@ -88,7 +91,7 @@ def test_totals_reconcile(sales):
         daily, marts.weekly_sales(daily), marts.store_performance(marts.store_days(daily)),
         marts.family_performance(marts.family_days(daily)),
     ).collect()
-    assert len(rows) == 4 and all(r["total_sales"] == 90 and r["difference"] == 0 for r in rows)
+    assert len(rows) == 4 and all(r["total_sales"] == 96 and r["difference"] == 0 for r in rows)
 
 
 @pytest.mark.parametrize("value", [0.25, 0.35, -0.04, 1234567.85, 2.5, -1.05, 99.95, 1e9 + 0.25])

@@ -1,14 +1,13 @@
 """Forecast, plan, scenario order and recommendations."""
 
 import datetime
-import math
 import random
 import statistics
 
 import pytest
 from pyspark.sql import Window, functions as F
 
-from conftest import SALES_SCHEMA
+from shared import SALES_SCHEMA
 from shelfcast.config import PlanningConfig
 from shelfcast.operators import advice, forecast, planning
 
@@ -19,68 +18,80 @@ def plan_of(sales, config, snapshot=None):
     return planning.plan_inventory(forecast.forecast_demand(sales, config), config, snapshot)
 
 
-@pytest.mark.parametrize(
-    "stock,expected",
-    [(99, "Reorder now"), (100, "Monitor"), (110, "Monitor"), (111, "Healthy"), (300, "Healthy"), (301, "Overstock risk")],
-)
-def test_risk_boundaries(spark, stock, expected):
-    risk = planning.risk_column(F.lit(float(stock)), F.lit(100.0), F.lit(200.0))
-    assert spark.range(1).select(risk).first()[0] == expected
+def test_classes_meet_at_their_limits(spark):
+    """Reorder point 40, target 50: each limit belongs to the class below it in the rule order."""
+    stocks = [0.0, 39.999, 40.0, 44.0, 44.001, 75.0, 75.001, 1e6]
+    rows = spark.createDataFrame([(s,) for s in stocks], "stock double").select(
+        "stock", planning.risk_column(F.col("stock"), F.lit(40.0), F.lit(50.0)).alias("risk")
+    )
+    found = [r["risk"] for r in rows.orderBy("stock").collect()]
+    assert found == [planning.REORDER] * 2 + [planning.MONITOR] * 2 + [planning.HEALTHY] * 2 + [planning.OVERSTOCK] * 2
 
 
-def test_reorder_formula(sales):
-    row = plan_of(sales, PlanningConfig(window_days=4)).first()
-    std = statistics.stdev([10, 20, 20, 40])
-    assert row["reorder_point"] == pytest.approx(22.5 * 7 + 1.65 * std * math.sqrt(7))
-    assert row["target_stock_level"] == pytest.approx(22.5 * 14 + 1.65 * std * math.sqrt(14))
-    assert row["reorder_quantity"] >= 0 and row["inventory_source"] == "Simulated scenario"
-    assert row["forecast_date"] == row["last_observed_date"] == datetime.date(2024, 1, 4)
+@pytest.mark.parametrize("lead,review,z", [(3, 4, 0.0), (9, 16, 2.0), (1, 1, 1.28)])
+def test_targets_follow_mean_and_spread(sales, lead, review, z):
+    row = plan_of(sales, PlanningConfig(4, lead, review, z)).first()
+    spread = statistics.stdev([8, 30, 16, 42])
+    assert row["recent_average"] == 24 and row["demand_std"] == pytest.approx(spread)
+    assert row["safety_stock"] == pytest.approx(z * spread * lead**0.5)
+    assert row["reorder_point"] == pytest.approx(24 * lead + z * spread * lead**0.5)
+    target = 24 * (lead + review) + z * spread * (lead + review) ** 0.5
+    assert row["target_stock_level"] == pytest.approx(target)
+    assert row["reorder_quantity"] == pytest.approx(max(0.0, target - row["inventory_on_hand"]))
+    assert row["forecast_date"] == row["last_observed_date"] == datetime.date(2024, 3, 10)
 
 
 def test_a_gap_suppresses_the_action(sales):
-    gap = sales.where(F.dayofmonth("date") != 2)
+    gap = sales.where(F.dayofmonth("date") != 8)
     row = plan_of(gap, PlanningConfig(window_days=4)).first()
     assert row["coverage"] == 0.75 and row["risk"] == "Insufficient history"
     assert row["reorder_quantity"] is None
     assert row["inventory_on_hand"] is not None and row["days_of_supply"] is not None
 
 
-def test_snapshot_date_and_zero_demand(spark, sales):
-    config = PlanningConfig(window_days=4)
-    idle = sales.withColumn("sales", F.lit(0.0))
-
-    def with_stock(day, amount):
-        stock = spark.createDataFrame([(datetime.date(2024, 1, day), 1, "A", amount)], STOCK_SCHEMA)
-        return plan_of(idle, config, stock).first()
-
-    row = with_stock(4, 100.0)
-    assert row["risk"] == "Overstock risk" and row["days_of_supply"] is None
-    assert row["inventory_source"] == planning.PROVIDED
-    assert with_stock(4, 0.0)["risk"] == "Monitor"
-    assert with_stock(3, 100.0)["inventory_source"] == "Simulated scenario"
+@pytest.mark.parametrize(
+    "day,stock,source,risk",
+    [(10, 7.0, planning.PROVIDED, planning.OVERSTOCK), (10, 0.0, planning.PROVIDED, planning.MONITOR),
+     (9, 7.0, planning.SIMULATED, planning.MONITOR), (11, 7.0, planning.SIMULATED, planning.MONITOR)],
+)
+def test_only_stock_of_the_newest_day_counts(spark, sales, day, stock, source, risk):
+    """Without demand every target is zero, and days of supply are undefined."""
+    idle = sales.withColumn("sales", F.col("sales") * 0)
+    counted = spark.createDataFrame([(datetime.date(2024, 3, day), 5, "TEA", stock)], STOCK_SCHEMA)
+    row = plan_of(idle, PlanningConfig(window_days=3), counted).first()
+    assert (row["inventory_source"], row["risk"], row["days_of_supply"]) == (source, risk, None)
+    assert row["inventory_on_hand"] == (stock if source == planning.PROVIDED else 0.0)
 
 
 def test_window_is_calendar_days(sales):
-    assert forecast.forecast_demand(sales, PlanningConfig(window_days=2)).first()["recent_average"] == 30
+    assert forecast.forecast_demand(sales, PlanningConfig(window_days=2)).first()["recent_average"] == 29
 
 
 def test_a_series_without_recent_rows_stays(spark, sales):
-    late = spark.createDataFrame([(datetime.date(2024, 3, 1), 2, "B", 5.0, 0.0)], SALES_SCHEMA)
+    late = spark.createDataFrame([(datetime.date(2024, 5, 1), 2, "B", 5.0, 0.0)], SALES_SCHEMA)
     rows = plan_of(sales.unionByName(late), PlanningConfig()).collect()
-    old = next(r for r in rows if r["family"] == "A")
+    old = next(r for r in rows if r["family"] == "TEA")
     assert old["observed_days"] == 0 and old["coverage"] == 0 and old["recent_average"] is None
     assert old["risk"] == "Insufficient history" and old["inventory_on_hand"] is None
     assert old["forecast_quality"] == "Incomplete history"
 
 
-@pytest.mark.parametrize(
-    "bad",
-    [{"lead_time_days": 0}, {"window_days": -1}, {"window_days": 1}, {"window_days": True},
-     {"review_days": 1.5}, {"z_score": float("nan")}, {"z_score": float("inf")}, {"z_score": -1}],
-)
-def test_bad_configuration(bad):
+@pytest.mark.parametrize("name", ["window_days", "lead_time_days", "review_days"])
+@pytest.mark.parametrize("days", [0, -4, 2.0, "7", None, False])
+def test_days_must_be_whole_and_positive(name, days):
     with pytest.raises(ValueError):
-        PlanningConfig(**bad)
+        PlanningConfig(**{name: days})
+
+
+@pytest.mark.parametrize("z", [-0.1, float("-inf"), float("nan"), None])
+def test_service_factor_must_be_finite(z):
+    with pytest.raises(ValueError):
+        PlanningConfig(z_score=z)
+
+
+def test_one_day_has_no_spread():
+    with pytest.raises(ValueError):
+        PlanningConfig(window_days=1)
 
 
 def random_sales(spark, seed=7, days=40):
@@ -142,12 +153,18 @@ def test_scenario_factors_follow_the_series_order(spark):
 
 
 def test_risk_counts(spark):
-    plan = spark.createDataFrame([("Monitor",), ("Monitor",), ("Healthy",)], "risk string")
+    plan = spark.createDataFrame([("Monitor",), ("Monitor",), ("Insufficient history",)], "risk string")
     assert [tuple(r) for r in planning.risk_counts(plan).collect()] == [
-        ("Reorder now", 0), ("Monitor", 2), ("Healthy", 1), ("Overstock risk", 0)]
-    uncovered = plan.unionByName(spark.createDataFrame([("Insufficient history",)], "risk string"))
-    with pytest.raises(ValueError):
-        planning.risk_counts(uncovered)
+        ("Insufficient history", 1), ("Reorder now", 0), ("Monitor", 2), ("Healthy", 0), ("Overstock risk", 0)]
+    for odd in ("Unknown", None):
+        with pytest.raises(ValueError):
+            planning.risk_counts(plan.unionByName(spark.createDataFrame([(odd,)], "risk string")))
+
+
+def test_given_series_are_reported(spark, sales):
+    keys = spark.createDataFrame([(5, "TEA"), (6, "TEA")], "store_nbr long, family string")
+    rows = forecast.forecast_demand(sales, PlanningConfig(window_days=4), keys).collect()
+    assert {(r["store_nbr"], r["observed_days"]) for r in rows} == {(5, 4), (6, 0)}
 
 
 PLAN_SCHEMA = (

@@ -5,10 +5,11 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from conftest import DATA_DIR
+from shared import DATA_DIR
 from shelfcast.config import PlanningConfig
-from shelfcast.operators import forecast, marts, measures
-from workload import facts
+from shelfcast import session
+from shelfcast.operators import forecast, marts, measures, planning
+from workload import facts, queries
 
 SMALL = str(DATA_DIR / "sf0.001")
 FORBIDDEN = re.compile(
@@ -20,27 +21,59 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_python_no_cross_join_no_global_window(spark, name):
-    text = plan_text(contract.queries()[name](spark, SMALL))
-    assert not FORBIDDEN.search(text)
-    # The only window in one task runs over the row counts of the range partitions.
-    for line in text.splitlines():
-        window = re.search(r"\bWindow \[(.*)", line)
-        if window and not re.search(r"\], \[family", line):
-            assert "partition_rows" in line or "slot_partition" in line
+@pytest.fixture
+def executed(monkeypatch):
+    """Plans of all tables that a query writes on its way, in order."""
+    plans = []
 
+    def recording(df):
+        plans.append(plan_text(df))
+        return session.cut_lineage(df)
 
-def test_forecast_reads_the_rows_once_and_its_date_alone(spark):
+    for module in (queries, planning):
+        monkeypatch.setattr(module, "cut_lineage", recording)
+    return plans
+
+
+@pytest.mark.parametrize("name", sorted(queries.REGISTRY))
+def test_no_python_no_cross_join_no_global_window(spark, executed, name):
+    """Holds for every plan that runs: the tables written on the way and the result."""
+    result = plan_text(queries.REGISTRY[name](spark, SMALL))
+    for text in [*executed, result]:
+        assert not FORBIDDEN.search(text)
+        # The only window in one task runs over the row counts of the range partitions.
+        for line in text.splitlines():
+            window = re.search(r"\bWindow \[(.*)", line)
+            if window and not re.search(r"\], \[family", line):
+                assert "partition_rows" in line or "slot_partition" in line
+
+
+@pytest.mark.parametrize("name", ["silver_sales", "kpis", "forecast", "reorder_risk", "risk_counts", "measures_total"])
+def test_a_raw_table_is_read_once(spark, executed, name):
+    result = plan_text(queries.REGISTRY[name](spark, SMALL))
+    raw = [line for text in [*executed, result] for line in text.splitlines() if "FileScan" in line and "events.parquet" in line]
+    assert len(raw) == 1
+
+
+@pytest.mark.parametrize("name", ["measures_total", "measures_by_store", "measures_lineitem"])
+def test_measures_do_not_expand_the_fact(spark, executed, name):
+    result = plan_text(queries.REGISTRY[name](spark, SMALL))
+    assert "Expand" not in result
+
+
+def test_forecast_reads_only_its_window(spark, tmp_path):
     events = facts.table(spark, SMALL, "events")
-    fact = events.selectExpr(
+    path = str(tmp_path / "fact")
+    events.selectExpr(
         "to_date(ts) AS date", "user_id AS store_nbr", "event_type AS family", "value AS sales"
-    )
-    text = plan_text(forecast.forecast_demand(fact, PlanningConfig()))
-    columns = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
-    wide = [c for c in columns if "value" in c]
-    narrow = [c for c in columns if "value" not in c]
-    assert len(wide) == 1 and all(re.fullmatch(r"ts#\d+", c) for c in narrow)
+    ).write.parquet(path)
+    text = plan_text(forecast.forecast_demand(spark.read.parquet(path), PlanningConfig()))
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line]
+    wide = [line for line in scans if "sales#" in line]
+    assert len(wide) == 1 and "GreaterThanOrEqual(date" in wide[0].split("PushedFilters")[1]
+    keys = [line for line in scans if "store_nbr#" in line and "sales#" not in line]
+    assert len(keys) == 1 and "date#" not in keys[0].split("]")[0]
+    assert all("struct<date:date>" in line for line in scans if line not in (*wide, *keys))
 
 
 def test_date_and_store_filters_reach_the_scan(spark, tmp_path, sales):
@@ -50,9 +83,9 @@ def test_date_and_store_filters_reach_the_scan(spark, tmp_path, sales):
     marts.daily_sales(sales).write.parquet(path)
     daily = spark.read.parquet(path)
     text = plan_text(
-        measures.demand_measures(daily, start=datetime.date(2024, 1, 2), stores=[1]).select("total_demand")
+        measures.demand_measures(daily, (), ["total_demand"], start=datetime.date(2024, 3, 8), stores=[5])
     )
-    assert "GreaterThanOrEqual(date,2024-01-02)" in text and "EqualTo(store_nbr,1)" in text
+    assert "GreaterThanOrEqual(date,2024-03-08)" in text and "EqualTo(store_nbr,5)" in text
     assert re.search(r"ReadSchema: struct<date:date,store_nbr:bigint,sales:double>", text)
     assert "Expand" not in text
 

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import parsing
 from shelfcast.operators.quality import (
-    DataValidationError, check_grain, clean_table, coerce_table, duplicate_keys, orphan_series,
-    slotted_counts, validate_sales,
+    DataValidationError, check_grain, clean_table, duplicate_keys, orphan_series, typed_table,
+    validate_sales,
 )
 from shelfcast.schemas import CONTEXT_TABLES, SALES
 
@@ -36,7 +36,7 @@ def test_empty_table(spark):
 
 @pytest.mark.parametrize("value", [-1.0, float("inf"), float("nan"), None])
 def test_typed_bad_sales(sales, value):
-    broken = sales.withColumn("sales", F.when(F.dayofmonth("date") > 1, F.col("sales")).otherwise(F.lit(value)))
+    broken = sales.withColumn("sales", F.when(F.dayofmonth("date") > 7, F.col("sales")).otherwise(F.lit(value)))
     with pytest.raises(DataValidationError, match="sales must contain finite nonnegative numbers"):
         validate_sales(broken)
 
@@ -139,8 +139,8 @@ def test_grain_helpers(sales):
 
 
 def test_orphans(spark, sales):
-    plan = spark.createDataFrame([(1, "A"), (1, "B")], "store_nbr long, family string")
-    assert [tuple(r) for r in orphan_series(plan, sales).collect()] == [(1, "B")]
+    plan = spark.createDataFrame([(5, "TEA"), (5, "RICE")], "store_nbr long, family string")
+    assert [tuple(r) for r in orphan_series(plan, sales).collect()] == [(5, "RICE")]
 
 
 def test_strip_matches_python(spark):
@@ -151,17 +151,21 @@ def test_strip_matches_python(spark):
     assert [r[0] for r in found] == [s.strip() for s in samples]
 
 
-def test_a_large_group_of_copies_is_found_before_the_layout(spark):
-    """A third of the rows is one key: the hash slots show it and the check names it."""
+def test_copies_are_combined_before_the_grain_shuffle(spark):
+    """A third of the rows is one key: each input partition sends it once."""
     copies = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
     rows = spark.range(90_000).select(
         F.lit("2024-01-01").alias("date"), (copies + 1).cast("string").alias("store_nbr"),
         F.lit("A").alias("family"), F.lit("1").alias("sales"),
     )
-    counts = slotted_counts(rows, SALES).first()
-    assert counts["rows"] == 90_000 and counts["largest_slot"] >= 30_000
+    plan = duplicate_keys(rows, SALES.keys)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_count") > plan.index("Exchange")  # the partial step is below
     with pytest.raises(DataValidationError, match="Duplicate rows"):
-        coerce_table(rows, SALES)
-    even = rows.dropDuplicates(["store_nbr"])
-    assert slotted_counts(even, SALES).first()["largest_slot"] < 100
-    assert coerce_table(even, SALES).count() == 60_001
+        clean_table(rows, SALES)
+    assert clean_table(rows.dropDuplicates(["store_nbr"]), SALES).count() == 60_001
+
+
+def test_typed_table_merges_texts_of_one_key(spark):
+    rows = text_rows(spark, date="2024-1-1", store_nbr="1.0", family=" A\t")
+    assert duplicate_keys(rows, SALES.keys).isEmpty()
+    assert duplicate_keys(typed_table(rows, SALES), SALES.keys).first()["rows"] == 2

@@ -1,26 +1,12 @@
-"""Broadcast limits and written tables."""
+"""Written tables and the checkpoint folder."""
+
+import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from shelfcast import session
 
 
-def is_broadcast(df):
-    return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-
-def test_only_measured_small_lookups_are_broadcast(spark, monkeypatch):
-    lookup = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 50).alias("name"))
-    assert is_broadcast(session.broadcast_if_small(lookup))
-    assert is_broadcast(session.broadcast_if_small(lookup.limit(0)))
-    monkeypatch.setattr(session, "BROADCAST_ROWS", 99)
-    assert not is_broadcast(session.broadcast_if_small(lookup))
-    monkeypatch.setattr(session, "BROADCAST_ROWS", 100)
-    monkeypatch.setattr(session, "BROADCAST_BYTES", 100 * 58 - 1)
-    assert not is_broadcast(session.broadcast_if_small(lookup))
-
-
 def test_written_table_keeps_rows_and_schema(spark):
     rows = spark.createDataFrame(
         [(1, "a", 0.1, None), (2, "b", None, True)], "id long, name string, x double, flag boolean")
@@ -70,3 +56,22 @@ def test_shuffle_partitions_follow_the_input(spark, monkeypatch):
     assert int(spark.conf.get(setting)) == before
     with session.sized_shuffles(spark, 1):
         assert int(spark.conf.get(setting)) == before
+
+
+def test_a_machine_local_folder_is_refused_on_a_cluster():
+    for conf, context in (({"spark.checkpoint.dir": "file:/tmp/x"}, None), ({}, "file:///scratch")):
+        cluster = ClusterSession(conf)
+        cluster.sparkContext.checkpoint_dir = context
+        with pytest.raises(RuntimeError, match="all executors share"):
+            session.ensure_checkpoint_dir(cluster)
+    shared = ClusterSession({"spark.checkpoint.dir": "hdfs://shared/x"})
+    assert session.ensure_checkpoint_dir(shared) == "hdfs://shared/x"
+
+
+def test_written_tables_can_be_dropped(spark):
+    session.cut_lineage(spark.range(3))
+    folder = session._table_folder(spark).removeprefix("file:")
+    assert os.listdir(folder)
+    session.drop_tables(spark)
+    assert not os.path.exists(folder)
+    assert session.cut_lineage(spark.range(3)).count() == 3

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 SCHEMAS = {
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
     "lineitem": (
-        "l_partkey long, l_suppkey long, l_quantity double, l_discount double, "
-        "l_shipdate timestamp_ntz"
+        "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_discount double, "
+        "l_tax double, l_linestatus string, l_shipdate timestamp_ntz"
     ),
     "part": "p_partkey long, p_type string, p_size int",
     "supplier": "s_suppkey long, s_nationkey int",
@@ -21,45 +21,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+# An event of at least this value counts as promoted.
+PROMOTED_VALUE = 60
+
+
 def events_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense fact: five stores, one family per event type, 30 days, some rows promoted."""
+    """Dense fact for weekly trends: five stores of users, one family per event type, 30 days."""
     events = table(spark, sf_dir, "events")
-    daily = events.groupBy(
+    return events.groupBy(
         F.to_date("ts").alias("date"),
         (F.col("user_id") % 5 + 1).cast("bigint").alias("store_nbr"),
         F.col("event_type").alias("family"),
-    ).agg(F.sum("value").alias("sales"))
-    rotation = (F.dayofmonth("date") + F.col("store_nbr") + F.length("family")) % 9
-    return daily.withColumn("onpromotion", F.when(rotation < 2, 3.0).otherwise(0.0))
+    ).agg(
+        F.sum("value").alias("sales"),
+        F.count_if(F.col("value") >= PROMOTED_VALUE).cast("double").alias("onpromotion"),
+    )
 
 
 def edge_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events fact with unknown promotion (store 2), a family without demand (store 3),
-    closed Sundays (store 4) and a series that ends after two days (store 5)."""
-    store, family, date = F.col("store_nbr"), F.col("family"), F.col("date")
-    closed = (store == 4) & (F.weekday(date) == 6)
-    ended = (store == 5) & (family == "error") & (date > F.lit("2024-01-02").cast("date"))
-    silent = (store == 3) & (family == "view")
-    return (
-        events_fact(spark, sf_dir)
-        .where(~closed & ~ended)
-        .withColumns(
-            {
-                "sales": F.when(silent, 0.0).otherwise(F.col("sales")),
-                "onpromotion": F.when(store != 2, F.col("onpromotion")),
-            }
-        )
+    """Sparse fact whose series grow with the data: every user is a store, every event type a
+    family. Days without events are gaps, many series have no recent row, volumes are whole tens
+    and often zero, and errors carry no promotion information."""
+    kind = F.col("event_type")
+    promoted = F.count_if(F.col("value") >= PROMOTED_VALUE).cast("double")
+    return table(spark, sf_dir, "events").groupBy(
+        F.to_date("ts").alias("date"), (F.col("user_id") + 1).alias("store_nbr"), kind.alias("family")
+    ).agg(
+        F.sum(F.floor(F.col("value") / 10)).cast("double").alias("sales"),
+        F.when(kind != "error", promoted).alias("onpromotion"),
     )
 
 
 def stock_snapshot(edge: DataFrame) -> DataFrame:
-    """Stock counts of stores 1 and 3 from 29 January on: one stale day, one as-of day."""
-    counted = (F.col("date") >= F.lit("2024-01-29").cast("date")) & F.col("store_nbr").isin(1, 3)
+    """Stock counts of every third store from 29 January on: one stale day, one as-of day."""
+    counted = (F.col("date") >= F.lit("2024-01-29").cast("date")) & (F.col("store_nbr") % 3 == 1)
     return edge.where(counted).select(
         "date", "store_nbr", "family", (F.col("sales") * 10 + 100).alias("inventory_on_hand")
     )
 
 
+def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discounted volume by supplier and order: as many families as orders. Orders without a
+    discount have zero demand; lines that are still open have no promotion information."""
+    discounted = F.round(F.col("l_quantity") * F.col("l_discount") * 100)
+    taxed = F.count_if(F.col("l_tax") >= 0.05).cast("double")
+    return table(spark, sf_dir, "lineitem").groupBy(
+        F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").alias("store_nbr"),
+        F.concat(F.lit("order "), F.col("l_orderkey")).alias("family"),
+    ).agg(
+        F.sum(discounted).alias("sales"),
+        F.when(F.min("l_linestatus") != "O", taxed).alias("onpromotion"),
+    )
+
+
 def lineitem_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven years of shipped quantity by nation group and part type.
 
@@ -89,11 +103,13 @@ def unchecked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.to_date("ts").cast("string")
     return table(spark, sf_dir, "events").select(
         F.when((kind == "error") & (user % 7 == 3), F.lit("2024-02-30"))
+        .when((kind == "signup") & (user % 11 == 7), F.lit(" "))
         .when((kind == "view") & (user % 7 == 4), F.replace(day, F.lit("-"), F.lit("/")))
         .otherwise(day)
         .alias("date"),
         F.when((kind == "click") & (user % 11 == 5), F.lit("0"))
         .when((kind == "click") & (user % 11 == 6), F.lit("2.5"))
+        .when((kind == "view") & (user % 13 == 7), F.lit(None))
         .otherwise((user % 5 + 1).cast("string"))
         .alias("store_nbr"),
         F.when((kind == "signup") & (user % 13 == 2), F.lit("  "))

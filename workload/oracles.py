@@ -8,24 +8,24 @@ from __future__ import annotations
 
 EVENTS = """
 f AS (
-  SELECT date, store_nbr, family, sum(value) AS sales,
-         CAST(CASE WHEN (day(date) + store_nbr + length(family)) % 9 < 2 THEN 3 ELSE 0 END AS DOUBLE)
+  SELECT CAST(ts AS DATE) AS date, CAST(user_id % 5 + 1 AS BIGINT) AS store_nbr, event_type AS family,
+         sum(value) AS sales, CAST(count(*) FILTER (WHERE value >= 60) AS DOUBLE) AS onpromotion
+  FROM events GROUP BY 1, 2, 3)"""
+
+EDGE = """
+f AS (
+  SELECT CAST(ts AS DATE) AS date, user_id + 1 AS store_nbr, event_type AS family,
+         sum(floor(value / 10)) AS sales,
+         CASE WHEN event_type <> 'error' THEN CAST(sum(CASE WHEN value >= 60 THEN 1 ELSE 0 END) AS DOUBLE) END
            AS onpromotion
-  FROM (SELECT CAST(ts AS DATE) AS date, CAST(user_id % 5 + 1 AS BIGINT) AS store_nbr,
-               event_type AS family, value FROM events) e
-  GROUP BY date, store_nbr, family)"""
+  FROM events GROUP BY 1, 2, 3)"""
 
-EDGE = (
-    EVENTS.replace("\nf AS (", "\nf_events AS (")
-    + """,
+ORDERS = """
 f AS (
-  SELECT date, store_nbr, family,
-         CASE WHEN store_nbr = 3 AND family = 'view' THEN 0e0 ELSE sales END AS sales,
-         CASE WHEN store_nbr = 2 THEN NULL ELSE onpromotion END AS onpromotion
-  FROM f_events
-  WHERE NOT (store_nbr = 4 AND isodow(date) = 7)
-    AND NOT (store_nbr = 5 AND family = 'error' AND date > DATE '2024-01-02'))"""
-)
+  SELECT CAST(l_shipdate AS DATE) AS date, l_suppkey AS store_nbr, 'order ' || l_orderkey AS family,
+         sum(round(l_quantity * l_discount * 100)) AS sales,
+         CASE WHEN min(l_linestatus) <> 'O' THEN CAST(count(*) FILTER (WHERE l_tax >= 0.05e0) AS DOUBLE) END AS onpromotion
+  FROM lineitem GROUP BY 1, 2, 3)"""
 
 LINEITEM = """
 f AS (
@@ -38,7 +38,7 @@ f AS (
 STOCK = """,
 stock AS (
   SELECT date, store_nbr, family, sales * 10 + 100 AS inventory_on_hand
-  FROM f WHERE date >= DATE '2024-01-29' AND store_nbr IN (1, 3))"""
+  FROM f WHERE date >= DATE '2024-01-29' AND store_nbr % 3 = 1)"""
 
 DAILY = """,
 daily AS (
@@ -51,10 +51,12 @@ daily AS (
 UNCHECKED = """
 f AS (
   SELECT CASE WHEN event_type = 'error' AND user_id % 7 = 3 THEN '2024-02-30'
+              WHEN event_type = 'signup' AND user_id % 11 = 7 THEN ' '
               WHEN event_type = 'view' AND user_id % 7 = 4 THEN strftime(ts, '%Y/%m/%d')
               ELSE strftime(ts, '%Y-%m-%d') END AS date,
          CASE WHEN event_type = 'click' AND user_id % 11 = 5 THEN '0'
               WHEN event_type = 'click' AND user_id % 11 = 6 THEN '2.5'
+              WHEN event_type = 'view' AND user_id % 13 = 7 THEN NULL
               ELSE CAST(user_id % 5 + 1 AS VARCHAR) END AS store_nbr,
          CASE WHEN event_type = 'signup' AND user_id % 13 = 2 THEN '  '
               ELSE ' ' || event_type || chr(9) END AS family,
@@ -281,7 +283,7 @@ report AS (
          {'total_sales': round(total_sales, 6), 'average_daily_sales': round(average_daily_sales, 6),
           'stores': stores, 'families': families, 'start': "start", 'end': "end",
           'promoted_sales': round(promoted_sales, 6)} AS kpis,
-         {'window_days': 28, 'lead_time_days': 7, 'review_days': 7, 'z_score': 1.65e0} AS planning,
+         {'window_days': 2, 'lead_time_days': 7, 'review_days': 7, 'z_score': 1.65e0} AS planning,
          CASE WHEN (SELECT bool_or(coverage < 1) FROM plan) THEN
            ['checked', 'Some store/family series have incomplete trailing history; actionable reorder quantities are suppressed.']
          ELSE ['checked'] END AS warnings,
@@ -300,23 +302,27 @@ def _with(*parts: str) -> str:
     return "WITH " + "".join(ctes).strip() + "\n" + body
 
 
-EDGE_PLAN = _plan()
-STOCKED_PLAN = STOCK + _plan(stock=True)
+EDGE_PLAN = _plan(2)
+STOCKED_PLAN = STOCK + _plan(2, stock=True)
 
 ORACLES: dict[str, str] = {
     "dq_counts": _with(
         UNCHECKED,
-        """SELECT count(*) AS "rows", 0 AS missing_date, 0 AS missing_store_nbr,
+        """SELECT count(*) AS "rows", count(*) FILTER (WHERE trim(date) = '') AS missing_date,
+       count(*) FILTER (WHERE store_nbr IS NULL) AS missing_store_nbr,
        count(*) FILTER (WHERE trim(family) = '') AS missing_family,
-       count(*) FILTER (WHERE (event_type = 'error' AND user_id % 7 = 3)
-                           OR (event_type = 'view' AND user_id % 7 = 4)) AS invalid_date,
+       count(*) FILTER (WHERE NOT coalesce(regexp_full_match(date, '\\d{4}-\\d\\d?-\\d\\d?')
+                                           AND try_cast(date AS DATE) IS NOT NULL, false)) AS invalid_date,
        count(*) FILTER (WHERE event_type = 'purchase' AND user_id % 5 IN (1, 2, 3)) AS invalid_sales,
-       count(*) FILTER (WHERE event_type = 'click' AND user_id % 11 IN (5, 6)) AS invalid_store_nbr
+       count(*) FILTER (WHERE store_nbr IS NULL OR store_nbr IN ('0', '2.5')) AS invalid_store_nbr
 FROM f""",
     ),
     "dq_duplicates": _with(
         UNCHECKED,
-        'SELECT date, store_nbr, family, count(*) AS "rows" FROM f GROUP BY 1, 2, 3 HAVING count(*) > 1',
+        """SELECT CASE WHEN regexp_full_match(date, '\\d{4}-\\d\\d?-\\d\\d?') THEN try_cast(date AS DATE) END AS date,
+       CASE WHEN store_nbr NOT IN ('0', '2.5') THEN CAST(store_nbr AS BIGINT) END AS store_nbr,
+       trim(replace(family, chr(9), '')) AS family, count(*) AS "rows"
+FROM f GROUP BY 1, 2, 3 HAVING count(*) > 1""",
     ),
     "silver_sales": _with(
         EVENTS, "SELECT date, store_nbr, family, round(sales, 6) AS sales, onpromotion FROM f"
@@ -336,7 +342,13 @@ FROM f""",
     "family_performance": _with(EDGE, FAMILIES, FAMILY_ROWS),
     "family_performance_lineitem": _with(LINEITEM, FAMILIES, FAMILY_ROWS),
     "promotion_impact": _with(EDGE, PROMOTIONS, PROMOTION_ROWS),
-    "promotion_impact_lineitem": _with(LINEITEM, PROMOTIONS, PROMOTION_ROWS + " ORDER BY lift_pct"),
+    "promotion_impact_lineitem": _with(
+        LINEITEM,
+        PROMOTIONS,
+        PROMOTION_ROWS.replace("SELECT ", "SELECT row_number() OVER (ORDER BY promotions.lift_pct) AS position, ", 1),
+    ),
+    "promotion_impact_orders": _with(ORDERS, PROMOTIONS, PROMOTION_ROWS),
+    "demand_volatility_orders": _with(ORDERS, VOLATILITY, VOLATILITY_ROWS),
     "demand_volatility": _with(EDGE, VOLATILITY, VOLATILITY_ROWS),
     "demand_volatility_lineitem": _with(LINEITEM, VOLATILITY, VOLATILITY_ROWS),
     "kpis": _with(
@@ -346,11 +358,11 @@ FROM f""",
         + _round("total_sales", "average_daily_sales", "promoted_sales")
         + " FROM kpis",
     ),
-    "forecast": _with(EDGE, _forecast(), FORECAST_ROWS),
+    "forecast": _with(EDGE, _forecast(2), FORECAST_ROWS),
     "forecast_lineitem": _with(LINEITEM, _forecast(), FORECAST_ROWS),
     "reorder_risk": _with(EDGE, EDGE_PLAN, PLAN_ROWS),
     "reorder_risk_actual": _with(EDGE, STOCKED_PLAN, PLAN_ROWS),
-    "reorder_risk_w14": _with(EDGE, _plan(14, 5, 3, "1.28e0"), PLAN_ROWS),
+    "reorder_risk_w14": _with(EVENTS, _plan(14, 5, 3, "1.28e0"), PLAN_ROWS),
     "reorder_risk_lineitem": _with(LINEITEM, _plan(), PLAN_ROWS),
     "scenario_index": """
 SELECT l_suppkey AS store_nbr, part_text AS family,
@@ -382,8 +394,8 @@ GROUP BY 1, 2""",
     "plan_orphans": _with(
         EDGE,
         EDGE_PLAN,
-        "SELECT store_nbr, family FROM plan p WHERE NOT EXISTS "
-        "(SELECT 1 FROM f WHERE f.store_nbr = p.store_nbr AND f.family = p.family)",
+        "SELECT store_nbr, family FROM plan p WHERE (store_nbr, family) NOT IN "
+        "(SELECT (user_id % 5 + 1, event_type) FROM events)",
     ),
     "reconcile_totals": _with(
         EDGE,
@@ -392,18 +404,20 @@ GROUP BY 1, 2""",
         "(VALUES ('daily_sales'), ('weekly_sales'), ('store_performance'), ('family_performance')) m(mart)",
     ),
     "bq_store_share": _with(
-        LINEITEM,
+        EDGE,
         STORES,
         "SELECT store_nbr, observed_days, round(total_sales, 2) AS demand_volume, "
         "round(average_daily_sales, 2) AS average_daily_demand, "
-        "round(100e0 * total_sales / (SELECT sum(sales) FROM f), 1) AS volume_share_pct FROM stores",
+        "round(100e0 * total_sales / (SELECT sum(sales) FROM f), 1) AS volume_share_pct, "
+        "row_number() OVER (ORDER BY total_sales DESC, store_nbr) AS position FROM stores",
     ),
     "bq_promo_within_store": _with(
-        LINEITEM,
+        EDGE,
         """SELECT store_nbr, family, promoted_rows, nonpromoted_rows, round(promoted_mean, 6) AS promoted_mean,
        round(nonpromoted_mean, 6) AS nonpromoted_mean,
-       round((promoted_mean - nonpromoted_mean) * 100 / nullif(nonpromoted_mean, 0), 1)
-         AS descriptive_difference_pct
+       round(100e0 * (promoted_mean / nullif(nonpromoted_mean, 0) - 1), 1)
+         AS descriptive_difference_pct,
+       row_number() OVER (ORDER BY family, store_nbr) AS position
 FROM (SELECT store_nbr, family, count(*) FILTER (WHERE onpromotion > 0) AS promoted_rows,
              count(*) FILTER (WHERE onpromotion = 0) AS nonpromoted_rows,
              avg(sales) FILTER (WHERE onpromotion > 0) AS promoted_mean,
@@ -415,6 +429,14 @@ WHERE promoted_rows >= 5 AND nonpromoted_rows >= 5""",
         LINEITEM,
         VOLATILITY,
         "SELECT family, round(daily_mean, 2) AS average_daily_demand, "
+        "round(daily_std, 2) AS daily_standard_deviation, round(coefficient_of_variation, 3) AS cv, "
+        "row_number() OVER (ORDER BY coefficient_of_variation DESC NULLS LAST, family) AS position "
+        "FROM volatility",
+    ),
+    "bq_family_variability_orders": _with(
+        ORDERS,
+        VOLATILITY,
+        "SELECT family, round(daily_mean, 2) AS average_daily_demand, "
         "round(daily_std, 2) AS daily_standard_deviation, round(coefficient_of_variation, 3) AS cv "
         "FROM volatility",
     ),
@@ -423,7 +445,9 @@ WHERE promoted_rows >= 5 AND nonpromoted_rows >= 5""",
         EDGE_PLAN,
         "SELECT store_nbr, family, forecast_date, inventory_source, round(coverage, 6) AS coverage, risk, "
         "round(inventory_on_hand, 1) AS stock, round(reorder_point, 1) AS reorder_point, "
-        "round(reorder_quantity, 1) AS scenario_quantity FROM plan WHERE risk <> 'Healthy'",
+        "round(reorder_quantity, 1) AS scenario_quantity, "
+        "row_number() OVER (ORDER BY CASE risk WHEN 'Insufficient history' THEN 1 WHEN 'Reorder now' THEN 2 "
+        "WHEN 'Monitor' THEN 3 ELSE 4 END, store_nbr, family) AS position FROM plan WHERE risk <> 'Healthy'",
     ),
     "most_variable_family": _with(
         EDGE, VOLATILITY, VOLATILITY_ROWS + " ORDER BY volatility.coefficient_of_variation DESC, family LIMIT 1"
@@ -449,9 +473,9 @@ FROM (SELECT v.*, first_value(volume) OVER (PARTITION BY family ORDER BY week) A
     "risk_counts": _with(
         EDGE,
         EDGE_PLAN,
-        "SELECT c.risk, count(p.risk) AS series "
-        "FROM (VALUES ('Reorder now'), ('Monitor'), ('Healthy'), ('Overstock risk')) c(risk) "
-        "LEFT JOIN plan p ON p.risk = c.risk GROUP BY c.risk",
+        "SELECT c.risk, count(p.risk) AS series, c.position "
+        "FROM (VALUES ('Insufficient history', 1), ('Reorder now', 2), ('Monitor', 3), ('Healthy', 4), "
+        "('Overstock risk', 5)) c(risk, position) LEFT JOIN plan p ON p.risk = c.risk GROUP BY c.risk, c.position",
     ),
     "series_keys": _with(LINEITEM, "SELECT DISTINCT store_nbr, family FROM f"),
     "dim_store": _with(LINEITEM, "SELECT DISTINCT store_nbr FROM f"),
@@ -477,6 +501,7 @@ FROM (SELECT CAST(unnest(generate_series(date_trunc('year', lo),
     "store_family_cube_lineitem": _with(LINEITEM, CUBE_ROWS),
     "measures_total": _with(EDGE, DAILY, _measures("daily")),
     "measures_by_store": _with(EDGE, DAILY, _measures("daily", "store_nbr")),
+    "measures_by_weekday": _with(EDGE, DAILY, _measures("daily", "weekday_number, day_type")),
     "measures_filtered": _with(
         EDGE,
         DAILY,
@@ -503,9 +528,9 @@ FROM (SELECT CAST(unnest(generate_series(date_trunc('year', lo),
     ),
     "page_daily": _with(EDGE, "SELECT date, round(sum(sales), 6) AS total_demand FROM f GROUP BY date"),
     "top_families": _with(
-        LINEITEM,
-        "SELECT family, round(sum(sales), 6) AS total_demand FROM f GROUP BY family "
-        "ORDER BY sum(sales) DESC, family LIMIT 10",
+        ORDERS,
+        "SELECT family, round(total, 6) AS total_demand, row_number() OVER (ORDER BY total DESC, family) AS position "
+        "FROM (SELECT family, sum(sales) AS total FROM f GROUP BY family ORDER BY total DESC, family LIMIT 10) t",
     ),
     "weekly_top_families": _with(
         EDGE,
@@ -519,7 +544,8 @@ FROM (SELECT CAST(unnest(generate_series(date_trunc('year', lo),
         EDGE,
         DAILY,
         STAR,
-        "SELECT weekday_number, weekday, round(sum(sales) / count(DISTINCT date), 6) AS average_daily_demand "
+        "SELECT weekday_number, weekday, round(sum(sales) / count(DISTINCT date), 6) AS average_daily_demand, "
+        "row_number() OVER (ORDER BY weekday_number) AS position "
         "FROM star GROUP BY weekday_number, weekday",
     ),
     "page_day_type": _with(
@@ -529,7 +555,9 @@ FROM (SELECT CAST(unnest(generate_series(date_trunc('year', lo),
         "FROM daily GROUP BY day_type",
     ),
     "page_store": _with(
-        LINEITEM, "SELECT store_nbr, round(sum(sales), 6) AS total_demand FROM f GROUP BY store_nbr"
+        EDGE,
+        "SELECT store_nbr, round(sum(sales), 6) AS total_demand, "
+        "row_number() OVER (ORDER BY sum(sales) DESC, store_nbr) AS position FROM f GROUP BY store_nbr",
     ),
     "page_promo": _with(
         EDGE,
@@ -539,6 +567,14 @@ FROM (SELECT CAST(unnest(generate_series(date_trunc('year', lo),
         "round((promoted_average - nonpromoted_average) / nullif(nonpromoted_average, 0), 6) AS promotion_lift, "
         "promoted_rows AS promoted_row_count, nonpromoted_rows AS nonpromoted_row_count FROM promotions",
     ),
+    "page_promo_orders": _with(
+        ORDERS,
+        PROMOTIONS,
+        "SELECT family, round(promoted_average, 6) AS average_promoted_row_demand, "
+        "round(nonpromoted_average, 6) AS average_nonpromoted_row_demand, "
+        "round((promoted_average - nonpromoted_average) / nullif(nonpromoted_average, 0), 6) AS promotion_lift, "
+        "promoted_rows AS promoted_row_count, nonpromoted_rows AS nonpromoted_row_count FROM promotions",
+    ),
     "page_risk": _with(
         EDGE,
         STOCKED_PLAN,
@@ -551,6 +587,14 @@ FROM (SELECT CAST(unnest(generate_series(date_trunc('year', lo),
         + PLAN_ROWS
         + ") detail",
     ),
+    "page_plan_filtered": _with(
+        EDGE,
+        STOCKED_PLAN,
+        "SELECT * EXCLUDE (observed_days, last_observed_date, expected_lead_time_demand) FROM ("
+        + PLAN_ROWS
+        + ") detail WHERE family IN ('click', 'view') AND inventory_source = 'Simulated scenario' "
+        "AND risk IN ('Insufficient history', 'Reorder now')",
+    ),
     "run_report": _with(
         EDGE, EDGE_PLAN, KPIS, REPORT, "SELECT CAST(to_json(report) AS VARCHAR) AS report_json FROM report"
     ),

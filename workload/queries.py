@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from shelfcast.config import PlanningConfig
 from shelfcast.functions.columns import display_round
@@ -22,6 +22,8 @@ from workload import facts
 Query = Callable[[SparkSession, str], DataFrame]
 
 DEFAULT = PlanningConfig()
+# Few users have events on many days in a row: two days keep all five risk classes in the plan.
+SPARSE = PlanningConfig(window_days=2)
 TWO_WEEKS = PlanningConfig(window_days=14, lead_time_days=5, review_days=3, z_score=1.28)
 ONE_WEEK = PlanningConfig(window_days=7)
 SELECTION = {
@@ -38,13 +40,42 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({name: display_round(F.col(name), digits) for name in doubles})
 
 
+def positioned(ordered: DataFrame) -> DataFrame:
+    """Add each row's place, from 1, in the order in which an operator returned its rows."""
+    placed = cut_lineage(ordered.withColumn("slot", F.monotonically_increasing_id()))
+    part = F.shiftright("slot", 33)
+    before = Window.orderBy("slot_partition").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(part.alias("slot_partition")).agg(F.count("*").alias("partition_rows")).select(
+        "slot_partition", F.coalesce(F.sum("partition_rows").over(before), F.lit(0)).alias("rows_before")
+    )
+    within = F.col("slot").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        placed.withColumn("slot_partition", part)
+        .join(F.broadcast(offsets), "slot_partition")  # a row per partition
+        .withColumn("position", F.col("rows_before") + within + 1)
+        .drop("slot", "slot_partition", "rows_before")
+    )
+
+
 def _daily(fact: Callable[[SparkSession, str], DataFrame]) -> Query:
     return lambda spark, sf_dir: marts.daily_sales(fact(spark, sf_dir))
 
 
+def shared(query: Query) -> Query:
+    """The query's rows written once, for results that read them more than once."""
+    return lambda spark, sf_dir: cut_lineage(query(spark, sf_dir))
+
+
+# Facts are grouped from raw tables; what reads one more than once starts from its written rows.
+edge_once = shared(facts.edge_fact)
+events_once = shared(facts.events_fact)
+lineitem_once = shared(facts.lineitem_fact)
 events_daily = _daily(facts.events_fact)
 edge_daily = _daily(facts.edge_fact)
+edge_daily_once = _daily(edge_once)
 lineitem_daily = _daily(facts.lineitem_fact)
+lineitem_daily_once = _daily(lineitem_once)
+orders_daily = _daily(facts.orders_fact)
 
 
 def _mart(daily: Query, mart: Callable[[DataFrame], DataFrame]) -> Query:
@@ -59,29 +90,17 @@ def _store_mart(daily: Query, mart: Callable[[DataFrame], DataFrame]) -> Query:
     return _mart(daily, lambda rows: mart(marts.store_days(rows)))
 
 
-def shared(query: Query) -> Query:
-    """The query's rows written once, for results that read them more than once."""
-    return lambda spark, sf_dir: cut_lineage(query(spark, sf_dir))
-
-
-edge_once = shared(facts.edge_fact)
-events_once = shared(facts.events_fact)
-# Planning reads a fact twice, for its newest date and for its rows; here each reading
-# would repeat two joins.
-lineitem_once = shared(facts.lineitem_fact)
-
-
 def _plan(fact: DataFrame, config: PlanningConfig, snapshot: DataFrame | None = None) -> DataFrame:
     return planning.plan_inventory(forecast.forecast_demand(fact, config), config, snapshot)
 
 
 def edge_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(facts.edge_fact(spark, sf_dir), DEFAULT)
+    return _plan(edge_once(spark, sf_dir), SPARSE)
 
 
 def stocked_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = edge_once(spark, sf_dir)
-    return _plan(fact, DEFAULT, facts.stock_snapshot(fact))
+    return _plan(fact, SPARSE, facts.stock_snapshot(fact))
 
 
 def lineitem_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +109,7 @@ def lineitem_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weekly_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: seven-day plan of the events fact."""
-    return rounded(_plan(facts.events_fact(spark, sf_dir), ONE_WEEK))
+    return rounded(_plan(events_once(spark, sf_dir), ONE_WEEK))
 
 
 # --- validation -----------------------------------------------------------------------
@@ -101,12 +120,13 @@ def dq_counts(spark, sf_dir):
 
 
 def dq_duplicates(spark, sf_dir):
-    rows = facts.unchecked_rows(spark, sf_dir)
+    """Repeated keys after typing: padded and untyped texts of one key are the same key."""
+    rows = quality.typed_table(facts.unchecked_rows(spark, sf_dir), SALES)
     return quality.duplicate_keys(rows, GRAIN)
 
 
 def silver_sales(spark, sf_dir):
-    rows = facts.text_rows(facts.events_fact(spark, sf_dir))
+    rows = facts.text_rows(events_once(spark, sf_dir))
     return rounded(quality.validate_sales(rows))
 
 
@@ -116,8 +136,8 @@ def daily_sales_unknown_promo(spark, sf_dir):
 
 
 def plan_orphans(spark, sf_dir):
-    fact = edge_once(spark, sf_dir)
-    return quality.orphan_series(_plan(fact, DEFAULT), fact)
+    """Series of the users' plan that the dense fact of five stores does not have."""
+    return quality.orphan_series(edge_plan(spark, sf_dir), facts.events_fact(spark, sf_dir))
 
 
 def reconcile_totals(spark, sf_dir):
@@ -144,7 +164,7 @@ def _rounded(query: Query) -> Query:
 
 
 def reorder_risk_w14(spark, sf_dir):
-    return rounded(_plan(facts.edge_fact(spark, sf_dir), TWO_WEEKS))
+    return rounded(_plan(events_once(spark, sf_dir), TWO_WEEKS))
 
 
 def scenario_index(spark, sf_dir):
@@ -182,7 +202,7 @@ def _advice(fact, config: PlanningConfig, snapshot=None) -> Query:
 
 
 def recommendations_scope(spark, sf_dir):
-    suggestions = _advice(facts.edge_fact, DEFAULT)(spark, sf_dir)
+    suggestions = _advice(facts.edge_fact, SPARSE)(spark, sf_dir)
     return advice.with_scope_text(suggestions, "Store 1")
 
 
@@ -199,19 +219,23 @@ def _volatility(daily: Query) -> Query:
 
 
 def bq_store_share(spark, sf_dir):
-    return questions.store_share(_stores(lineitem_daily)(spark, sf_dir))
+    return positioned(questions.store_share(_stores(edge_daily)(spark, sf_dir)))
 
 
 def bq_promo_within_store(spark, sf_dir):
-    return rounded(questions.promotion_within_store(lineitem_daily(spark, sf_dir)))
+    return positioned(rounded(questions.promotion_within_store(edge_daily(spark, sf_dir))))
 
 
 def bq_family_variability(spark, sf_dir):
-    return questions.family_variability(_volatility(lineitem_daily)(spark, sf_dir))
+    return positioned(questions.family_variability(_volatility(lineitem_daily)(spark, sf_dir)))
+
+
+def bq_family_variability_orders(spark, sf_dir):
+    return questions.family_variability(_volatility(orders_daily)(spark, sf_dir))
 
 
 def bq_review_queue(spark, sf_dir):
-    return rounded(questions.review_queue(edge_plan(spark, sf_dir)))
+    return positioned(rounded(questions.review_queue(edge_plan(spark, sf_dir))))
 
 
 def most_variable_family(spark, sf_dir):
@@ -239,15 +263,14 @@ def weekly_trend_index(spark, sf_dir):
 
 
 def risk_counts(spark, sf_dir):
-    return planning.risk_counts(edge_plan(spark, sf_dir), strict=False)
+    return positioned(planning.risk_counts(edge_plan(spark, sf_dir)))
 
 
 # --- star model, measures and pages ---------------------------------------------------
 
 
 def _lookups(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Store and family lookups, written once: they are measured before they are joined."""
-    return cut_lineage(star.dim_store(daily)), cut_lineage(star.dim_family(daily))
+    return star.dim_store(daily), star.dim_family(daily)
 
 
 def _star(spark, sf_dir):
@@ -261,7 +284,7 @@ def star_demand(spark, sf_dir):
 
 def star_plan(spark, sf_dir):
     sales = edge_once(spark, sf_dir)
-    plan = _plan(sales, DEFAULT, facts.stock_snapshot(sales))
+    plan = _plan(sales, SPARSE, facts.stock_snapshot(sales))
     return rounded(star.star_plan(plan, *_lookups(sales)))
 
 
@@ -286,20 +309,33 @@ def weekly_top_families(spark, sf_dir):
 
 
 def page_weekday(spark, sf_dir):
-    return rounded(pages.weekday_demand(_star(spark, sf_dir)))
+    return positioned(rounded(pages.weekday_demand(_star(spark, sf_dir))))
 
 
 def page_risk(spark, sf_dir):
     return pages.risk_series(stocked_plan(spark, sf_dir), stores=[1, 3, 4])
 
 
+def page_plan_filtered(spark, sf_dir):
+    return rounded(pages.planning_detail(
+        stocked_plan(spark, sf_dir), families=["click", "view"],
+        risks=[planning.INSUFFICIENT, planning.REORDER], sources=[planning.SIMULATED],
+    ))
+
+
+def _ordered(query: Query) -> Query:
+    return lambda spark, sf_dir: positioned(query(spark, sf_dir))
+
+
 # --- run report -----------------------------------------------------------------------
 
 
 def run_report(spark, sf_dir):
     sales = edge_once(spark, sf_dir)
-    plan = _plan(sales, DEFAULT)
-    return report.run_report(sales, plan, rounded(marts.kpis(sales)), DEFAULT, "raw", ["checked"])
+    daily = marts.daily_sales(sales)
+    by_store_day, by_family_day = cut_lineage(marts.store_days(daily)), cut_lineage(marts.family_days(daily))
+    totals = rounded(marts.run_totals(by_store_day, by_family_day))
+    return report.run_report(by_family_day, _plan(sales, SPARSE), totals, SPARSE, "raw", ["checked"])
 
 
 def quality_summary(spark, sf_dir):
@@ -316,7 +352,7 @@ def overview_kpis(spark, sf_dir):
     return report.overview_kpis(
         marts.family_performance(marts.family_days(daily)),
         marts.store_performance(marts.store_days(daily)),
-        _plan(sales, DEFAULT),
+        _plan(sales, SPARSE),
     )
 
 
@@ -334,13 +370,15 @@ REGISTRY: dict[str, Query] = {
     "family_performance": _family_mart(edge_daily, marts.family_performance),
     "family_performance_lineitem": _family_mart(lineitem_daily, marts.family_performance),
     "promotion_impact": _family_mart(edge_daily, marts.promotion_impact),
-    "promotion_impact_lineitem": _family_mart(
+    "promotion_impact_lineitem": _ordered(_family_mart(
         lineitem_daily, lambda days: marts.promotion_impact(days).orderBy("lift_pct")
-    ),
+    )),
+    "promotion_impact_orders": _family_mart(orders_daily, marts.promotion_impact),
     "demand_volatility": _family_mart(edge_daily, marts.demand_volatility),
     "demand_volatility_lineitem": _family_mart(lineitem_daily, marts.demand_volatility),
-    "kpis": lambda spark, sf_dir: rounded(marts.kpis(facts.edge_fact(spark, sf_dir))),
-    "forecast": _forecast(facts.edge_fact, DEFAULT),
+    "demand_volatility_orders": _family_mart(orders_daily, marts.demand_volatility),
+    "kpis": lambda spark, sf_dir: rounded(marts.kpis(edge_once(spark, sf_dir))),
+    "forecast": _forecast(edge_once, SPARSE),
     "forecast_lineitem": _forecast(lineitem_once, DEFAULT),
     "reorder_risk": _rounded(edge_plan),
     "reorder_risk_actual": _rounded(stocked_plan),
@@ -348,7 +386,7 @@ REGISTRY: dict[str, Query] = {
     "reorder_risk_lineitem": _rounded(lineitem_plan),
     "scenario_index": scenario_index,
     "risk_boundaries": risk_boundaries,
-    "recommendations": _advice(facts.edge_fact, DEFAULT, facts.stock_snapshot),
+    "recommendations": _advice(facts.edge_fact, SPARSE, facts.stock_snapshot),
     "recommendations_lineitem": _advice(facts.lineitem_fact, DEFAULT),
     "recommendations_scope": recommendations_scope,
     "plan_orphans": plan_orphans,
@@ -356,6 +394,7 @@ REGISTRY: dict[str, Query] = {
     "bq_store_share": bq_store_share,
     "bq_promo_within_store": bq_promo_within_store,
     "bq_family_variability": bq_family_variability,
+    "bq_family_variability_orders": bq_family_variability_orders,
     "bq_review_queue": bq_review_queue,
     "most_variable_family": most_variable_family,
     "top_store_share": top_store_share,
@@ -368,27 +407,30 @@ REGISTRY: dict[str, Query] = {
     "dim_date": lambda spark, sf_dir: star.dim_date(lineitem_daily(spark, sf_dir)),
     "star_demand": star_demand,
     "star_plan": star_plan,
-    "store_family_cube": _mart(_daily(edge_once), measures.store_family_matrix),
-    "store_family_cube_lineitem": _mart(_daily(lineitem_once), measures.store_family_matrix),
-    "measures_total": _measures(edge_daily),
-    "measures_by_store": _measures(edge_daily, "store_nbr"),
-    "measures_filtered": _measures(edge_daily, "family", **SELECTION),
-    "measures_lineitem": _measures(lineitem_daily, "family"),
+    "store_family_cube": _mart(edge_daily_once, measures.store_family_matrix),
+    "store_family_cube_lineitem": _mart(lineitem_daily_once, measures.store_family_matrix),
+    "measures_total": _measures(edge_daily_once),
+    "measures_by_store": _measures(edge_daily_once, "store_nbr"),
+    "measures_by_weekday": _measures(edge_daily_once, "weekday_number", "day_type"),
+    "measures_filtered": _measures(edge_daily_once, "family", **SELECTION),
+    "measures_lineitem": _measures(lineitem_daily_once, "family"),
     "avg_volatility": avg_volatility,
     "plan_measures_total": _plan_measures(),
     "plan_measures_by_store": _plan_measures("store_nbr"),
     "plan_measures_filtered": _plan_measures("family", stores=[1, 2], sources=[planning.PROVIDED]),
     "page_daily": _mart(edge_daily, pages.daily_demand),
-    "top_families": _mart(lineitem_daily, pages.top_families),
+    "top_families": _ordered(_mart(orders_daily, pages.top_families)),
     "weekly_top_families": weekly_top_families,
     "page_weekday": page_weekday,
-    "page_day_type": _mart(edge_daily, pages.day_type_demand),
-    "page_store": _mart(lineitem_daily, pages.store_demand),
+    "page_day_type": _mart(edge_daily_once, pages.day_type_demand),
+    "page_store": _ordered(_mart(edge_daily, pages.store_demand)),
     "page_promo": _mart(edge_daily, pages.family_promotion),
+    "page_promo_orders": _mart(orders_daily, pages.family_promotion),
     "page_risk": page_risk,
     "page_plan_detail": lambda spark, sf_dir: rounded(
         pages.planning_detail(stocked_plan(spark, sf_dir))
     ),
+    "page_plan_filtered": page_plan_filtered,
     "run_report": run_report,
     "quality_summary": quality_summary,
     "report_labels": report_labels,
