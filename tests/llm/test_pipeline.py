@@ -76,10 +76,24 @@ def test_all_tokens_are_packed(kept):
     assert placed_bins(kept["packing"]) == one_by_one([r.tokens for r in kept["packing"]], corpus_pipeline.pack_documents.__defaults__[0])
 
 
-def test_run_is_the_stages_in_order(spark, kept):
+def test_run_applies_the_stages_in_order(spark, monkeypatch):
+    """Each stage gets what the one before has written, read again from Parquet."""
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_dedup", "decontamination", "secret_scan", "packing"]
-    assert sorted(map(tuple, corpus_pipeline.run(spark, FOLDER).collect())) == sorted(map(tuple, kept["packing"]))
+    seen = []
+
+    def stage(number):
+        def step(session, docs, folder):
+            seen.append((number, docs.count(), folder, "FileScan" in docs._jdf.queryExecution().executedPlan().toString()))
+            return docs.where(f"doc_id % {number + 2} <> 0")
+        return step
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(i), stage(i)) for i in range(4)])
+    small = "/root/testdata/sf0.001"
+    ids = {r.doc_id for r in corpus_pipeline.run(spark, small).collect()}
+    assert ids == {i for i in range(200) if all(i % k for k in (2, 3, 4, 5))}
+    assert [x[0] for x in seen] == [0, 1, 2, 3] and all(x[2:] == (small, True) for x in seen)
+    assert [x[1] for x in seen[:2]] == [200, 100]
 
 
 @pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
