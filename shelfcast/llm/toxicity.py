@@ -24,11 +24,12 @@ _WEIGHTS = "index int, weight double"
 @dataclass(frozen=True)
 class FtrlConfig:
     bits: int = 20  # 2**bits weights at most
-    alpha: float = 1.0
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 4.0
+    l1: float = 8.0
     l2: float = 0.05
     epochs: int = 2
+    positive_weight: float = 2.0  # of an example with label 1: toxic documents are rare
     max_rows: int = 16_000  # labelled documents the model is fitted on
 
     @property
@@ -93,6 +94,7 @@ def ftrl(examples: Iterator[tuple[np.ndarray, int]], config: FtrlConfig) -> tupl
         at = np.append(indices, config.bias_index)
         w, reach = weights(at)
         gradient = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35.0, 35.0))) - label
+        gradient *= config.positive_weight if label else 1.0
         grown = n[at] + gradient * gradient
         z[at] += gradient - (np.sqrt(grown) - reach) / config.alpha * w
         n[at] = grown

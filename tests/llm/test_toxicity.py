@@ -53,7 +53,7 @@ def test_updates_follow_the_published_rule():
     for indices, label in examples:
         at = [*indices.tolist(), 16]
         w = {i: weight(i) for i in at}
-        g = 1 / (1 + math.exp(-sum(w.values()))) - label
+        g = (1 / (1 + math.exp(-sum(w.values()))) - label) * (config.positive_weight if label else 1)
         for i in at:
             sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / config.alpha
             z[i] += g - sigma * w[i]
