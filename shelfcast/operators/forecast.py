@@ -2,30 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.config import PlanningConfig
 from shelfcast.schemas import SERIES
 
 
-def latest_date(sales: DataFrame) -> Column:
-    """The newest date of the whole fact, as a scalar subquery over the date column alone."""
-    return sales.agg(F.max("date")).scalar()
-
-
 def forecast_demand(
     sales: DataFrame, config: PlanningConfig, series: DataFrame | None = None
 ) -> DataFrame:
     """Mean, spread and coverage over the last ``window_days`` calendar days.
 
-    Only the window is read for the statistics: its first day is a scalar subquery whose value
-    is pushed to the scan. ``series`` lists the series to report, for instance the weekly mart;
+    Calling this reads the newest date, from the date column alone. Only the window is then read
+    for the statistics: its first day is a literal that reaches the scan. ``series`` lists the series to report, for instance the weekly mart;
     without it they are read from the two key columns of the fact. A series without a recent
     row keeps its row with count 0 and null statistics. The grain is one row per date and
     series, hence counting rows counts distinct days.
     """
-    as_of = latest_date(sales)
-    first_day = sales.agg(F.date_sub(F.max("date"), config.window_days - 1)).scalar()
+    as_of = F.lit(sales.agg(F.max("date")).first()[0]).cast("date")
+    first_day = F.date_sub(as_of, config.window_days - 1)
     keys = (sales if series is None else series).select(*SERIES).distinct()
     recent = (
         sales.select("date", *SERIES, "sales")

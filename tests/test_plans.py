@@ -73,7 +73,7 @@ def test_forecast_reads_only_its_window(spark, tmp_path):
     assert len(wide) == 1 and "GreaterThanOrEqual(date" in wide[0].split("PushedFilters")[1]
     keys = [line for line in scans if "store_nbr#" in line and "sales#" not in line]
     assert len(keys) == 1 and "date#" not in keys[0].split("]")[0]
-    assert all("struct<date:date>" in line for line in scans if line not in (*wide, *keys))
+    assert len(scans) == 2
 
 
 def test_date_and_store_filters_reach_the_scan(spark, tmp_path, sales):
