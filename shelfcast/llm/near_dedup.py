@@ -317,8 +317,8 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     all stay, as do empty ones.
     """
     kept = near_duplicates(docs, **options).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionAll(docs.where("doc_id IS NULL").select(named.columns)).select(docs.columns)
+    named = docs.join(kept, docs["doc_id"] == kept["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    return named.unionAll(docs.where(docs["doc_id"].isNull()))
 
 
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:
