@@ -33,6 +33,7 @@ BAND_SLOTS = SLOTS // BANDS
 _SEED = 20240229
 _GROUP = 1024  # blocks walked side by side
 _FAR = np.int64(1) << 40
+_SLICE = 256  # steps of unbroken walks taken at a time, a divisor of STEPS
 
 _PAIRED = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -125,6 +126,80 @@ def _walk(coin_class: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.n
     return out
 
 
+def _prepared(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """(characters per text, their ends, byte shown at each place, coin class of each place)."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = np.cumsum(sizes)
+    coin_class = (wh.mix(code.astype(np.uint64), 3) & np.uint64(255)).astype(np.uint8)
+    return sizes, ends, _grams(code, ends), coin_class
+
+
+def _unbroken(coin_class: np.ndarray, start: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(first step, (_SLICE, texts) places) until every walk is through. Lengths fall, and a
+    slice holds the texts whose walks reach it. Coins of later rounds of STEPS are permuted."""
+    at, end = start.astype(np.int32), (start + length).astype(np.int32)
+    for first in range(0, 2 * int(length.max(initial=0)), _SLICE):
+        live = int(np.searchsorted(-2 * length, -first))
+        at, end = at[:live], end[:live]
+        turn, row = divmod(first, STEPS)
+        salt = int(wh.mix(np.array([turn], dtype=np.uint64), 7)[0]) & 255 if turn else 0
+        coins = _COINS[row : row + _SLICE, np.arange(256) ^ salt]
+        out = np.empty((_SLICE, live), dtype=np.int32)
+        classes, moved = np.empty(live, dtype=np.uint8), np.empty(live, dtype=np.uint8)
+        for step in range(_SLICE):
+            out[step] = at
+            np.take(coin_class, at, out=classes, mode="clip")
+            np.take(coins[step], classes, out=moved, mode="clip")
+            np.add(at, moved, out=at)
+            np.minimum(at, end, out=at)
+        yield first, out
+
+
+def unbroken_bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """As fingerprint_bytes, of walks that do not restart."""
+    sizes, ends, shown, coin_class = _prepared(texts)
+    steps = sampled_steps(sizes)
+    out = np.zeros(steps.shape, dtype=np.uint8)
+    by_length = np.argsort(-sizes, kind="stable")
+    for low in range(0, len(texts), _GROUP):
+        group = by_length[low : low + _GROUP]
+        group = group[sizes[group] > 0]
+        wanted = steps[group].reshape(-1)
+        order = np.argsort(wanted, kind="stable")
+        edges = np.searchsorted(wanted[order], np.arange(0, 2 * int(sizes[group].max(initial=0)) + _SLICE, _SLICE))
+        found = np.zeros(len(wanted), dtype=np.uint8)
+        for first, places in _unbroken(coin_class, (ends - sizes)[group], sizes[group]):
+            k = first // _SLICE
+            mine = order[edges[k] : edges[k + 1]]
+            at = places[wanted[mine] - first, mine // SLOTS]
+            found[mine] = np.where(at < ends[group][mine // SLOTS], shown[np.minimum(at, len(shown) - 1)], 0)
+        out[group] = found.reshape(-1, SLOTS)
+    return sizes, out
+
+
+def walk_likeness(texts: list[str], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Share of steps at which the unbroken walks of texts[left] and texts[right] show the same,
+    of the steps of the longer one; 1 for equal texts."""
+    sizes, ends, shown, coin_class = _prepared(texts)
+    by_length = np.argsort(-sizes, kind="stable")
+    place = np.empty(len(texts), dtype=np.int64)
+    place[by_length] = np.arange(len(texts))
+    a, b = place[left], place[right]
+    common, most = 2 * np.minimum(sizes[left], sizes[right]), 2 * np.maximum(sizes[left], sizes[right])
+    equal = np.zeros(len(left), dtype=np.int64)
+    end = ends[by_length]
+    for first, places in _unbroken(coin_class, (ends - sizes)[by_length], sizes[by_length]):
+        reached = np.flatnonzero(common > first)
+        if not len(reached):
+            break
+        seen = np.where(places < end[: places.shape[1]], shown[np.minimum(places, len(shown) - 1)], np.uint8(0)).T
+        same = seen[a[reached]] == seen[b[reached]]
+        same &= np.arange(_SLICE) < (common[reached] - first)[:, None]
+        equal[reached] += same.sum(axis=1)
+    return np.where(most > 0, equal / np.maximum(most, 1), 1.0)
+
+
 def encode(n_chars: int, sampled: np.ndarray) -> str:
     """The number of characters and the sampled bytes, in hexadecimal digits."""
     return f"{n_chars:010x}{sampled.tobytes().hex()}"
