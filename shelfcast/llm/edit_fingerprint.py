@@ -10,6 +10,10 @@ A fingerprint samples ``SLOTS`` steps of the walk. A slot has one random sequenc
 all documents, and samples the last of them that lies within the walk: that is a uniform step
 of a text of any length, and texts of nearly the same length sample nearly the same steps. The
 share of slots that agree estimates the Hamming likeness. Bands of slots give candidate pairs.
+
+A restart loses what an earlier insertion or deletion has shifted, so links between documents
+use walks without restarts (``unbroken_bytes``, the same for texts up to ``BLOCK``). Candidates
+are compared by samples, then confirmed on every step of both walks.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfcast.llm import words as wh
+from shelfcast.llm.graph import components
+from shelfcast.llm.near_dedup import STAR_ROUNDS, _star_edges, _untested
 from shelfcast.session import cut_lineage
 
 SLOTS = 128
@@ -34,6 +40,11 @@ _SEED = 20240229
 _GROUP = 1024  # blocks walked side by side
 _FAR = np.int64(1) << 40
 _SLICE = 256  # steps of unbroken walks taken at a time, a divisor of STEPS
+#: Members of a bucket that one task of the exact round compares with as many others.
+CHUNK = 4096
+#: Standard deviations below the threshold at which samples are still confirmed on full walks.
+REACH = 5.0
+_PAIRS = 2048  # pairs confirmed at a time
 
 _PAIRED = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -321,53 +332,214 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return rows.where("role = 'done'").select(*RESULT).unionAll(tails.mapInArrow(_finish, schema))
 
 
+def _cells(n: np.ndarray, sampled: np.ndarray) -> np.ndarray:
+    """Sampled step and byte of each slot as one number."""
+    return sampled_steps(n) * 256 + sampled
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
         n, sampled = decode(batch.column("fingerprint").to_pylist())
-        cell = wh.mix(sampled_steps(n).astype(np.uint64) * np.uint64(256) + sampled, 6)
+        cell = wh.mix(_cells(n, sampled).astype(np.uint64), 6)
         grouped = cell.reshape(len(n), BANDS, BAND_SLOTS) * wh.powers(wh._BASE, BAND_SLOTS + 1)[1:]
         keys = wh.mix(grouped.sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
         offsets = pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))],
-            names=["doc_id", "keys"],
+            [batch.column("rep"), pa.array(n), batch.column("fingerprint"),
+             pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))],
+            names=["rep", "n", "fingerprint", "bands"],
         )
 
 
-def _verify(least: float):
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (decode(batch.column(c).to_pylist()) for c in ("print_a", "print_b"))
-            value = likeness(*a, *b)
-            near = pa.array(value >= least)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(near), batch.column("b").filter(near), pa.array(value).filter(near)],
-                names=["a", "b", "likeness"],
+def _sampled_test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b = (decode(batch.column(c).to_pylist()) for c in ("print_a", "print_b"))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(likeness(*a, *b))], names=["a", "b", "likeness"]
+        )
+
+
+def _walk_test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows arrive sorted by ``a``, whose text is walked once per run of rows."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _PAIRS):
+            for piece in wh.slices(batch.slice(start, _PAIRS), "text_b"):
+                a = piece.column("a").to_pylist()
+                leads = np.array([k == 0 or x != a[k - 1] for k, x in enumerate(a)])
+                hubs = piece.column("text_a").take(pa.array(np.flatnonzero(leads))).to_pylist()
+                value = walk_likeness(
+                    hubs + piece.column("text_b").to_pylist(), np.cumsum(leads) - 1, len(hubs) + np.arange(len(a))
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("a"), piece.column("b"), pa.array(value)], names=["a", "b", "likeness"]
+                )
+
+
+def _chunk_search(kind: pa.DataType, bound: float, percent: float):
+    def search(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        col = {c: table.column(c).to_numpy() for c in ("band", "i", "j", "chunk", "rep", "n", "component", "main")}
+        bands = np.stack(table.column("bands").to_numpy())
+        cells = _cells(*decode(table.column("fingerprint").to_pylist()))
+        outside = col["component"] != col["main"]
+        left = np.flatnonzero(col["chunk"] == col["i"][0])
+        right = np.flatnonzero(col["chunk"] == col["j"][0])
+        found = []
+        for start in range(0, len(left), 64):
+            x = left[start : start + 64]
+            n_x, n_y = col["n"][x][:, None], col["n"][right]
+            possible = (
+                (col["component"][x][:, None] != col["component"][right])
+                & (outside[x][:, None] | outside[right])
+                & (100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y))
             )
+            if col["i"][0] == col["j"][0]:
+                possible &= col["rep"][x][:, None] < col["rep"][right]
+            p, q = np.nonzero(possible)
+            for at in range(0, len(p), 10_000):
+                a, b = x[p[at : at + 10_000]], right[q[at : at + 10_000]]
+                near = (cells[a] == cells[b]).mean(axis=1) >= bound
+                a, b = a[near], b[near]
+                # A pair is taken in the first of the buckets that it shares.
+                here = bands[a, (bands[a] == bands[b]).argmax(axis=1)] == col["band"][0]
+                found += zip(col["rep"][a[here]].tolist(), col["rep"][b[here]].tolist())
+        return pa.table({"a": pa.array([min(f) for f in found], kind), "b": pa.array([max(f) for f in found], kind)})
+
+    return search
+
+
+def _rest_edges(members: DataFrame, prints: DataFrame, tested: DataFrame, bound: float, percent: float) -> DataFrame:
+    """Every pair of a bucket in different components whose samples may reach the threshold.
+    Buckets of several components are compared in pairs of chunks, each a group of its own."""
+    sizes = members.groupBy("band", "component").agg(F.count("*").alias("size"))
+    hubs = sizes.groupBy("band").agg(
+        F.max(F.struct("size", "component")).getField("component").alias("main"),
+        F.count("*").alias("components"), F.ceil(F.sum("size") / CHUNK).cast("long").alias("chunks"),
+    ).where("components > 1").select("band", "main", "chunks")
+    blocks = (
+        members.join(hubs, "band").withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+        .select("band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
+                "chunk", "rep", "n", "component", "main")
+    )
+    kind = members.schema["rep"].dataType.simpleString()
+    arrow = pa.string() if kind == "string" else pa.int64()
+    pairs = blocks.join(prints.select("rep", "fingerprint", "bands"), "rep").groupBy("band", "i", "j").applyInArrow(
+        _chunk_search(arrow, bound, percent), f"a {kind}, b {kind}"
+    )
+    return _untested(pairs, tested)
+
+
+def _confirmed(edges: DataFrame, prints: DataFrame, texts: DataFrame | None, least: float, bound: float) -> DataFrame:
+    """(a, b, likeness, linked) of candidate edges: by samples, and with ``texts`` those that
+    reach ``bound`` on the whole walks."""
+    kind = edges.schema["a"].dataType.simpleString()
+    result = f"a {kind}, b {kind}, likeness double"
+    one, two = (prints.select(F.col("rep").alias(c), F.col("fingerprint").alias(f"print_{c}")) for c in "ab")
+    seen = cut_lineage(edges.join(one, "a").join(two, "b").mapInArrow(_sampled_test, result))
+    if texts is None:
+        return seen.withColumn("linked", F.col("likeness") >= least)
+    left, right = (texts.select(F.col("rep").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+    pairs = seen.where(F.col("likeness") >= bound).select("a", "b").join(right, "b").join(left, "a")
+    walked = pairs.select("a", "b", "text_a", "text_b").sortWithinPartitions("a").mapInArrow(_walk_test, result)
+    return cut_lineage(
+        walked.withColumn("linked", F.col("likeness") >= least)
+        .unionAll(seen.where(F.col("likeness") < bound).withColumn("linked", F.lit(False)))
+    )
 
-    return verify
+
+def _link_search(classes: DataFrame, least: float, docs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b, likeness) between classes(rep, fingerprint) that share a band, and their
+    components (node, component). ``docs(rep, text)`` has the texts to confirm links on.
+
+    Members of a bucket are tried against hubs first; then all members of a bucket that are
+    still in different components are compared. Links within a component may be left out.
+    """
+    kind = classes.schema["rep"].dataType.simpleString()
+    prints = cut_lineage(
+        classes.mapInArrow(_bands, f"rep {kind}, n bigint, fingerprint string, bands array<bigint>")
+    )
+    reps = prints.select("rep", "n", F.explode("bands").alias("band"))
+    crowded = reps.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    shared = cut_lineage(reps.join(crowded, "band"))
+    buckets = shared.join(shared.groupBy("rep").agg(F.sum("size").alias("crowd")), "rep").drop("size")
+    texts, bound, percent = None, least, 0.0  # samples of texts of any lengths may agree
+    if docs is not None:
+        bound, percent = least - REACH * np.sqrt(least * (1 - least) / SLOTS), 100 * least
+        involved = docs.join(buckets.select("rep").distinct(), "rep", "left_semi")
+        texts = cut_lineage(involved.groupBy("rep").agg(F.min("text").alias("text")))
+    tested, found = None, None
+    members = buckets.withColumn("component", F.col("rep"))
+    for turn in range(STAR_ROUNDS + 1):
+        if turn < STAR_ROUNDS:
+            edges = _star_edges(members, tested, turn, percent)
+        else:
+            edges = _rest_edges(members, prints, tested, bound, percent)
+        fresh = _confirmed(edges, prints, texts, least, bound)
+        tested = fresh if tested is None else tested.unionAll(fresh)
+        if found is not None and fresh.where("linked").isEmpty():
+            continue
+        found = components(tested.where("linked").select("a", "b"))
+        members = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "band", "rep", "n", "crowd", F.coalesce("component", "rep").alias("component")
+        )
+    return tested.where("linked").select("a", "b", "likeness"), found
 
 
 def near_links(fingerprints: DataFrame, least: float = 0.8) -> DataFrame:
     """(a, b, likeness) links between fingerprints(doc_id, fingerprint) that share a band.
 
-    Equal fingerprints are one class with its smallest id. In a bucket every class is compared
-    with the smallest one of the bucket, so links form stars and a large bucket gives as many
-    pairs as it has members; groups of copies stay connected through its centre.
+    Equal fingerprints are one class with its smallest id. Links connect every two classes that
+    share a band and whose samples agree by ``least``, directly or over others.
     """
-    classes = fingerprints.where("doc_id IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-    members = classes.mapInArrow(_bands, "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
-    centres = members.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("top")).where("a < top")
-    edges = members.join(centres.select("key", "a"), "key").where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    one = classes.select(F.col("doc_id").alias("a"), F.col("fingerprint").alias("print_a"))
-    two = classes.select(F.col("doc_id").alias("b"), F.col("fingerprint").alias("print_b"))
-    return edges.join(one, "a").join(two, "b").mapInArrow(_verify(least), "a long, b long, likeness double")
+    classes = fingerprints.where("doc_id IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
+    return _link_search(classes.select("rep", "fingerprint"), least)[0]
+
+
+def _unbroken_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in wh.slices(batch):
+            n, sampled = unbroken_bytes([t or "" for t in piece.column("text").to_pylist()])
+            prints = pa.array([encode(k, b) for k, b in zip(n.tolist(), sampled)])
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), piece.column("rep"), pa.array(n), prints],
+                names=["doc_id", "rep", "n_chars", "fingerprint"],
+            )
+
+
+def edit_components(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """(doc_id, n_chars, component_id), one row per input row.
+
+    Texts are linked if their unbroken walks agree in at least ``least`` of all steps;
+    ``component_id`` is the smallest doc_id reachable over links, null if no row there has one.
+    Equal texts are one class whatever their ids; a null text counts as empty. Other columns of
+    ``docs`` are ignored.
+    """
+    text = F.coalesce("text", F.lit(""))
+    source = docs.select("doc_id", text.alias("text"), F.substring(F.sha2(text, 256), 1, 32).alias("rep"))
+    rows = cut_lineage(
+        source.mapInArrow(_unbroken_prints, "doc_id long, rep string, n_chars long, fingerprint string")
+    )
+    classes = rows.groupBy("rep").agg(F.min("fingerprint").alias("fingerprint"), F.min("doc_id").alias("least_id"))
+    _, found = _link_search(classes.select("rep", "fingerprint"), least, source.select("rep", "text"))
+    members = cut_lineage(
+        classes.select("rep", "least_id").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+        .select("rep", "least_id", F.coalesce("component", "rep").alias("component"))
+    )
+    named = members.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    ids = members.join(named, "component").select("rep", "component_id")
+    return rows.select("doc_id", "n_chars", "rep").join(ids, "rep").select("doc_id", "n_chars", "component_id")
 
 
 def op4_edit_fingerprint(spark, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, compared."""
     return fingerprint_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op4_edit_components(spark, sf_dir: str) -> DataFrame:
+    """Components of near copies among all documents."""
+    return edit_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -9,6 +9,7 @@ REGISTRY = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_site_quality": site_quality.op3_site_quality,
     "op4_edit_fingerprint": edit_fingerprint.op4_edit_fingerprint,
+    "op4_edit_components": edit_fingerprint.op4_edit_components,
     "op5_repeats": repeats.op5_repeats,
     "op6_packing": packing.op6_packing,
     "op7_sharding": sharding.op7_sharding,
