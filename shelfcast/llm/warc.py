@@ -8,6 +8,8 @@ row, so there is no shuffle and a record can be rebuilt from its response alone.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Record layout, elements whose content is no text, elements that end a line,
@@ -29,6 +31,10 @@ COMMENT = "(?s)<!--.*?-->"
 LINE_TAG = rf"(?i)</?(?:{'|'.join(LINES)})(?:[ \t\r\n/][^>]*)?>"
 TITLE = "(?is)<title[^>]*>(.*?)</title"
 OUTLINK = r"""(?i)<a[ \t\r\n][^>]*?href[ \t\r\n]*=[ \t\r\n]*["']([^"'>]*)["']"""
+# What the SQL of op1 leaves out: all other names of the HTML table, and values that are not
+# quoted or hold the other quote. The value is taken with its quotes.
+NAMED = "&([A-Za-z][A-Za-z0-9]*);"
+HREF = r"""(?i)<a[ \t\r\n][^>]*?href[ \t\r\n]*=[ \t\r\n]*("[^">]*"|'[^'>]*'|[^ \t\r\n"'>]+)"""
 
 
 def hidden(tag: str) -> str:
@@ -66,11 +72,20 @@ def _decoded(text: Column, pattern: str, base: int) -> Column:
     return F.when(text.contains("&#"), F.array_join(joined, "")).otherwise(text)
 
 
+def _named(text: Column) -> Column:
+    """Named references of the HTML table, each once; unknown names stay."""
+    table = ENTITIES | {n[:-1]: c for n, c in html5.items() if n.endswith(";") and n[:-1] not in ENTITIES}
+    known = F.str_to_map(F.lit("\x01".join(f"{n}\x02{c}" for n, c in table.items())), F.lit("\x01"), F.lit("\x02"))
+    names = F.regexp_extract_all(text, F.lit(NAMED), F.lit(1))
+    characters = F.transform(names, lambda n: F.coalesce(F.element_at(known, n), F.concat(F.lit("&"), n, F.lit(";"))))
+    pieces = F.split(text, NAMED.replace("(", "(?:"), -1)
+    return F.array_join(F.zip_with(pieces, characters, lambda p, c: F.concat(p, F.coalesce(c, F.lit("")))), "")
+
+
 def decode_entities(text: Column) -> Column:
     text = _decoded(_decoded(text, DECIMAL, 10), HEXADECIMAL, 16)
-    for name, character in ENTITIES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(character))
-    return text
+    # The transform binds the text to a name, so that it is computed once.
+    return F.element_at(F.transform(F.array(text), lambda t: F.when(t.contains("&"), _named(t)).otherwise(t)), 1)
 
 
 def _tidy(text: Column) -> Column:
@@ -125,8 +140,9 @@ def derive_records(responses: DataFrame) -> DataFrame:
         "source_block": _digest(F.concat("http_headers", F.lit(CRLF), "payload")),
     })
     title = F.nullif(_one_line(_tidy(decode_entities(F.regexp_extract("payload", TITLE, 1)))), F.lit(""))
-    links = F.regexp_extract_all("payload", F.lit(OUTLINK), F.lit(1))
-    outlinks = F.array_join(F.transform(links, lambda u: F.concat(F.lit("outlink: "), _one_line(u), F.lit(CRLF))), "")
+    links = F.regexp_extract_all("payload", F.lit(HREF), F.lit(1))
+    bare = lambda u: F.regexp_replace(u, r"""(?s)^(["'])(.*)\1$""", "$2")
+    outlinks = F.array_join(F.transform(links, lambda u: F.concat(F.lit("outlink: "), _one_line(bare(u)), F.lit(CRLF))), "")
     source_headers = F.regexp_replace(F.regexp_replace("http_headers", "^", "http: "), "\r\n(.)", "\r\nhttp: $1")
     metadata = F.concat(
         _fields([("title", title), ("sourcePayloadDigest", F.col("source_payload")),
