@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import decontaminate, edit_fingerprint, near_dedup, packing, repeats, secrets, sharding, site_quality, toxicity, warc
+from shelfcast.llm import (
+    decontaminate,
+    edit_fingerprint,
+    manifest,
+    near_dedup,
+    packing,
+    repeats,
+    resampling,
+    secrets,
+    sharding,
+    site_quality,
+    toxicity,
+    warc,
+)
 
 REGISTRY = {
     "op1_warc_derivatives": warc.op1_warc_derivatives,
@@ -16,10 +29,14 @@ REGISTRY = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op11_merkle_manifest": manifest.op11_merkle_manifest,
+    "op12_importance_resampling": resampling.op12_importance_resampling,
 }
 
 ORACLES = {
     "op1_warc_derivatives": warc.op1_sql(),
     "op3_site_quality": site_quality.op3_sql(),
     "op7_sharding": sharding.op7_sql(),
+    "op11_merkle_manifest": manifest.op11_sql(),
+    "op12_importance_resampling": resampling.op12_sql(),
 }

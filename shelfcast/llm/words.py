@@ -111,8 +111,16 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def split_words(texts: pa.Array, separators: np.ndarray = SPACES) -> Words:
     """Words are maximal runs of bytes that are not separators, with A-Z lower-cased."""
     data, offsets = text_bytes(texts)
+    starts, stops, first = word_runs(data, offsets, separators)
+    return Words(_hash_runs(data, starts, stops), first)
+
+
+def word_runs(
+    data: np.ndarray, offsets: np.ndarray, separators: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and end of every word in texts back to back, and the first word of each text."""
     if not len(data):
-        return Words(np.zeros(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64))
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(len(offsets), dtype=np.int64)
     inside = ~separators[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -123,7 +131,7 @@ def split_words(texts: pa.Array, separators: np.ndarray = SPACES) -> Words:
     ends[:-1] &= ~inside[1:] | begins[1:]
     starts = np.flatnonzero(begins)
     stops = np.flatnonzero(ends) + 1
-    return Words(_hash_runs(data, starts, stops), np.searchsorted(starts, offsets))
+    return starts, stops, np.searchsorted(starts, offsets)
 
 
 def _hash_runs(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:

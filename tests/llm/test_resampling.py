@@ -1,0 +1,70 @@
+"""CRC states, the bracket under ties, exact draws, and defined odd cases."""
+
+import math
+import zlib
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from shelfcast.llm import resampling as rs
+
+COLUMNS = ["doc_id", "n_features", "weight", "score", "rank"]
+
+
+def test_buckets_are_crcs_of_features():
+    texts = ["The quick-brown fox", None, "", "ÄÖ 1a b" + "c" * 300 + " d", "x" * 64 + " " + "Y" * 65, "one"]
+    doc, bucket, n_words = rs.feature_buckets(pa.array(texts), 10_000)
+    words = [["the", "quick", "brown", "fox"], [], [], ["ÄÖ", "1a", "b" + "c" * 300, "d"], ["x" * 64, "y" * 65], ["one"]]
+    assert n_words.tolist() == [len(w) for w in words]
+    for i, w in enumerate(words):
+        features = w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+        assert sorted(bucket[doc == i]) == sorted(zlib.crc32(f.encode()) % 10_000 for f in features)
+
+
+def test_gains():
+    source, target = np.zeros(10, dtype=np.int64), np.zeros(10, dtype=np.int64)
+    source[3], target[3], target[4] = 9, 4, 1
+    gains = rs.bucket_gains(source, target)
+    assert gains[3] == math.floor(1000 * math.log(5 * 19 / (10 * 15)))
+    assert gains[4] == math.floor(1000 * math.log(2 * 19 / 15))
+    assert (rs.bucket_gains(source * 0, source * 0) == 0).all()
+
+
+@pytest.mark.parametrize("spread, accuracy", [(1, 100), (3, 100), (100_000, 10), (100_000, 10_000)])
+def test_draw_is_exact_under_ties(spark, tmp_path, spread, accuracy):
+    """From one score for all rows to nearly distinct scores; a coarse sketch must widen or still hold."""
+    table = spark.range(5_000).selectExpr(
+        "id AS doc_id", "30L AS n_words", "59L AS n_features", "0L AS weight",
+        f"CAST(pmod(xxhash64(id), {spread}) AS LONG) AS score",
+    )
+    table.write.parquet(str(tmp_path / "t"))
+    config = rs.ResampleConfig(accuracy=accuracy)
+    rows = rs.draw(spark.read.parquet(str(tmp_path / "t")), config).collect()
+    best = sorted(rows, key=lambda r: (-r.score, r.doc_id))
+    assert [r.rank for r in best] == [*range(1, 1251), *[None] * 3750]
+
+
+def test_a_misplaced_bracket_is_widened(spark, monkeypatch):
+    table = spark.range(1_000).selectExpr("id AS score")
+    real = rs.F.percentile_approx
+    monkeypatch.setattr(rs.F, "percentile_approx", lambda c, q, a: real(c, rs.F.array(rs.F.lit(0.0), rs.F.lit(0.1)), a))
+    bracket = rs.bracket_cutoff(table, 10, 1_000, 100)
+    assert (bracket.low, bracket.high, bracket.above) == (0, 999, 0)
+
+
+def test_odd_rows_against_sql(spark, odd_docs, make_docs, tmp_path):
+    longer = make_docs([(20 + i, " ".join(f"w{i}x{j % 9}" for j in range(18 + i))) for i in range(9)])
+    docs = odd_docs.select("doc_id", "text").union(longer.select("doc_id", "text"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    goal = spark.createDataFrame([(1, "w3x1 w3x2 word5"), (2, None), (None, "")], "item_id long, text string")
+    goal.write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = rs.op12_importance_resampling(spark, str(tmp_path))
+    assert rows.columns == COLUMNS
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert sorted(map(str, map(tuple, rows.collect()))) == sorted(map(str, con.execute(rs.op12_sql()).fetchall()))
+    assert rs.resample(odd_docs, goal.limit(0)).count() == odd_docs.count()
+    assert rs.resample(odd_docs.limit(0), goal).count() == 0
