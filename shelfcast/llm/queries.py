@@ -5,6 +5,7 @@ from __future__ import annotations
 from shelfcast.llm import (
     decontaminate,
     edit_fingerprint,
+    katz,
     manifest,
     near_dedup,
     packing,
@@ -31,6 +32,7 @@ REGISTRY = {
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op11_merkle_manifest": manifest.op11_merkle_manifest,
     "op12_importance_resampling": resampling.op12_importance_resampling,
+    "op13_katz_scores": katz.op13_katz_scores,
 }
 
 ORACLES = {
