@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from shelfcast.functions.parsing import missing_to_null
 from shelfcast.operators import quality
 from shelfcast.schemas import CONTEXT_TABLES, SERIES, TableSpec
-from shelfcast.sources import files
+from shelfcast.sources import files, records
 from shelfcast.sources.runs import RunFolder
 
 SOURCES = ("raw", "sample")
@@ -51,7 +51,7 @@ def select_source(spark: SparkSession, source: str, data_dir: str) -> str:
 
 def _has_extra_fields(column_count: int) -> Column:
     """A rejected record with more fields than the header; shorter records end in nulls."""
-    unquoted = F.regexp_replace(_BAD_RECORD, '"([^"]|"")*"', "")
+    unquoted = F.regexp_replace(_BAD_RECORD, '"[^"]*"', "")  # a doubled quote ends one run and starts another
     return F.col(_BAD_RECORD).isNotNull() & (F.size(F.split(unquoted, ",")) > column_count)
 
 
@@ -90,8 +90,9 @@ def read_text_table(spark: SparkSession, path: str, multi_line: bool = False) ->
 
     Columns are found by name in each part's own header: parts may order them differently, and
     a column that a part lacks is null there. Nothing is inferred, so one odd value cannot
-    change the type of a whole column. Unless ``multi_line`` is set, records end at line
-    breaks, which keeps a large file splittable.
+    change the type of a whole column. Quoted fields may hold line breaks: with ``multi_line``
+    each file is read by one task; without it, files stay splittable, and where a scan finds
+    such a break, records are put together from the lines of all splits.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     for part in files.data_files(spark, path):
@@ -101,14 +102,15 @@ def read_text_table(spark: SparkSession, path: str, multi_line: bool = False) ->
     if not groups:
         raise SourceParseError("No columns to parse from file")
     names = physical_names(list(groups))
-    reader = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", _BAD_RECORD).option("columnPruning", False)
-    )
+    options = {"escape": '"', "columnNameOfCorruptRecord": _BAD_RECORD}
+    reader = spark.read.options(header=True, multiLine=multi_line, columnPruning=False, **options)
     table = None
     for header, parts in groups.items():
-        fields = [T.StructField(n, T.StringType()) for n in [*[names[t] for t in header], _BAD_RECORD]]
-        rows = reader.schema(T.StructType(fields)).csv(parts)
+        columns = [*[names[t] for t in header], _BAD_RECORD]
+        if not multi_line and records.break_in_quotes(spark, parts):
+            rows = records.parse_records(records.whole_records(spark, parts), columns, options)
+        else:
+            rows = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in columns])).csv(parts)
         rows = rows.withColumn(_LONG_RECORD, _has_extra_fields(len(header))).drop(_BAD_RECORD)
         table = rows if table is None else table.unionByName(rows, allowMissingColumns=True)
     return table, sorted({len(header) for header in groups})

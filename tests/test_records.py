@@ -1,0 +1,75 @@
+"""Quoted line breaks in files of many splits equal a single reader; malformed records are reported."""
+
+import io
+import random
+
+import pandas as pd
+import pytest
+
+from shelfcast.sources import csv_tables, records
+from shelfcast.sources.runs import RunFolder
+
+
+@pytest.fixture
+def small_splits(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    for key, value in kept.items():
+        spark.conf.set(key, value)
+
+
+def field(rng):
+    text = rng.choice(["plain", "a b", "", '5" pipe', "tail\"", "x"]) if rng.random() < 0.5 else None
+    if text is not None:
+        return text
+    inner = "".join(rng.choice(["a", ",", "\n", '""', "\n\n", "é", " ", "1,2,3", ',"",', "q" * 60]) for _ in range(rng.randint(0, 9)))
+    return f'"{inner}"'
+
+
+def as_rows(frame):
+    return sorted(tuple("" if v is None or v != v else str(v) for v in row) for row in frame)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_many_splits_equal_a_single_reader(spark, tmp_path, small_splits, seed):
+    """Breaks, doubled quotes, bare quotes and fields longer than a split, with either line ending."""
+    rng = random.Random(seed)
+    end = "\r\n" if seed == 3 else "\n"
+    text = "id,one,two" + end + "".join(f"{i},{field(rng)},{field(rng)}{end}" for i in range(120))
+    (tmp_path / "t.csv").write_bytes(text.encode())
+    table, lengths = csv_tables.read_text_table(spark, str(tmp_path / "t.csv"))
+    assert lengths == [3] and spark.read.text(str(tmp_path / "t.csv")).rdd.getNumPartitions() > 20
+    expected = pd.read_csv(io.StringIO(text, newline=""), dtype=str, keep_default_na=False)
+    found = table.where("NOT _long_record").select("id", "one", "two").collect()
+    assert as_rows(found) == as_rows(expected.itertuples(index=False))
+
+
+def test_lines_without_open_fields_take_the_plain_reader(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,"x, ""y"""\n2,5" pipe\n3,""\n')
+    assert not records.break_in_quotes(spark, [str(tmp_path / "t.csv")])
+    (tmp_path / "u.csv").write_text('a,b\n1,"x\ny"\n')
+    assert records.break_in_quotes(spark, [str(tmp_path / "u.csv")])
+
+
+def test_demand_with_a_quoted_break_reaches_bronze(spark, tmp_path, small_splits):
+    header = "date,store_nbr,family,sales,onpromotion\n"
+    body = "".join(f'2024-01-{d:02d},{s},"TEA\nand ""more"", {d}",{d}.5,0\n' for d in range(1, 29) for s in (1, 2))
+    (tmp_path / "train").mkdir()
+    (tmp_path / "train" / "a.csv").write_text(header + body)
+    (tmp_path / "train" / "b.csv").write_text("family,store_nbr,date,sales\nMILK,3,2024-02-01,1\n")
+    run = RunFolder.create(spark, str(tmp_path / "out"))
+    rows = csv_tables.land_bronze(spark, str(tmp_path / "train"), "sales", run)
+    assert rows.count() == 57
+    assert rows.where("store_nbr = 1 AND date = '2024-01-03'").first().family == 'TEA\nand "more", 3'
+
+
+@pytest.mark.parametrize("extra", ["", ",9,9", '\n"'])
+def test_long_quoted_fields_in_bad_records_are_reported(spark, tmp_path, extra):
+    """A megabyte of quoted text in a record with too many fields: the stated error, and no crash."""
+    body = "1," + '"' + 'x""y,' * 200_000 + '"' + f",3,4{extra}\n"
+    (tmp_path / "t.csv").write_text("a,b,c\n1,2,3\n" + body)
+    run = RunFolder.create(spark, str(tmp_path / "out"))
+    with pytest.raises(csv_tables.SourceParseError, match="more than the 3 fields"):
+        csv_tables.land_bronze(spark, str(tmp_path / "t.csv"), "sales", run)
