@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.config import PlanningConfig
 from shelfcast.schemas import SERIES
 
 
+def with_coverage(known: DataFrame, as_of: Column, window: Column, lead: Column) -> DataFrame:
+    """Add what follows from mean and observed days; the parameters may differ by row."""
+    days = F.col("observed_days")
+    return known.withColumns(
+        {
+            "coverage": days / window.cast("double"),
+            "forecast_date": as_of,
+            "expected_lead_time_demand": F.col("recent_average") * lead.cast("double"),
+            "forecast_quality": F.when(days == window, F.lit("Full window")).otherwise(
+                F.lit("Incomplete history")
+            ),
+        }
+    )
+
+
 def forecast_demand(
     sales: DataFrame, config: PlanningConfig, series: DataFrame | None = None
 ) -> DataFrame:
@@ -33,19 +48,9 @@ def forecast_demand(
             F.max("date").alias("last_observed_date"),
         )
     )
-    days = F.col("observed_days")
-    return (
+    known = (
         keys.join(recent, list(SERIES), "left")
         .withColumn("observed_days", F.coalesce("recent_days", F.lit(0)))
         .drop("recent_days")
-        .withColumns(
-            {
-                "coverage": days / F.lit(float(config.window_days)),
-                "forecast_date": as_of,
-                "expected_lead_time_demand": F.col("recent_average") * float(config.lead_time_days),
-                "forecast_quality": F.when(days == config.window_days, F.lit("Full window")).otherwise(
-                    F.lit("Incomplete history")
-                ),
-            }
-        )
     )
+    return with_coverage(known, as_of, F.lit(config.window_days), F.lit(config.lead_time_days))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.config import PlanningConfig
@@ -71,13 +69,24 @@ def with_series_position(series: DataFrame) -> DataFrame:
     )
 
 
-def _with_stock(targets: DataFrame, snapshot: DataFrame | None) -> DataFrame:
-    """Scenario stock, replaced where a snapshot of exactly the as-of date has the series."""
+def with_targets(forecasts: DataFrame, lead: Column, review: Column, z: Column) -> DataFrame:
+    """Add safety stock, reorder point and target level; the parameters may differ by row."""
+    mean, buffer = F.col("recent_average"), z.cast("double") * F.col("demand_std")
+    protected = (lead + review).cast("double")
+    return forecasts.withColumn("safety_stock", buffer * F.sqrt(lead)).withColumns(
+        {
+            "reorder_point": F.col("expected_lead_time_demand") + F.col("safety_stock"),
+            "target_stock_level": mean * protected + buffer * F.sqrt(protected),
+        }
+    )
+
+
+def with_stock(targets: DataFrame, snapshot: DataFrame | None) -> DataFrame:
+    """Scenario stock by series position, replaced where a snapshot of exactly the as-of date
+    has the series. The date is read from ``targets``, which start from written rows."""
     factors = F.array(*[F.lit(f) for f in SCENARIO_FACTORS])
     slot = (F.col("series_position") % len(SCENARIO_FACTORS) + 1).cast("int")
-    planned = with_series_position(targets).withColumn(
-        "scenario_stock", F.col("reorder_point") * F.element_at(factors, slot)
-    )
+    planned = targets.withColumn("scenario_stock", F.col("reorder_point") * F.element_at(factors, slot))
     if snapshot is None:
         return planned.withColumns(
             {"inventory_on_hand": F.col("scenario_stock"), "inventory_source": F.lit(SIMULATED)}
@@ -95,6 +104,22 @@ def _with_stock(targets: DataFrame, snapshot: DataFrame | None) -> DataFrame:
     )
 
 
+def with_decision(stocked: DataFrame, window: Column) -> DataFrame:
+    """Add days of supply, quantity and risk; quantities are withheld where history is incomplete."""
+    mean, stock = F.col("recent_average"), F.col("inventory_on_hand")
+    target = F.col("target_stock_level")
+    full = F.col("observed_days") == window
+    return stocked.withColumns(
+        {
+            "days_of_supply": F.when(mean > 0, ratio(stock, mean)),
+            "reorder_quantity": F.when(full, at_least_zero(target - stock)),
+            "risk": F.when(full, risk_column(stock, F.col("reorder_point"), target)).otherwise(
+                F.lit(INSUFFICIENT)
+            ),
+        }
+    )
+
+
 def plan_inventory(
     forecasts: DataFrame, config: PlanningConfig, snapshot: DataFrame | None = None
 ) -> DataFrame:
@@ -103,34 +128,11 @@ def plan_inventory(
     Calling this runs the forecast once (see ``with_series_position``); what it returns is
     lazy and starts from those written rows.
     """
-    mean, std = F.col("recent_average"), F.col("demand_std")
-    protection_days = config.lead_time_days + config.review_days
-    buffer = F.lit(float(config.z_score)) * std
-    targets = forecasts.withColumn(
-        "safety_stock", buffer * math.sqrt(config.lead_time_days)
-    ).withColumns(
-        {
-            "reorder_point": F.col("expected_lead_time_demand") + F.col("safety_stock"),
-            "target_stock_level": mean * float(protection_days) + buffer * math.sqrt(protection_days),
-        }
-    )
-    stock, reorder_point, target = (
-        F.col("inventory_on_hand"), F.col("reorder_point"), F.col("target_stock_level"),
-    )
-    full = F.col("observed_days") == config.window_days
-    return (
-        _with_stock(targets, snapshot)
-        .withColumns(
-            {
-                "days_of_supply": F.when(mean > 0, ratio(stock, mean)),
-                "reorder_quantity": F.when(full, at_least_zero(target - stock)),
-                "risk": F.when(full, risk_column(stock, reorder_point, target)).otherwise(
-                    F.lit(INSUFFICIENT)
-                ),
-            }
-        )
-        .select(*GOLD_COLUMNS["reorder_risk"])
+    targets = with_targets(
+        forecasts, F.lit(config.lead_time_days), F.lit(config.review_days), F.lit(float(config.z_score))
     )
+    stocked = with_stock(with_series_position(targets), snapshot)
+    return with_decision(stocked, F.lit(config.window_days)).select(*GOLD_COLUMNS["reorder_risk"])
 
 
 def risk_counts(plan: DataFrame) -> DataFrame:

@@ -302,6 +302,17 @@ def _with(*parts: str) -> str:
     return "WITH " + "".join(ctes).strip() + "\n" + body
 
 
+def _plan_grid() -> str:
+    """Twenty plans, each worked out by itself."""
+    settings = [(w, *lr, z) for w in (2, 7, 14, 21, 28) for lr in ((5, 3), (7, 7)) for z in ("1.28e0", "1.65e0")]
+    rows = [
+        f"SELECT {i} AS setting, {w} AS window_days, {lead} AS lead_time_days, {review} AS review_days, {z} AS z_score, * "
+        f"FROM ({_with(EVENTS, _plan(w, lead, review, z), PLAN_ROWS)})"
+        for i, (w, lead, review, z) in enumerate(settings)
+    ]
+    return "\nUNION ALL ".join(rows)
+
+
 EDGE_PLAN = _plan(2)
 STOCKED_PLAN = STOCK + _plan(2, stock=True)
 
@@ -363,6 +374,7 @@ FROM f GROUP BY 1, 2, 3 HAVING count(*) > 1""",
     "reorder_risk": _with(EDGE, EDGE_PLAN, PLAN_ROWS),
     "reorder_risk_actual": _with(EDGE, STOCKED_PLAN, PLAN_ROWS),
     "reorder_risk_w14": _with(EVENTS, _plan(14, 5, 3, "1.28e0"), PLAN_ROWS),
+    "reorder_risk_grid": _plan_grid(),
     "reorder_risk_lineitem": _with(LINEITEM, _plan(), PLAN_ROWS),
     "scenario_index": """
 SELECT l_suppkey AS store_nbr, part_text AS family,

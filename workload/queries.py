@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from shelfcast.config import PlanningConfig
 from shelfcast.functions.columns import display_round
 from shelfcast.operators import (
-    advice, forecast, marts, measures, pages, planning, quality, questions, report, star, trend,
+    advice, forecast, marts, measures, pages, planning, quality, questions, report, star, trend, whatif,
 )
 from shelfcast.schemas import GRAIN, SALES
 from shelfcast.session import cut_lineage
@@ -26,6 +26,11 @@ DEFAULT = PlanningConfig()
 SPARSE = PlanningConfig(window_days=2)
 TWO_WEEKS = PlanningConfig(window_days=14, lead_time_days=5, review_days=3, z_score=1.28)
 ONE_WEEK = PlanningConfig(window_days=7)
+# Twenty settings: five windows, two lead times, two factors.
+GRID = tuple(
+    PlanningConfig(window, lead, review, z)
+    for window in (2, 7, 14, 21, 28) for lead, review in ((5, 3), (7, 7)) for z in (1.28, 1.65)
+)
 SELECTION = {
     "start": datetime.date(2024, 1, 8),
     "end": datetime.date(2024, 1, 21),
@@ -167,6 +172,10 @@ def reorder_risk_w14(spark, sf_dir):
     return rounded(_plan(events_once(spark, sf_dir), TWO_WEEKS))
 
 
+def reorder_risk_grid(spark, sf_dir):
+    return rounded(whatif.plan_grid(events_once(spark, sf_dir), GRID))
+
+
 def scenario_index(spark, sf_dir):
     """Position of every supplier and part pair that ever shipped, in key order."""
     pairs = facts.table(spark, sf_dir, "lineitem").select(
@@ -383,6 +392,7 @@ REGISTRY: dict[str, Query] = {
     "reorder_risk": _rounded(edge_plan),
     "reorder_risk_actual": _rounded(stocked_plan),
     "reorder_risk_w14": reorder_risk_w14,
+    "reorder_risk_grid": reorder_risk_grid,
     "reorder_risk_lineitem": _rounded(lineitem_plan),
     "scenario_index": scenario_index,
     "risk_boundaries": risk_boundaries,
