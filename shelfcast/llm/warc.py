@@ -2,15 +2,19 @@
 
 Each response gives two records that refer to it by id and carry its target, date, digests and
 HTTP headers: ``metadata`` (title, source headers and outgoing links as warc-fields) and
-``conversion`` (the page as plain text). All of it is SQL expressions over the response's own
-row, so there is no shuffle and a record can be rebuilt from its response alone.
+``conversion`` (the page as plain text). A record follows from its response's own row, so there is
+no shuffle. Pages are read by one Arrow function in time linear in their length, unclosed tags
+included; identifiers, digests and records are SQL expressions.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from html.entities import html5
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Record layout, elements whose content is no text, elements that end a line,
 # and the characters of named entities (the ampersand is decoded last).
@@ -34,7 +38,21 @@ OUTLINK = r"""(?i)<a[ \t\r\n][^>]*?href[ \t\r\n]*=[ \t\r\n]*["']([^"'>]*)["']"""
 # What the SQL of op1 leaves out: all other names of the HTML table, and values that are not
 # quoted or hold the other quote. The value is taken with its quotes.
 NAMED = "&([A-Za-z][A-Za-z0-9]*);"
-HREF = r"""(?i)<a[ \t\r\n][^>]*?href[ \t\r\n]*=[ \t\r\n]*("[^">]*"|'[^'>]*'|[^ \t\r\n"'>]+)"""
+HREF = r"""(?i)href[ \t\r\n]*=[ \t\r\n]*("[^">]*"|'[^'>]*'|[^ \t\r\n"'>]+)"""
+CHARACTERS = ENTITIES | {n[:-1]: c for n, c in html5.items() if n.endswith(";") and n[:-1] not in ENTITIES}
+
+
+def _compiled(pattern: str) -> re.Pattern:
+    """Case is ignored for ASCII letters only, as SQL does."""
+    return re.compile(pattern, re.ASCII)
+
+
+_BREAKS, _BLANKS, _LINE_ENDS = re.compile("[\r\n]+"), re.compile("[ \t\r\f\xa0]+"), re.compile(" ?\n[ \n]*")
+_LINE_TAG, _TAG = _compiled(LINE_TAG), re.compile("<[^>]*>")
+_TITLE_OPEN, _TITLE_CLOSE = _compiled("(?i)<title"), _compiled("(?i)</title")
+_LINK_OPEN, _HREF = _compiled(r"(?i)<a[ \t\r\n]"), _compiled(HREF)
+_HIDDEN = [(_compiled(f"(?i)<{tag}(?=[ \\t\\r\\n>])"), _compiled(f"(?i)</{tag}")) for tag in HIDDEN]
+_DECIMAL, _HEXADECIMAL, _NAMED = _compiled(DECIMAL), _compiled(HEXADECIMAL), _compiled(NAMED)
 
 
 def hidden(tag: str) -> str:
@@ -58,50 +76,100 @@ def _one_line(value: Column) -> Column:
     return F.regexp_replace(value, "[\r\n]+", " ")
 
 
-def _decoded(text: Column, pattern: str, base: int) -> Column:
-    """Numeric character references; those of no character become U+FFFD."""
-    codes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda c: F.conv(c, base, 10).cast("int"))
-
-    def character(code: Column) -> Column:
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        bytes_ = F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD).cast("long")), 8, "0"))
-        return F.decode(bytes_, "UTF-32")
+def _character(code: int) -> str:
+    """A character by number; U+FFFD if there is none."""
+    return chr(code) if 1 <= code <= 0xD7FF or 0xE000 <= code <= 0x10FFFF else "\ufffd"
 
-    pieces = F.split(text, pattern.replace("(", "(?:"), -1)
-    joined = F.zip_with(pieces, codes, lambda p, c: F.concat(p, F.coalesce(F.when(c.isNotNull(), character(c)), F.lit(""))))
-    return F.when(text.contains("&#"), F.array_join(joined, "")).otherwise(text)
 
+def decoded(text: str) -> str:
+    """Numeric references, then named ones of the HTML table, each once; unknown names stay."""
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = _DECIMAL.sub(lambda m: _character(int(m[1])), text)
+        text = _HEXADECIMAL.sub(lambda m: _character(int(m[1], 16)), text)
+    return _NAMED.sub(lambda m: CHARACTERS.get(m[1], m[0]), text)
 
-def _named(text: Column) -> Column:
-    """Named references of the HTML table, each once; unknown names stay."""
-    table = ENTITIES | {n[:-1]: c for n, c in html5.items() if n.endswith(";") and n[:-1] not in ENTITIES}
-    known = F.str_to_map(F.lit("\x01".join(f"{n}\x02{c}" for n, c in table.items())), F.lit("\x01"), F.lit("\x02"))
-    names = F.regexp_extract_all(text, F.lit(NAMED), F.lit(1))
-    characters = F.transform(names, lambda n: F.coalesce(F.element_at(known, n), F.concat(F.lit("&"), n, F.lit(";"))))
-    pieces = F.split(text, NAMED.replace("(", "(?:"), -1)
-    return F.array_join(F.zip_with(pieces, characters, lambda p, c: F.concat(p, F.coalesce(c, F.lit("")))), "")
 
+def tidy(text: str) -> str:
+    """Runs of blanks become one space, blank lines go, and both ends are trimmed."""
+    text = _LINE_ENDS.sub("\n", _BLANKS.sub(" ", text))
+    return text.removeprefix("\n").removesuffix("\n").strip(" ")
 
-def decode_entities(text: Column) -> Column:
-    text = _decoded(_decoded(text, DECIMAL, 10), HEXADECIMAL, 16)
-    # The transform binds the text to a name, so that it is computed once.
-    return F.element_at(F.transform(F.array(text), lambda t: F.when(t.contains("&"), _named(t)).otherwise(t)), 1)
 
+def _without_comments(html: str) -> str:
+    """Without what lies between an opening and the next closing mark; an unclosed one stays."""
+    kept, at = [], 0
+    while (start := html.find("<!--", at)) >= 0 and (end := html.find("-->", start + 4)) >= 0:
+        kept.append(html[at:start])
+        at = end + 3
+    return html if not at else "".join([*kept, html[at:]])
 
-def _tidy(text: Column) -> Column:
-    """Runs of blanks become one space, blank lines go, and both ends are trimmed."""
-    text = F.regexp_replace(text, "[ \t\r\f ]+", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, " ?\n[ \n]*", "\n"), "^\n|\n$", ""))
 
+def _without_element(html: str, opening: re.Pattern, closing: re.Pattern) -> str:
+    """Without an element and its content; an opening tag that nothing closes stays.
 
-def plain_text(html: Column) -> Column:
+    If one opening tag has no end or no closing tag behind it, no later one has either.
+    """
+    kept, at = [], 0
+    while start := opening.search(html, at):
+        body = html.find(">", start.end())
+        close = closing.search(html, body + 1) if body >= 0 else None
+        end = html.find(">", close.end()) if close else -1
+        if end < 0:
+            break
+        kept.append(html[at : start.start()])
+        at = end + 1
+    return html if not at else "".join([*kept, html[at:]])
+
+
+def page_text(html: str) -> str:
     """Visible text with a line per block element; source line breaks are blanks."""
-    text = F.regexp_replace(html, "[\r\n]+", " ")
-    text = F.regexp_replace(text, COMMENT, "")
-    for tag in HIDDEN:
-        text = F.regexp_replace(text, hidden(tag), "")
-    text = F.regexp_replace(text, LINE_TAG, "\n")
-    return _tidy(decode_entities(F.regexp_replace(text, "<[^>]*>", "")))
+    html = _without_comments(_BREAKS.sub(" ", html))
+    for opening, closing in _HIDDEN:
+        html = _without_element(html, opening, closing)
+    # Every tag that begins in the first part has an end there; the rest holds no whole tag.
+    for pattern, replacement in ((_LINE_TAG, "\n"), (_TAG, "")):
+        end = html.rfind(">") + 1
+        html = pattern.sub(replacement, html[:end]) + html[end:]
+    return tidy(decoded(html))
+
+
+def page_title(html: str) -> str:
+    start = _TITLE_OPEN.search(html)
+    body = html.find(">", start.end()) + 1 if start else 0
+    end = _TITLE_CLOSE.search(html, body) if body else None
+    return _BREAKS.sub(" ", tidy(decoded(html[body : end.start()]))) if end else ""
+
+
+def page_links(html: str) -> list[str]:
+    """Values of the first href of each link, on one line each."""
+    found, at = [], 0
+    while start := _LINK_OPEN.search(html, at):
+        end = html.find(">", start.end())
+        end = len(html) if end < 0 else end
+        if value := _HREF.search(html, start.end(), end):
+            link = value[1]
+            found.append(_BREAKS.sub(" ", link[1:-1] if link[0] in "\"'" else link))
+        at = value.end() if value else end
+    return found
+
+
+@F.arrow_udf(T.StringType())
+def decode_entities(text: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else decoded(t) for t in text.to_pylist()], pa.string())
+
+
+_PARTS = T.StructType().add("title", "string").add("links", T.ArrayType(T.StringType())).add("text", "string")
+_PARTS_TYPE = pa.struct([("title", pa.string()), ("links", pa.list_(pa.string())), ("text", pa.string())])
+
+
+@F.arrow_udf(_PARTS)
+def page_parts(html: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Title (empty if there is none), links and plain text of each page."""
+    for batch in html:
+        rows = [{"title": page_title(h), "links": page_links(h), "text": page_text(h)} for h in batch.to_pylist()]
+        yield pa.array(rows, _PARTS_TYPE)
 
 
 def page_responses(pages: DataFrame, date: str) -> DataFrame:
@@ -139,10 +207,9 @@ def derive_records(responses: DataFrame) -> DataFrame:
         "source_payload": _digest(F.col("payload")),
         "source_block": _digest(F.concat("http_headers", F.lit(CRLF), "payload")),
     })
-    title = F.nullif(_one_line(_tidy(decode_entities(F.regexp_extract("payload", TITLE, 1)))), F.lit(""))
-    links = F.regexp_extract_all("payload", F.lit(HREF), F.lit(1))
-    bare = lambda u: F.regexp_replace(u, r"""(?s)^(["'])(.*)\1$""", "$2")
-    outlinks = F.array_join(F.transform(links, lambda u: F.concat(F.lit("outlink: "), _one_line(bare(u)), F.lit(CRLF))), "")
+    parts = parts.withColumn("parts", page_parts("payload"))
+    title = F.nullif(F.col("parts.title"), F.lit(""))
+    outlinks = F.array_join(F.transform("parts.links", lambda u: F.concat(F.lit("outlink: "), u, F.lit(CRLF))), "")
     source_headers = F.regexp_replace(F.regexp_replace("http_headers", "^", "http: "), "\r\n(.)", "\r\nhttp: $1")
     metadata = F.concat(
         _fields([("title", title), ("sourcePayloadDigest", F.col("source_payload")),
@@ -153,7 +220,7 @@ def derive_records(responses: DataFrame) -> DataFrame:
         F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("content_type"),
                  metadata.alias("block")),
         F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain; charset=utf-8").alias("content_type"),
-                 plain_text(F.col("payload")).alias("block")),
+                 F.col("parts.text").alias("block")),
     )
     rows = parts.select(
         "source", F.col("record_id").alias("refers_to"), "target_uri", "date",
