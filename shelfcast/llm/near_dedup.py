@@ -1,7 +1,7 @@
 """MinHash near-duplicates: one-permutation hashing with optimal densification, banded
 buckets and star-shaped candidate edges, every link confirmed on the full shingle sets.
 
-Documents with equal sets are one class, and only its smallest id takes part in the search.
+Documents with equal sets are one class, and only one text of it takes part in the search.
 In each bucket every member is tried against one hub, so m members give m - 1 edges: first
 against the member whose buckets are fullest (the middle of a group of copies), then against
 another one. Links found that way merge most of a bucket. A last exact round compares members
@@ -33,7 +33,7 @@ BLOCK = 4096
 SKETCH_BITS = 4096
 SKETCH_REACH = 5.0
 
-_SKETCH = "doc_id long, n_shingles long, set_key string, bands array<long>"
+_SKETCH = "doc_id long, text_key long, n_shingles long, set_key string, bands array<long>"
 _PROBE = "rep long, bands array<long>, sketch binary"
 _TESTED = "a long, b long, linked boolean"
 
@@ -94,11 +94,12 @@ def _sketcher(width: int, bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
+                        piece.column("text_key"),
                         pa.array(sizes),
                         pa.array([f"{a:016x}{b:016x}" for a, b in zip(*(s.tolist() for s in sums))]),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[used].reshape(-1))),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "bands"],
+                    names=["doc_id", "text_key", "n_shingles", "set_key", "bands"],
                 )
 
     return sketch
@@ -243,7 +244,9 @@ def _rest_edges(
         F.count("*").alias("components"), F.ceil(F.sum("size") / BLOCK).cast("long").alias("chunks"),
     ).where("components > 1").select("band", "main", "chunks")
     mixed = cut_lineage(members.join(hubs, "band"))
-    needed = texts.join(mixed.select("rep").distinct(), "rep", "left_semi")
+    # Sketching is dear and texts are small: spread by rows, not by bytes.
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = texts.join(mixed.select("rep").distinct(), "rep", "left_semi").repartition(parts, "rep")
     probes = needed.mapInArrow(_prober(width, bands, rows), _PROBE)
     chunk = F.pmod(F.xxhash64("rep"), "chunks")
     blocks = (
@@ -264,24 +267,35 @@ def near_duplicates(
     Documents are linked if the Jaccard similarity of their sets of ``width``-word shingles is
     at least ``percent`` / 100. ``component_id`` is the smallest doc_id reachable over links.
     Null, empty and blank texts have the empty set and are linked with nothing; a text with
-    fewer words is one shingle. Repeated rows are exact copies. A null doc_id cannot be named
+    fewer words is one shingle. Repeated rows are exact copies; rows of one id with different
+    texts are linked by their own texts. A null doc_id cannot be named
     as a component: such a row is its own (null) component and is kept. Other columns of
     ``docs`` are ignored, so their names cannot clash.
     """
-    source = docs.select("doc_id", "text")
+    return _linked(docs, width, percent, bands, rows).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _linked(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """``near_duplicates`` with ``text_key``, a hash of the text, and the number ``component``.
+
+    Classes have numbers of their own, so that texts that share an id stay apart.
+    """
+    source = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     sketch = cut_lineage(source.mapInArrow(_sketcher(width, bands, rows), _SKETCH))
     named = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = named.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    reps = named.groupBy("set_key").agg(
-        F.min(F.struct("doc_id", "n_shingles", "bands")).alias("r")
-    ).select(F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), F.explode("r.bands").alias("band"))
+    first = F.min(F.struct("doc_id", "text_key", "n_shingles", "bands")).alias("r")
+    classes = cut_lineage(
+        named.groupBy("set_key").agg(first)
+        .select(F.monotonically_increasing_id().alias("rep"), "set_key", F.col("r.n_shingles").alias("n"),
+                "r.doc_id", "r.text_key", "r.bands")
+    )
+    reps = classes.select("rep", "n", F.explode("bands").alias("band"))
     crowded = reps.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     shared = cut_lineage(reps.join(crowded, "band"))
     buckets = shared.join(shared.groupBy("rep").agg(F.sum("size").alias("crowd")), "rep").drop("size")
-    involved = buckets.select("rep").distinct()
+    involved = classes.select("rep", "doc_id", "text_key").join(buckets.select("rep").distinct(), "rep", "left_semi")
     texts = cut_lineage(
-        source.join(involved.withColumnRenamed("rep", "doc_id"), "doc_id")
-        .groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text"))
+        source.join(involved, ["doc_id", "text_key"]).groupBy("rep").agg(F.min("text").alias("text"))
     )
     tested, found = None, None
     members = buckets.withColumn("component", F.col("rep"))
@@ -298,26 +312,47 @@ def near_duplicates(
         members = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
             "band", "rep", "n", "crowd", F.coalesce("component", "rep").alias("component")
         )
-    named_classes = classes.join(found, F.col("rep") == F.col("node"), "left").select(
-        "set_key", F.coalesce("component", "rep").alias("class_id")
-    )
-    linked = sketch.select("doc_id", "n_shingles", "set_key").join(named_classes, "set_key", "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(
-        F.col("doc_id")
+    grouped = classes.select("rep", "set_key", "doc_id").join(found, F.col("rep") == F.col("node"), "left").select(
+        "set_key", "doc_id", F.coalesce("component", "rep").alias("component")
     )
-    return linked.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    least = grouped.groupBy("component").agg(F.min("doc_id").alias("least_id"))
+    named_classes = grouped.join(least, "component").select("set_key", "component", "least_id")
+    known = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    return (
+        sketch.select("doc_id", "text_key", "n_shingles", "set_key").join(named_classes, "set_key", "left")
+        .select(
+            "doc_id", "text_key", "n_shingles", F.when(known, F.col("component")).alias("component"),
+            F.when(known, F.col("least_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        )
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group of near duplicates, the smallest id, with all its columns.
+def _free_name(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
+def drop_near_duplicates(
+    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 36, rows: int = 5
+) -> DataFrame:
+    """One document of each group of near duplicates, with all its columns: the smallest id, and
+    of several texts of that id in the group one.
 
-    Rows that repeat a doc_id are one document, of which one row stays; rows without a doc_id
-    all stay, as do empty ones.
+    Different texts of one id that are not near duplicates all stay. Of exactly repeated rows (id
+    and text) one stays, empty texts included; rows without a doc_id all stay.
     """
-    kept = near_duplicates(docs, **options).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    linked = _linked(docs, width, percent, bands, rows).where("doc_id IS NOT NULL")
+    chosen = linked.where("component IS NOT NULL").groupBy("component").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("k")
+    ).select("k.doc_id", "k.text_key")
+    empty = linked.where("component IS NULL").select("doc_id", "text_key").distinct()
+    kept = chosen.unionAll(empty)
+    key = _free_name("text_key", docs.columns)
+    marked = docs.withColumn(key, F.xxhash64("text"))
+    same = (marked["doc_id"] == kept["doc_id"]) & (marked[key] == kept["text_key"])
+    named = marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", key]).drop(key)
     return named.unionAll(docs.where(docs["doc_id"].isNull()))
 
 
