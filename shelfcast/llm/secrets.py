@@ -21,6 +21,7 @@ ASSIGN_VALUE = 6
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 
 KINDS = ("assign", "access", "hex", "markov")
+BLOCK = 64  # values that are run over at a time
 SYMBOLS = len(ALPHABET)
 
 
@@ -48,40 +49,76 @@ def _lengths(strings: Column) -> Column:
     return F.transform(strings, lambda s: F.length(s))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(values: Column, combine, levels: int = 3) -> Column:
+    """The values combined from the first up to each one, 0 before the first.
+
+    A step of an aggregate copies its state, so a growing array must not be one over the whole
+    input. Blocks of BLOCK values are worked out singly, their last values are run over in the
+    same way, and each block is combined with what lies before it.
+    """
+    def small(block: Column) -> Column:
+        start = F.array(F.lit(0))
+        grown = F.aggregate(block, start, lambda s, v: F.concat(s, F.array(combine(F.element_at(s, -1), v))))
+        return F.slice(grown, F.lit(2), F.size(block))
+
+    if levels == 1:
+        return small(values)
+
+    def join(done: Column) -> Column:
+        lasts = F.transform(done, lambda b: F.coalesce(F.try_element_at(b, F.lit(-1)), F.lit(0)))
+        before = F.concat(F.array(F.lit(0)), _running(lasts, combine, levels - 1))
+        return F.flatten(F.zip_with(done, F.slice(before, F.lit(1), F.size(done)),
+                                    lambda b, o: F.transform(b, lambda v: combine(o, v))))
+
+    def blocks(all_: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(all_) - 1, F.lit(0)), F.lit(BLOCK))
+        return F.transform(starts, lambda i: small(F.slice(all_, i + 1, F.lit(BLOCK))))
+
+    return _bound(values, lambda all_: _bound(blocks(all_), join))
+
+
 def _spans(text: Column, pattern: str, kind: int, keep: Column | None = None) -> Column:
     """Array of (start, kind, end, kept) of all matches: code points, end exclusive."""
     hits = _matches(text, pattern)
     gaps = _lengths(F.when(text.rlike(pattern), F.split(text, pattern, -1)))
     wanted = F.transform(hits, lambda s: F.lit(True)) if keep is None else keep
-    found = F.arrays_zip(gaps.alias("gap"), _lengths(hits).alias("size"), wanted.alias("kept"))
-    kept_type = "array<struct<start:int,kind:int,end:int,kept:boolean>>"
-
-    def step(state: Column, item: Column) -> Column:
-        start = state["at"] + item["gap"]
-        end = start + F.coalesce(item["size"], F.lit(0))
-        one = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
-                               item["kept"].alias("kept")))
-        return F.struct(
-            end.alias("at"),
-            F.when(item["size"].isNull(), state["out"]).otherwise(F.concat(state["out"], one)).alias("out"),
-        )
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kept_type).alias("out"))
-    walked = F.aggregate(F.coalesce(found, F.array().cast("array<struct<gap:int,size:int,kept:boolean>>")),
-                         start, step, lambda state: state["out"])
-    return F.filter(walked, lambda s: s["kept"])
+    def placed(sizes: Column) -> Column:
+        # The text behind the last match is a gap alone.
+        steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(sizes)), sizes, lambda gap, size: gap + size)
+        zipped = F.arrays_zip(_running(steps, lambda a, b: a + b).alias("end"), sizes.alias("size"), wanted.alias("kept"))
+        return F.transform(zipped, lambda z: F.struct(
+            (z["end"] - z["size"]).alias("start"), F.lit(kind).alias("kind"), z["end"].alias("end"), z["kept"].alias("kept")))
 
-
-def _code(string: Column, at: Column) -> Column:
-    """Number of the transition from character ``at`` to the next, from 1; 0 if outside."""
-    first = F.instr(F.lit(ALPHABET), F.substring(string, at, F.lit(1)))
-    second = F.instr(F.lit(ALPHABET), F.substring(string, at + 1, F.lit(1)))
-    return F.when((first > 0) & (second > 0), (first - 1) * SYMBOLS + second).otherwise(0)
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,kept:boolean>>")
+    found = F.when(F.size(hits) > 0, _bound(_lengths(hits), placed)).otherwise(none)
+    return F.filter(found, lambda s: s["kept"])
 
 
 def _codes(string: Column) -> Column:
-    inside = F.length(string) - 1
-    return F.when(inside > 0, F.transform(F.sequence(F.lit(1), inside), lambda i: _code(string, i)))
+    """Number of each transition from a character to the next, from 1; 0 if one is outside ALPHABET.
+
+    The string is split once; positions in it are never looked up from its start.
+    """
+    places = F.array(*[F.lit(ALPHABET.find(chr(c)) + 1) for c in range(128)])
+
+    def place(character: Column) -> Column:
+        code = F.ascii(character)
+        return F.when(code < 128, F.element_at(places, code + 1)).otherwise(0)
+
+    def pair(first: Column, second: Column) -> Column:
+        return F.when((first > 0) & (second > 0), (first - 1) * SYMBOLS + second).otherwise(0)
+
+    def pairs(at: Column) -> Column:
+        n = F.size(at) - 1
+        return F.when(n > 0, F.zip_with(F.slice(at, F.lit(1), n), F.slice(at, F.lit(2), n), pair))
+
+    return _bound(F.transform(F.split(string, ""), place), pairs)
 
 
 def training_strings(docs: DataFrame, config: MarkovConfig) -> DataFrame:
@@ -159,7 +196,9 @@ def _scanned(docs: DataFrame, config: MarkovConfig) -> DataFrame:
     run = f"[A-Za-z0-9+/_.=-]{{{config.min_chars},}}"
     long_value = F.transform(_matches(text, ASSIGN, 2), lambda v: F.length(v) >= ASSIGN_VALUE)
     model = markov_model(docs, config).scalar()
-    random = F.transform(_matches(text, run), lambda s: _ratio(s, F.col("model")) >= config.min_ratio)
+    # The model is bound to a name: its expression would be worked out again for every transition.
+    random = F.when(text.rlike(run), _bound(F.col("model"), lambda m: F.transform(
+        _matches(text, run), lambda s: _ratio(s, m) >= config.min_ratio)))
     spans = (
         docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
         .withColumn("model", F.when(text.rlike(run), model))
@@ -182,18 +221,22 @@ def redact(docs: DataFrame, config: MarkovConfig = MarkovConfig()) -> DataFrame:
     """The documents with every secret span replaced by MASK, all columns kept; spans that
     overlap or touch become one mask. ``n_chars``, if there is one, follows the text. Texts
     without a span, null ones included, stay as they are."""
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(F.col("text"), state["at"] + 1, span["start"] - state["at"])
-        piece = F.when((span["start"] > state["at"]) | (state["at"] == 0), F.concat(gap, F.lit(MASK))).otherwise("")
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["pieces"], F.array(piece)).alias("pieces")
-        )
+    def masked(chars: Column) -> Column:
+        def pieces(reach: Column) -> Column:
+            def piece(span: Column, i: Column) -> Column:
+                at = F.coalesce(F.get(reach, i - 1), F.lit(0))  # end of the spans before
+                gap = F.array_join(F.slice(chars, at + 1, F.greatest(span["start"] - at, F.lit(0))), "")
+                return F.when((span["start"] > at) | (i == 0), F.concat(gap, F.lit(MASK))).otherwise("")
+
+            rest = F.slice(chars, F.element_at(reach, -1) + 1, F.size(chars))
+            return F.concat(F.array_join(F.transform("found", piece), ""), F.array_join(rest, ""))
+
+        return _bound(_running(F.transform("found", lambda s: s["end"]), F.greatest), pieces)
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("pieces"))
-    masked = F.aggregate("found", start, step, lambda s: F.concat(
-        F.array_join(s["pieces"], ""), F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
+    # One array of characters per text: a substring would be looked up from the text's start.
+    covered = F.when(F.size("found") > 0, _bound(F.split("text", ""), masked))
     changed = _scanned(docs, config).select(
-        "row", F.when(F.size("found") > 0, masked).alias("masked")
+        "row", covered.alias("masked")
     )
     columns = {c: F.col("row").getField(c) for c in docs.columns}
     columns["text"] = F.coalesce("masked", columns["text"])
