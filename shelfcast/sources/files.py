@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -59,7 +60,8 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def read_text(spark: SparkSession, path: str) -> str:
     """Whole content of a file known to be tiny, such as a pointer or a report."""
-    return spark.read.text(path, wholetext=True).first()[0]
+    row = spark.read.text(path, wholetext=True).first()
+    return row[0] if row else ""
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -71,16 +73,40 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Put new content in place in one rename, so a reader sees the old or the new text."""
-    write_text(spark, f"{path}.next", text)
-    jvm = spark._jvm
-    source, _ = _resolve(spark, f"{path}.next")
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless there is one already; False if there is. Of several callers at
+    once one creates it, on HDFS, on object stores with conditional writes and on local disks."""
     target, fs = _resolve(spark, path)
-    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    flags = spark.sparkContext._gateway.new_array(rename, 1)
-    flags[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        fs.makeQualified(target).toUri(), spark._jsc.hadoopConfiguration()
-    )
-    context.rename(fs.makeQualified(source), fs.makeQualified(target), flags)
+    if fs.getUri().getScheme() == "file":
+        return _link_new(spark, target, fs, text)
+    builder = fs.createFile(target).recursive().overwrite(False)
+    builder.opt("fs.s3a.create.conditional.overwrite", True)
+    try:
+        stream = builder.build()
+        try:
+            stream.write(bytearray(text, "utf-8"))
+        finally:
+            stream.close()
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    return True
+
+
+def _link_new(spark: SparkSession, target, fs, text: str) -> bool:
+    """A local file system only looks before it creates; a hard link to a whole file is one step."""
+    nio, none = spark._jvm.java.nio.file, spark.sparkContext._gateway.new_array
+    fs.mkdirs(target.getParent())
+    folder = nio.Paths.get(fs.makeQualified(target.getParent()).toUri())
+    written = nio.Files.createTempFile(folder, ".new", None, none(nio.attribute.FileAttribute, 0))
+    try:
+        nio.Files.write(written, bytearray(text, "utf-8"), none(nio.OpenOption, 0))
+        nio.Files.createLink(folder.resolve(target.getName()), written)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in error.java_exception.toString():
+            return False
+        raise
+    finally:
+        nio.Files.delete(written)
+    return True

@@ -1,8 +1,8 @@
-"""Run folders: every run writes its layers to a fresh folder and is published by a pointer.
+"""Run folders: every run writes its layers to a fresh folder and is published by a manifest.
 
 Layout below the output folder::
 
-    CURRENT                      name of the published run
+    CURRENT/<version>            manifest of a published run; the highest whole one counts
     runs/<run>/bronze/<table>    source tables as read, all text
     runs/<run>/silver/<table>    validated, typed tables
     runs/<run>/gold/<table>      marts, plan, recommendations, run metadata
@@ -10,12 +10,15 @@ Layout below the output folder::
     runs/<run>/csv/<table>.csv   the published marts as CSV
     runs/<run>/quality_report.json
 
-Until the pointer is replaced readers keep the previous run, so a failed run changes nothing.
+A manifest is created only if its version is free, which file systems and object stores decide
+in one step; nothing is renamed or overwritten. A run takes the version after the one it began
+with: of two runs at once the second one to finish fails, and readers see whole runs only.
 """
 
 from __future__ import annotations
 
 import datetime
+import json
 import math
 import uuid
 from collections.abc import Sequence
@@ -25,18 +28,40 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shelfcast.schemas import GOLD_COLUMNS
 from shelfcast.sources import files
 
-POINTER = "CURRENT"
+VERSIONS = "CURRENT"
 
 # A bucket of the fact should be about one scan split. Spark refuses more buckets than its
 # setting spark.sql.sources.bucketing.maxBuckets, which a very large run has to raise.
 BUCKET_BYTES = 256 * 1024 * 1024
 
 
+class PublishConflictError(RuntimeError):
+    """Another run was published since this one began."""
+
+
+def _versions(spark: SparkSession, output_dir: str) -> list[int]:
+    """Version numbers in ascending order, those of unfinished manifests included."""
+    folder = f"{output_dir.rstrip('/')}/{VERSIONS}"
+    if not files.exists(spark, folder):
+        return []
+    return sorted(int(name) for name in files.names(spark, folder) if name.isdigit())
+
+
+def _manifest(spark: SparkSession, output_dir: str, version: int) -> dict | None:
+    """The manifest of a version; None if its writer has not finished, or never did."""
+    text = files.read_text(spark, f"{output_dir.rstrip('/')}/{VERSIONS}/{version:020d}")
+    try:
+        return json.loads(text)
+    except ValueError:
+        return None
+
+
 class RunFolder:
     def __init__(self, spark: SparkSession, output_dir: str, run_id: str):
         self.spark = spark
         self.output_dir = output_dir.rstrip("/")
         self.run_id = run_id
+        self.version = max(_versions(spark, output_dir), default=0) + 1  # that this run may take
         self._tables: list[str] = []
 
     @classmethod
@@ -46,10 +71,11 @@ class RunFolder:
 
     @classmethod
     def published(cls, spark: SparkSession, output_dir: str) -> "RunFolder":
-        pointer = f"{output_dir.rstrip('/')}/{POINTER}"
-        if not files.exists(spark, pointer):
-            raise FileNotFoundError(f"Missing {pointer}. Run the job first.")
-        return cls(spark, output_dir, files.read_text(spark, pointer).strip())
+        for version in reversed(_versions(spark, output_dir)):
+            manifest = _manifest(spark, output_dir, version)
+            if manifest is not None:
+                return cls(spark, output_dir, manifest["run"])
+        raise FileNotFoundError(f"Missing {output_dir.rstrip('/')}/{VERSIONS}. Run the job first.")
 
     @property
     def root(self) -> str:
@@ -103,7 +129,15 @@ class RunFolder:
         files.delete(self.spark, self.path(layer, table))
 
     def publish(self) -> None:
-        files.replace_text(self.spark, f"{self.output_dir}/{POINTER}", self.run_id)
+        """Make this run the published one, unless another was published since it began."""
+        manifest = {"version": self.version, "run": self.run_id, "layers": sorted(files.names(self.spark, self.root))
+                    if files.exists(self.spark, self.root) else []}
+        path = f"{self.output_dir}/{VERSIONS}/{self.version:020d}"
+        if not files.create_new(self.spark, path, json.dumps(manifest) + "\n"):
+            raise PublishConflictError(
+                f"Run {self.run_id} was not published: version {self.version} was taken by another run "
+                "since it began. Run the job again."
+            )
 
     def remove(self) -> None:
         """Delete the whole folder of a run that failed."""
@@ -116,8 +150,8 @@ class RunFolder:
 
 
 def prune_runs(spark: SparkSession, output_dir: str, keep: int = 3) -> list[str]:
-    """Delete superseded run folders but the newest ``keep``; the published one always stays.
-    Call it when no reader of an older run is left. Returns the names deleted."""
+    """Delete superseded run folders but the newest ``keep``; the published one always stays, as do
+    the manifests. Call it when no reader of an older run is left. Returns the names deleted."""
     current = RunFolder.published(spark, output_dir).run_id
     root = f"{output_dir.rstrip('/')}/runs"
     names = sorted(files.names(spark, root))
