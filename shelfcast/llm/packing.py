@@ -1,8 +1,10 @@
 """Best-fit packing into sequences of several permitted lengths.
 
 Items are placed in order of falling length, each into the open bin that it fills best. If none
-fits, a bin of the size with the least cost per token among those that hold the item is opened;
-in the end each bin is reduced to the cheapest size that still holds its contents.
+fits, a bin is opened, of the size that costs least per token that it will hold: for each
+permitted size a bin is filled on trial from the items that are left and that no earlier trial
+has claimed. In the end each bin is reduced to the cheapest size that still holds its contents.
+Plans that open one size wherever it fits are made as well, and the cheapest plan is taken.
 
 Best fit looks at lengths only, and lengths are bounded by the largest size. So the plan is
 made once for the whole input from the histogram of lengths: equal items go into equal bins by
@@ -12,7 +14,7 @@ up each item's place from its rank among the items of its length.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,7 +39,7 @@ class PackConfig:
         return size + self.overhead
 
     def opened(self, length: int) -> int:
-        """Size of a new bin for an item: least cost per token, the smaller one on a tie."""
+        """Size with the least cost per token if bins were filled to the brim, the smaller on a tie."""
         return min((s for s in self.sizes if s >= length), key=lambda s: (self.cost(s) / s, s))
 
     def reduced(self, filled: int) -> int:
@@ -55,10 +57,70 @@ class Plan:
     items: np.ndarray
     bins: np.ndarray
     before: np.ndarray
+    cost: float
+
+
+class TrialFill:
+    """Opens the size whose bin, filled on trial, costs least per token; the smaller on a tie.
+
+    A trial takes as many of the item at hand as fit, then of the next shorter length that fits
+    the rest, and so on. What the chosen bins took stays claimed, so later trials see only
+    what is left for them. The choice holds for as many bins as its trial can be repeated.
+    """
+
+    def __init__(self, histogram: dict[int, int], config: PackConfig):
+        self.config = config
+        self.unclaimed = dict(histogram)
+        self.lengths = sorted(histogram)
+
+    def _fill(self, size: int, length: int, left: int) -> dict[int, int]:
+        taken = {length: min(left, size // length)}
+        free = size - length * taken[length]
+        at = bisect_right(self.lengths, min(free, length - 1)) - 1
+        while at >= 0:
+            shorter = self.lengths[at]
+            taken[shorter] = min(self.unclaimed[shorter], free // shorter)
+            free -= shorter * taken[shorter]
+            at = min(at, bisect_right(self.lengths, free)) - 1
+        return taken
+
+    def __call__(self, length: int, left: int) -> tuple[int, int]:
+        """(size, bins) to open for ``left`` items of a length."""
+        while self.lengths and self.lengths[-1] >= length:
+            self.lengths.pop()
+        trials = []
+        for size in self.config.sizes:
+            if size >= length:
+                taken = self._fill(size, length, left)
+                filled = sum(n * k for n, k in taken.items())
+                trials.append((self.config.cost(self.config.reduced(filled)) / filled, size, taken))
+        _, size, taken = min(trials, key=lambda t: t[:2])
+        own = taken.pop(length)
+        bins = min([left // own, *(self.unclaimed[n] // k for n, k in taken.items())])
+        for shorter, k in taken.items():
+            self.unclaimed[shorter] -= k * bins
+            if not self.unclaimed[shorter]:
+                self.lengths.remove(shorter)
+        return size, bins
 
 
 def plan_bins(histogram: dict[int, int], config: PackConfig) -> Plan:
-    """Bins for ``histogram[length]`` items of each length (1 to the largest size)."""
+    """The cheapest plan for ``histogram[length]`` items of each length (1 to the largest size)."""
+
+    def wherever_it_fits(choose):
+        def opening(length: int, left: int) -> tuple[int, int]:
+            size = choose(length)
+            return size, -(-left // (size // length))
+
+        return opening
+
+    one_size = [lambda n, size=size: size if n <= size else min(s for s in config.sizes if s >= n) for size in config.sizes]
+    rules = [TrialFill(histogram, config), *(wherever_it_fits(f) for f in (config.opened, *one_size))]
+    return min((best_fit(histogram, config, rule) for rule in rules), key=lambda plan: plan.cost)
+
+
+def best_fit(histogram: dict[int, int], config: PackConfig, opening) -> Plan:
+    """Best fit decreasing, where ``opening(length, left)`` gives the size and number of new bins."""
     room: list[int] = []  # distinct free room of open bins, ascending
     groups: dict[int, deque] = {}  # room -> runs (first bin, bins, size), oldest first
     items: list[tuple] = []
@@ -75,8 +137,8 @@ def plan_bins(histogram: dict[int, int], config: PackConfig) -> Plan:
         while left:
             at = bisect_left(room, length)
             if at == len(room):
-                size = config.opened(length)
-                free, first, count = size, n_bins, -(-left // (size // length))
+                size, count = opening(length, left)
+                free, first = size, n_bins
                 n_bins += count
             else:
                 free = room[at]
@@ -95,9 +157,10 @@ def plan_bins(histogram: dict[int, int], config: PackConfig) -> Plan:
                 used, left = used + 1, 0
             if used < count:
                 keep(free, first + used, count - used, size, oldest=True)
-    bins = sorted(
-        (first, config.reduced(size - free)) for free, runs in groups.items() for first, _, size in runs
+    runs = sorted(
+        (first, config.reduced(size - free), count) for free, same in groups.items() for first, count, size in same
     )
+    bins = [(first, size) for first, size, _ in runs]
     longest = max(config.sizes)
     counts = np.zeros(longest + 2, dtype=np.int64)
     for length, n in histogram.items():
@@ -106,6 +169,7 @@ def plan_bins(histogram: dict[int, int], config: PackConfig) -> Plan:
         np.array(sorted(items), dtype=np.int64).reshape(-1, 5),
         np.array(bins, dtype=np.int64).reshape(-1, 2),
         np.cumsum(counts),
+        sum(config.cost(size) * count for _, size, count in runs),
     )
 
 
