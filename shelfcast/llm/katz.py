@@ -46,7 +46,7 @@ class KatzConfig:
     order: int = 2  # words in the longest n-gram
     folds: int = 7
     held_fold: int = 2  # documents of this fold are scored, but never learned from
-    chunk_tokens: int = 1 << 20  # a chunk is closed once it has as many
+    chunk_tokens: int = 1 << 18  # a chunk is closed once it has as many
     bucket_tokens: int = 1 << 21  # of the corpus per bucket of n-grams
     turing_upto: int = 5  # counts with a discount of their own; larger ones follow a fitted line
     fit_upto: int = 60  # largest count the line is fitted on
