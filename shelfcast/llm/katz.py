@@ -415,6 +415,14 @@ def read_model(answers: DataFrame, documents: int, config: KatzConfig) -> Model:
     return Model(tokens or 0, words or 0, documents, freed / tokens if tokens else 1.0, discounts)
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """``cut_lineage``, then a collection of the driver's garbage: Spark deletes a finished plan's
+    shuffle files only once the plan is collected, and the next step needs their room."""
+    table = cut_lineage(df)
+    df.sparkSession._jvm.System.gc()
+    return table
+
+
 def score_texts(docs: DataFrame, config: KatzConfig = KatzConfig()) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per input row.
 
@@ -431,9 +439,9 @@ def score_texts(docs: DataFrame, config: KatzConfig = KatzConfig()) -> DataFrame
     tokens, documents = chunks.agg(F.sum("n_tokens"), F.sum(learned)).first()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (tokens or 0) // config.bucket_tokens + 1)
     asked = chunks.mapInArrow(_asker(config.order, buckets), _ASKED)
-    answers = cut_lineage(asked.groupBy("bucket").applyInArrow(_add_up, _ANSWER))
+    answers = _written(asked.groupBy("bucket").applyInArrow(_add_up, _ANSWER))
     model = read_model(answers, documents or 0, config)
-    scored = cut_lineage(
+    scored = _written(
         chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scorer(model, config.order), _SCORED)
     )
     sums = scored.select(F.explode(F.arrays_zip("contexts", "freed", "lower")).alias("c"))
