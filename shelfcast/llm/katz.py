@@ -337,18 +337,21 @@ def _scorer(model: Model, order: int):
             owned, wanted = (
                 np.concatenate([unpack_bits(x, k) for x, k in zip(packed[j], of)]) for j in (1, 2)
             )
+            del key
+            # Worked out by distinct n-gram, not by token: chunks are large.
+            kept = model.discounts[n - 1].kept(total)
             count = total[place]
             if n == 1:
                 whole = np.full(size, max(model.tokens, 1))
                 known = np.bincount(chunk.doc, count > 0, n_docs).astype(np.int32)
-                base = np.log10((count + 1) / (model.tokens + model.words + 1))
-                base = np.bincount(chunk.doc, base, n_docs)
+                base = np.log10((total + 1) / (model.tokens + model.words + 1))
+                base = np.bincount(chunk.doc, base[place], n_docs)
             else:
                 whole = np.empty(size, dtype=np.int64)
                 whole[1:] = before_count[:-1]
                 whole[chunk.heads] = model.documents
-            kept = model.discounts[n - 1].kept(count)
-            own = kept * count / np.maximum(whole, 1)
+            own = (kept * total)[place]
+            own /= np.maximum(whole, 1)
             if n > 1:
                 open_at.append(np.flatnonzero((count == 0) & (whole > 0)))
                 open_key.append(context[open_at[-1]])
@@ -357,12 +360,13 @@ def _scorer(model: Model, order: int):
                 follows[chunk.heads] = True
                 at = at[owned]
                 at = at[follows[at]]
-                mass = (1 - kept[at]) * count[at] / whole[at]
+                mass = (1 - kept[place[at]]) * count[at] / whole[at]
                 found = _summed(context[at], mass, lower[at])
                 for into, value in zip((contexts, freed, lowers), found):
                     into.append(value)
-            prob = np.where(count > 0, own, prob)
+            np.copyto(prob, own, where=count > 0)
             before_count, before_wanted, lower = count, wanted[place], own
+            del place, at, whole, context
         direct = np.bincount(chunk.doc, np.log10(prob), n_docs)
         spots, keys = _all_of(open_at, np.int64), _all_of(open_key, np.uint64)
         needs, need = np.unique(keys, return_inverse=True)
