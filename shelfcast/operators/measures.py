@@ -68,63 +68,131 @@ DEMAND_MEASURES = (
     "promoted_row_count", "nonpromoted_row_count", "average_promoted_row_demand",
     "average_nonpromoted_row_demand", "promotion_lift",
 )
-# Distinct members counted per group, and the measures that need each.
+# Distinct members counted per group: the column, and the measures that need the count.
 _MEMBERS = {
     "observed_days": ("date", {"observed_days", "average_daily_demand", "average_daily_sales"}),
     "store_count": ("store_nbr", {"store_count"}),
     "family_count": ("family", {"family_count"}),
 }
+# 64 neighbouring days or stores are the bits of one word: its number and a row's bit. Words merge by
+# OR at any level, so members stay distinct in totals, and a cell of words stands for many rows.
+_WORDS = {
+    "date": ("shiftright(unix_date(date), 6)", "shiftleft(1L, unix_date(date) & 63)"),
+    "store_nbr": ("shiftright(store_nbr, 6)", "shiftleft(1L, cast(store_nbr & 63 AS int))"),
+}
+DAY_WORD, DAY_BIT = _WORDS["date"]
+
+
+def _in_word(word: Column, bits: Column) -> Column:
+    """Members in a merged word; rows without a value count as one member, like a distinct null."""
+    return F.when(word.isNull(), F.lit(1)).otherwise(F.bit_count(bits))
+
+
+def _sums(wanted: set[str]) -> dict[str, Column]:
+    """The sums behind the wanted measures. They add up over any split of the rows."""
+    promoted, volume = F.col("promoted"), F.col("sales")
+    known = "known_promotion_rows"
+    sums = {
+        "total_demand": (F.sum(volume), {"total_demand", "average_daily_demand", "average_daily_sales", "promotion_share"}),
+        known: (F.count("onpromotion"), {known, "promoted_demand", "promotion_share"}),
+        "promoted_sum": (
+            F.sum(F.when(promoted, volume)),
+            {"promoted_demand", "promotion_share", "average_promoted_row_demand", "promotion_lift"},
+        ),
+        "promoted_volumes": (F.count(F.when(promoted, volume)), {"average_promoted_row_demand", "promotion_lift"}),
+        "other_sum": (F.sum(F.when(~promoted, volume)), {"average_nonpromoted_row_demand", "promotion_lift"}),
+        "other_volumes": (F.count(F.when(~promoted, volume)), {"average_nonpromoted_row_demand", "promotion_lift"}),
+        "promoted_row_count": (F.count_if(promoted), {"promoted_row_count"}),
+        "nonpromoted_row_count": (F.count_if(~promoted), {"nonpromoted_row_count"}),
+    }
+    return {name: column for name, (column, users) in sums.items() if users & wanted}
+
+
+_COUNTS = {"known_promotion_rows", "promoted_volumes", "other_volumes", "promoted_row_count", "nonpromoted_row_count"}
 
 
-def _with_members(
-    base: DataFrame, rows: DataFrame, group_by: Sequence[str], name: str, column: str
+def _merged(name: str) -> Column:
+    """A sum over partial sums; a count over no rows is 0."""
+    total = F.sum(name)
+    return (F.coalesce(total, F.lit(0)) if name in _COUNTS else total).alias(name)
+
+
+def _grouped(
+    rows: DataFrame, group_by: Sequence[str], members: Sequence[str], sums: dict[str, Column]
 ) -> DataFrame:
-    """Add a distinct count per group. Distinct members combine before the shuffle and are then
-    counted as rows, where several exact distinct counts in one aggregate would expand the fact."""
-    if column in group_by:  # a grouped column has one value per group
-        return base.withColumn(name, F.lit(1).cast("bigint"))
-    members = rows.select(*group_by, column).distinct()
-    counted = members.groupBy(*group_by).agg(F.count(F.lit(1)).alias(name))
-    if not group_by:
-        return base.withColumn(name, counted.scalar())
-    keys = {c: f"{c}__of_{name}" for c in group_by}
-    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
-    return base.join(counted.withColumnsRenamed(keys), same, "left").drop(*keys.values())
+    """Sums and distinct counts per group from one scan.
+
+    The rows are first combined to cells of (group, 64 days, 64 stores, family), as far as these
+    are counted. A cell then stands once for each kind of member, its sums with the first kind only,
+    and merges with its equals: words by OR, families by being one row. Several exact distinct
+    counts in one aggregate would expand every row of the fact instead.
+    """
+    if not members:
+        return rows.groupBy(*group_by).agg(*[c.alias(n) for n, c in sums.items()] or [F.count(F.lit(1))])
+    columns = {m: _MEMBERS[m][0] for m in members}
+    words = {c: _WORDS[c] for c in columns.values() if c in _WORDS}
+    cells = rows.groupBy(
+        *group_by,
+        *[(F.expr(words[c][0]) if c in words else F.col(c)).alias(f"member_{c}") for c in columns.values()],
+    ).agg(
+        *[F.bit_or(F.expr(bit)).alias(f"bits_{c}") for c, (_, bit) in words.items()],
+        *[c.alias(n) for n, c in sums.items()],
+    )
+
+    def only(condition: bool, name: str) -> Column:
+        return (F.col(name) if condition else F.when(F.lit(False), F.col(name))).alias(name)
+
+    kinds = [
+        F.struct(
+            F.lit(m).alias("member"),
+            *[only(c == own, f"member_{c}") for c in columns.values()],
+            (F.col(f"bits_{own}") if own in words else F.lit(None).cast("bigint")).alias("member_bits"),
+            *[only(m == members[0], n) for n in sums],
+        )
+        for m, own in columns.items()
+    ]
+    keys = ["member", *[f"member_{c}" for c in columns.values()]]
+    merged = cells.select(*group_by, F.inline(F.array(*kinds)))
+    if len(members) > 1:
+        merged = merged.groupBy(*group_by, *keys).agg(
+            F.bit_or("member_bits").alias("member_bits"), *[F.sum(n).alias(n) for n in sums]
+        )
+    of = F.col("member")
+    counts = {
+        m: F.coalesce(F.sum(F.when(of == m, _in_word(F.col(f"member_{c}"), F.col("member_bits")))), F.lit(0))
+        if c in words else F.count_if(of == m)
+        for m, c in columns.items()
+    }
+    return merged.groupBy(*group_by).agg(
+        *[_merged(n) for n in sums], *[c.alias(m) for m, c in counts.items()]
+    )
 
 
 def demand_measures(
     daily: DataFrame, group_by: Sequence[str] = (), measures: Iterable[str] | None = None, **selection
 ) -> DataFrame:
-    """Demand and promotion measures per group, or in total without ``group_by``.
+    """Demand and promotion measures per group, or in total without ``group_by``, from one scan.
 
-    ``measures`` names the wanted ones, in the order of DEMAND_MEASURES; the scans that only
+    ``measures`` names the wanted ones, in the order of DEMAND_MEASURES; columns and steps that only
     others need are left out.
     """
     wanted = [m for m in DEMAND_MEASURES if measures is None or m in set(measures)]
-    promoted = F.col("promoted")
-    volume = F.col("sales")
-    known_rows = F.count("onpromotion")
-    rows = select_demand(daily, **selection)
-    base = rows.groupBy(*group_by).agg(
-        F.sum(volume).alias("total_demand"),
-        known_rows.alias("known_promotion_rows"),
-        # The sum is already null when no row is promoted or promotion is unknown.
-        F.when(known_rows > 0, F.sum(F.when(promoted, volume))).alias("promoted_demand"),
-        F.count_if(promoted).alias("promoted_row_count"),
-        F.count_if(~promoted).alias("nonpromoted_row_count"),
-        F.avg(F.when(promoted, volume)).alias("average_promoted_row_demand"),
-        F.avg(F.when(~promoted, volume)).alias("average_nonpromoted_row_demand"),
-    )
-    for name, (column, users) in _MEMBERS.items():
-        if users & set(wanted):
-            base = _with_members(base, rows, group_by, name, column)
-    with_promotion, without = (
-        F.col("average_promoted_row_demand"), F.col("average_nonpromoted_row_demand"),
-    )
+    needed = [m for m, (_, users) in _MEMBERS.items() if users & set(wanted)]
+    counted = [m for m in needed if _MEMBERS[m][0] not in group_by]
+    base = _grouped(select_demand(daily, **selection), group_by, counted, _sums(set(wanted)))
+    # A grouped column has one value per group.
+    base = base.withColumns({m: F.lit(1).cast("bigint") for m in needed if m not in counted})
+    with_promotion = ratio(F.col("promoted_sum"), F.col("promoted_volumes"))
+    without = ratio(F.col("other_sum"), F.col("other_volumes"))
+    # The sum is already null when no row is promoted or promotion is unknown.
+    promoted_demand = F.when(F.col("known_promotion_rows") > 0, F.col("promoted_sum"))
     derived = {
+        "promoted_demand": lambda: promoted_demand,
         "average_daily_demand": lambda: ratio(F.col("total_demand"), F.col("observed_days")),
         "average_daily_sales": lambda: ratio(F.col("total_demand"), F.col("observed_days")),
-        "promotion_share": lambda: ratio(F.col("promoted_demand"), F.col("total_demand")),
+        "promotion_share": lambda: ratio(promoted_demand, F.col("total_demand")),
+        "average_promoted_row_demand": lambda: with_promotion,
+        "average_nonpromoted_row_demand": lambda: without,
         # A fraction, unlike the mart's lift in percentage points.
         "promotion_lift": lambda: ratio(with_promotion - without, without),
     }
@@ -165,51 +233,28 @@ def average_volatility(volatility: DataFrame) -> DataFrame:
     return volatility.agg(F.avg("daily_std").alias("average_demand_volatility"))
 
 
-def _total_days(daily: DataFrame) -> DataFrame:
-    """Distinct dates of every store, of every family and of the whole fact.
-
-    Each is a set of (store, date), (family, date) or date rows, which combines well
-    before the shuffle, and then a plain count.
-    """
-    store, family, date = F.col("store_nbr"), F.col("family"), F.col("date")
-    sets = (
-        daily.select("store_nbr", "family", "date")
-        .groupingSets([[store, date], [family, date], [date]], store, family, date)
-        .agg(F.grouping_id("store_nbr", "family", "date").alias("bits"))
-    )
-    level = F.shiftright("bits", 1).cast("int")  # without the bit of the date, which is never totalled
-    return sets.groupBy(
-        level.alias("day_level"), store.alias("day_store"), family.alias("day_family")
-    ).agg(F.count(F.lit(1)).alias("observed_days"))
-
-
 def store_family_matrix(daily: DataFrame) -> DataFrame:
-    """Demand by store and family with subtotals and a grand total.
+    """Demand by store and family with subtotals and a grand total, from one scan.
 
     The average in a total row divides by the distinct dates of that total. ``level`` is
     0 for a cell, 1 for a store total, 2 for a family total and 3 for the grand total.
 
-    A cube with a distinct count would shuffle the whole fact for the cells. Instead the
-    fact is summed to cells, whose days are their rows because the grain is unique, the
-    totals are summed from the cells, and only totals look up their distinct days.
+    A cube with a distinct count would shuffle the whole fact for the cells. Instead the fact is
+    summed to (store, family, 64-day word) with a bit per day; the totals merge the words by OR.
     """
-    cells = daily.groupBy("store_nbr", "family").agg(
-        F.sum("sales").alias("total_demand"), F.count(F.lit(1)).alias("observed_days")
-    )
-    store, family = F.col("store_nbr"), F.col("family")
-    totals = cells.groupingSets([[store], [family], []], store, family).agg(
-        F.grouping_id("store_nbr", "family").cast("int").alias("level"),
-        F.sum("total_demand").alias("total_demand"),
-    )
-    same_total = (
-        (F.col("level") == F.col("day_level"))
-        & store.eqNullSafe(F.col("day_store"))
-        & family.eqNullSafe(F.col("day_family"))
-    )
-    totals = totals.join(_total_days(daily), same_total).select(
-        "store_nbr", "family", "level", "total_demand", "observed_days"
+    store, family, word = F.col("store_nbr"), F.col("family"), F.col("day_word")
+    words = daily.groupBy("store_nbr", "family", F.expr(DAY_WORD).alias("day_word")).agg(
+        F.sum("sales").alias("volume"), F.bit_or(F.expr(DAY_BIT)).alias("day_bits")
     )
-    return cells.withColumn("level", F.lit(0)).unionByName(totals).select(
-        "store_nbr", "family", "level", "total_demand", "observed_days",
-        ratio(F.col("total_demand"), F.col("observed_days")).alias("average_daily_demand"),
+    totals = words.groupingSets(
+        [[store, family, word], [store, word], [family, word], [word]], store, family, word
+    ).agg(
+        F.grouping_id("store_nbr", "family", "day_word").alias("totalled"),
+        F.sum("volume").alias("volume"),
+        F.bit_or("day_bits").alias("day_bits"),
     )
+    level = F.shiftright("totalled", 1).cast("int")  # without the bit of the word, which is never totalled
+    return totals.groupBy("store_nbr", "family", level.alias("level")).agg(
+        F.sum("volume").alias("total_demand"),
+        F.sum(_in_word(word, F.col("day_bits"))).alias("observed_days"),
+    ).withColumn("average_daily_demand", ratio(F.col("total_demand"), F.col("observed_days")))

@@ -26,14 +26,26 @@ def top_families(daily: DataFrame, count: int = OVERVIEW_FAMILIES, **selection)
 
 
 def weekly_top_families(star: DataFrame, count: int = TREND_FAMILIES, **selection) -> DataFrame:
-    """Weekly demand of the top families, summed from daily rows so date filters stay exact."""
-    rows = select_demand(star, **selection)
-    leaders = top_families(rows, count).select("family")  # ``count`` rows
-    return (
-        rows.join(F.broadcast(leaders), "family", "left_semi")
+    """Weekly demand of the top families, summed from daily rows so date filters stay exact.
+
+    One read of the star: a family carries its weeks, at most some 30,000 by the limits of dates,
+    while the leaders are chosen by their totals.
+    """
+    weekly = (
+        select_demand(star, **selection)
         .groupBy("week_start", "family")
         .agg(F.sum("sales").alias("total_demand"))
     )
+    leaders = (
+        weekly.groupBy("family")
+        .agg(
+            F.sum("total_demand").alias("family_demand"),
+            F.collect_list(F.struct("week_start", "total_demand")).alias("weeks"),
+        )
+        .orderBy(F.desc("family_demand"), "family")
+        .limit(count)
+    )
+    return leaders.select("family", F.inline("weeks")).select("week_start", "family", "total_demand")
 
 
 def weekday_demand(star: DataFrame, **selection) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.columns import day_type, week_start, weekday_number
 from shelfcast.schemas import SERIES
+from shelfcast.session import cut_lineage
 
 
 def series_keys(sales: DataFrame) -> DataFrame:
@@ -29,7 +30,10 @@ def dim_date(daily: DataFrame) -> DataFrame:
 
     Input dates lie between 1677 and 2262, so this has at most some 214,000 rows.
     """
-    years = daily.agg(F.year(F.min("date")).alias("first"), F.year(F.max("date")).alias("last"))
+    return _calendar(daily.agg(F.year(F.min("date")).alias("first"), F.year(F.max("date")).alias("last")))
+
+
+def _calendar(years: DataFrame) -> DataFrame:
     first_day = F.make_date("first", F.lit(1), F.lit(1))
     last_day = F.make_date("last", F.lit(12), F.lit(31))
     days = years.where("first IS NOT NULL").select(
@@ -45,10 +49,24 @@ def dim_date(daily: DataFrame) -> DataFrame:
     )
 
 
+def lookups(daily: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Store, family and date lookups from one scan of the fact, those of stores and families written.
+
+    A written lookup has a known size: Spark sends it to the fact where that size is below
+    ``spark.sql.autoBroadcastJoinThreshold``, so the fact stays where it is, and joins a larger one by key.
+    """
+    series = cut_lineage(
+        daily.groupBy(*SERIES).agg(F.year(F.min("date")).alias("first"), F.year(F.max("date")).alias("last"))
+    )
+    years = series.agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return cut_lineage(dim_store(series)), cut_lineage(dim_family(series)), _calendar(years)
+
+
 def star_demand(
     daily: DataFrame, stores: DataFrame, families: DataFrame, dates: DataFrame
 ) -> DataFrame:
-    """Daily fact joined to its three lookups; filtered lookups restrict the fact."""
+    """Daily fact joined to its three lookups; filtered lookups restrict the fact. Take stored
+    ones, as ``lookups`` writes them: the fact is then moved for those beyond the broadcast size only."""
     calendar = dates.select("date", "week_start", "weekday")
     return (
         daily.join(F.broadcast(calendar), "date")  # bounded by the calendar, see dim_date

@@ -8,7 +8,7 @@ import __spark_entry__ as contract
 from shared import DATA_DIR
 from shelfcast.config import PlanningConfig
 from shelfcast import session
-from shelfcast.operators import forecast, marts, measures, planning
+from shelfcast.operators import forecast, marts, measures, pages, planning, star
 from workload import facts, queries
 
 SMALL = str(DATA_DIR / "sf0.001")
@@ -30,7 +30,7 @@ def executed(monkeypatch):
         plans.append(plan_text(df))
         return session.cut_lineage(df)
 
-    for module in (queries, planning):
+    for module in (queries, planning, star):
         monkeypatch.setattr(module, "cut_lineage", recording)
     return plans
 
@@ -61,6 +61,39 @@ def test_measures_do_not_expand_the_fact(spark, executed, name):
     assert "Expand" not in result
 
 
+def moves_and_reads(df):
+    """Shuffles and file reads of a plan, from the result down."""
+    return re.findall(r"Exchange (?:hash|range|single)\w*|FileScan parquet", plan_text(df))
+
+
+@pytest.fixture
+def stored_daily(spark, tmp_path, sales):
+    path = str(tmp_path / "daily")
+    marts.daily_sales(sales).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("keys", [(), ("store_nbr",), ("weekday_number", "day_type"), ("date",)])
+def test_all_measures_come_from_one_scan(stored_daily, keys):
+    assert moves_and_reads(measures.demand_measures(stored_daily, keys)).count("FileScan parquet") == 1
+
+
+def test_the_matrix_comes_from_one_scan(stored_daily):
+    assert moves_and_reads(measures.store_family_matrix(stored_daily)).count("FileScan parquet") == 1
+
+
+def test_stored_lookups_leave_the_fact_in_place(stored_daily):
+    joined = star.star_demand(stored_daily, *star.lookups(stored_daily))
+    assert "Exchange" not in "".join(m for m in moves_and_reads(joined) if m.startswith("Exchange"))
+    assert joined.count() == stored_daily.count()
+
+
+def test_top_families_read_the_star_once(stored_daily):
+    weekly = pages.weekly_top_families(star.star_demand(stored_daily, *star.lookups(stored_daily)))
+    text = plan_text(weekly)
+    assert sum("FileScan parquet" in line and "sales#" in line for line in text.splitlines()) == 1
+
+
 def test_forecast_reads_only_its_window(spark, tmp_path):
     events = facts.table(spark, SMALL, "events")
     path = str(tmp_path / "fact")

@@ -77,9 +77,7 @@ events_once = shared(facts.events_fact)
 lineitem_once = shared(facts.lineitem_fact)
 events_daily = _daily(facts.events_fact)
 edge_daily = _daily(facts.edge_fact)
-edge_daily_once = _daily(edge_once)
 lineitem_daily = _daily(facts.lineitem_fact)
-lineitem_daily_once = _daily(lineitem_once)
 orders_daily = _daily(facts.orders_fact)
 
 
@@ -278,13 +276,9 @@ def risk_counts(spark, sf_dir):
 # --- star model, measures and pages ---------------------------------------------------
 
 
-def _lookups(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return star.dim_store(daily), star.dim_family(daily)
-
-
 def _star(spark, sf_dir):
     daily = marts.daily_sales(edge_once(spark, sf_dir))
-    return star.star_demand(daily, *_lookups(daily), star.dim_date(daily))
+    return star.star_demand(daily, *star.lookups(daily))
 
 
 def star_demand(spark, sf_dir):
@@ -294,7 +288,7 @@ def star_demand(spark, sf_dir):
 def star_plan(spark, sf_dir):
     sales = edge_once(spark, sf_dir)
     plan = _plan(sales, SPARSE, facts.stock_snapshot(sales))
-    return rounded(star.star_plan(plan, *_lookups(sales)))
+    return rounded(star.star_plan(plan, star.dim_store(sales), star.dim_family(sales)))
 
 
 def _measures(daily: Query, *group_by: str, **selection) -> Query:
@@ -417,13 +411,13 @@ REGISTRY: dict[str, Query] = {
     "dim_date": lambda spark, sf_dir: star.dim_date(lineitem_daily(spark, sf_dir)),
     "star_demand": star_demand,
     "star_plan": star_plan,
-    "store_family_cube": _mart(edge_daily_once, measures.store_family_matrix),
-    "store_family_cube_lineitem": _mart(lineitem_daily_once, measures.store_family_matrix),
-    "measures_total": _measures(edge_daily_once),
-    "measures_by_store": _measures(edge_daily_once, "store_nbr"),
-    "measures_by_weekday": _measures(edge_daily_once, "weekday_number", "day_type"),
-    "measures_filtered": _measures(edge_daily_once, "family", **SELECTION),
-    "measures_lineitem": _measures(lineitem_daily_once, "family"),
+    "store_family_cube": _mart(edge_daily, measures.store_family_matrix),
+    "store_family_cube_lineitem": _mart(lineitem_daily, measures.store_family_matrix),
+    "measures_total": _measures(edge_daily),
+    "measures_by_store": _measures(edge_daily, "store_nbr"),
+    "measures_by_weekday": _measures(edge_daily, "weekday_number", "day_type"),
+    "measures_filtered": _measures(edge_daily, "family", **SELECTION),
+    "measures_lineitem": _measures(lineitem_daily, "family"),
     "avg_volatility": avg_volatility,
     "plan_measures_total": _plan_measures(),
     "plan_measures_by_store": _plan_measures("store_nbr"),
@@ -432,7 +426,7 @@ REGISTRY: dict[str, Query] = {
     "top_families": _ordered(_mart(orders_daily, pages.top_families)),
     "weekly_top_families": weekly_top_families,
     "page_weekday": page_weekday,
-    "page_day_type": _mart(edge_daily_once, pages.day_type_demand),
+    "page_day_type": _mart(edge_daily, pages.day_type_demand),
     "page_store": _ordered(_mart(edge_daily, pages.store_demand)),
     "page_promo": _mart(edge_daily, pages.family_promotion),
     "page_promo_orders": _mart(orders_daily, pages.family_promotion),
