@@ -80,7 +80,7 @@ _WORDS = {
     "date": ("shiftright(unix_date(date), 6)", "shiftleft(1L, unix_date(date) & 63)"),
     "store_nbr": ("shiftright(store_nbr, 6)", "shiftleft(1L, cast(store_nbr & 63 AS int))"),
 }
-DAY_WORD, DAY_BIT = _WORDS["date"]
+(DAY_WORD, DAY_BIT), (STORE_WORD, STORE_BIT) = _WORDS["date"], _WORDS["store_nbr"]
 
 
 def _in_word(word: Column, bits: Column) -> Column:

@@ -1,0 +1,100 @@
+"""Measures as SQL table functions against the same measures as DataFrames."""
+
+import datetime
+
+import pytest
+
+from shelfcast.operators import marts, measures
+from shelfcast.schemas import GOLD_COLUMNS, MONTH
+from shelfcast.sources.sql_functions import DEMAND_KEYS, PLANNING_KEYS, register_functions
+from test_members import SCHEMA, odd_rows
+from test_plans import plan_text
+
+FIRST, LAST = datetime.date(1969, 12, 20), datetime.date(1970, 3, 31)
+
+
+@pytest.fixture(scope="module")
+def views(spark, tmp_path_factory):
+    """A daily mart partitioned by month, a plan and a volatility mart as views, and their functions."""
+    folder = tmp_path_factory.mktemp("views")
+    daily = marts.daily_sales(spark.createDataFrame(odd_rows(), SCHEMA))
+    daily.selectExpr("*", f"date_format(date, 'yyyy-MM') AS {MONTH}").write.partitionBy(MONTH).parquet(str(folder / "daily"))
+    types = {"store_nbr": "long", "forecast_date": "date", "observed_days": "long", "last_observed_date": "date",
+             "family": "string", "forecast_quality": "string", "inventory_source": "string", "risk": "string"}
+    schema = ", ".join(f"{c} {types.get(c, 'double')}" for c in GOLD_COLUMNS["reorder_risk"])
+    risks = [measures.REORDER, measures.MONITOR, measures.HEALTHY, measures.OVERSTOCK, measures.INSUFFICIENT, None]
+    rows = []
+    for i in range(60):
+        row = dict.fromkeys(GOLD_COLUMNS["reorder_risk"])
+        row.update(store_nbr=i % 4 or None, family="AB"[i % 2], risk=risks[i % 6], inventory_source=["x", "y", None][i % 3],
+                   days_of_supply=None if i % 5 == 0 else float(i), reorder_point=i * 0.5, reorder_quantity=float(i % 7),
+                   forecast_date=FIRST + datetime.timedelta(days=i % 3))
+        rows.append(tuple(row.values()))
+    spark.createDataFrame(rows, schema).write.parquet(str(folder / "plan"))
+    spark.createDataFrame([("A", 2.0), ("B", 5.0), ("C", None)], "family string, daily_std double").createOrReplaceTempView("t_vol")
+    spark.read.parquet(str(folder / "daily")).createOrReplaceTempView("t_daily")
+    spark.read.parquet(str(folder / "plan")).createOrReplaceTempView("t_plan")
+    names = register_functions(spark, "t_daily", "t_plan", "t_vol", prefix="t_")
+    assert len(names) == len(DEMAND_KEYS) + len(PLANNING_KEYS) + 1
+    return spark
+
+
+def rows_of(df):
+    return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
+
+
+ALL = ("", {})
+SOME = (
+    f"first_day => DATE'{FIRST}', last_day => DATE'{LAST}', stores => array(2L, 1099511627776L), families => array('A', '')",
+    {"start": FIRST, "end": LAST, "stores": [2, 2**40], "families": ["A", ""]},
+)
+NONE = ("stores => array()", {"stores": []})
+
+
+@pytest.mark.parametrize("suffix", DEMAND_KEYS)
+@pytest.mark.parametrize("arguments,selection", [ALL, SOME, NONE])
+def test_demand_functions(views, suffix, arguments, selection):
+    found = views.sql(f"SELECT * FROM t_demand_measures{suffix}({arguments})")
+    expected = measures.demand_measures(views.table("t_daily"), DEMAND_KEYS[suffix], **selection)
+    assert found.dtypes == expected.dtypes
+    assert rows_of(found) == rows_of(expected)
+
+
+@pytest.mark.parametrize("suffix", PLANNING_KEYS)
+@pytest.mark.parametrize("arguments,selection", [ALL, (
+    f"stores => array(1L, 3L), families => array('B'), risks => array('{measures.REORDER}', '{measures.MONITOR}'), "
+    "sources => array('x')",
+    {"stores": [1, 3], "families": ["B"], "risks": [measures.REORDER, measures.MONITOR], "sources": ["x"]})])
+def test_planning_functions(views, suffix, arguments, selection):
+    found = views.sql(f"SELECT * FROM t_planning_measures{suffix}({arguments})")
+    expected = measures.planning_measures(views.table("t_plan"), PLANNING_KEYS[suffix], **selection)
+    assert found.dtypes == expected.dtypes
+    assert rows_of(found) == rows_of(expected)
+
+
+def test_volatility_and_joins_of_functions(views):
+    assert views.sql("SELECT * FROM t_average_demand_volatility()").first()[0] == 3.5
+    both = views.sql(
+        "SELECT d.family, total_demand, planning_series_count FROM t_demand_measures_by_family() d "
+        "JOIN t_planning_measures_by_family() p ON d.family = p.family"
+    )
+    assert {r["family"] for r in both.collect()} == {"A", "B"}
+
+
+def test_arguments_reach_the_scan(views):
+    views.conf.set("spark.sql.maxMetadataStringLength", "10000")  # whole filter lists in plans
+    try:
+        check_scans(views)
+    finally:
+        views.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def check_scans(views):
+    text = plan_text(views.sql(f"SELECT total_demand FROM t_demand_measures({SOME[0]})"))
+    assert text.count("FileScan") == 1
+    assert f"GreaterThanOrEqual(date,{FIRST})" in text and f"LessThanOrEqual(date,{LAST})" in text
+    assert "GreaterThanOrEqual(store_nbr,2)" in text and "LessThanOrEqual(family,A)" in text
+    months = text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "1969-12" in months and "1970-03" in months
+    free = plan_text(views.sql("SELECT total_demand FROM t_demand_measures()"))
+    assert "PushedFilters: []" in free and "onpromotion" not in free.split("ReadSchema")[1]

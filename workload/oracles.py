@@ -640,3 +640,8 @@ UNION ALL SELECT 'Stores', CAST(count(DISTINCT store_nbr) AS DOUBLE) FROM f
 UNION ALL SELECT 'Reorder now series', CAST(count(*) FILTER (WHERE risk = 'Reorder now') AS DOUBLE) FROM plan""",
     ),
 }
+
+# The same results from SQL table functions.
+ORACLES |= {
+    f"sql_{name}": ORACLES[name] for name in ("measures_total", "measures_filtered", "plan_measures_filtered")
+}

@@ -17,6 +17,7 @@ from shelfcast.operators import (
 )
 from shelfcast.schemas import GRAIN, SALES
 from shelfcast.session import cut_lineage
+from shelfcast.sources import sql_functions
 from workload import facts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -303,6 +304,32 @@ def _plan_measures(*group_by: str, **selection) -> Query:
     )
 
 
+def sql_measures_filtered(spark, sf_dir):
+    """The selection of measures_filtered as arguments of a SQL table function."""
+    edge_daily(spark, sf_dir).createOrReplaceTempView("workload_daily")
+    sql_functions.register_functions(spark, "workload_daily", None, None, prefix="workload_")
+    arguments = (
+        f"DATE'{SELECTION['start']}', DATE'{SELECTION['end']}', "
+        f"array({', '.join(f'{n}L' for n in SELECTION['stores'])}), "
+        f"array({', '.join(repr(f) for f in SELECTION['families'])})"
+    )
+    return rounded(spark.sql(f"SELECT * FROM workload_demand_measures_by_family({arguments})"))
+
+
+def sql_measures_total(spark, sf_dir):
+    edge_daily(spark, sf_dir).createOrReplaceTempView("workload_daily")
+    sql_functions.register_functions(spark, "workload_daily", None, None, prefix="workload_")
+    return rounded(spark.sql("SELECT * FROM workload_demand_measures()"))
+
+
+def sql_plan_measures_filtered(spark, sf_dir):
+    """The selection of plan_measures_filtered as arguments of a SQL table function."""
+    stocked_plan(spark, sf_dir).createOrReplaceTempView("workload_plan")
+    sql_functions.register_functions(spark, None, "workload_plan", None, prefix="workload_")
+    chosen = f"stores => array(1L, 2L), sources => array('{planning.PROVIDED}')"
+    return rounded(spark.sql(f"SELECT * FROM workload_planning_measures_by_family({chosen})"))
+
+
 def avg_volatility(spark, sf_dir):
     return rounded(measures.average_volatility(_volatility(edge_daily)(spark, sf_dir)))
 
@@ -418,10 +445,13 @@ REGISTRY: dict[str, Query] = {
     "measures_by_weekday": _measures(edge_daily, "weekday_number", "day_type"),
     "measures_filtered": _measures(edge_daily, "family", **SELECTION),
     "measures_lineitem": _measures(lineitem_daily, "family"),
+    "sql_measures_total": sql_measures_total,
+    "sql_measures_filtered": sql_measures_filtered,
     "avg_volatility": avg_volatility,
     "plan_measures_total": _plan_measures(),
     "plan_measures_by_store": _plan_measures("store_nbr"),
     "plan_measures_filtered": _plan_measures("family", stores=[1, 2], sources=[planning.PROVIDED]),
+    "sql_plan_measures_filtered": sql_plan_measures_filtered,
     "page_daily": _mart(edge_daily, pages.daily_demand),
     "top_families": _ordered(_mart(orders_daily, pages.top_families)),
     "weekly_top_families": weekly_top_families,
