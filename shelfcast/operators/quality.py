@@ -18,6 +18,10 @@ class DataValidationError(ValueError):
     """An input table breaks its contract."""
 
 
+class ReconciliationError(RuntimeError):
+    """The marts of one run contradict each other."""
+
+
 def sales_spec(df: DataFrame) -> TableSpec:
     """The demand contract; the promotion count is checked only where it exists."""
     return SALES.with_numbers("onpromotion") if "onpromotion" in df.columns else SALES
@@ -196,3 +200,38 @@ def reconcile_totals(
         combined = combined.unionByName(other)
     expected = daily.agg(F.sum("sales")).scalar()
     return combined.select("mart", "total_sales", (F.col("total_sales") - expected).alias("difference"))
+
+
+# Relative difference that the order of summing doubles may make; volumes are never negative.
+SUM_TOLERANCE = 1e-9
+
+
+def mart_totals(mart: str) -> dict[str, Column]:
+    """What ``check_totals`` compares of a mart, as aggregates that can be observed while it is written."""
+    volume = {"volume": F.coalesce(F.sum("sales"), F.lit(0.0))}
+    return {
+        "daily_sales": {**volume, "rows": F.count(F.lit(1))},
+        "weekly_sales": {**volume, "rows": F.coalesce(F.sum("observed_days"), F.lit(0))},
+        "store_performance": {"volume": F.coalesce(F.sum("total_sales"), F.lit(0.0))},
+        "family_performance": {"volume": F.coalesce(F.sum("total_sales"), F.lit(0.0))},
+    }.get(mart, {})
+
+
+def check_totals(totals: Mapping[str, Mapping[str, float]]) -> None:
+    """Raise if a mart's total differs from the daily mart's: volumes up to the order of summing, rows exactly."""
+    expected = totals["daily_sales"]
+    faults = []
+    for mart, found in totals.items():
+        for name, value in found.items():
+            room = SUM_TOLERANCE * abs(expected[name]) if name == "volume" else 0
+            if not abs(value - expected[name]) <= room:  # a NaN is a fault, too
+                faults.append(f"{mart}: {name} {value} instead of {expected[name]}")
+    if faults:
+        raise ReconciliationError("Marts do not add up to the daily mart. " + "; ".join(faults))
+
+
+def check_orphans(plan: DataFrame, weekly: DataFrame) -> None:
+    """Raise if a planned series has no row in the weekly mart, which holds every series of the fact."""
+    orphan = orphan_series(plan, weekly).first()
+    if orphan is not None:
+        raise ReconciliationError(f"Planned series without demand: store {orphan['store_nbr']}, family {orphan['family']}")

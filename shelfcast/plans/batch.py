@@ -8,7 +8,7 @@ import json
 from pyspark.sql import SparkSession, functions as F
 
 from shelfcast.config import PlanningConfig
-from shelfcast.operators import advice, forecast, marts, planning, report
+from shelfcast.operators import advice, forecast, marts, planning, quality, report
 from shelfcast.schemas import GOLD_COLUMNS, MONTH
 from shelfcast.session import build_session, drop_tables, sized_shuffles
 from shelfcast.sources import files
@@ -59,13 +59,15 @@ def build_gold(layers: Layers, config: PlanningConfig, run: RunFolder) -> dict:
         "demand_volatility": marts.demand_volatility(by_family_day),
     }
     stored = {
-        name: run.write("gold", name, df, MONTH if name == "daily_sales" else None)
+        name: run.write("gold", name, df, MONTH if name == "daily_sales" else None, quality.mart_totals(name))
         for name, df in gold.items()
     }
+    quality.check_totals(run.totals)
     # Stored, so that sampling the range bounds of the series order does not rescan the fact.
     forecasts = run.write("work", "forecast", forecast.forecast_demand(sales, config, stored["weekly_sales"]))
     plan = planning.plan_inventory(forecasts, config, layers.silver.get("inventory"))
     stored["reorder_risk"] = run.write("gold", "reorder_risk", plan)
+    quality.check_orphans(stored["reorder_risk"], stored["weekly_sales"])
     # Files of a stored table are read in any order, so the ordering columns are stored too.
     ranked = run.write(
         "work", "suggestions",

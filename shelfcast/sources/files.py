@@ -58,6 +58,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def replace(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file or folder another name in place of what has it."""
+    source, fs = _resolve(spark, path)
+    target, _ = _resolve(spark, to)
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {path} to {to}")
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """Whole content of a file known to be tiny, such as a pointer or a report."""
     row = spark.read.text(path, wholetext=True).first()

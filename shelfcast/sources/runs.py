@@ -21,9 +21,9 @@ import datetime
 import json
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from shelfcast.schemas import GOLD_COLUMNS
 from shelfcast.sources import files
@@ -39,7 +39,7 @@ class PublishConflictError(RuntimeError):
     """Another run was published since this one began."""
 
 
-def _versions(spark: SparkSession, output_dir: str) -> list[int]:
+def versions(spark: SparkSession, output_dir: str) -> list[int]:
     """Version numbers in ascending order, those of unfinished manifests included."""
     folder = f"{output_dir.rstrip('/')}/{VERSIONS}"
     if not files.exists(spark, folder):
@@ -47,7 +47,7 @@ def _versions(spark: SparkSession, output_dir: str) -> list[int]:
     return sorted(int(name) for name in files.names(spark, folder) if name.isdigit())
 
 
-def _manifest(spark: SparkSession, output_dir: str, version: int) -> dict | None:
+def read_manifest(spark: SparkSession, output_dir: str, version: int) -> dict | None:
     """The manifest of a version; None if its writer has not finished, or never did."""
     text = files.read_text(spark, f"{output_dir.rstrip('/')}/{VERSIONS}/{version:020d}")
     try:
@@ -56,12 +56,28 @@ def _manifest(spark: SparkSession, output_dir: str, version: int) -> dict | None
         return None
 
 
+def newest_manifest(spark: SparkSession, output_dir: str) -> dict:
+    """The highest whole manifest of a folder."""
+    for version in reversed(versions(spark, output_dir)):
+        manifest = read_manifest(spark, output_dir, version)
+        if manifest is not None:
+            return manifest
+    raise FileNotFoundError(f"Missing {output_dir.rstrip('/')}/{VERSIONS}. Run the job first.")
+
+
+def create_manifest(spark: SparkSession, output_dir: str, version: int, content: Mapping) -> bool:
+    """Take a version; False if it is taken."""
+    path = f"{output_dir.rstrip('/')}/{VERSIONS}/{version:020d}"
+    return files.create_new(spark, path, json.dumps({"version": version, **content}) + "\n")
+
+
 class RunFolder:
     def __init__(self, spark: SparkSession, output_dir: str, run_id: str):
         self.spark = spark
         self.output_dir = output_dir.rstrip("/")
         self.run_id = run_id
-        self.version = max(_versions(spark, output_dir), default=0) + 1  # that this run may take
+        self.version = max(versions(spark, output_dir), default=0) + 1  # that this run may take
+        self.totals: dict[str, dict] = {}  # by table, as gathered while it was written
         self._tables: list[str] = []
 
     @classmethod
@@ -71,11 +87,7 @@ class RunFolder:
 
     @classmethod
     def published(cls, spark: SparkSession, output_dir: str) -> "RunFolder":
-        for version in reversed(_versions(spark, output_dir)):
-            manifest = _manifest(spark, output_dir, version)
-            if manifest is not None:
-                return cls(spark, output_dir, manifest["run"])
-        raise FileNotFoundError(f"Missing {output_dir.rstrip('/')}/{VERSIONS}. Run the job first.")
+        return cls(spark, output_dir, newest_manifest(spark, output_dir)["run"])
 
     @property
     def root(self) -> str:
@@ -90,11 +102,22 @@ class RunFolder:
             raise FileNotFoundError(f"Missing {path}. Run the job first.")
         return self.spark.read.parquet(path)
 
-    def write(self, layer: str, table: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        """Write a table and return it as read from storage, so later steps start there."""
+    def write(
+        self, layer: str, table: str, df: DataFrame, partition_by: str | None = None,
+        totals: Mapping[str, Column] | None = None,
+    ) -> DataFrame:
+        """Write a table and return it as read from storage, so later steps start there.
+
+        ``totals`` are aggregates of the written rows, gathered by the tasks that write them and
+        kept in ``self.totals``. A task that is run twice counts once.
+        """
         path = self.path(layer, table)
-        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        observed = Observation() if totals else None
+        rows = df.observe(observed, *[c.alias(n) for n, c in totals.items()]) if totals else df
+        writer = rows.write.partitionBy(partition_by) if partition_by else rows.write
         writer.parquet(path)
+        if observed:
+            self.totals[table] = dict(observed.get)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def write_bucketed(
@@ -130,10 +153,8 @@ class RunFolder:
 
     def publish(self) -> None:
         """Make this run the published one, unless another was published since it began."""
-        manifest = {"version": self.version, "run": self.run_id, "layers": sorted(files.names(self.spark, self.root))
-                    if files.exists(self.spark, self.root) else []}
-        path = f"{self.output_dir}/{VERSIONS}/{self.version:020d}"
-        if not files.create_new(self.spark, path, json.dumps(manifest) + "\n"):
+        layers = sorted(files.names(self.spark, self.root)) if files.exists(self.spark, self.root) else []
+        if not create_manifest(self.spark, self.output_dir, self.version, {"run": self.run_id, "layers": layers}):
             raise PublishConflictError(
                 f"Run {self.run_id} was not published: version {self.version} was taken by another run "
                 "since it began. Run the job again."
