@@ -58,13 +58,16 @@ def build_gold(layers: Layers, config: PlanningConfig, run: RunFolder) -> dict:
         "promotion_impact": marts.promotion_impact(by_family_day),
         "demand_volatility": marts.demand_volatility(by_family_day),
     }
+    totals = {name: quality.mart_totals(name) for name in gold}
+    totals["daily_sales"]["newest"] = F.max("date")
     stored = {
-        name: run.write("gold", name, df, MONTH if name == "daily_sales" else None, quality.mart_totals(name))
+        name: run.write("gold", name, df, MONTH if name == "daily_sales" else None, totals[name])
         for name, df in gold.items()
     }
+    newest = run.totals["daily_sales"].pop("newest")
     quality.check_totals(run.totals)
     # Stored, so that sampling the range bounds of the series order does not rescan the fact.
-    forecasts = run.write("work", "forecast", forecast.forecast_demand(sales, config, stored["weekly_sales"]))
+    forecasts = run.write("work", "forecast", forecast.forecast_demand(sales, config, stored["weekly_sales"], newest))
     plan = planning.plan_inventory(forecasts, config, layers.silver.get("inventory"))
     stored["reorder_risk"] = run.write("gold", "reorder_risk", plan)
     quality.check_orphans(stored["reorder_risk"], stored["weekly_sales"])

@@ -1,5 +1,6 @@
 """Physical plans: what would not scale must not appear in any registered query."""
 
+import datetime
 import re
 
 import pytest
@@ -109,9 +110,28 @@ def test_forecast_reads_only_its_window(spark, tmp_path):
     assert len(scans) == 2
 
 
-def test_date_and_store_filters_reach_the_scan(spark, tmp_path, sales):
-    import datetime
+def test_forecast_opens_only_its_months(spark, tmp_path):
+    from shelfcast.schemas import MONTH
+
+    rows = spark.range(400).selectExpr(
+        "date'2023-01-15' + cast(id AS int) AS date", "id % 3 AS store_nbr", "'TEA' AS family", "id * 0.5D AS sales"
+    )
+    path = str(tmp_path / "months")
+    rows.selectExpr("*", f"date_format(date, 'yyyy-MM') AS {MONTH}").write.partitionBy(MONTH).parquet(path)
+    months, config = spark.read.parquet(path), PlanningConfig(window_days=40)
+    newest = rows.agg({"date": "max"}).first()[0]
+    assert forecast.newest_date(months) == newest
+    assert forecast.newest_date(months.where("false")) is None
+    series = rows.select("store_nbr", "family")
+    found = forecast.forecast_demand(months, config, series)
+    scan = next(line for line in plan_text(found).splitlines() if "FileScan parquet" in line)
+    assert f"{newest - datetime.timedelta(days=39):%Y-%m}" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    plain = sorted(map(str, forecast.forecast_demand(rows, config).collect()))
+    assert sorted(map(str, found.collect())) == plain
+    assert sorted(map(str, forecast.forecast_demand(months, config, series, newest).collect())) == plain
 
+
+def test_date_and_store_filters_reach_the_scan(spark, tmp_path, sales):
     path = str(tmp_path / "daily")
     marts.daily_sales(sales).write.parquet(path)
     daily = spark.read.parquet(path)
