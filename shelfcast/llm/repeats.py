@@ -3,17 +3,18 @@
 Equal strings of ``MATCH`` bytes meet in one task without a corpus-wide index: the smallest
 hash among the ``ANCHOR``-byte substrings of a 50-byte window names its anchor, so equal
 windows have equal anchors. Neighbouring windows with the same anchor form one string, and
-strings are dealt to buckets by anchor. Equal strings of a map task are sent once, with the
-places where they occur.
-
-In a bucket equal strings are merged, and strings that share no ``CONTEXT`` bytes around their
-anchor with another document are dropped. A run-compressed Burrows-Wheeler transform of the
-strings that share them with a different string is built, with the suffix positions sampled at
-the ends of its runs. Strings are streamed through it from their last byte to the first; every
-step gives the longest match at that byte and its row among the sorted suffixes. Rows that
-share ``MATCH`` bytes form one stretch, which keeps the smallest document that holds them. A
-window is removed from a document if its stretch has a smaller one. (A string that shares
-nothing with a different one can match only itself: its merged documents settle it.)
+strings are dealt to buckets by anchor.
+
+Documents are dealt to chunks by a hash of id and text. A chunk sends each distinct string
+once, with the smallest and the largest document that holds it there, however often it occurs;
+the places stay with the chunk. In a bucket equal strings are merged, and strings that share no
+``CONTEXT`` bytes around their anchor with another document are dropped, as no window of theirs
+can be removed. All others go into a run-compressed Burrows-Wheeler transform, with the suffix
+positions sampled at the ends of its runs, and are streamed through it from their last byte to
+the first; every step gives the longest match at that byte and its row among the sorted
+suffixes. Rows that share ``MATCH`` bytes form one stretch, which keeps the smallest document
+that holds them. Runs of windows for which that document is smaller than the largest of a chunk
+go back to the chunk, which lays them on its places.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ ANCHOR = 10
 #: anchor on, CONTEXT bytes in all.
 _REACHES = (0, 8, 16, 24, 32)
 CONTEXT = MATCH - 8
-#: Text bytes that one bucket of strings, and one group of documents, stand for.
+#: Text bytes that one bucket of strings stands for, and text bytes of a chunk of documents.
 BUCKET_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 #: String bytes that are indexed at a time; strings with one anchor stay together.
 INDEX_BYTES = 1 << 19
 _SLICE = 1 << 20  # text bytes whose anchors are found at a time
@@ -42,14 +44,24 @@ _CODEC = "zstd"
 
 _LEVEL = 5
 
+# Strings of a chunk for one bucket or, in bucket -1 - part, the chunk's own places.
 _SENT = (
-    "bucket long, n_strings long, n_places long, n_bytes long, strings binary, sizes binary, "
-    "anchors binary, which binary, docs binary, starts binary"
+    "bucket long, part long, n long, n_bytes long, strings binary, sizes binary, anchors binary, "
+    "numbers binary, lows binary, spreads binary, docs binary, starts binary"
 )
-_FOUND = "part long, n long, docs binary, starts binary, lengths binary"
+# Marks on a chunk's strings, or its places.
+_FOUND = "part long, places boolean, n long, numbers binary, docs binary, starts binary, lengths binary"
 _RESULT = "doc_id long, n_bytes long, starts array<long>, stops array<long>, kept binary"
 
 
+def _arrow(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
+
+
+_SENT_ARROW, _FOUND_ARROW = _arrow(_SENT), _arrow(_FOUND)
+
+
 # --- strings around anchors -------------------------------------------------------------
 
 
@@ -121,71 +133,80 @@ def _ids(column: pa.Array) -> np.ndarray:
     return np.asarray(column.fill_null(_LAST_ID))
 
 
+def _numbered(docs: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text bytes and offsets of a chunk's rows, the number of each row by id and text (repeated
+    rows share one), and the id of each number."""
+    raw, offsets = wh.text_bytes(docs.column("text").combine_chunks())
+    ids = _ids(docs.column("doc_id").combine_chunks())
+    keys = [(int(i), raw[a:b].tobytes()) for i, a, b in zip(ids, offsets[:-1], offsets[1:])]
+    distinct = sorted(set(keys))
+    number = {key: k for k, key in enumerate(distinct)}
+    return raw, offsets, np.array([number[k] for k in keys]), np.array([i for i, _ in distinct])
+
+
 def _sender(n_buckets: int):
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for piece in wh.slices(batch):
-                held.append(piece)
-                size += piece.column("text").nbytes
-                if size >= 2 * BUCKET_BYTES:
-                    yield from _send_strings(held, n_buckets)
-                    held, size = [], 0
-        if held:
-            yield from _send_strings(held, n_buckets)
+    def send(docs: pa.Table) -> pa.Table:
+        rows = list(_sent_rows(docs, n_buckets))
+        return pa.Table.from_pylist(rows, schema=_SENT_ARROW)
 
     return send
 
 
-def _send_strings(held: list[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
-    """One row per bucket: the distinct strings of these documents and their places."""
-    data, parts, origin = [], [], 0
-    for batch in held:
-        raw, offsets = wh.text_bytes(batch.column("text"))
-        for doc, low, high in zip(_ids(batch.column("doc_id")), offsets[:-1], offsets[1:]):
-            for at, text in _pieces(raw[low:high]):
-                start, stop, anchor = anchored_strings(text)
-                if len(start):
-                    prefix = _prefix_hash(text)
-                    parts.append((
-                        np.full(len(start), doc), start + at, start + (origin + low + at), stop - start,
-                        anchor - start, _substring_hash(prefix, start, stop),
-                        _substring_hash(prefix, anchor, anchor + ANCHOR),
-                    ))
-        data.append(raw)
-        origin += len(raw)
-    if not parts:
+def _chunk_strings(docs: pa.Table):
+    """All strings of a chunk's distinct rows: text bytes, id of each number, and per string
+    number, place in the text, place in the bytes, size, anchor, hash, hash of the anchor."""
+    raw, offsets, number, id_of = _numbered(docs)
+    _, rows = np.unique(number, return_index=True)
+    parts = []
+    for row in rows:
+        low, high = offsets[row], offsets[row + 1]
+        for at, text in _pieces(raw[low:high]):
+            start, stop, anchor = anchored_strings(text)
+            if len(start):
+                prefix = _prefix_hash(text)
+                parts.append((
+                    np.full(len(start), number[row]), start + at, start + (low + at), stop - start,
+                    anchor - start, _substring_hash(prefix, start, stop),
+                    _substring_hash(prefix, anchor, anchor + ANCHOR),
+                ))
+    return raw, id_of, [np.concatenate(c) for c in zip(*parts)]
+
+
+def _sent_rows(chunk: pa.Table, n_buckets: int) -> Iterator[dict]:
+    """The chunk's places, and one row per bucket with its distinct strings."""
+    raw, id_of, columns = _chunk_strings(chunk)
+    if not columns:
         return
-    docs, starts, begin, size, anchor, key, anchor_key = (np.concatenate(c) for c in zip(*parts))
-    del parts
-    data = np.concatenate(data)
-    in_doc_order = np.lexsort((starts, docs))
-    _, first, which = np.unique(key[in_doc_order], return_index=True, return_inverse=True)
+    docs, starts, begin, size, anchor, key, anchor_key = columns
+    part = chunk.column("part")[0].as_py()
+    # Rows are in the order of their numbers already, and so are the places in each.
+    _, first, which = np.unique(key, return_index=True, return_inverse=True)
     by_first = np.argsort(first)
     rank = np.empty(len(first), dtype=np.int64)
     rank[by_first] = np.arange(len(first))
-    which, lead = rank[which], in_doc_order[first[by_first]]
-    docs, starts = docs[in_doc_order], starts[in_doc_order]
+    which, lead = rank[which], first[by_first]
+    yield {
+        "bucket": -1 - part, "part": part, "n": len(docs), "numbers": _packed(_steps(which).astype(np.int32)),
+        "docs": _packed(_steps(docs).astype(np.int32)), "starts": _packed(_steps(starts).astype(np.int32)),
+    }
+    low = id_of[docs[lead]]
+    high = low.copy()
+    np.maximum.at(high, which, id_of[docs])
     bucket = (anchor_key[lead] % np.uint64(n_buckets)).astype(np.int64)
-    place_bucket = bucket[which]
-    strings_by = np.argsort(bucket, kind="stable")
-    places_by = np.argsort(place_bucket, kind="stable")
+    by_bucket = np.argsort(bucket, kind="stable")
     numbers = np.unique(bucket)
-    string_edges = np.searchsorted(bucket[strings_by], [*numbers, n_buckets])
-    place_edges = np.searchsorted(place_bucket[places_by], [*numbers, n_buckets])
+    edges = np.searchsorted(bucket[by_bucket], [*numbers, n_buckets])
     for k, number in enumerate(numbers):
-        strings = strings_by[string_edges[k] : string_edges[k + 1]]
-        places = places_by[place_edges[k] : place_edges[k + 1]]
+        strings = by_bucket[edges[k] : edges[k + 1]]
         chosen = lead[strings]
-        raw = gather(data, begin[chosen], size[chosen])
-        row = {
-            "bucket": int(number), "n_strings": len(strings), "n_places": len(places), "n_bytes": len(raw),
-            "strings": _packed(raw), "sizes": _packed(size[chosen].astype(np.uint8)),
+        text = gather(raw, begin[chosen], size[chosen])
+        yield {
+            "bucket": int(number), "part": part, "n": len(strings), "n_bytes": len(text),
+            "strings": _packed(text), "sizes": _packed(size[chosen].astype(np.uint8)),
             "anchors": _packed(anchor[chosen].astype(np.uint8)),
-            "which": _packed(_steps(np.searchsorted(strings, which[places])).astype(np.int32)),
-            "docs": _packed(_steps(docs[places])), "starts": _packed(_steps(starts[places]).astype(np.int32)),
+            "numbers": _packed(_steps(strings).astype(np.int32)), "lows": _packed(_steps(low[strings])),
+            "spreads": _packed(high[strings] - low[strings]),
         }
-        yield pa.RecordBatch.from_pylist([row])
 
 
 # --- the run-length index ---------------------------------------------------------------
@@ -374,57 +395,53 @@ def _keys(data, sizes, anchors):
     return begin, whole, anchor, contexts
 
 
-def _groups(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per row: whether the documents of its group (equal key) differ, and whether it has
-    company there."""
+def _differ(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Per row: whether the documents of its group (equal key) differ."""
     _, group, count = np.unique(key, return_inverse=True, return_counts=True)
     least, most = np.full(len(count), _LAST_ID), np.full(len(count), np.iinfo(np.int64).min)
     np.minimum.at(least, group, low)
     np.maximum.at(most, group, high)
-    return (least < most)[group], (count > 1)[group]
-
-
-def _searcher(n_parts: int):
-    def search(table: pa.Table) -> pa.Table:
-        strings, sizes, anchors, which, docs, starts = [], [], [], [], [], []
-        seen = 0
-        for row in table.to_pylist():
-            n, m = row["n_strings"], row["n_places"]
-            strings.append(_unpacked(row["strings"], np.uint8, row["n_bytes"]))
-            sizes.append(_unpacked(row["sizes"], np.uint8, n))
-            anchors.append(_unpacked(row["anchors"], np.uint8, n))
-            which.append(np.cumsum(_unpacked(row["which"], np.int32, m), dtype=np.int64) + seen)
-            docs.append(np.cumsum(_unpacked(row["docs"], np.int64, m)))
-            starts.append(np.cumsum(_unpacked(row["starts"], np.int32, m), dtype=np.int64))
-            seen += n
-        data, sizes, anchors, which, docs, starts = (
-            np.concatenate(c) for c in (strings, sizes, anchors, which, docs, starts)
-        )
-        del strings
-        found = _search_bucket(data, sizes.astype(np.int64), anchors.astype(np.int64), which, docs, starts)
-        return _found_rows(*found, n_parts)
-
-    return search
-
-
-def _search_bucket(data, sizes, anchors, which, docs, starts):
-    """(doc, start, stop) of the removed byte runs of a bucket's places."""
+    return (least < most)[group]
+
+
+def _search(table: pa.Table) -> pa.Table:
+    """Marks for the strings of one bucket; a chunk's places pass through."""
+    sent = table.to_pylist()
+    if sent[0]["bucket"] < 0:
+        rows = [{"places": True} | {c: r[c] for c in ("part", "n", "numbers", "docs", "starts")} for r in sent]
+        return pa.Table.from_pylist(rows, schema=_FOUND_ARROW)
+    columns = []
+    for row in sent:
+        n = row["n"]
+        low = np.cumsum(_unpacked(row["lows"], np.int64, n))
+        columns.append((
+            _unpacked(row["strings"], np.uint8, row["n_bytes"]),
+            _unpacked(row["sizes"], np.uint8, n).astype(np.int64), _unpacked(row["anchors"], np.uint8, n).astype(np.int64),
+            low, low + _unpacked(row["spreads"], np.int64, n),
+            np.full(n, row["part"]), np.cumsum(_unpacked(row["numbers"], np.int32, n), dtype=np.int64),
+        ))
+    data, sizes, anchors, low, high, part, number = (np.concatenate(c) for c in zip(*columns))
+    del sent, columns
+    string, start, length, doc = _search_bucket(data, sizes, anchors, low, high)
+    return _mark_rows(part[string], number[string], start, length, doc)
+
+
+def _search_bucket(data, sizes, anchors, sent_low, sent_high):
+    """(sent string, first window, windows, document): runs of windows that ``document`` holds,
+    which is smaller than the largest document that the string was sent with."""
     begin, whole, anchor, contexts = _keys(data, sizes, anchors)
-    _, lead, merged = np.unique(whole, return_index=True, return_inverse=True)
+    _, lead, string = np.unique(whole, return_index=True, return_inverse=True)
     low, high = np.full(len(lead), _LAST_ID), np.full(len(lead), np.iinfo(np.int64).min)
-    string = merged[which]
-    np.minimum.at(low, string, docs)
-    np.maximum.at(high, string, docs)
-    shared, searched = np.zeros(len(lead), dtype=bool), np.zeros(len(lead), dtype=bool)
+    np.minimum.at(low, string, sent_low)
+    np.maximum.at(high, string, sent_high)
+    shared = np.zeros(len(lead), dtype=bool)
     for key in contexts[:, lead]:
         rows = np.flatnonzero(key)
-        differ, company = _groups(key[rows], low[rows], high[rows])
-        shared[rows] |= differ
-        searched[rows] |= differ & company
+        shared[rows] |= _differ(key[rows], low[rows], high[rows])
     windows = np.where(shared, sizes[lead] - MATCH + 1, 0)
     first = np.cumsum(windows) - windows
-    lows = np.repeat(low, windows)
-    rows = np.flatnonzero(searched)
+    lows = np.empty(int(windows.sum()), dtype=np.int64)
+    rows = np.flatnonzero(shared)
     rows = rows[np.argsort(anchor[lead[rows]], kind="stable")]
     # Parts of about INDEX_BYTES, cut where the anchor changes.
     filled, anchors_by = np.cumsum(sizes[lead[rows]]), anchor[lead[rows]]
@@ -438,80 +455,111 @@ def _search_bucket(data, sizes, anchors, which, docs, starts):
         found = lowest_documents(gather(data, begin[own], sizes[own]), sizes[own], low[part])
         lows[np.repeat(first[part] - (np.cumsum(windows[part]) - windows[part]), windows[part]) + np.arange(len(found))] = found
         start = until
-    place = np.flatnonzero(shared[string])
-    return _marked_runs(string[place], docs[place], starts[place], first, windows, lows)
+    sent = np.flatnonzero(shared[string])
+    found = _marked_runs(string[sent], sent_low[sent], sent_high[sent], first, windows, lows)
+    return sent[found[0]], *found[1:]
 
 
-def _marked_runs(string, docs, starts, window_first, windows, lows):
-    """Runs of windows that a smaller document holds, as byte runs of the places' documents."""
-    out = [(np.zeros(0, dtype=np.int64),) * 3]
+def _marked_runs(string, low, high, window_first, windows, lows):
+    """Runs of windows of each sent string that a document below its largest one holds. Where a
+    string was sent for several documents, a run has one such document, as it decides for whom."""
+    out = [(np.zeros(0, dtype=np.int64),) * 4]
     per = max(1, (4 << 20) // MATCH)
-    for low in range(0, len(string), per):
-        s, doc, start = string[low : low + per], docs[low : low + per], starts[low : low + per]
+    for at in range(0, len(string), per):
+        s = string[at : at + per]
         n = windows[s]
         first = np.cumsum(n) - n
         place = np.repeat(np.arange(len(s)), n)
         offset = np.arange(len(place)) - first[place]
-        removed = lows[window_first[s][place] + offset] < doc[place]
+        least = lows[window_first[s][place] + offset]
+        removed = least < high[at : at + per][place]
+        several = (low < high)[at : at + per][place]
+        cut = (place[1:] != place[:-1]) | (several[1:] & (least[1:] != least[:-1]))
         begins = removed.copy()
-        begins[1:] &= ~removed[:-1] | (place[1:] != place[:-1])
+        begins[1:] &= ~removed[:-1] | cut
         ends = removed.copy()
-        ends[:-1] &= ~removed[1:] | (place[1:] != place[:-1])
+        ends[:-1] &= ~removed[1:] | cut
         a, b = np.flatnonzero(begins), np.flatnonzero(ends)
-        out.append((doc[place[a]], start[place[a]] + offset[a], start[place[a]] + offset[b] + MATCH))
+        out.append((place[a] + at, offset[a], offset[b] - offset[a] + 1, least[a]))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def _found_rows(docs, starts, stops, n_parts: int) -> pa.Table:
-    part = docs % n_parts
-    order = np.lexsort((starts, docs, part))
-    docs, starts, stops, part = docs[order], starts[order], stops[order], part[order]
+def _mark_rows(part, number, starts, lengths, docs) -> pa.Table:
+    """One row per chunk with the marks on its strings."""
+    order = np.lexsort((starts, number, part))
+    part, number, starts, lengths, docs = (c[order] for c in (part, number, starts, lengths, docs))
     rows = []
-    numbers, first = np.unique(part, return_index=True)
-    for number, a, b in zip(numbers.tolist(), first, [*first[1:], len(part)]):
+    parts, first = np.unique(part, return_index=True)
+    for chunk, a, b in zip(parts.tolist(), first, [*first[1:], len(part)]):
         rows.append({
-            "part": number, "n": int(b - a), "docs": _packed(_steps(docs[a:b])),
-            "starts": _packed(_steps(starts[a:b])), "lengths": _packed(stops[a:b] - starts[a:b]),
+            "part": chunk, "places": False, "n": int(b - a), "numbers": _packed(_steps(number[a:b]).astype(np.int32)),
+            "docs": _packed(_steps(docs[a:b])), "starts": _packed(starts[a:b].astype(np.uint8)),
+            "lengths": _packed(lengths[a:b].astype(np.uint8)),
         })
-    schema = pa.schema([("part", pa.int64()), ("n", pa.int64()), *((c, pa.binary()) for c in ("docs", "starts", "lengths"))])
-    return pa.Table.from_pylist(rows, schema=schema)
+    return pa.Table.from_pylist(rows, schema=_FOUND_ARROW)
 
 
 # --- documents ---------------------------------------------------------------------------
 
 
-def _remove(docs: pa.Table, found: pa.Table) -> pa.Table:
-    """The texts of one group of documents without the bytes that were found for them."""
-    docs = docs.combine_chunks()
-    spans = [(np.zeros(0, dtype=np.int64),) * 3]
+def _removed_runs(found: pa.Table, id_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number, start, stop) of byte runs to remove: the marks laid on a chunk's places."""
+    places = marks = None
+    held = []
     for row in found.to_pylist():
-        ids, starts, lengths = (_unpacked(row[c], np.int64, row["n"]) for c in ("docs", "starts", "lengths"))
-        starts = np.cumsum(starts)
-        spans.append((np.cumsum(ids), starts, starts + lengths))
-    owner, start, stop = (np.concatenate(c) for c in zip(*spans))
+        n = row["n"]
+        number = np.cumsum(_unpacked(row["numbers"], np.int32, n), dtype=np.int64)
+        if row["places"]:
+            docs, starts = (np.cumsum(_unpacked(row[c], np.int32, n), dtype=np.int64) for c in ("docs", "starts"))
+            places = number, docs, starts
+        else:
+            held.append((
+                number, _unpacked(row["starts"], np.uint8, n).astype(np.int64),
+                _unpacked(row["lengths"], np.uint8, n).astype(np.int64), np.cumsum(_unpacked(row["docs"], np.int64, n)),
+            ))
+    if not held:
+        return (np.zeros(0, dtype=np.int64),) * 3
+    marks = [np.concatenate(c) for c in zip(*held)]
+    marks = [c[np.argsort(marks[0], kind="stable")] for c in marks]
+    out = []
+    for at in range(0, len(places[0]), 1 << 20):
+        string, doc, start = (c[at : at + (1 << 20)] for c in places)
+        low = np.searchsorted(marks[0], string)
+        n = np.searchsorted(marks[0], string, "right") - low
+        first = np.cumsum(n) - n
+        mark = np.arange(int(n.sum())) + np.repeat(low - first, n)
+        doc, start = np.repeat(doc, n), np.repeat(start, n) + marks[1][mark]
+        meant = np.flatnonzero(marks[3][mark] < id_of[doc])
+        out.append((doc[meant], start[meant], (start + marks[2][mark] - 1 + MATCH)[meant]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _remove(docs: pa.Table, found: pa.Table) -> pa.Table:
+    """The texts of one chunk without the bytes that were found for them."""
+    raw, offsets, number, id_of = _numbered(docs)
+    owner, start, stop = _removed_runs(found, id_of)
     order = np.argsort(owner, kind="stable")
     owner, start, stop = owner[order], start[order], stop[order]
-    ids = _ids(docs.column("doc_id").combine_chunks())
-    low, high = np.searchsorted(owner, ids), np.searchsorted(owner, ids, "right")
+    low, high = np.searchsorted(owner, number), np.searchsorted(owner, number, "right")
     columns: dict[str, list] = {c: [] for c in ("n_bytes", "starts", "stops", "kept")}
-    for text, a, b in zip(docs.column("text"), low, high):
-        raw = text.as_buffer() or b""
-        size, kept, starts, stops = len(raw), raw, (), ()
+    for text_at, text_to, a, b in zip(offsets[:-1], offsets[1:], low, high):
+        text = raw[text_at:text_to]
+        size, starts, stops = len(text), (), ()
         if a < b:
             depth = np.zeros(size + 1, dtype=np.int32)
-            np.add.at(depth, np.minimum(start[a:b], size), 1)
-            np.add.at(depth, np.minimum(stop[a:b], size), -1)
+            np.add.at(depth, start[a:b], 1)
+            np.add.at(depth, stop[a:b], -1)
             removed = np.cumsum(depth[:-1]) > 0
             edges = np.flatnonzero(np.diff(removed, prepend=False, append=False))
             starts, stops = edges[::2].tolist(), edges[1::2].tolist()
-            kept = np.frombuffer(raw, np.uint8)[~removed].tobytes()
-        for c, value in zip(columns, (size, starts, stops, kept)):
+            text = text[~removed]
+        for c, value in zip(columns, (size, starts, stops, text.tobytes())):
             columns[c].append(value)
     lists = pa.list_(pa.int64())
     return pa.table({
         "doc_id": docs.column("doc_id"), "n_bytes": pa.array(columns["n_bytes"], pa.int64()),
         "starts": pa.array(columns["starts"], lists), "stops": pa.array(columns["stops"], lists),
-        "kept": pa.array([bytes(k) for k in columns["kept"]], pa.binary()),
+        "kept": pa.array(columns["kept"], pa.binary()),
     })
 
 
@@ -522,21 +570,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     is removed; ``starts`` and ``stops`` are the maximal removed byte runs of the UTF-8 text,
     ``kept`` the other bytes. Strings are judged on the input. A null text counts as empty; a
     text of less than 50 bytes keeps all. A null doc_id counts as larger than all others. Rows
-    that repeat a doc_id do not remove from each other; if their texts differ, the runs found
-    in either are removed from both. Other columns of ``docs`` are ignored.
+    that repeat a doc_id do not remove from each other, and each row's own text decides what is
+    removed from it. Other columns of ``docs`` are ignored.
 
-    The number of buckets follows the bytes of the input, so a task's share does not grow.
+    The numbers of buckets and chunks follow the bytes of the input. A bucket gets a string at most
+    once from a chunk and a chunk at most one row from a bucket, so the copies of a string are
+    spread over the chunks that hold them. Strings with one anchor meet in one bucket.
     """
     spark = docs.sparkSession
-    texts = docs.select("doc_id", "text")
-    size = texts.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    sent = texts.mapInArrow(_sender(n), _SENT)
-    found = sent.groupBy("bucket").applyInArrow(_searcher(n), _FOUND)
-    part = F.pmod(F.coalesce("doc_id", F.lit(_LAST_ID)), F.lit(n)).alias("part")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    size = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets, n_chunks = max(least, -(-size // BUCKET_BYTES)), max(least, -(-size // CHUNK_BYTES))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).alias("part")
+    chunks = texts.select(part, "doc_id", "text").repartition(n_chunks, "part")
+    sent = chunks.groupBy("part").applyInArrow(_sender(n_buckets), _SENT)
+    found = sent.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(_search, _FOUND)
     return (
-        texts.select(part, "doc_id", F.coalesce("text", F.lit("")).alias("text")).groupBy("part")
-        .cogroup(found.groupBy("part")).applyInArrow(_remove, _RESULT)
+        chunks.groupBy("part").cogroup(found.repartition(n_chunks, "part").groupBy("part"))
+        .applyInArrow(_remove, _RESULT)
     )
 
 
