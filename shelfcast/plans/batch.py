@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from shelfcast.config import PlanningConfig
 from shelfcast.operators import advice, forecast, marts, planning, quality, report
-from shelfcast.schemas import GOLD_COLUMNS, MONTH
+from shelfcast.schemas import CSV_ORDER, GOLD_COLUMNS, MONTH
 from shelfcast.session import build_session, drop_tables, sized_shuffles
 from shelfcast.sources import files
 from shelfcast.sources.csv_tables import Layers, find_sales, load_layers
@@ -24,16 +24,18 @@ def run_job(
     data_dir: str = "data",
     output_dir: str = "output",
     config: PlanningConfig | None = None,
+    csv: str = "folders",
 ) -> dict:
     """Build and publish one run; returns its report. Any error leaves the last run published
-    and removes the folder of the failed one."""
+    and removes the folder of the failed one. ``csv`` is "folders" of parts, or "files": one
+    ordered file per mart, where the store can join files."""
     config = config or PlanningConfig()
     _, sales_path = find_sales(spark, source, data_dir)
     run = RunFolder.create(spark, output_dir)
     try:
         with sized_shuffles(spark, files.size_in_bytes(spark, sales_path)):
             layers = load_layers(spark, source, data_dir, run)
-            published = build_gold(layers, config, run)
+            published = build_gold(layers, config, run, csv)
         run.publish()
         return published
     except BaseException:
@@ -44,7 +46,7 @@ def run_job(
         drop_tables(spark)
 
 
-def build_gold(layers: Layers, config: PlanningConfig, run: RunFolder) -> dict:
+def build_gold(layers: Layers, config: PlanningConfig, run: RunFolder, csv: str = "folders") -> dict:
     sales = layers.silver["sales"]
     daily = marts.daily_sales(sales)
     # Two small day-level tables carry the fact into all store, family and total figures.
@@ -88,7 +90,7 @@ def build_gold(layers: Layers, config: PlanningConfig, run: RunFolder) -> dict:
         ),
     )
     for name in GOLD_COLUMNS:
-        run.write_csv(name, stored[name].select(*GOLD_COLUMNS[name]))
+        run.write_csv(name, stored[name].select(*GOLD_COLUMNS[name]), CSV_ORDER[name] if csv == "files" else None)
     result = json.loads(metadata.first()["report_json"])
     files.write_text(run.spark, f"{run.root}/{REPORT_FILE}", json.dumps(result, indent=2))
     return result
@@ -104,6 +106,7 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--z-score", type=float, default=defaults.z_score)
     parser.add_argument("--data-dir", default="data")
     parser.add_argument("--output-dir", default="output")
+    parser.add_argument("--csv", choices=("folders", "files"), default="folders", help="one ordered file per mart, or parts")
     return parser.parse_args(arguments)
 
 
@@ -111,7 +114,7 @@ def main(arguments: list[str] | None = None) -> None:
     args = parse_arguments(arguments)
     config = PlanningConfig(args.window, args.lead_time, args.review_days, args.z_score)
     spark = build_session("shelfcast-batch")
-    print(json.dumps(run_job(spark, args.source, args.data_dir, args.output_dir, config), indent=2))
+    print(json.dumps(run_job(spark, args.source, args.data_dir, args.output_dir, config, args.csv), indent=2))
 
 
 if __name__ == "__main__":

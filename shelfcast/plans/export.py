@@ -19,11 +19,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators import advice, report
-from shelfcast.schemas import GOLD_COLUMNS
+from shelfcast.schemas import CSV_ORDER, GOLD_COLUMNS
 from shelfcast.session import build_session
 from shelfcast.sources import files
 from shelfcast.sources.runs import (
-    PublishConflictError, RunFolder, create_manifest, newest_manifest, versions, write_csv,
+    PublishConflictError, RunFolder, create_manifest, newest_manifest, versions, write_csv, write_csv_file,
 )
 
 
@@ -41,23 +41,29 @@ def _datasets(run: RunFolder) -> dict[str, DataFrame]:
     return tables
 
 
-def _write_all(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> dict[str, int]:
+def _write_all(
+    spark: SparkSession, tables: dict[str, DataFrame], folder: str, single: bool = False
+) -> dict[str, int]:
     """Write the datasets into a new folder; returns their bytes. A failure removes the folder."""
     try:
         for name, df in tables.items():
-            write_csv(df, f"{folder}/{name}.csv")
+            if single:
+                write_csv_file(df, f"{folder}/{name}.csv", CSV_ORDER.get(name, ()))
+            else:
+                write_csv(df, f"{folder}/{name}.csv")
         return {name: files.size_in_bytes(spark, f"{folder}/{name}.csv") for name in tables}
     except BaseException:
         files.delete(spark, folder)
         raise
 
 
-def export_reporting(spark: SparkSession, output_dir: str, export_dir: str) -> list[str]:
-    """Write the ten datasets under fixed names; returns their paths."""
+def export_reporting(spark: SparkSession, output_dir: str, export_dir: str, single: bool = False) -> list[str]:
+    """Write the ten datasets under fixed names; returns their paths. With ``single`` each is one
+    ordered file, else a folder of parts."""
     tables = _datasets(RunFolder.published(spark, output_dir))
     root = export_dir.rstrip("/")
     staged = f"{root}/_staged/{uuid.uuid4().hex}"
-    _write_all(spark, tables, staged)
+    _write_all(spark, tables, staged, single)
     paths = [f"{root}/{name}.csv" for name in tables]
     for name, path in zip(tables, paths):
         files.replace(spark, f"{staged}/{name}.csv", path)
@@ -65,7 +71,7 @@ def export_reporting(spark: SparkSession, output_dir: str, export_dir: str) -> l
     return paths
 
 
-def export_set(spark: SparkSession, output_dir: str, export_dir: str) -> dict[str, str]:
+def export_set(spark: SparkSession, output_dir: str, export_dir: str, single: bool = False) -> dict[str, str]:
     """Write the ten datasets as a new set and make all of them current at once; returns their
     paths by name. Of two exports at once the second to finish fails and its set is removed."""
     root = export_dir.rstrip("/")
@@ -74,7 +80,7 @@ def export_set(spark: SparkSession, output_dir: str, export_dir: str) -> dict[st
     tables = _datasets(run)
     name = f"{datetime.datetime.now(datetime.timezone.utc):%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}"
     folder = f"{root}/sets/{name}"
-    sizes = _write_all(spark, tables, folder)
+    sizes = _write_all(spark, tables, folder, single)
     if not create_manifest(spark, root, version, {"set": name, "run": run.run_id, "datasets": sizes}):
         files.delete(spark, folder)
         raise PublishConflictError(
@@ -108,12 +114,13 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--output-dir", default="output")
     parser.add_argument("--export-dir", default="exports")
     parser.add_argument("--versioned", action="store_true", help="write a set that becomes current at once")
+    parser.add_argument("--single-files", action="store_true", help="one ordered file per dataset")
     args = parser.parse_args(arguments)
     spark = build_session("shelfcast-export")
     if args.versioned:
-        paths = export_set(spark, args.output_dir, args.export_dir).values()
+        paths = export_set(spark, args.output_dir, args.export_dir, args.single_files).values()
     else:
-        paths = export_reporting(spark, args.output_dir, args.export_dir)
+        paths = export_reporting(spark, args.output_dir, args.export_dir, args.single_files)
     for path in paths:
         print(path)
 

@@ -80,3 +80,15 @@ GOLD_COLUMNS = {
     ),
     "recommendations": ("scope", "evidence", "recommendation"),
 }
+
+# Row order of a table that is written as one CSV file; suggestions come in review order already.
+CSV_ORDER = {
+    "daily_sales": GRAIN,
+    "weekly_sales": ("week", *SERIES),
+    "store_performance": ("store_nbr",),
+    "family_performance": ("family",),
+    "promotion_impact": ("family",),
+    "demand_volatility": ("family",),
+    "reorder_risk": SERIES,
+    "recommendations": (),
+}

@@ -67,6 +67,46 @@ def replace(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"could not rename {path} to {to}")
 
 
+def concatenate(spark: SparkSession, paths: list[str]) -> None:
+    """Append files to the first one, in order, and remove the others. All are in one folder.
+
+    The file system does it where it can join files without reading them, as HDFS does. On local
+    disks their bytes are copied through a small buffer. Other stores are refused, because the
+    content would pass through one machine.
+    """
+    jvm = spark._jvm
+    first, fs = _resolve(spark, paths[0])
+    parts = [jvm.org.apache.hadoop.fs.Path(p) for p in paths[1:]]
+    parts = [p for p in parts if fs.getFileStatus(p).getLen()]
+    if fs.getUri().getScheme() != "file":
+        sources = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+        for k, part in enumerate(parts):
+            sources[k] = part
+        try:
+            if parts:
+                fs.concat(first, sources)
+        except Py4JJavaError as error:
+            if "UnsupportedOperationException" in error.java_exception.toString():
+                raise OSError(f"{fs.getUri()} cannot join files; write folders of parts there") from error
+            raise
+        return
+    joined = jvm.org.apache.hadoop.fs.Path(f"{paths[0]}.joined")
+    out = fs.create(joined, True)
+    try:
+        for part in [first, *parts]:
+            source = fs.open(part)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+    for part in [first, *parts]:
+        fs.delete(part, False)
+    if not fs.rename(joined, first):
+        raise OSError(f"could not rename {joined} to {first}")
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """Whole content of a file known to be tiny, such as a pointer or a report."""
     row = spark.read.text(path, wholetext=True).first()

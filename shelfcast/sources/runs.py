@@ -17,7 +17,9 @@ with: of two runs at once the second one to finish fails, and readers see whole
 
 from __future__ import annotations
 
+import csv
 import datetime
+import io
 import json
 import math
 import uuid
@@ -144,8 +146,13 @@ class RunFolder:
         self._tables.append(name)
         return self.spark.table(name)
 
-    def write_csv(self, table: str, df: DataFrame) -> None:
-        write_csv(df, f"{self.root}/csv/{table}.csv")
+    def write_csv(self, table: str, df: DataFrame, order: Sequence[str] | None = None) -> None:
+        """A folder of parts, or with ``order`` (which may be empty) one file in that order."""
+        path = f"{self.root}/csv/{table}.csv"
+        if order is None:
+            write_csv(df, path)
+        else:
+            write_csv_file(df, path, order)
 
     def discard(self, layer: str, table: str) -> None:
         """Drop a table of this unpublished run that failed its checks."""
@@ -198,15 +205,48 @@ def plain_number(value: Column) -> Column:
     return F.when(text.contains("E"), F.coalesce(short, text)).otherwise(text)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV folder with a header in every part; flags are written as True and False, numbers
-    without an exponent."""
+def _csv_texts(df: DataFrame) -> DataFrame:
+    """Flags as True and False, numbers without an exponent."""
     texts = {
         name: F.when(F.col(name), F.lit("True")).when(~F.col(name), F.lit("False"))
         if dtype == "boolean" else plain_number(F.col(name))
         for name, dtype in df.dtypes
         if dtype in ("boolean", "double")
     }
-    df.withColumns(texts).write.mode("overwrite").option("header", True).option(
-        "escape", '"'
-    ).csv(path)
+    return df.withColumns(texts)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV folder with a header in every part."""
+    _csv_texts(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def _header_line(columns: Sequence[str]) -> str:
+    line = io.StringIO()
+    csv.writer(line, lineterminator="\n").writerow(columns)
+    return line.getvalue()
+
+
+def _part_number(path: str) -> tuple[int, str]:
+    name = path.rpartition("/")[2]
+    return int(name.split("-")[1]), name
+
+
+def write_csv_file(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """One CSV file with one header line, its rows in ``order``, or in the DataFrame's own order
+    without one. Rows are sorted and written in parts by all tasks; the file system joins the
+    parts behind the header. An earlier file or folder of the name stays until the new one is whole."""
+    spark = df.sparkSession
+    folder, _, name = path.rpartition("/")
+    staged = f"{folder}/_parts_{name}_{uuid.uuid4().hex}"
+    try:
+        # Parts are numbered as the sorted ranges are; an order by texts would not be the columns' order.
+        rows = _csv_texts(df.orderBy(*order) if order else df)
+        rows.write.option("header", False).option("escape", '"').csv(staged)
+        header = f"{staged}/header"
+        parts = sorted(files.data_files(spark, staged), key=_part_number)
+        files.write_text(spark, header, _header_line(df.columns))
+        files.concatenate(spark, [header, *parts])
+        files.replace(spark, header, path)
+    finally:
+        files.delete(spark, staged)
