@@ -3,16 +3,16 @@
 A text is read by a random walk shared by all documents: at step j the walk shows what is at
 its pointer, and a coin that depends on j and on the character there decides whether the
 pointer moves on. After an edit two walks fall into step again, so a few edits change a few
-steps, and edit distance becomes Hamming distance between the walks. Walks restart every
-``BLOCK`` characters, so long texts are walked as many blocks side by side.
+steps, and edit distance becomes Hamming distance between the walks. A walk goes through the
+whole text, many texts side by side.
 
 A fingerprint samples ``SLOTS`` steps of the walk. A slot has one random sequence of steps for
 all documents, and samples the last of them that lies within the walk: that is a uniform step
 of a text of any length, and texts of nearly the same length sample nearly the same steps. The
 share of slots that agree estimates the Hamming likeness. Bands of slots give candidate pairs.
 
-A restart loses what an earlier insertion or deletion has shifted, so links between documents
-use walks without restarts (``unbroken_bytes``, the same for texts up to ``BLOCK``). Candidates
+Walks that restart every ``BLOCK`` characters (``fingerprint_bytes``, the same for texts up to
+``BLOCK``) lose what an earlier insertion or deletion has shifted; no query uses them. Candidates
 are compared by samples, then confirmed on every step of both walks.
 """
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ _SEED = 20240229
 _GROUP = 1024  # blocks walked side by side
 _FAR = np.int64(1) << 40
 _SLICE = 256  # steps of unbroken walks taken at a time, a divisor of STEPS
+_ALONE = 32  # longest texts that are walked one by one, as few others go as far side by side
 #: Members of a bucket that one task of the exact round compares with as many others.
 CHUNK = 4096
 #: Standard deviations below the threshold at which samples are still confirmed on full walks.
@@ -81,7 +83,7 @@ def sampled_steps(n_chars: np.ndarray) -> np.ndarray:
 
 
 def fingerprint_bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(characters, (texts, SLOTS) sampled bytes) of whole texts."""
+    """(characters, (texts, SLOTS) sampled bytes) of whole texts, by walks that restart."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum(sizes)
@@ -146,6 +148,33 @@ def _prepared(texts: list[str]) -> tuple[np.ndarray, ...]:
     return sizes, ends, _grams(code, ends), coin_class
 
 
+@lru_cache(maxsize=4096)
+def _salt(turn: int) -> int:
+    return int(wh.mix(np.array([turn], dtype=np.uint64), 7)[0]) & 255 if turn else 0
+
+
+@lru_cache(maxsize=32)
+def _salted_coins(salt: int) -> list[bytes]:
+    return [row.tobytes() for row in _COINS[:, np.arange(256) ^ salt]]
+
+
+def _places_alone(classes: bytes, steps: list[int]) -> list[int]:
+    """Places of the unbroken walk of one text at ascending steps."""
+    out, at, now = [], 0, 0
+    for step in steps:
+        while now < step and at < len(classes):
+            turn, row = divmod(now, STEPS)
+            coins, until = _salted_coins(_salt(turn)), min(step, (turn + 1) * STEPS)
+            try:
+                for moves in coins[row : until - turn * STEPS]:
+                    at += moves[classes[at]]
+            except IndexError:  # through the text
+                break
+            now = until
+        out.append(at)
+    return out
+
+
 def _unbroken(coin_class: np.ndarray, start: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(first step, (_SLICE, texts) places) until every walk is through. Lengths fall, and a
     slice holds the texts whose walks reach it. Coins of later rounds of STEPS are permuted."""
@@ -154,8 +183,7 @@ def _unbroken(coin_class: np.ndarray, start: np.ndarray, length: np.ndarray) ->
         live = int(np.searchsorted(-2 * length, -first))
         at, end = at[:live], end[:live]
         turn, row = divmod(first, STEPS)
-        salt = int(wh.mix(np.array([turn], dtype=np.uint64), 7)[0]) & 255 if turn else 0
-        coins = _COINS[row : row + _SLICE, np.arange(256) ^ salt]
+        coins = _COINS[row : row + _SLICE, np.arange(256) ^ _salt(turn)]
         out = np.empty((_SLICE, live), dtype=np.int32)
         classes, moved = np.empty(live, dtype=np.uint8), np.empty(live, dtype=np.uint8)
         for step in range(_SLICE):
@@ -173,7 +201,13 @@ def unbroken_bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     steps = sampled_steps(sizes)
     out = np.zeros(steps.shape, dtype=np.uint8)
     by_length = np.argsort(-sizes, kind="stable")
-    for low in range(0, len(texts), _GROUP):
+    for text in by_length[:_ALONE].tolist():
+        if sizes[text]:
+            low, high = int(ends[text] - sizes[text]), int(ends[text])
+            order = np.argsort(steps[text], kind="stable")
+            at = np.array(_places_alone(coin_class[low:high].tobytes(), steps[text][order].tolist())) + low
+            out[text, order] = np.where(at < high, shown[np.minimum(at, high - 1)], 0)
+    for low in range(_ALONE, len(texts), _GROUP):
         group = by_length[low : low + _GROUP]
         group = group[sizes[group] > 0]
         wanted = steps[group].reshape(-1)
@@ -239,7 +273,7 @@ def _compared(rows: list[tuple], following: list[tuple]) -> dict[str, list]:
     edited = [edited_text(a[1], b[1]) for a, b in zip(rows, following)]
     n, own = np.array([r[2] for r in rows]), np.array([r[3] for r in rows]).reshape(-1, SLOTS)
     n_next, other = np.array([r[2] for r in following]), np.array([r[3] for r in following]).reshape(-1, SLOTS)
-    n_edited, changed = fingerprint_bytes(edited)
+    n_edited, changed = unbroken_bytes(edited)
     return {
         "doc_id": [r[0] for r in rows],
         "n_chars": n.tolist(),
@@ -274,7 +308,7 @@ def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in wh.slices(batch):
             part = piece.column("part")[0].as_py()
             texts = [t or "" for t in piece.column("text").to_pylist()]
-            rows = list(zip(piece.column("doc_id").to_pylist(), texts, *(x.tolist() if x.ndim == 1 else x for x in fingerprint_bytes(texts))))
+            rows = list(zip(piece.column("doc_id").to_pylist(), texts, *(x.tolist() if x.ndim == 1 else x for x in unbroken_bytes(texts))))
             if last is None:
                 yield _batch(_alone(rows[0]), part, "head", [rows[0][1]])
             else:

@@ -73,7 +73,7 @@ def brute_force(rows):
     for k, (i, text) in enumerate(rows):
         following = rows[(k + 1) % len(rows)][1]
         changed = text[: len(text) - len(text) // 4] + following[: len(text) // 4]
-        n, b = ef.fingerprint_bytes([text, changed, following])
+        n, b = ef.unbroken_bytes([text, changed, following])
         near = lambda j: ef.likeness(n[:1], b[:1], n[j : j + 1], b[j : j + 1])[0]  # noqa: B023, E731
         out[i] = (i, len(text), hashlib.sha256(changed.encode()).hexdigest(), ef.encode(n[0], b[0]),
                   ef.encode(n[1], b[1]), near(1), near(2))
@@ -129,3 +129,53 @@ def test_odd_rows(spark, odd_docs, make_docs):
     alone = ef.fingerprint_documents(make_docs(["only one here"])).first()
     assert alone.near_next == 1.0
     assert ef.near_links(spark.createDataFrame([], "doc_id long, fingerprint string")).count() == 0
+
+
+@pytest.mark.parametrize("inserted", [4, 30])
+def test_an_early_insertion_keeps_most_long_texts_near(inserted):
+    """Two walks meet again after a random time, so some pairs stay apart."""
+    rnd = random.Random(21)
+    base = ["".join(rnd.choices("abcdefghij klmnop", k=60_000)) for _ in range(24)]
+    edited = [t[:50] + ("0123456789" * 3)[:inserted] + t[50:] for t in base]
+    near = ef.likeness(*ef.unbroken_bytes(base), *ef.unbroken_bytes(edited))
+    restarted = ef.likeness(*ef.fingerprint_bytes(base), *ef.fingerprint_bytes(edited))
+    assert np.median(near) > 0.9 > np.median(restarted)
+
+
+def test_published_fingerprints_are_of_unbroken_walks(spark, make_docs):
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choices("abcdefghij klmnop", k=k)) for k in (9000, 12_000, 5)]
+    found = {r.doc_id: r for r in ef.fingerprint_documents(make_docs(texts)).collect()}
+    n, b = ef.unbroken_bytes(texts)
+    assert [found[i].fingerprint for i in range(3)] == [ef.encode(k, x) for k, x in zip(n.tolist(), b)]
+    assert found[0].near_next == ef.likeness(n[:1], b[:1], n[1:2], b[1:2])[0]
+
+
+def unbroken_by_hand(text):
+    """The sampled bytes of one text by a walk through all of it, a step at a time."""
+    code = [ord(c) for c in text]
+    steps = ef.sampled_steps(np.array([len(text)]))[0]
+    shown, at = {}, 0
+    for step in range(2 * len(code)):
+        if at == len(code):
+            shown[step] = 0
+            continue
+        value = 0
+        for k in range(ef.GRAM):
+            value = (value * 0x100000001B3 + (code[at + k] + 1 if at + k < len(code) else 0)) % 2**64
+        shown[step] = int(wh.mix(np.array([value], dtype=np.uint64), 4)[0]) % 255 + 1
+        turn, row = divmod(step, ef.STEPS)
+        salt = int(wh.mix(np.array([turn], dtype=np.uint64), 7)[0]) & 255 if turn else 0
+        kind = int(wh.mix(np.array([code[at]], dtype=np.uint64), 3)[0]) & 255
+        at += int(ef._COINS[row][kind ^ salt])
+    return [shown[s] if s >= 0 else 0 for s in steps.tolist()]
+
+
+@pytest.mark.parametrize("alone", [0, 3, 128])
+def test_unbroken_walk_equals_a_walk_by_hand(monkeypatch, alone):
+    monkeypatch.setattr(ef, "_ALONE", alone)
+    rnd = random.Random(13)
+    texts = ["".join(rnd.choice("abcde é😀") for _ in range(n)) for n in (0, 1, 2, 50, 700, ef.BLOCK, ef.BLOCK + 1, 9000)]
+    sizes, sampled = ef.unbroken_bytes(texts)
+    assert sizes.tolist() == [len(t) for t in texts]
+    assert sampled.tolist() == [unbroken_by_hand(t) for t in texts]
