@@ -3,10 +3,10 @@ exact check of the weighted shingles.
 
 Every window of a document that is as long as a benchmark item gets a 128-bit SimHash of its
 5-word shingles, each as heavy as it is frequent. The index keeps 16 blocks of 8 bits of each
-item's fingerprint, entered under every value one bit away. Two fingerprints that differ in at
-most 31 bits differ by at most one bit in some block, so looking up the 16 blocks of a window
-finds every item within that radius. Candidates are confirmed by the exact weighted Jaccard
-similarity of the shingles.
+item's fingerprint, entered under every value one bit away, apart for every item size. Two
+fingerprints that differ in at most 31 bits differ by at most one bit in some block, so looking
+up the 16 blocks of a window among the items of its size finds every one within that radius.
+Candidates are confirmed by the exact weighted Jaccard similarity of the shingles.
 
 A window without a shingle of an item cannot be similar to it, so fingerprints are computed
 only around shingles that occur in the benchmark; this leaves out nothing.
@@ -46,8 +46,10 @@ class ItemIndex:
     owner_key: np.ndarray  # every shingle of every item, ascending
     owner: np.ndarray
     seen: np.ndarray  # filter over the low bits of a shingle's hash
-    bucket_first: np.ndarray  # (BLOCKS * 256 + 1) offsets into bucket_item
-    bucket_item: np.ndarray
+    sizes: np.ndarray  # distinct sizes, ascending
+    size_first: np.ndarray  # (sizes + 1) offsets into cell and cell_item
+    cell: np.ndarray  # block * 256 + value, ascending within a size
+    cell_item: np.ndarray
 
 
 def fingerprints(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -74,9 +76,10 @@ def build_index(ids: list, texts: list[str]) -> ItemIndex:
     prints = np.array(prints, dtype=np.uint8).reshape(-1, BLOCKS)
     near = np.concatenate([[0], 1 << np.arange(8)]).astype(np.uint8)
     values = prints[:, :, None] ^ near  # items x blocks x 9
-    cell = (np.arange(BLOCKS)[None, :, None] * 256 + values).reshape(-1)
-    item = np.repeat(np.arange(len(used)), BLOCKS * 9)
-    order = np.argsort(cell, kind="stable")
+    cell = (np.arange(BLOCKS)[None, :, None] * 256 + values).reshape(-1).astype(np.uint16)
+    item = np.repeat(np.arange(len(used), dtype=np.int32), BLOCKS * 9)
+    order = np.lexsort((cell, size[used][item]))
+    sizes, entries = np.unique(size[used], return_counts=True)
     keys = np.concatenate([s for s, _ in shingles]) if shingles else np.zeros(0, dtype=np.uint64)
     owner = np.repeat(np.arange(len(used)), [len(s) for s, _ in shingles])
     by_key = np.argsort(keys, kind="stable")
@@ -85,7 +88,7 @@ def build_index(ids: list, texts: list[str]) -> ItemIndex:
     return ItemIndex(
         [ids[i] for i in used], size[used], np.minimum(size[used], WIDTH), shingles,
         np.array([int(c.sum()) for _, c in shingles], dtype=np.int64), prints, keys[by_key], owner[by_key],
-        seen, np.searchsorted(cell[order], np.arange(BLOCKS * 256 + 1)), item[order],
+        seen, sizes, np.append(0, np.cumsum(entries * BLOCKS * 9)), cell[order], item[order],
     )
 
 
@@ -109,16 +112,25 @@ def _window_starts(places: np.ndarray, span: int, n: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
 
 
-def _near_items(index: ItemIndex, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(window, item, distance) of all pairs within the radius, through the block index."""
-    cell = np.arange(BLOCKS) * 256 + prints
-    low, n = index.bucket_first[cell], index.bucket_first[cell + 1] - index.bucket_first[cell]
-    low, n = low.reshape(-1), n.reshape(-1)
+def _candidates(index: ItemIndex, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(window, item), each once, of items of this size that have a block one bit away at most."""
+    at = int(np.searchsorted(index.sizes, size))
+    mine = slice(index.size_first[at], index.size_first[at + 1])
+    wanted = (np.arange(BLOCKS) * 256 + prints).reshape(-1).astype(np.uint16)
+    low = np.searchsorted(index.cell[mine], wanted)
+    n = np.searchsorted(index.cell[mine], wanted, "right") - low
     first = np.cumsum(n) - n
-    item = index.bucket_item[np.arange(int(n.sum())) + np.repeat(low - first, n)]
+    item = index.cell_item[mine][np.arange(int(n.sum())) + np.repeat(low - first, n)].astype(np.int64)
     window = np.repeat(np.repeat(np.arange(len(prints)), BLOCKS), n)
     pair = np.unique(window * len(index.ids) + item)
-    window, item = pair // len(index.ids), pair % len(index.ids)
+    return pair // len(index.ids), pair % len(index.ids)
+
+
+def _near_items(index: ItemIndex, prints: np.ndarray, size: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window, item, distance) of all pairs within the radius, through the block index; of all
+    items, or of those of one size."""
+    sizes = index.sizes if size is None else [size]
+    window, item = (np.concatenate(c) for c in zip(*(_candidates(index, prints, n) for n in sizes)))
     distance = np.bitwise_count(prints[window] ^ index.fingerprint[item]).sum(axis=1)
     close = distance <= RADIUS
     return window[close], item[close], distance[close]
@@ -149,9 +161,7 @@ def search_text(index: ItemIndex, values: np.ndarray, width: int, places: np.nda
                 stop = np.minimum(run + span, len(values))
                 origin = run[0]
                 prints = fingerprints(values[origin : stop[-1]], run - origin, stop - origin)
-                for w, item, distance in zip(*_near_items(index, prints)):
-                    if index.size[item] != size:
-                        continue
+                for w, item, distance in zip(*_near_items(index, prints, int(size))):
                     similarity = _similarity(index, item, values[run[w] : stop[w]])
                     if similarity >= SIMILARITY:
                         now = (similarity, -int(distance), -int(run[w]))
