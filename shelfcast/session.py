@@ -82,6 +82,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own beside the tables of ``cut_lineage``, removed with them."""
+    return f"{_table_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def drop_tables(spark: SparkSession) -> None:
     """Delete the tables of ``cut_lineage``; call it when no result is read from them any more."""
     files.delete(spark, _table_folder(spark))

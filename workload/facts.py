@@ -123,6 +123,19 @@ def unchecked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def oil_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The highest event value of each day as a price in text; Saturdays have none, on Sundays it
+    is a word and on Mondays the word for an infinite number."""
+    day = F.to_date("ts")
+    price = F.max("value").cast("string")
+    weekday = F.weekday("date")
+    return table(spark, sf_dir, "events").groupBy(day.alias("date")).agg(price.alias("price")).select(
+        F.date_format("date", "yyyy-MM-dd").alias("date"),
+        F.when(weekday == 5, F.lit("")).when(weekday == 6, F.lit("closed")).when(weekday == 0, F.lit("inf"))
+        .otherwise(F.col("price")).alias("dcoilwtico"),
+    )
+
+
 def text_rows(fact: DataFrame) -> DataFrame:
     """A valid fact as a CSV file would deliver it: all text, padded family, ``1.0`` ids."""
     return fact.select(

@@ -338,6 +338,18 @@ FROM f GROUP BY 1, 2, 3 HAVING count(*) > 1""",
     "silver_sales": _with(
         EVENTS, "SELECT date, store_nbr, family, round(sales, 6) AS sales, onpromotion FROM f"
     ),
+    "silver_from_files": _with(
+        EVENTS, "SELECT date, store_nbr, family, round(sales, 6) AS sales, onpromotion FROM f"
+    ),
+    "context_from_files": _with(
+        EDGE,
+        STOCK,
+        """,
+days AS (SELECT CAST(ts AS DATE) AS date, max(value) AS price FROM events GROUP BY 1)
+SELECT 'inventory' AS source, date, store_nbr, family, round(inventory_on_hand, 6) AS amount FROM stock
+UNION ALL
+SELECT 'oil', date, NULL, NULL, CASE WHEN dayofweek(date) IN (2, 3, 4, 5) THEN round(price, 6) END FROM days""",
+    ),
     "daily_sales": _with(EVENTS, DAILY, DAILY_ROWS),
     "daily_sales_edge": _with(EDGE, DAILY, DAILY_ROWS),
     "daily_sales_unknown_promo": _with(

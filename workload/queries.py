@@ -15,9 +15,10 @@ from shelfcast.functions.columns import display_round
 from shelfcast.operators import (
     advice, forecast, marts, measures, pages, planning, quality, questions, report, star, trend, whatif,
 )
-from shelfcast.schemas import GRAIN, SALES
-from shelfcast.session import cut_lineage
-from shelfcast.sources import sql_functions
+from shelfcast.schemas import CONTEXT_TABLES, GRAIN, SALES
+from shelfcast.session import cut_lineage, new_folder
+from shelfcast.sources import csv_tables, sql_functions
+from shelfcast.sources.runs import RunFolder, write_csv
 from workload import facts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +135,43 @@ def silver_sales(spark, sf_dir):
     return rounded(quality.validate_sales(rows))
 
 
+def silver_from_files(spark, sf_dir):
+    """Demand as a folder of CSV parts, landed in Bronze as text, validated into bucketed Silver."""
+    folder = new_folder(spark)
+    write_csv(facts.text_rows(events_once(spark, sf_dir)), f"{folder}/data/raw/train.csv")
+    run = RunFolder.create(spark, f"{folder}/output")
+    try:
+        layers = csv_tables.load_layers(spark, "auto", f"{folder}/data", run)
+        assert layers.selected == "raw"
+    finally:
+        run.close()
+    return rounded(run.read("silver", "sales"))
+
+
+def context_from_files(spark, sf_dir):
+    """Inventory counts and oil prices as CSV, landed and validated by their contracts; a price
+    that is no finite number is null."""
+    folder = new_folder(spark)
+    run = RunFolder.create(spark, f"{folder}/output")
+    tables = {
+        "inventory": facts.stock_snapshot(facts.edge_fact(spark, sf_dir)), "oil": facts.oil_rows(spark, sf_dir),
+    }
+    silver = {}
+    for spec in CONTEXT_TABLES:
+        if spec.name in tables:
+            write_csv(tables[spec.name], f"{folder}/{spec.name}.csv")
+            bronze = csv_tables.land_bronze(spark, f"{folder}/{spec.name}.csv", spec.name, run)
+            silver[spec.name] = csv_tables.silver_context(spec, bronze, run)
+    stock = silver["inventory"].select(
+        F.lit("inventory").alias("source"), "date", "store_nbr", "family", F.col("inventory_on_hand").alias("amount")
+    )
+    oil = silver["oil"].select(
+        F.lit("oil").alias("source"), "date", F.lit(None).cast("bigint").alias("store_nbr"),
+        F.lit(None).cast("string").alias("family"), F.col("dcoilwtico").alias("amount"),
+    )
+    return rounded(stock.unionByName(oil))
+
+
 def daily_sales_unknown_promo(spark, sf_dir):
     rows = facts.events_fact(spark, sf_dir).drop("onpromotion")
     return rounded(marts.daily_sales(quality.with_promotion_column(rows)))
@@ -390,6 +428,8 @@ REGISTRY: dict[str, Query] = {
     "dq_counts": dq_counts,
     "dq_duplicates": dq_duplicates,
     "silver_sales": silver_sales,
+    "silver_from_files": silver_from_files,
+    "context_from_files": context_from_files,
     "daily_sales": _rounded(events_daily),
     "daily_sales_edge": _rounded(edge_daily),
     "daily_sales_unknown_promo": daily_sales_unknown_promo,
