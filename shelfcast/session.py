@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import SparkConf
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.sources import files
 
@@ -50,19 +50,44 @@ def sized_shuffles(spark: SparkSession, source_bytes: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+_REFUSED = "set spark.checkpoint.dir to a folder that all executors share"
+_shared: set[tuple[str, str]] = set()  # applications and folders whose trial has passed
+
+
+def _ensure_shared(spark: SparkSession, folder: str) -> None:
+    """Refuse a ``file:`` folder unless all tasks of a trial write reach it and are read back: it
+    may be a mount that driver and executors share, or a disk of each machine. Tried once."""
+    try:
+        key = (spark.sparkContext.applicationId, folder)
+        if key in _shared:
+            return
+        path, n = f"{folder.rstrip('/')}/trial-{uuid.uuid4().hex}", 2 * spark.sparkContext.defaultParallelism
+        rows = spark.range(0, n, 1, n)
+        rows.write.parquet(path)
+        found = spark.read.schema(rows.schema).parquet(path).agg(F.count("id"), F.sum("id")).first()
+        files.delete(spark, path)
+    except Exception as error:
+        raise RuntimeError(_REFUSED) from error
+    if tuple(found) != (n, n * (n - 1) // 2):
+        raise RuntimeError(_REFUSED)
+    _shared.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``, or on a local master a folder in the
-    warehouse. A cluster needs one that all executors share: none or a ``file:`` one is refused."""
+    """The folder named in ``spark.checkpoint.dir``, or else a folder in the warehouse. A cluster
+    needs one that all executors share: a ``file:`` one is tried there, and refused if it is not."""
     sc = spark.sparkContext
-    local = sc.master.startswith("local")
     folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and local:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-    if not folder or (folder.startswith("file:") and not local):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not folder and (warehouse := spark.conf.get("spark.sql.warehouse.dir", None)):
+        folder = f"{warehouse.rstrip('/')}/_checkpoints"
+    if not folder:
+        raise RuntimeError(_REFUSED)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir()
+    folder = sc.getCheckpointDir()  # with the scheme that a bare path stands for
+    if folder.startswith("file:") and not sc.master.startswith("local"):
+        _ensure_shared(spark, folder)
+    return folder
 
 
 def _table_folder(spark: SparkSession) -> str:

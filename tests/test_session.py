@@ -75,3 +75,42 @@ def test_written_tables_can_be_dropped(spark):
     session.drop_tables(spark)
     assert not os.path.exists(folder)
     assert session.cut_lineage(spark.range(3)).count() == 3
+
+
+def test_a_shared_file_folder_serves_a_cluster(spark, monkeypatch):
+    # Every task reaches this folder, as on a mount that all machines have.
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert session.ensure_checkpoint_dir(spark).startswith("file:")
+    for _ in range(2):
+        assert session.cut_lineage(spark.range(3)).count() == 3
+
+
+def test_a_cluster_without_a_checkpoint_folder_uses_the_warehouse():
+    named = ClusterSession({"spark.sql.warehouse.dir": "hdfs://shared/warehouse"})
+    assert session.ensure_checkpoint_dir(named) == "hdfs://shared/warehouse/_checkpoints"
+
+
+def test_a_folder_that_loses_rows_of_tasks_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(session, "_shared", set())
+    writer = type(spark.range(1).write)
+    whole = writer.parquet
+
+    def some(self, path):
+        whole(self._df.where("id > 0").write, path)
+
+    monkeypatch.setattr(writer, "parquet", some)
+    with pytest.raises(RuntimeError, match="all executors share"):
+        session.ensure_checkpoint_dir(spark)
+
+
+def test_a_bare_path_that_tasks_cannot_share_is_refused_at_once():
+    # Spark makes it a file: path, as it does with the folder named when the session starts.
+    class Context(ClusterContext):
+        def setCheckpointDir(self, path):
+            self.checkpoint_dir = f"file:{path}"
+
+    cluster = ClusterSession({"spark.checkpoint.dir": "/scratch/x"})
+    cluster.sparkContext = Context()
+    with pytest.raises(RuntimeError, match="all executors share"):
+        session.ensure_checkpoint_dir(cluster)
