@@ -229,19 +229,19 @@ class RunIndex:
     first_suffix: np.ndarray
     last_suffix: np.ndarray
     by_symbol: np.ndarray  # symbol * runs + run, ascending
-    stretch_start: np.ndarray  # rows where the common prefix with the row before is too short
-    stretch_low: np.ndarray  # smallest document of a stretch
+    run_at: np.ndarray  # run of each row
+    low_at: np.ndarray  # smallest document of each row's stretch: rows that share MATCH bytes
 
     @property
     def runs(self) -> int:
         return len(self.run_start)
 
     def run_of(self, rows: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.run_start, rows, "right") - 1
+        return self.run_at[rows].astype(np.int64)
 
     def low_document(self, rows: np.ndarray) -> np.ndarray:
         """Smallest document that holds the first MATCH bytes of these rows' suffixes."""
-        return self.stretch_low[np.searchsorted(self.stretch_start, rows, "right") - 1]
+        return self.low_at[rows]
 
     def common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Length of the common prefix of suffixes a and b, at most ``most``."""
@@ -301,22 +301,45 @@ class RunIndex:
         length[lane] = np.where(down, keep_below[some], keep_above[some])
 
 
+def _ordered(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys (of ``bits`` bits) in their order, equal ones by place, and where
+    another key begins. A place behind its key sorts several times faster than an argsort."""
+    n, low = len(key), max(len(key) - 1, 1).bit_length()
+    if bits + low <= 63:
+        placed = np.sort(key << low | np.arange(n))
+        order, key = placed & ((1 << low) - 1), placed >> low
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    fresh = np.ones(n, dtype=bool)
+    fresh[1:] = key[1:] != key[:-1]
+    return order, fresh
+
+
 def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Positions in suffix order by prefix doubling; ``left`` is the distance to the terminator."""
+    """Positions in suffix order by prefix doubling, equal suffixes by position; ``left`` is the
+    distance to the terminator."""
     n = len(text)
-    padded = np.concatenate([text, np.zeros(7, dtype=text.dtype)]).astype(np.int64)
+    used = np.flatnonzero(np.bincount(text, minlength=1))
+    dense = np.zeros(used[-1] + 1, dtype=np.int64)
+    dense[used] = np.arange(len(used))  # the terminator, 0, stays the smallest
+    width, low = max(len(used) - 1, 1).bit_length(), max(n - 1, 1).bit_length()
+    depth = max((63 - low) // width, 1)
+    padded = np.concatenate([dense[text], np.zeros(depth, dtype=np.int64)])
     key = np.zeros(n, dtype=np.int64)
-    for k in range(7):
-        key = key << 9 | np.where(left >= k, padded[k : n + k], 0)
-    depth, longest = 7, int(left.max()) + 1
+    for k in range(depth):
+        key = key << width | np.where(left >= k, padded[k : n + k], 0)
+    bits, longest = depth * width, int(left.max()) + 1
     while True:
-        order = np.argsort(key)
+        order, fresh = _ordered(key, bits)
+        if depth >= longest or fresh.all():
+            return order
         rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
-        if depth >= longest or rank[order[-1]] == n - 1:
-            return np.argsort(rank * n + np.arange(n))
-        ahead = np.minimum(np.arange(n) + depth, n - 1)
-        key = rank * (n + 1) + np.where(left >= depth, rank[ahead] + 1, 0)
+        rank[order] = np.cumsum(fresh) - 1
+        ahead = np.zeros(n, dtype=np.int64)
+        ahead[: n - depth] = rank[depth:] + 1
+        key = rank << n.bit_length() | np.where(left >= depth, ahead, 0)
+        bits = low + n.bit_length()
         depth *= 2
 
 
@@ -346,11 +369,13 @@ def build_index(data: np.ndarray, sizes: np.ndarray, low: np.ndarray) -> RunInde
     fresh = np.ones(len(text), dtype=bool)
     fresh[1:] = (window[1:] != window[:-1]) | ~long[1:] | ~long[:-1]
     stretch_start = np.flatnonzero(fresh)
+    stretch_low = np.minimum.reduceat(low[string[order]], stretch_start)
     return RunIndex(
         text, ends, run_start, run_symbol, arrives - run_start,
         order[run_start], order[run_start + run_size - 1],
         run_symbol[by_symbol] * len(run_start) + by_symbol,
-        stretch_start, np.minimum.reduceat(low[string[order]], stretch_start),
+        np.repeat(np.arange(len(run_start), dtype=np.int32), run_size),
+        np.repeat(stretch_low, np.diff(np.append(stretch_start, len(text)))),
     )
 
 
