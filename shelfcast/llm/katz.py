@@ -29,6 +29,8 @@ from shelfcast.session import cut_lineage
 _END = np.uint64(0x656E64)  # the token after the last word
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _CHUNKS_PER_TASK = 20  # bits of a chunk's number within its task
+_KEYS = 1 << 18  # keys that are mixed at a time
+_RANGE = 1 << 61  # of key values that are sorted at a time
 
 _CHUNK = "chunk long, n_tokens long, doc_ids array<long>, held array<boolean>, counts array<int>, vocab binary, tokens binary"
 _ASKED = "bucket long, chunk long, gram int, n int, keys binary, counts binary, in_held binary"
@@ -143,18 +145,55 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
 
 
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys in ascending order, and where each distinct key begins among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    return order, np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct key, ascending, and the number of each key among them. Keys are
+    sorted range by range: chunks are large, and a sort holds several times what it sorts."""
+    at, number, done = [], np.empty(len(keys), dtype=np.int32), 0
+    for low in range(0, 1 << 64, _RANGE):
+        inside = keys >= np.uint64(low)
+        inside &= keys <= np.uint64(low + _RANGE - 1)
+        places = np.flatnonzero(inside)
+        if len(places):
+            order, starts = _groups(keys[places])
+            first = np.zeros(len(order), dtype=np.int32)
+            first[starts] = 1
+            places = places[order]
+            number[places] = np.cumsum(first, dtype=np.int32) + np.int32(done - 1)
+            at.append(places[starts])
+            done += len(starts)
+    return _all_of(at, np.int64), number
+
+
+def _mixed(context: np.ndarray | None, tokens: np.ndarray, n: int) -> np.ndarray:
+    out = np.empty_like(tokens)
+    for a in range(0, len(tokens), _KEYS):
+        part = slice(a, a + _KEYS)
+        out[part] = wh.mix(tokens[part] if context is None else context[part] * _SPREAD + tokens[part], n)
+    return out
+
+
 def _chunker(config: KatzConfig):
-    def row(chunk: int, held_parts: list) -> pa.RecordBatch:
-        ids, held, counts, tokens = ([part[k] for part in held_parts] for k in range(4))
+    def row(chunk: int, parts: list) -> pa.RecordBatch:
+        ids, held, counts, tokens = zip(*parts)
+        parts.clear()
         tokens = np.concatenate(tokens)
-        vocab, place, times = np.unique(tokens, return_inverse=True, return_counts=True)
+        at, place = _distinct(tokens)
+        vocab, times = tokens[at], np.bincount(place)
+        del tokens
         common = np.argsort(-times, kind="stable")  # frequent words get small numbers
         number = np.empty(len(vocab), dtype=np.uint32)
         number[common] = np.arange(len(vocab), dtype=np.uint32)
         ids = pa.concat_arrays(ids)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([chunk], pa.int64()), pa.array([len(tokens)], pa.int64()),
+                pa.array([chunk], pa.int64()), pa.array([len(place)], pa.int64()),
                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                 _lists(np.concatenate(held)), _lists(np.concatenate(counts).astype(np.int32)),
                 pa.array([vocab[common].tobytes()], pa.binary()), pa.array([pack(number[place])], pa.binary()),
@@ -182,34 +221,38 @@ def _chunker(config: KatzConfig):
 
 @dataclass
 class Chunk:
-    """Tokens of a chunk's documents and the distinct n-grams that end at them, by length."""
+    """Tokens of a chunk's documents. What can be worked out again is not held: chunks are large."""
 
     tokens: np.ndarray
-    doc: np.ndarray  # document of each token
-    heads: np.ndarray  # first token of each document
-    held: np.ndarray  # per token
+    counts: np.ndarray  # tokens of each document
+    held: np.ndarray  # per document
 
     @classmethod
     def read(cls, counts: np.ndarray, held: np.ndarray, vocab: bytes, tokens: bytes) -> Chunk:
-        doc = np.repeat(np.arange(len(counts)), counts)
-        number = unpack(tokens, len(doc), np.uint32)
-        heads = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
-        return cls(np.frombuffer(vocab, np.uint64)[number], doc, heads, held[doc])
+        number = unpack(tokens, int(counts.sum(dtype=np.int64)), np.uint32)
+        return cls(np.frombuffer(vocab, np.uint64)[number], counts, held)
+
+    def doc(self) -> np.ndarray:
+        """Document of each token."""
+        return np.repeat(np.arange(len(self.counts)), self.counts)
 
-    def keys(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(key of the n-gram that ends at each token, key of its context) for n = 1 to order.
+    def heads(self) -> np.ndarray:
+        """First token of each document."""
+        return np.cumsum(self.counts, dtype=np.int64) - self.counts
+
+    def keys(self, n: int, shorter: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+        """(key of the n-gram that ends at each token, key of its context), from the keys of the
+        n-grams one shorter; a single word has no context.
 
         A text is preceded by start marks, so that its first words have a context; a context's
         key is the key of the shorter n-gram that ends one token earlier.
         """
-        key, context = wh.mix(self.tokens, 1), np.zeros(len(self.tokens), dtype=np.uint64)
-        yield key, context
-        for n in range(2, order + 1):
-            context = np.empty_like(key)
-            context[1:] = key[:-1]
-            context[self.heads] = wh.mix(np.array([n], dtype=np.uint64), 97)
-            key = wh.mix(context * _SPREAD + self.tokens, n)
-            yield key, context
+        if n == 1:
+            return _mixed(None, self.tokens, 1), None
+        context = np.empty_like(shorter)
+        context[1:] = shorter[:-1]
+        context[self.heads()] = wh.mix(np.array([n], dtype=np.uint64), 97)
+        return _mixed(context, self.tokens, n), context
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, Chunk]]:
@@ -226,20 +269,26 @@ def _asker(order: int, buckets: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, chunk in _chunks(batch):
-                for n, (key, _) in enumerate(chunk.keys(order), 1):
-                    distinct, place = np.unique(key, return_inverse=True)
-                    times = np.bincount(place, ~chunk.held, len(distinct)).astype(np.uint32)
-                    in_held = np.bincount(place, chunk.held, len(distinct)) > 0
+                held, key = np.repeat(chunk.held, chunk.counts), None
+                for n in range(1, order + 1):
+                    key = chunk.keys(n, key)[0]
+                    by_key, first = _groups(key)
+                    distinct = key[by_key[first]]
+                    of_held = held[by_key]
+                    del by_key
+                    in_held = np.logical_or.reduceat(of_held, first)
+                    times = np.diff(first, append=len(of_held)) - np.add.reduceat(of_held, first, dtype=np.int64)
+                    times = times.astype(np.uint32)
+                    del first, of_held
                     bucket = ((distinct >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                     used, start = np.unique(bucket, return_index=True)
                     stop = np.append(start[1:], len(distinct))
-                    gaps = [np.diff(distinct[a:b], prepend=np.uint64(0)) for a, b in zip(start, stop)]
                     cuts = list(zip(start, stop))
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(used), pa.array(np.full(len(used), number)),
                             pa.array(np.full(len(used), n, np.int32)), pa.array((stop - start).astype(np.int32)),
-                            pa.array([pack(g) for g in gaps], pa.binary()),
+                            pa.array([pack(np.diff(distinct[a:b], prepend=np.uint64(0))) for a, b in cuts], pa.binary()),
                             pa.array([pack(times[a:b]) for a, b in cuts], pa.binary()),
                             pa.array([pack_bits(in_held[a:b]) for a, b in cuts], pa.binary()),
                         ],
@@ -303,8 +352,8 @@ def _all_of(parts: list[np.ndarray], kind) -> np.ndarray:
 
 def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys and the sums of the values by key."""
-    distinct, place = np.unique(keys, return_inverse=True)
-    return distinct, *(np.bincount(place, v, len(distinct)) for v in values)
+    at, place = _distinct(keys)
+    return keys[at], *(np.bincount(place, v, len(at)) for v in values)
 
 
 def _scorer(model: Model, order: int):
@@ -322,14 +371,20 @@ def _scorer(model: Model, order: int):
         order_of = np.lexsort([answers.column("bucket").to_numpy(), answers.column("gram").to_numpy()])
         answers = answers.take(pa.array(order_of))
         gram, sizes = answers.column("gram").to_numpy(), answers.column("n").to_numpy()
-        n_docs, size = len(chunk.heads), len(chunk.tokens)
+        n_docs, size = len(chunk.counts), len(chunk.tokens)
         prob = np.full(size, model.unknown)
-        before_count = before_wanted = None  # of the n-gram one shorter, by token
-        lower = None  # its probability
+        is_head = np.zeros(size, dtype=bool)
+        is_head[chunk.heads()] = True
+        key = before = None  # before: of the n-grams one shorter, by distinct n-gram, and which one ends at each token
         open_at, open_key = [], []
         contexts, freed, lowers = [], [], []
-        for n, (key, context) in enumerate(chunk.keys(order), 1):
-            _, at, place = np.unique(key, return_index=True, return_inverse=True)
+        for n in range(1, order + 1):
+            key, context = chunk.keys(n, key)
+            at, place = _distinct(key)
+            if n > 1:
+                context = context[at]
+            if n == order:
+                key = None
             rows = answers.slice(int(np.searchsorted(gram, n)), int((gram == n).sum()))
             packed = [rows.column(c).to_pylist() for c in ("totals", "owned", "in_held")]
             of = rows.column("n").to_numpy()
@@ -337,40 +392,47 @@ def _scorer(model: Model, order: int):
             owned, wanted = (
                 np.concatenate([unpack_bits(x, k) for x, k in zip(packed[j], of)]) for j in (1, 2)
             )
-            del key
-            # Worked out by distinct n-gram, not by token: chunks are large.
+            # Worked out by distinct n-gram, not by token: an n-gram's key has its context in it.
             kept = model.discounts[n - 1].kept(total)
-            count = total[place]
             if n == 1:
-                whole = np.full(size, max(model.tokens, 1))
-                known = np.bincount(chunk.doc, count > 0, n_docs).astype(np.int32)
+                whole = max(model.tokens, 1)
+                doc = chunk.doc()
+                known = np.bincount(doc, (total > 0)[place], n_docs).astype(np.int32)
                 base = np.log10((total + 1) / (model.tokens + model.words + 1))
-                base = np.bincount(chunk.doc, base[place], n_docs)
+                base = np.bincount(doc, base[place], n_docs)
+                del doc
             else:
-                whole = np.empty(size, dtype=np.int64)
-                whole[1:] = before_count[:-1]
-                whole[chunk.heads] = model.documents
-            own = (kept * total)[place]
+                total_before, wanted_before, own_before, place_before = before
+                head, earlier = is_head[at], place_before[np.maximum(at - 1, 0)]
+                whole = np.where(head, model.documents, total_before[earlier])
+                open_at.append(np.flatnonzero(((total == 0) & (whole > 0))[place]))
+                open_key.append(context[place[open_at[-1]]])
+                mine = np.flatnonzero(owned & (head | wanted_before[earlier]))
+                mass = (1 - kept[mine]) * total[mine] / whole[mine]
+                lower = own_before[place_before[at[mine]]]
+                context = context[mine]
+                del head, earlier, mine, total_before, wanted_before, own_before, place_before, before
+            del at
+            own = np.multiply(kept, total, out=kept)
             own /= np.maximum(whole, 1)
+            del kept, whole
+            seen = total > 0
+            for a in range(0, size, _KEYS):
+                part = place[a : a + _KEYS]
+                np.copyto(prob[a : a + _KEYS], own[part], where=seen[part])
+            before = total, wanted, own, place
+            del total, wanted, own, place, owned, seen
+            if n == order:
+                del before
             if n > 1:
-                open_at.append(np.flatnonzero((count == 0) & (whole > 0)))
-                open_key.append(context[open_at[-1]])
-                follows = np.ones(size, dtype=bool)
-                follows[1:] = before_wanted[:-1]
-                follows[chunk.heads] = True
-                at = at[owned]
-                at = at[follows[at]]
-                mass = (1 - kept[place[at]]) * count[at] / whole[at]
-                found = _summed(context[at], mass, lower[at])
-                for into, value in zip((contexts, freed, lowers), found):
+                for into, value in zip((contexts, freed, lowers), _summed(context, mass, lower)):
                     into.append(value)
-            np.copyto(prob, own, where=count > 0)
-            before_count, before_wanted, lower = count, wanted[place], own
-            del place, at, whole, context
-        direct = np.bincount(chunk.doc, np.log10(prob), n_docs)
+                del context, mass, lower
+        doc = chunk.doc()
+        direct = np.bincount(doc, np.log10(prob, out=prob), n_docs)
         spots, keys = _all_of(open_at, np.int64), _all_of(open_key, np.uint64)
         needs, need = np.unique(keys, return_inverse=True)
-        pairs, times = np.unique(chunk.doc[spots] * max(len(needs), 1) + need, return_counts=True)
+        pairs, times = np.unique(doc[spots] * max(len(needs), 1) + need, return_counts=True)
         columns = [
             batch.column("chunk"), batch.column("doc_ids"), batch.column("held"), batch.column("counts"),
             _lists(known), _lists(base), _lists(direct),

@@ -1,0 +1,55 @@
+"""Distinct keys by ranges, and what the tasks on one large chunk hold at a time."""
+
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from shelfcast.llm import katz as kz
+
+
+def test_distinct_keys_are_numbered_in_their_order():
+    rng = np.random.default_rng(1)
+    edges = np.array([0, (1 << 61) - 1, 1 << 61, (1 << 64) - 1], dtype=np.uint64)
+    for keys in (rng.integers(0, 1 << 64, 500, dtype=np.uint64), edges, edges[:1]):
+        keys = rng.permutation(np.repeat(keys, 3))
+        at, number = kz._distinct(keys)
+        assert keys[at].tolist() == np.unique(keys).tolist()
+        assert (keys[at][number] == keys).all()
+
+
+def test_tasks_hold_few_bytes_a_token(monkeypatch):
+    class Task:
+        @staticmethod
+        def get():
+            return Task
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    monkeypatch.setattr(kz, "TaskContext", Task)
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{k}" for k in np.minimum(rng.zipf(1.3, 1000), 40_000)) for _ in range(500)]
+    docs = pa.record_batch({
+        "doc_id": pa.array(range(500), pa.int64()), "text": texts, "held": pa.array([i % 7 == 2 for i in range(500)]),
+    })
+    tokens = 500 * 1001
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            return work(), tracemalloc.get_traced_memory()[1] / tokens
+        finally:
+            tracemalloc.stop()
+
+    chunks = list(kz._chunker(kz.KatzConfig())(iter([docs])))
+    asked, most_asked = peak(lambda: list(kz._asker(2, 1)(iter(chunks))))
+    answers = kz._add_up(pa.Table.from_batches(asked))
+    assert pc.sum(answers.column("n")).as_py()
+    discounts = kz.fit_discounts({1: 100, 2: 40, 3: 20}, kz.KatzConfig())
+    model = kz.Model(tokens, 40_000, 429, 0.1, (discounts, discounts))
+    scored, most_scored = peak(lambda: kz._scorer(model, 2)(pa.Table.from_batches(chunks), answers))
+    assert scored.num_rows == 1
+    assert most_asked < 70 and most_scored < 80, (most_asked, most_scored)
